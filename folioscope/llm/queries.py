@@ -41,12 +41,43 @@ def op5_quality_rules(spark, sf_dir):
     return quality_rules(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op6_ngram_jaccard_join(spark, sf_dir):
+    from .jaccard_join import jaccard_components
+
+    return jaccard_components(_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op7_sharding(spark, sf_dir):
     from .sharding import shard_rows
 
     return shard_rows(_table(spark, sf_dir, "documents"))
 
 
+def op2_quality_classifier(spark, sf_dir):
+    from .quality_classifier import quality_classifier
+
+    return quality_classifier(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op8_exact_top_k(spark, sf_dir):
+    from .top_k import top_k
+
+    return top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op9_packing(spark, sf_dir, tokenizer_file=None):
+    from .packing import json_encoder, pack
+
+    encoder = json_encoder(tokenizer_file or public_tokenizers.path("word_bpe_49k.json"))
+    return pack(_table(spark, sf_dir, "documents"), encoder)
+
+
+def op10_substring_dedup(spark, sf_dir):
+    from .substring_dedup import repeated_units
+
+    return repeated_units(_table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
