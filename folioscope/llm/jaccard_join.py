@@ -33,6 +33,11 @@ LEAF, FANOUT = 8, 8
 #: Representatives up to this number are broadcast to fetch their texts; more are joined by shuffle.
 BROADCAST_IDS = 200_000
 
+#: Texts whose shingles are counted for the blocking hint, the count that makes a shingle frequent, and how many are kept.
+SAMPLE_DOCS = 10_000
+FREQUENT = 3
+FREQUENT_KEPT = 400_000
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -58,10 +63,16 @@ def shingle_set(blob: bytes, k: int) -> np.ndarray:
 
 
 class Blocking:
-    """Size bands and ranges for a similarity of at least ``percent`` in a hundred."""
+    """Size bands and ranges for a similarity of at least ``percent`` in a hundred.
+
+    ``common`` holds hashes of shingles known to be frequent.  Which ones it
+    holds changes how many unlinked sets share a block, never whether linked
+    sets do.
+    """
 
-    def __init__(self, percent: int):
+    def __init__(self, percent: int, common: np.ndarray | None = None):
         self.percent = percent
+        self.common = np.zeros(0, np.uint64) if common is None else np.sort(common)
         self.lows = [1]
 
     def distance(self, a: int, b: int) -> int:
@@ -69,8 +80,9 @@ class Blocking:
         return (a + b) * (100 - self.percent) // (100 + self.percent)
 
     def band(self, size: int) -> int:
+        """A band is so wide that sets of linked sizes are in the same or in adjacent bands."""
         while self.lows[-1] <= size:
-            self.lows.append(self.lows[-1] * 100 // self.percent + 1)
+            self.lows.append(self.lows[-1] * 10_000 // self.percent**2 + 1)
         return int(np.searchsorted(self.lows, size, "right")) - 1
 
     def ranges(self, band: int) -> tuple[int, int]:
@@ -79,7 +91,7 @@ class Blocking:
             self.band(self.lows[-1])
         top = self.lows[band + 1] - 1
         d = self.distance(top, top * 100 // self.percent)
-        return (d + 2 + d // 4 if d else 1), d
+        return (d + 3 + d // 7 if d else 1), d
 
     def keys(self, s: np.ndarray) -> np.ndarray:
         """Block keys of a sorted set.  Sets that can only link with equal ones need none."""
@@ -87,24 +99,53 @@ class Blocking:
         own = self.band(len(s))
         value = _mix(s)
         high = s >> np.uint64(32)
-        for band in (own, own - 1):
-            if band < 0:
-                continue
+        rare = np.ones(len(s), bool)
+        if len(self.common):
+            at = np.minimum(np.searchsorted(self.common, s), len(self.common) - 1)
+            rare = self.common[at] != s
+        bands = [own]
+        if own and -(-len(s) * self.percent // 100) < self.lows[own]:
+            bands.append(own - 1)
+        for band in bands:
             m, d = self.ranges(band)
             if not d:
                 continue
             part = (high * np.uint64(m)) >> np.uint64(32)
             first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            content = np.add.reduceat(value, first)
             tag = np.uint64(band) << np.uint64(32)
-            out.append(_mix(content * _ODD + _mix(part[first] + tag + np.uint64(1))))
-            # both sets can only share more than m - d - 1 empty ranges if each has as many: those meet by prefix
-            if m - len(first) > m - d - 1:
+            key = _mix(np.add.reduceat(value, first) * _ODD + _mix(part[first] + tag + np.uint64(1)))
+            telling = np.logical_or.reduceat(rare, first)
+            out.append(key[telling])
+            # A linked pair agrees on m - d ranges at least.  If either set has fewer that are empty or
+            # hold frequent shingles only, it agrees on a telling one.  Two sets that both have as many
+            # meet by their other ranges and by their prefixes, in blocks of such sets alone.
+            if m - int(telling.sum()) >= m - d:
                 prefix = len(s) - -(-len(s) * self.percent // 100) + 1
-                out.append(_mix(s[:prefix] * _ODD + _mix(np.array([tag], np.uint64))[0]))
+                out.append(_mix(key[~telling] + np.uint64(3)))
+                if m - len(first) >= m - d:
+                    out.append(_mix(s[:prefix] * _ODD + _mix(np.array([tag], np.uint64))[0]))
         return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
+def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
+    """Shingles of at least ``FREQUENT`` texts of a sample of about ``SAMPLE_DOCS``, ``FREQUENT_KEPT`` at most.
+
+    Only a hint for :class:`Blocking`: links don't depend on it.
+    """
+    n = docs.count()
+    sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // SAMPLE_DOCS))) == 0)
+
+    def run(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                got = [shingle_set(blob, k) for blob in batch.column(0).slice(start, 256).to_pylist()]
+                yield pa.record_batch([pa.array(np.concatenate(got).view(np.int64))], names=["s"])
+
+    counts = sample.select(utf8("text").alias("text")).mapInArrow(run, "s long").groupBy("s").count()
+    top = counts.where(F.col("count") >= FREQUENT).orderBy(F.desc("count"), "s").limit(FREQUENT_KEPT).select("s").toArrow()
+    return top.column(0).to_numpy().astype(np.int64).view(np.uint64)
+
+
 def _digests(docs: DataFrame, k: int) -> DataFrame:
     """``doc_id, n, d1, d2``: set size and a 128-bit digest of the set (null without shingles)."""
 
@@ -129,10 +170,12 @@ def _digests(docs: DataFrame, k: int) -> DataFrame:
 def _block_keys(docs: DataFrame, k: int, percent: int) -> DataFrame:
     """``key, d1``, one row for each key of each set; sets seen just before in the same task are skipped."""
 
+    shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, k))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
-        blocking, seen = Blocking(percent), set()
+        blocking, seen = Blocking(percent, shared.value), set()
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 keys, ids = [], []
@@ -416,8 +459,7 @@ def _across_chunks(docs: DataFrame, chunked: DataFrame, local: DataFrame, k: int
         )
         sets = _fetch(docs, open_rows.drop("main", "clusters"), k)
         asked = _fetch(docs, probes.where("to <> chunk").drop("chunk", "main", "clusters").withColumnRenamed("to", "chunk").withColumn("probe", F.lit(True)), k)
-        inside = _joined(sets, percent)
-        more = _joined(sets.unionByName(asked), percent).select("rep", "root").union(inside.select("rep", "root"))
+        more = _joined(sets.unionByName(asked), percent).select("rep", "root")
     if more is not None:
         edges = edges.union(more.where("rep <> root"))
         merged = connected_components(edges, "rep", "root")
