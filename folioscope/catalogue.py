@@ -1,11 +1,459 @@
-"""The library's own queries and their SQL equivalents."""
+"""The library's own queries over the driver tables, and their SQL equivalents."""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from .functions import text as T
+from .operators import lines, markup, relations, rules
+from .plans import reports
+from .sources import corpus
+
+_QUERIES: dict = {}
+_SQL: dict[str, str] = {}
+
+#: Text that is added to documents by turns, so that rules for markup find something.
+SNIPPETS = [
+    "plain end",
+    r"\left( x \right) and \left[ y",
+    "<math>a</math> <center> </center>",
+    r"$$ {a \{ b $$ and $$ {c} $$",
+    r"\begin{array} x \end{array} \begin{cases}",
+    "rule of the shorter term",
+    "# One\n### Three\ntext",
+    "## See also\nrule of the shorter term\n## Next",
+    "{{note text}} � ",
+    "```\n  | a |\n```\n| a |\n| b |\n  | c |",
+    "```\nopen fence",
+    "<p>old</p> <iaci> <Div class='x'>",
+]
+
+
+def query(sql: str | None = None):
+    def register(f):
+        _QUERIES[f.__name__] = f
+        if sql:
+            _SQL[f.__name__] = sql
+        return f
+
+    return register
+
+
+def _q(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def _list(items) -> str:
+    return "[" + ", ".join(_q(s) for s in items) + "]"
+
+
+def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _injected(spark, sf_dir) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents")
+    extra = F.element_at(F.array(*[F.lit(s) for s in SNIPPETS]), (F.col("doc_id") % len(SNIPPETS) + 1).cast("int"))
+    return docs.select("doc_id", "lang", F.concat("text", F.lit("\n"), extra).alias("text"))
+
+
+INJECTED = f"(select doc_id, lang, text || chr(10) || {_list(SNIPPETS)}[doc_id % {len(SNIPPETS)} + 1] as text from documents)"
+
+
+def _lines_sql(t: str) -> str:
+    return (
+        "(select doc_id, unnest(range(1, len(ls) + 1)) as line_no, unnest(ls) as line "
+        f"from (select doc_id, string_split(text, chr(10)) as ls from {t}))"
+    )
+
+
+def _count(pattern: str) -> str:
+    return f"len(regexp_extract_all(text, {_q(pattern)}))"
+
+
+def _rules_sql(t: str) -> str:
+    def row(code, severity, n):
+        return f"select doc_id, '{code}' as code, '{severity}' as severity, cast({n} as bigint) as n from {t}"
+
+    near_math = " - " + _count(r"(?s)\$\$.{0,8}" + rules.PATTERNS["W003"][1])
+    parts = [row(c, s, _count(p) + near_math * (c == "W003")) for c, (s, p) in rules.PATTERNS.items()]
+    parts += [row(c, s, f"abs({_count(a)} - {_count(b)})") for c, (s, a, b) in rules.BALANCES.items()]
+    stripped = "[regexp_replace(s, '\\\\[\\\\{}]', '', 'g') for s in regexp_extract_all(text, '\\$\\$([^\\n$]*)\\$\\$', 1)]"
+    parts.append(row("M005", "error", f"len([s for s in {stripped} if length(replace(s, '{{', '')) <> length(replace(s, '}}', ''))])"))
+    parts.append(row("C001", "error", "len([x for x in string_split(text, chr(10)) if starts_with(x, '```')]) % 2"))
+    parts.append(row("W001", "error", " + ".join(f"contains(text, {_q(d)})::int" for d in rules.DEBRIS)))
+    footer = "regexp_matches(s, '^## +(Footnotes|External links|References|See also|Categories)[ \\t]*(\\n|$)')"
+    debris = " or ".join(f"contains(s, {_q(d)})" for d in rules.DEBRIS)
+    sections = "string_split(replace(text, chr(10) || '## ', chr(10) || chr(1) || '## '), chr(10) || chr(1))"
+    parts.append(row("W002", "error", f"len([s for s in {sections} if {footer} and ({debris})])"))
+    parts.append(row("B001", "error", "(length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) < 100)::int"))
+    parts.append(f"select doc_id, 'L001', 'warn', min(line_no) from {_lines_sql(t)} where length(line) > 20000 group by doc_id")
+    return "(select * from (" + " union all ".join(parts) + ") where n > 0)"
+
+
+@query(
+    f"select lang, code, severity, count(*) as n_docs, sum(n)::bigint as n_hits from {_rules_sql(INJECTED)} join documents using (doc_id) group by all"
+)
+def lint_summary_by_lang(spark, sf_dir):
+    return reports.summary_by_lang(_injected(spark, sf_dir))
+
+
+@query(
+    f"select doc_id, case when bool_or(severity = 'error') then 'blocked' else 'advisory' end as status from {_rules_sql(INJECTED)} group by doc_id"
+)
+def quality_gate(spark, sf_dir):
+    return reports.gate(_injected(spark, sf_dir))
+
+
+@query(
+    f"""with m as (select doc_id, unnest(regexp_extract_all(text, '\\\\(?:begin|end)\\{{[^}}]*\\}}')) as m from {INJECTED})
+    select * from (select doc_id, regexp_extract(m, '\\{{([^}}]*)\\}}', 1) as env, sum(starts_with(m, '\\begin')::int)::bigint as n_begin,
+    sum(1 - starts_with(m, '\\begin')::int)::bigint as n_end from m group by all) where n_begin <> n_end"""
+)
+def math_environments(spark, sf_dir):
+    return rules.environment_rule(_injected(spark, sf_dir))
+
+
+@query(
+    f"""with h as (select doc_id, line_no, length(regexp_extract(line, '^(#{{1,6}})[ \\t]+[^ \\t]', 1)) as level from {_lines_sql(INJECTED)}),
+    j as (select *, lag(level) over (partition by doc_id order by line_no) as b from h where level > 0)
+    select doc_id, min(line_no)::int as line_no from j where level > b + 1 group by doc_id"""
+)
+def heading_jump(spark, sf_dir):
+    return lines.heading_jumps(_injected(spark, sf_dir))
+
+
+@query(
+    f"""with l as (select *, sum(starts_with(ltrim(line, ' '), '```')::int) over (partition by doc_id order by line_no) as f,
+    starts_with(ltrim(line, ' '), '```') as fence from {_lines_sql(INJECTED)}),
+    i as (select doc_id, line_no, case when starts_with(ltrim(line, ' '), '|') and f % 2 = 0 and not fence then length(line) - length(ltrim(line, ' ')) end as ind from l),
+    b as (select *, lag(ind) over (partition by doc_id order by line_no) as before from i)
+    select doc_id, line_no::int as line_no from b where before is not null and ind <> before"""
+)
+def table_indent(spark, sf_dir):
+    return lines.split_table_rows(_injected(spark, sf_dir))
+
+
+_SUSPECT = "(trim(line) <> '' and not starts_with(line, '#') and length(trim(line)) < 65 and not ends_with(line, '  ') and not ends_with(line, chr(92)))"
+
+
+@query(
+    f"""with l as (select *, {_SUSPECT} as f from {_lines_sql('documents')}),
+    g as (select *, sum((not f)::int) over (partition by doc_id order by line_no) as g from l),
+    r as (select doc_id, g, count(*) as n from g where f group by all having count(*) >= 4)
+    select doc_id, count(*) as n_runs, max(n) as max_run, count(*) >= 3 as flagged from r group by doc_id"""
+)
+def verse_runs(spark, sf_dir):
+    return lines.verse_runs(_t(spark, sf_dir, "documents"))
+
+
+@query(
+    f"""with l as (select *, sum((trim(line) = '')::int) over (partition by doc_id order by line_no) as g from {_lines_sql('documents')}),
+    f as (select *, max(line_no) over (partition by doc_id, g) as last from l where trim(line) <> ''),
+    b as (select doc_id, g, min(line_no)::int as first_line, count(*) as n_lines, max(length(line)) as longest,
+    avg(case when line_no < last then length(line) end) as mean from f group by all)
+    select doc_id, first_line, n_lines, case when n_lines < 2 then 'single' when longest > 90 then 'para' when mean >= 58 then 'prose' else 'verse' end as class from b"""
+)
+def block_classes(spark, sf_dir):
+    return lines.block_classes(_t(spark, sf_dir, "documents"))
+
+
+@query(
+    """select doc_id, coalesce(list_sort([length(x) for x in string_split(text, chr(10)) if trim(x) <> ''])[
+    floor(len([x for x in string_split(text, chr(10)) if trim(x) <> '']) * 0.85)::int + 1], 60)::int as width from documents"""
+)
+def column_width(spark, sf_dir):
+    filled = F.filter(F.split("text", "\n"), lambda x: F.trim(x) != "")
+    return _t(spark, sf_dir, "documents").select("doc_id", T.width_at(F.transform(filled, F.length)).alias("width"))
+
+
+@query(
+    f"""with l as (select doc_id, line_no, rtrim(line, chr(32) || chr(9)) as line from {_lines_sql('documents')}),
+    n as (select *, lead(line) over (partition by doc_id order by line_no) as nxt from l)
+    select doc_id, md5(string_agg(line || case when line <> '' and nxt <> '' then '  ' else '' end, chr(10) order by line_no)) as digest from n group by doc_id"""
+)
+def hard_breaks(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(lines.hard_breaks(F.col("text")).cast("binary")).alias("digest"))
+
+
+@query("select doc_id, md5(array_to_string([x for x in string_split(text, chr(10)) if trim(x) <> ''], chr(10) || chr(10))) as digest from documents")
+def versify(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(lines.versify(F.col("text")).cast("binary")).alias("digest"))
+
+
+@query(
+    f"""with l as (select *, lag(trim(line)) over (partition by doc_id order by line_no) as b from {_lines_sql('documents')})
+    select doc_id, md5(string_agg(line, chr(10) order by line_no)) as digest from l where trim(line) = '' or b is null or b <> trim(line) group by doc_id"""
+)
+def dedupe_adjacent(spark, sf_dir):
+    return lines.drop_adjacent_repeats(_t(spark, sf_dir, "documents")).select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query("select doc_id, true as same from documents")
+def whitespace_invariance(spark, sf_dir):
+    after = T.without_space(lines.hard_breaks(F.col("text")))
+    return _t(spark, sf_dir, "documents").select("doc_id", (T.without_space(F.col("text")) == after).alias("same"))
+
+
+@query(
+    """select doc_id, len(regexp_extract_all(text, '[\\x{00C0}-\\x{024F}]')) as n_marked, len(regexp_extract_all(text, '\\p{L}')) as n_letters,
+    len(regexp_extract_all(text, '[\\x{00C0}-\\x{024F}]')) / len(regexp_extract_all(text, '\\p{L}')) as share from documents where regexp_matches(text, '\\p{L}')"""
+)
+def script_share(spark, sf_dir):
+    n = T.script_count(F.col("text"), [(0x00C0, 0x024F)])
+    letters = T.count_matches(F.col("text"), r"\p{L}")
+    return _t(spark, sf_dir, "documents").select("doc_id", n.alias("n_marked"), letters.alias("n_letters")).where("n_letters > 0").withColumn(
+        "share", F.col("n_marked") / F.col("n_letters")
+    )
+
+
+_BLOCK = T.block_class([(0x00C0, 0x024F)])
+
+
+@query(
+    f"""with c as (select doc_id, length(text) as size, {_count(_BLOCK)} as n from documents where lang in ('fr', 'de'))
+    select doc_id, case when n < 50 then 'S001' else 'S002' end as code, case when n < 50 then 'error' else 'warn' end as severity, n::bigint as n
+    from c where n < 50 or (n < 0.05 * size and n < 500)"""
+)
+def script_rules(spark, sf_dir):
+    return rules.script_rules(_t(spark, sf_dir, "documents"), {"fr": [(0x00C0, 0x024F)], "de": [(0x00C0, 0x024F)]})
+
+
+@query(
+    f"select lang, count(*) as n_docs, sum(len([x for x in regexp_split_to_array(text, {_q(T.SPACE_CLASS + '+')}) if x <> '']))::bigint as n_words, sum(strlen(text))::bigint as size_bytes from documents group by lang"
+)
+def index_header(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").groupBy("lang").agg(
+        F.count("*").alias("n_docs"), F.sum(T.token_count(F.col("text"))).alias("n_words"), F.sum(F.octet_length("text")).alias("size_bytes")
+    )
+
+
+@query(f"select page_id as doc_id, substr(t, 1, 40) as tag, count(*) as n from (select page_id, unnest(regexp_extract_all(html, {_q(rules.PATTERNS['X001'][1])})) as t from pages) group by all")
+def html_tag_counts(spark, sf_dir):
+    return rules.tag_counts(_t(spark, sf_dir, "pages").withColumnRenamed("page_id", "doc_id"), "html")
+
+
+@query(
+    f"""select doc_id, lower(t) as name, count(*) as n from (select doc_id, unnest(regexp_extract_all(text, '</?([a-zA-Z][a-zA-Z0-9-]*)(?:\\s[^<>]*)?/?>', 1)) as t from {INJECTED})
+    where not list_contains({_list(rules.ELEMENTS)}, lower(t)) group by all"""
+)
+def unknown_tags(spark, sf_dir):
+    return rules.unknown_tags(_injected(spark, sf_dir))
+
+
+def _steps_sql(text: str, steps) -> str:
+    for pattern, replacement in steps:
+        text = f"regexp_replace({text}, {_q(pattern)}, {_q(replacement.replace('$1', chr(92) + '1'))}, 'g')"
+    return text
+
+
+def _entities_sql(text: str) -> str:
+    for a, b in markup.ENTITIES:
+        text = f"replace({text}, {_q(a)}, {_q(b)})"
+    return text
+
+
+@query(f"select page_id, md5({_steps_sql(_entities_sql(_steps_sql('html', markup.HTML_STEPS)), markup.TIDY_STEPS)}) as digest from pages")
+def html_to_markdown(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", F.md5(markup.html_to_markdown(F.col("html")).cast("binary")).alias("digest"))
+
+
+WIKI = [
+    "{{header|title={{x}}}}\n== One ==\n'''Bold''' and ''it'' [[Page|shown]] [[Plain]]<ref name=a>gone</ref>",
+    "<poem>a\nb</poem>\n=== Two ===\n[[Category:C]]<!-- c -->end",
+]
+
+
+@query(
+    "select doc_id % 2 as kind, md5(w) as digest, count(*) as n from (select doc_id, "
+    + _steps_sql(_steps_sql(_steps_sql(f"({_list(WIKI)}[doc_id % 2 + 1] || chr(10) || substr(text, 1, 0))", [(r"\{\{[^{}]*\}\}", "")] * 8), markup.WIKI_STEPS), markup.TIDY_STEPS)
+    + " as w from documents) group by all"
+)
+def wikitext_to_markdown(spark, sf_dir):
+    source = F.concat(F.element_at(F.array(*map(F.lit, WIKI)), (F.col("doc_id") % 2 + 1).cast("int")), F.lit("\n"))
+    docs = _t(spark, sf_dir, "documents").select((F.col("doc_id") % 2).alias("kind"), F.md5(markup.wikitext_to_markdown(source).cast("binary")).alias("digest"))
+    return docs.groupBy("kind", "digest").agg(F.count("*").alias("n"))
+
+
+#: The older of two snapshots: some ids are missing, some have another text.
+_OLD = "(select doc_id, case when doc_id % 7 = 1 then text || '.' else text end as text from documents where doc_id % 10 <> 3)"
+_NEW = "(select doc_id, text from documents where doc_id % 11 <> 5)"
+
+
+@query(
+    f"""with a as (select doc_id as id_a, sha256(text) as h_a from {_OLD}), b as (select doc_id as id_b, sha256(text) as h_b from {_NEW}),
+    j as (select * from a full join b on id_a = id_b), gone as (select distinct h_a from j where id_b is null)
+    select coalesce(id_a, id_b) as doc_id, case when id_a is null and h_b in (select h_a from gone) then 'renamed' when id_a is null then 'added'
+    when id_b is null then 'removed' else 'edited' end as change from j where id_a is null or id_b is null or h_a <> h_b"""
+)
+def snapshot_diff(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    text = F.when(F.col("doc_id") % 7 == 1, F.concat("text", F.lit("."))).otherwise(F.col("text"))
+    old = docs.where("doc_id % 10 <> 3").select("doc_id", text.alias("text"))
+    return relations.snapshot_diff(old, docs.where("doc_id % 11 <> 5"))
+
+
+@query(
+    """select doc_id, m as mark, length(text) - length(replace(text, m, '')) as n_source, (length(c) - length(replace(c, m, '')))::bigint as n_copy
+    from (select doc_id, text, regexp_replace(text, '[.,][^.]*$', '') as c, unnest(['.', ',', '«']) as m from documents)
+    where length(c) - length(replace(c, m, '')) < length(text) - length(replace(text, m, ''))"""
+)
+def mark_drops(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    copy = docs.select("doc_id", F.regexp_replace("text", r"[.,][^.]*$", "").alias("text"))
+    return relations.mark_drops(docs, copy, ".,«")
+
+
+STATED = [("en", 1), ("fr", 2), ("xx", 3), ("en", 4)]
+
+
+@query(
+    "with s(locale, n) as (values " + ", ".join(f"('{a}', {b})" for a, b in STATED) + """), c as (select locale, sum(n) as n, count(*) as times from s group by 1),
+    h as (select lang as locale, count(*) as have from documents group by 1)
+    select locale, case when have is null then 'unknown' when n is null then 'missing' when times > 1 then 'duplicate' else 'mismatch' end as problem
+    from c full join h using (locale) where have is null or n is null or times > 1 or n <> have"""
+)
+def coverage_check(spark, sf_dir):
+    stated = spark.createDataFrame(STATED, "locale string, n long")
+    return relations.coverage(stated, _t(spark, sf_dir, "documents").withColumnRenamed("lang", "locale"))
+
+
+_HEAD = "---\ntitle: {}\nauthor: A\nlanguage: {}\nyear: {}\nsource: S\n"
+HEADERS = [
+    _HEAD.format("T", "en", "1915") + "license: L\n---\n\nbody",
+    _HEAD.format("A: B", "no", "c. 500") + "---\nbody",
+    _HEAD.format('"A: B"', "en", '"c. 399 BCE"') + "license: L\nnever closed",
+    "no header",
+]
+
+
+@query(
+    """select doc_id, code, n from (select doc_id, unnest([{code: 'FM001', n: [0, 0, 0, 1][k]}, {code: 'FM002', n: [0, 0, 1, 0][k]}, {code: 'FM003', n: [0, 1, 0, 0][k]},
+    {code: 'FM004', n: [0, 1, 0, 0][k]}, {code: 'FM005', n: [0, 1, 0, 0][k]}, {code: 'FM006', n: [0, 1, 0, 0][k]}], recursive := true)
+    from (select doc_id, (doc_id % 4 + 1)::int as k from documents)) where n > 0"""
+)
+def frontmatter_rules(spark, sf_dir):
+    raw = F.element_at(F.array(*map(F.lit, HEADERS)), (F.col("doc_id") % 4 + 1).cast("int"))
+    return rules.header_rules(_t(spark, sf_dir, "documents").select("doc_id", raw.alias("raw")))
+
+
+YEARS = ["1915", "c. 1280", "c. 399 BCE", "1887-1906", "-399", "n.d."]
+
+
+@query(f"select doc_id, [1915, 1280, -399, 1887, -399, null][doc_id % 6 + 1]::int as year_number from documents where {_list(YEARS)}[doc_id % 6 + 1] is not null")
+def year_numeric(spark, sf_dir):
+    year = F.element_at(F.array(*map(F.lit, YEARS)), (F.col("doc_id") % 6 + 1).cast("int"))
+    return _t(spark, sf_dir, "documents").select("doc_id", T.year_number(year).alias("year_number"))
+
+
+@query(
+    """with r as (select 'books/' || lang || '/' || source || '/' || doc_id || case when doc_id % 5 = 0 then '.txt' else '.md' end as path, doc_id from documents)
+    select path, rule from (select path, unnest([case when doc_id % 5 = 0 then 'MS-3' end, case when doc_id % 3 = 0 then 'MS-5' end, case when 1900 + doc_id % 50 > 1928 then 'MS-6' end]) as rule from r)
+    where rule is not null"""
+)
+def index_violations(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents")
+    ending = F.when(F.col("doc_id") % 5 == 0, ".txt").otherwise(".md")
+    records = docs.select(
+        F.concat(F.lit("books/"), "lang", F.lit("/"), "source", F.lit("/"), F.col("doc_id").cast("string"), ending).alias("path"),
+        F.col("lang").alias("locale"), F.when(F.col("doc_id") % 3 == 0, "").otherwise("t").alias("title"), F.lit("a").alias("author"), "source",
+        (1900 + F.col("doc_id") % 50).alias("year_number"), F.lit("https://x.example").alias("source_url"),
+        F.octet_length("text").alias("size_bytes"), T.token_count(F.col("text")).alias("word_count"),
+    )
+    return relations.index_violations(records)
+
+
+@query("select doc_id, source from (select doc_id, source, row_number() over (partition by source order by doc_id) as rn from documents) where rn > 1")
+def unique_witness(spark, sf_dir):
+    return relations.one_each(_t(spark, sf_dir, "documents").select("doc_id", "source"), "source", "doc_id")
+
+
+@query("select source, min(doc_id) as doc_id, count(*) as n from documents group by source")
+def first_by_source(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").groupBy("source").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+
+
+@query("select min(doc_id) as doc_id, count(*) as n from documents group by text having count(*) > 1")
+def duplicate_docs(spark, sf_dir):
+    same = _t(spark, sf_dir, "documents").groupBy(F.sha2("text", 256).alias("h")).agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("n"))
+    return same.where("n > 1").select("doc_id", "n")
+
+
+@query("select d.doc_id, lang, quality, toxic from documents d left join labels l using (doc_id)")
+def quality_tier_join(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", "lang").join(_t(spark, sf_dir, "labels"), "doc_id", "left")
+
+
+@query("select doc_id from documents where doc_id not in (select doc_id from labels)")
+def missing_labels(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id").join(_t(spark, sf_dir, "labels"), "doc_id", "left_anti")
+
+
+@query("select doc_id from documents where doc_id in (select doc_id from labels where quality = 1)")
+def labelled_good(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id").join(_t(spark, sf_dir, "labels").where("quality = 1"), "doc_id", "left_semi")
+
+
+@query("select conv_id, count(*) as n, md5(string_agg(role || ': ' || text, chr(10) order by turn)) as digest from conversations group by conv_id")
+def conversation_units(spark, sf_dir):
+    units = _t(spark, sf_dir, "conversations").groupBy("conv_id").agg(
+        F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("turn", F.concat("role", F.lit(": "), "text").alias("t")))).alias("u")
+    )
+    return units.select("conv_id", "n", F.md5(F.array_join(F.transform("u", lambda x: x["t"]), "\n").cast("binary")).alias("digest"))
+
+
+@query(
+    f"""with l as (select doc_id, line_no from {_lines_sql('documents')} where length(line) < 40)
+    select doc_id, line_no::int as line_no, (lead(line_no) over (partition by doc_id order by line_no))::int as next_boundary from l"""
+)
+def page_next_boundary(spark, sf_dir):
+    short = lines.explode_lines(_t(spark, sf_dir, "documents"), "doc_id").where(F.length("line") < 40)
+    return short.select("doc_id", "line_no", F.lead("line_no").over(Window.partitionBy("doc_id").orderBy("line_no")).alias("next_boundary"))
+
+
+@query(
+    """select lang as engine, sum(length(regexp_replace(regexp_replace(text, '\\s', '', 'g'), '[0-9a-zA-Z]', '', 'g'))) / sum(length(regexp_replace(text, '\\s', '', 'g'))) as noise
+    from documents group by lang"""
+)
+def base_engine_noise(spark, sf_dir):
+    return relations.noise(_t(spark, sf_dir, "documents").select(F.col("lang").alias("engine"), "text"), "a-zA-Z")
+
+
+@query()
+def line_agreement(spark, sf_dir):
+    lines_of = F.explode(F.split("text", r"(?<=[.]) ")).alias("line")
+    docs = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("page_id"), lines_of)
+    other = docs.select("page_id", F.regexp_replace("line", "th", "tb").alias("line"))
+    return relations.line_agreement(docs, other)
+
+
+@query()
+def strip_balanced(spark, sf_dir):
+    return _t(spark, sf_dir, "pages").select("page_id", markup.strip_balanced("div", "ad")("html").alias("html"))
+
+
+@query()
+def reflow_pages(spark, sf_dir):
+    return _t(spark, sf_dir, "documents").select("doc_id", markup.reflow(F.split("text", "\n")).alias("text"))
+
+
+@query(
+    """select n_name, count(distinct o_orderkey) as n_orders, round(sum(l_extendedprice * (1 - l_discount))) as revenue from customer join orders on c_custkey = o_custkey
+    join lineitem on l_orderkey = o_orderkey join nation on c_nationkey = n_nationkey group by n_name"""
+)
+def revenue_by_nation(spark, sf_dir):
+    sales = _t(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.sum(F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("r"))
+    orders = _t(spark, sf_dir, "orders").join(sales, F.col("o_orderkey") == F.col("l_orderkey"))
+    named = orders.join(_t(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(
+        _t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    return named.groupBy("n_name").agg(F.countDistinct("o_orderkey").alias("n_orders"), F.round(F.sum("r")).alias("revenue"))
+
 
 def queries() -> dict:
-    return {}
+    return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(_SQL)
