@@ -31,6 +31,8 @@ MERGE_Z = 1.96
 PRIOR_ROWS = 10.0
 #: Templates with a smoothed bad share of at least this are rejected.
 REJECT_SHARE = 0.5
+#: And at least so many labelled rows: the overall share alone rejects nothing.
+MIN_LABELLED = 5
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -133,14 +135,14 @@ def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
     total = urls.agg(F.sum("labelled").alias("l"), F.sum("bad").alias("b")).first()
     prior = (total["b"] or 0) / total["l"] if total["l"] else 0.0
     share = (F.col("n_bad") + PRIOR_ROWS * prior) / (F.col("n_labelled") + PRIOR_ROWS)
-    judged = tree.select("host", "path", "template", share.alias("bad_share"))
+    judged = tree.select("host", "path", "template", "n_labelled", share.alias("bad_share"))
     name, action = rule_columns(F.col("host"), F.col("path"), rules)
     return parsed.join(judged, ["host", "path"], "left").select(
         "page_id",
         "host",
         "path",
         name.alias("rule"),
-        F.coalesce(action, F.when(F.col("bad_share") >= REJECT_SHARE, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
+        F.coalesce(action, F.when((F.col("bad_share") >= REJECT_SHARE) & (F.col("n_labelled") >= MIN_LABELLED), F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
         "template",
         "bad_share",
     )
