@@ -192,35 +192,59 @@ NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
 class PlainWords:
     """Ids of plain Latin words by a word-ending BPE vocabulary, many words at once.
 
-    Covers words of ASCII and Latin-1 letters, ASCII digits and common marks,
-    which the tokenizer's normaliser only lower-cases; :meth:`encode` returns
-    ``None`` for all others.  Every round merges the lowest-ranked pair of every
-    piece that still has one.
+    Covers words of ASCII and Latin-1 letters, ASCII digits and marks, which the
+    tokenizer's normaliser only lower-cases; :meth:`encode` returns ``None`` for
+    all others (those with an apostrophe, which may start a contraction, and
+    those with ``<``, which may start a special token, among them).  Every round
+    merges the lowest-ranked pair of every piece that still has one and looks up
+    only the pairs beside a merge again.
     """
 
-    LETTERS = "a-zà-öø-ÿœ"
+    LOWER, UPPER = "a-zßà-öø-ÿœ", "A-ZÀ-ÖØ-ÞŒ"
+    MARKS = "!\"#$%&()*+,\\-./:;=>?@\\[\\\\\\]^_`{|}~"
     LONGEST = 48
+    NONE = 1 << 30
+    SLOT_BITS = 19
 
     def __init__(self, spec: dict):
         import re
 
         vocab = spec["model"]["vocab"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
-        keys = np.array([vocab[x] << 16 | vocab[y] for x, y in pairs], dtype=np.int64)
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.rank = keys[order], order.astype(np.int64)
-        self.made = np.array([vocab[x + y] for x, y in pairs], dtype=np.int64)
+        self.keys = np.array([vocab[x] << 16 | vocab[y] for x, y in pairs] + [-1], dtype=np.int64)
+        self.made = np.array([vocab[x + y] for x, y in pairs] + [0], dtype=np.int64)
+        self.order = np.argsort(self.keys[:-1], kind="stable")
+        self.sorted = self.keys[self.order]
+        slots = self._slot(self.keys[:-1])
+        self.first = np.full(1 << self.SLOT_BITS, len(pairs), np.int32)
+        self.first[slots[::-1]] = np.arange(len(pairs), dtype=np.int32)[::-1]
+        self.crowded = np.bincount(slots, minlength=1 << self.SLOT_BITS) > 1
         # printable Latin-1 bytes stand for themselves, the others for the code points from 256 on
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         hidden = [b for b in range(256) if b not in set(shown)]
         sign = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.inner = np.array([vocab[sign[b]] for b in range(256)], dtype=np.int64)
         self.final = np.array([vocab[sign[b] + "</w>"] for b in range(256)], dtype=np.int64)
-        upper = "A-ZÀ-ÖØ-ÞŒ"
-        self.plain = re.compile(f"[{self.LETTERS}{upper}0-9.,;:!?()'\\-]{{1,{self.LONGEST}}}").fullmatch
-        self.pieces = re.compile(
-            f"\n|'s|'t|'re|'ve|'m|'ll|'d|[{self.LETTERS}]+|[0-9]|[^\\s{self.LETTERS}0-9]+"
-        ).findall
+        self.plain = re.compile(f"[{self.LOWER}{self.UPPER}0-9{self.MARKS}]{{1,{self.LONGEST}}}").fullmatch
+        letter = re.compile(f"[{self.LOWER}]").match
+        #: Kind of each code point: 0 between words, 1 letter, 2 digit, 3 mark.
+        self.kind = np.array([0 if c == 10 else 1 if letter(chr(c)) else 2 if 48 <= c < 58 else 3 for c in range(0x180)], np.int8)
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return (key * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - self.SLOT_BITS)
+
+    def _ranks(self, key: np.ndarray) -> np.ndarray:
+        """Place of each pair among the merges, ``NONE`` for pairs that never merge."""
+        slot = self._slot(key)
+        rank = self.first[slot]
+        hit = self.keys[rank] == key
+        rest = np.flatnonzero(~hit & self.crowded[slot])
+        rank[~hit] = self.NONE
+        if len(rest):
+            at = np.minimum(np.searchsorted(self.sorted, key[rest]), len(self.sorted) - 1)
+            good = self.sorted[at] == key[rest]
+            rank[rest[good]] = self.order[at[good]]
+        return rank
 
     def encode(self, words: list[str]) -> list[bytes | None]:
         """16-bit little-endian ids of each word, ``None`` for words that are not plain."""
@@ -228,45 +252,52 @@ class PlainWords:
         mine = [i for i, w in enumerate(words) if self.plain(w)]
         if not mine:
             return out
-        pieces = self.pieces("\n".join([words[i] for i in mine]).lower())
-        word = np.cumsum([x == "\n" for x in pieces])
-        raw = [x.encode() for x in pieces]
-        size = np.array([len(x) for x in raw])
-        joined = np.frombuffer(b"".join(raw), dtype=np.uint8)
-        end = np.cumsum(size)
-        symbol = self.inner[joined]
-        symbol[end - 1] = self.final[joined[end - 1]]
-        piece = np.repeat(np.arange(len(pieces)), size)
-        keep = np.repeat(np.array([x != "\n" for x in pieces]), size)
+        text = "\n".join([words[i] for i in mine]).lower()
+        point = np.frombuffer(text.encode("utf-32-le"), "<u4")
+        kind = self.kind[point]
+        opens = np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == 2)]
+        width = 1 + (point >= 0x80)
+        piece = np.repeat(np.cumsum(opens) - 1, width)
+        word = np.cumsum(kind == 0)[opens]
+        byte = np.frombuffer(text.encode(), np.uint8)
+        last = np.r_[piece[1:] != piece[:-1], True]
+        symbol = np.where(last, self.final[byte], self.inner[byte])
+        keep = byte != 10
         symbol, piece = symbol[keep], piece[keep]
+
+        def ranks(at: np.ndarray) -> np.ndarray:
+            """Ranks of the pairs that begin at ``at``."""
+            then = np.minimum(at + 1, len(symbol) - 1)
+            found = self._ranks(symbol[at] << 16 | symbol[then])
+            found[(piece[at] != piece[then]) | (at == then)] = self.NONE
+            return found
+
+        rank = ranks(np.arange(len(symbol)))
         done_symbol, done_piece = [], []
-        none = np.int64(1 << 40)
         while len(symbol):
-            key = symbol[:-1] << 16 | symbol[1:]
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            rank = np.full(len(symbol), none)
-            rank[:-1] = np.where((self.keys[at] == key) & (piece[:-1] == piece[1:]), self.rank[at], none)
             first = np.flatnonzero(np.r_[True, piece[1:] != piece[:-1]])
             least = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.r_[first, len(symbol)]))
-            over = least == none
+            over = least == self.NONE
             done_symbol.append(symbol[over])
             done_piece.append(piece[over])
             hit = (rank == least) & ~over
-            run = np.flatnonzero(hit[1:] & hit[:-1]) + 1
-            for i in run:  # overlapping equal pairs: the leftmost goes first
+            for i in np.flatnonzero(hit[1:] & hit[:-1]) + 1:  # overlapping equal pairs: the leftmost goes first
                 if hit[i - 1]:
                     hit[i] = False
             symbol = np.where(hit, self.made[np.where(hit, rank, 0)], symbol)
             left = ~over
             left[1:] &= ~hit[:-1]
-            symbol, piece = symbol[left], piece[left]
+            symbol, piece, rank, hit = symbol[left], piece[left], rank[left], hit[left]
+            hit[:-1] |= hit[1:].copy()
+            again = np.flatnonzero(hit)
+            rank[again] = ranks(again)
         symbol, piece = np.concatenate(done_symbol), np.concatenate(done_piece)
         order = np.argsort(piece, kind="stable")
-        symbol, owner = symbol[order].astype("<u2"), word[piece[order]]
-        cut = np.searchsorted(owner, np.arange(len(mine) + 1))
-        flat = symbol.tobytes()
+        owner = word[piece[order]]
+        cut = (2 * np.searchsorted(owner, np.arange(len(mine) + 1))).tolist()
+        flat = symbol[order].astype("<u2").tobytes()
         for k, i in enumerate(mine):
-            out[i] = flat[2 * cut[k] : 2 * cut[k + 1]]
+            out[i] = flat[cut[k] : cut[k + 1]]
         return out
 
 
