@@ -12,14 +12,14 @@ that the partition before them leaves.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, materialize, utf8
+from .common import materialize, utf8
 
 WINDOW = 2048
 #: Queues: sources share a queue only if there are more of them.
@@ -28,6 +28,8 @@ QUEUES = 32
 PARTS = 256
 #: Id that ends every document.
 END_ID = 1
+#: Bytes of text that a task encodes at once (a longer text on its own).
+SLICE_BYTES = 4 << 20
 
 
 def given(totals: np.ndarray, windows: np.ndarray, size: int = WINDOW) -> np.ndarray:
@@ -64,33 +66,43 @@ def given(totals: np.ndarray, windows: np.ndarray, size: int = WINDOW) -> np.nda
     return count
 
 
-def _tokens(docs: DataFrame, encoder: Callable[[], Callable[[list[str]], list[bytes]]], cache_words: int) -> DataFrame:
+def _tokens(docs: DataFrame, encoder: Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]]) -> DataFrame:
     """``doc_id, queue, part, n, ids``: 16-bit ids of every whole text with the closing id."""
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder()
-        known: dict[bytes, bytes] = {}
-
-        def step(rows):
-            if len(known) > cache_words:
-                known.clear()
-            split = [blob.split() for blob in rows["text"]]
-            new = list({w for words in split for w in set(words).difference(known)})
-            if new:
-                known.update(zip(new, encode([w.decode("utf-8", "replace") for w in new])))
-            end = np.asarray([END_ID], dtype="<u2").tobytes()
-            ids = [b"".join([*map(known.__getitem__, words), end]) for words in split]
-            return rows | {"n": [len(x) // 2 for x in ids], "ids": ids}
-
-        return step
+        for batch in batches:
+            for rows in slices(batch, "text", SLICE_BYTES):
+                ids, count = encode(rows.column("text"))
+                doc = np.arange(len(count))
+                ends = np.cumsum(count + 1)  # with the closing ids
+                out = np.full(int(ends[-1]), END_ID, "<u2")
+                out[np.arange(len(ids)) + np.repeat(doc, count)] = ids
+                offsets = np.r_[0, 2 * ends].astype(np.int32)
+                packed = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
+                columns = [rows.column(c) for c in ("doc_id", "queue", "part")]
+                yield pa.record_batch([*columns, pa.array(count + 1, pa.int64()), packed], names=["doc_id", "queue", "part", "n", "ids"])
 
     slim = docs.select(
-        "doc_id",
+        F.col("doc_id").cast("long"),
         F.col("queue"),
         F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int").alias("part"),
         utf8("text").alias("text"),
     )
-    return map_rows(slim, "doc_id long, queue int, part int, n long, ids binary", make, chunk=256)
+    return slim.mapInArrow(run, "doc_id long, queue int, part int, n long, ids binary")
+
+
+def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
+    """Runs of rows with about ``size`` bytes in ``column``; a longer value stands in a run of its own."""
+    import pyarrow.compute as pc
+
+    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+    start = 0
+    while start < batch.num_rows:
+        before = int(ends[start - 1]) if start else 0
+        stop = max(int(np.searchsorted(ends, before + size, "right")), start + 1)
+        yield batch.slice(start, stop - start)
+        start = stop
 
 
 def queue_of(docs: DataFrame, queues: int = QUEUES) -> tuple[DataFrame, int]:
@@ -103,17 +115,15 @@ def queue_of(docs: DataFrame, queues: int = QUEUES) -> tuple[DataFrame, int]:
 
 def pack(
     docs: DataFrame,
-    encoder: Callable[[], Callable[[list[str]], list[bytes]]],
+    encoder: Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]],
     window: int = WINDOW,
-    cache_words: int = 200_000,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``: one row for each piece.
 
     All tokens of all rows of ``docs(doc_id, text, source)`` are packed, each
     into exactly one piece; only the last sequence can be short.  ``encoder()``
-    runs in each task and returns a function from words (runs between ASCII
-    white space, which the tokenizer must never join) to their ids, packed as
-    little-endian 16-bit integers.  A null text is empty and gives its closing id; null sources form a
+    runs in each task and returns a function from an Arrow array of UTF-8 texts
+    to their 16-bit ids, one after the other, and each text's count.  A null text is empty and gives its closing id; null sources form a
     source; null and repeated ids are ordered by their tokens, and equal rows
     are interchangeable.  Target shares are the queues' shares of all tokens, so
     queues run dry together.  Other columns are not carried.
@@ -122,7 +132,7 @@ def pack(
     ``QUEUES`` x ``PARTS`` queue parts reach the driver.
     """
     queued, n_queues = queue_of(docs)
-    table = materialize(_tokens(queued, encoder, cache_words), "pack")
+    table = materialize(_tokens(queued, encoder), "pack")
     sums = {(r["queue"], r["part"]): r["n"] for r in table.groupBy("queue", "part").agg(F.sum("n").alias("n")).collect()}
     totals = np.zeros(n_queues, dtype=np.int64)
     base: dict[tuple[int, int], int] = {}
@@ -193,22 +203,18 @@ class PlainWords:
     """Ids of plain Latin words by a word-ending BPE vocabulary, many words at once.
 
     Covers words of ASCII and Latin-1 letters, ASCII digits and marks, which the
-    tokenizer's normaliser only lower-cases; :meth:`encode` returns ``None`` for
-    all others (those with an apostrophe, which may start a contraction, and
-    those with ``<``, which may start a special token, among them).  Every round
-    merges the lowest-ranked pair of every piece that still has one and looks up
-    only the pairs beside a merge again.
+    tokenizer's normaliser only lower-cases.  Words with an apostrophe, which may
+    start a contraction, and with ``<``, which may start a special token, are not
+    plain.  Every round merges the lowest-ranked pair of every piece that still
+    has one and looks up only the pairs beside a merge again.
     """
 
-    LOWER, UPPER = "a-zßà-öø-ÿœ", "A-ZÀ-ÖØ-ÞŒ"
-    MARKS = "!\"#$%&()*+,\\-./:;=>?@\\[\\\\\\]^_`{|}~"
-    LONGEST = 48
+    MARKS = b"!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
+    LONGEST = 96
     NONE = 1 << 30
     SLOT_BITS = 19
 
     def __init__(self, spec: dict):
-        import re
-
         vocab = spec["model"]["vocab"]
         pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
         self.keys = np.array([vocab[x] << 16 | vocab[y] for x, y in pairs] + [-1], dtype=np.int64)
@@ -225,10 +231,15 @@ class PlainWords:
         sign = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
         self.inner = np.array([vocab[sign[b]] for b in range(256)], dtype=np.int64)
         self.final = np.array([vocab[sign[b] + "</w>"] for b in range(256)], dtype=np.int64)
-        self.plain = re.compile(f"[{self.LOWER}{self.UPPER}0-9{self.MARKS}]{{1,{self.LONGEST}}}").fullmatch
-        letter = re.compile(f"[{self.LOWER}]").match
-        #: Kind of each code point: 0 between words, 1 letter, 2 digit, 3 mark.
-        self.kind = np.array([0 if c == 10 else 1 if letter(chr(c)) else 2 if 48 <= c < 58 else 3 for c in range(0x180)], np.int8)
+        # a byte's kind: 0 not plain, 1 letter, 2 digit, 3 mark; row 1 for the byte after 0xC3
+        self.kind = np.zeros((2, 256), np.int8)
+        self.kind[0, [*range(65, 91), *range(97, 123), 0xC3]] = 1
+        self.kind[0, 48:58] = 2
+        self.kind[0, list(self.MARKS)] = 3
+        self.kind[1, [b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = 1
+        self.lower = np.tile(np.arange(256, dtype=np.uint8), (2, 1))
+        self.lower[0, 65:91] += 32
+        self.lower[1, [b for b in range(0x80, 0x9F) if b != 0x97]] += 32
 
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return (key * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - self.SLOT_BITS)
@@ -246,24 +257,22 @@ class PlainWords:
             rank[rest[good]] = self.order[at[good]]
         return rank
 
-    def encode(self, words: list[str]) -> list[bytes | None]:
-        """16-bit little-endian ids of each word, ``None`` for words that are not plain."""
-        out: list[bytes | None] = [None] * len(words)
-        mine = [i for i, w in enumerate(words) if self.plain(w)]
-        if not mine:
-            return out
-        text = "\n".join([words[i] for i in mine]).lower()
-        point = np.frombuffer(text.encode("utf-32-le"), "<u4")
-        kind = self.kind[point]
-        opens = np.r_[True, (kind[1:] != kind[:-1]) | (kind[1:] == 2)]
-        width = 1 + (point >= 0x80)
-        piece = np.repeat(np.cumsum(opens) - 1, width)
-        word = np.cumsum(kind == 0)[opens]
-        byte = np.frombuffer(text.encode(), np.uint8)
-        last = np.r_[piece[1:] != piece[:-1], True]
-        symbol = np.where(last, self.final[byte], self.inner[byte])
-        keep = byte != 10
-        symbol, piece = symbol[keep], piece[keep]
+    def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """``ids, owner, plain`` of the words that end at ``ends`` in ``data`` (UTF-8): ids word by word, each one's word."""
+        size = np.diff(ends, prepend=0)
+        tail = np.r_[False, data[:-1] == 0xC3].astype(np.int8)
+        kind = self.kind[tail, data]
+        odd = np.r_[0, np.cumsum(kind == 0)]
+        plain = (odd[ends] == odd[ends - size]) & (size <= self.LONGEST)
+        word = np.repeat(np.arange(len(ends)), size)
+        keep = np.flatnonzero(plain[word])
+        byte, kind, word = self.lower[tail[keep], data[keep]], kind[keep], word[keep]
+        if not len(keep):
+            return np.zeros(0, "<u2"), word, plain
+        opens = np.r_[True, (word[1:] != word[:-1]) | (kind[1:] != kind[:-1]) | (kind[1:] == 2)]
+        piece = np.cumsum(opens) - 1
+        home = word[opens]
+        symbol = np.where(np.r_[opens[1:], True], self.final[byte], self.inner[byte])
 
         def ranks(at: np.ndarray) -> np.ndarray:
             """Ranks of the pairs that begin at ``at``."""
@@ -293,20 +302,16 @@ class PlainWords:
             rank[again] = ranks(again)
         symbol, piece = np.concatenate(done_symbol), np.concatenate(done_piece)
         order = np.argsort(piece, kind="stable")
-        owner = word[piece[order]]
-        cut = (2 * np.searchsorted(owner, np.arange(len(mine) + 1))).tolist()
-        flat = symbol[order].astype("<u2").tobytes()
-        for k, i in enumerate(mine):
-            out[i] = flat[cut[k] : cut[k + 1]]
-        return out
+        return symbol[order].astype("<u2"), home[piece[order]], plain
 
 
 def json_encoder(path: str):
-    """Words to ids by a tokenizer file, without special tokens.
+    """Texts to ids by a tokenizer file, without special tokens.
 
-    Plain words go through :class:`PlainWords`, all others through the
-    tokenizer itself.  The file's text is read where the plan is made and
-    travels with it.
+    Texts are split at ASCII white space, which the tokenizer never joins over,
+    and each slice's distinct words are encoded once: plain ones by
+    :class:`PlainWords`, all others by the tokenizer itself.  The file's text is
+    read where the plan is made and travels with it.
     """
     with open(path, encoding="utf-8") as f:
         text = f.read()
@@ -315,19 +320,44 @@ def json_encoder(path: str):
         import json
         import os
 
+        import pyarrow.compute as pc
+
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         tokenizer = Tokenizer.from_str(text)
-        plain = PlainWords(json.loads(text))
-
-        def encode(words: list[str]) -> list[bytes]:
-            out = plain.encode(words)
-            rest = [i for i, x in enumerate(out) if x is None]
-            if rest:
-                for i, e in zip(rest, tokenizer.encode_batch_fast([words[i] for i in rest], add_special_tokens=False)):
-                    out[i] = np.asarray(e.ids, dtype="<u2").tobytes()
-            return out
+        plain_words = PlainWords(json.loads(text))
+
+        def distinct(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            """Ids of the words, one after the other, and each word's count."""
+            offsets = np.frombuffer(words.buffers()[1], np.int32)[words.offset : words.offset + len(words) + 1]
+            data = np.frombuffer(words.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+            ids, owner, plain = plain_words.encode(data, offsets[1:].astype(np.int64) - offsets[0])
+            rest = np.flatnonzero(~plain)
+            strings = words.take(pa.array(rest)).to_pylist()
+            others = [e.ids for e in tokenizer.encode_batch_fast(strings, add_special_tokens=False)] if strings else []
+            if others:
+                count = [len(x) for x in others]
+                ids = np.r_[ids, np.fromiter((i for x in others for i in x), np.uint16, sum(count))]
+                owner = np.r_[owner, np.repeat(rest, count)]
+                order = np.argsort(owner, kind="stable")
+                ids, owner = ids[order], owner[order]
+            return ids, np.bincount(owner, minlength=len(words))
+
+        def encode(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+            try:
+                texts = texts.cast(pa.string())
+            except pa.ArrowInvalid:  # not UTF-8
+                texts = pa.array([x.decode("utf-8", "replace") for x in texts.to_pylist()], pa.string())
+            split = pc.ascii_split_whitespace(texts)
+            coded = split.flatten().dictionary_encode()
+            code = coded.indices.to_numpy()
+            ids, size = distinct(coded.dictionary)
+            start, count = (np.cumsum(size) - size)[code], size[code]
+            ends = np.r_[0, np.cumsum(count)]
+            at = np.arange(ends[-1]) + np.repeat(start - ends[:-1], count)
+            lists = split.offsets.to_numpy()
+            return ids[at], np.diff(ends[lists - lists[0]])
 
         return encode
 
