@@ -3,7 +3,10 @@
 The distinct words of a block of documents are laid out as one chain of
 symbols.  An inverted index leads from a rank (the pair that the rank merges)
 to the positions where that pair stands; ranks are taken in order and each
-merge touches only its positions and their neighbours.
+merge touches only its positions and their neighbours.  Words up to
+``WAVE_BYTES`` are replayed in waves: as words don't touch each other, a wave
+takes every word's next merge in rank order, for all words at once; longer
+words are replayed rank by rank.
 """
 
 from __future__ import annotations
@@ -12,10 +15,18 @@ import base64
 import hashlib
 import heapq
 from array import array
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import map_rows, utf8
+from .common import slices, utf8
+
+#: Words up to this length are replayed in waves.
+WAVE_BYTES = 64
+#: Bytes of text that a task encodes at once (a longer text on its own).
+SLICE_BYTES = 4 << 20
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -24,6 +35,89 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
 
 
+def pair_index(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs of tokens that join to a token, as ``left << 32 | right`` in order, and the token's rank."""
+    keys, made = [], []
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            left, right = ranks.get(token[:i]), ranks.get(token[i:])
+            if left is not None and right is not None:
+                keys.append(left << 32 | right)
+                made.append(rank)
+    keys, made = np.array(keys, np.int64), np.array(made, np.int64)
+    order = np.argsort(keys)
+    return keys[order], made[order]
+
+
+class MergeWaves:
+    """Encodes short words, all at once."""
+
+    NONE = np.int64(1 << 40)
+    SLOT_BITS = 21
+
+    def __init__(self, ranks: dict[bytes, int], pairs: tuple[np.ndarray, np.ndarray]):
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.sorted, self.value = pairs[0], np.r_[pairs[1], self.NONE]
+        self.keys = np.r_[pairs[0], -1]
+        slots = self._slot(self.sorted)
+        self.first = np.full(1 << self.SLOT_BITS, len(self.sorted), np.int32)
+        self.first[slots] = np.arange(len(self.sorted), dtype=np.int32)
+        self.crowded = np.bincount(slots, minlength=1 << self.SLOT_BITS) > 1
+
+    def _slot(self, key: np.ndarray) -> np.ndarray:
+        return ((key ^ key >> 15) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - self.SLOT_BITS)
+
+    def _ranks(self, key: np.ndarray) -> np.ndarray:
+        """What each pair merges to, ``NONE`` if nothing."""
+        slot = self._slot(key)
+        at = self.first[slot]
+        hit = self.keys[at] == key
+        rest = np.flatnonzero(~hit & self.crowded[slot])
+        at[~hit] = len(self.sorted)
+        if len(rest):
+            there = np.minimum(np.searchsorted(self.sorted, key[rest]), len(self.sorted) - 1)
+            good = self.sorted[there] == key[rest]
+            at[rest[good]] = there[good]
+        return self.value[at]
+
+    def encode(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words of these sizes in ``data``, one word after the other, and each id's word."""
+        symbol = self.single[data]
+        word = np.repeat(np.arange(len(size)), size)
+
+        def ranks(at: np.ndarray) -> np.ndarray:
+            """Ranks of the pairs that begin at ``at``."""
+            then = np.minimum(at + 1, len(symbol) - 1)
+            found = self._ranks(symbol[at] << 32 | symbol[then])
+            found[(word[at] != word[then]) | (at == then)] = self.NONE
+            return found
+
+        rank = ranks(np.arange(len(symbol)))
+        done_symbol, done_word = [symbol[:0]], [word[:0]]
+        while len(symbol):
+            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+            length = np.diff(np.r_[first, len(symbol)])
+            least = np.repeat(np.minimum.reduceat(rank, first), length)
+            over = least == self.NONE
+            done_symbol.append(symbol[over])
+            done_word.append(word[over])
+            equal = np.flatnonzero((rank == least) & ~over)
+            # of equal ranks in a word the leftmost goes first: its merge may bring up a lower rank
+            places = equal[np.r_[True, word[equal[1:]] != word[equal[:-1]]]] if len(equal) else equal
+            symbol[places] = rank[places]
+            left = ~over
+            left[places + 1] = False
+            hit = np.zeros(len(symbol), bool)
+            hit[places] = True
+            symbol, word, rank, hit = symbol[left], word[left], rank[left], hit[left]
+            hit[:-1] |= hit[1:].copy()
+            again = np.flatnonzero(hit)
+            rank[again] = ranks(again)
+        symbol, word = np.concatenate(done_symbol), np.concatenate(done_word)
+        order = np.argsort(word, kind="stable")
+        return symbol[order], word[order]
+
+
 class MergeReplay:
     """Encodes sets of words with one ordered pass over the merges they need."""
 
@@ -108,51 +202,86 @@ class MergeReplay:
         return b"".join(map(self.token_bytes.__getitem__, ids))
 
 
-def encode_documents(
-    docs: DataFrame, ranks: dict[bytes, int], pattern: str, cache_words: int = 200_000, with_ids: bool = False
-) -> DataFrame:
+class WordCoder:
+    """Words to ids: whole tokens as such, short words in waves, longer ones rank by rank."""
+
+    def __init__(self, ranks: dict[bytes, int], pairs: tuple[np.ndarray, np.ndarray]):
+        self.ranks = ranks
+        self.waves, self.replay = MergeWaves(ranks, pairs), MergeReplay(ranks)
+        tokens = [self.replay.token_bytes.get(i, b"") for i in range(max(ranks.values()) + 1)]
+        self.size = np.array([len(t) for t in tokens])
+        self.start = np.cumsum(self.size) - self.size
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def encode(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, one after the other, and each word's count."""
+        whole = np.array([self.ranks.get(w, -1) for w in words], np.int64)
+        size = np.array([len(w) for w in words], np.int64)
+        known = np.flatnonzero(whole >= 0)
+        short = np.flatnonzero((whole < 0) & (size <= WAVE_BYTES))
+        ids, word = self.waves.encode(np.frombuffer(b"".join([words[i] for i in short.tolist()]), np.uint8), size[short])
+        ids, word = [whole[known], ids], [known, short[word]]
+        long = np.flatnonzero((whole < 0) & (size > WAVE_BYTES)).tolist()
+        for i, own in zip(long, self.replay.encode([words[i] for i in long])):
+            ids.append(np.asarray(own, np.int64))
+            word.append(np.full(len(own), i))
+        ids, word = np.concatenate(ids), np.concatenate(word)
+        order = np.argsort(word, kind="stable")
+        return ids[order].astype("<u4"), np.bincount(word, minlength=len(words))
+
+    def decode(self, ids: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The bytes of all ids and each id's number of bytes."""
+        size = self.size[ids]
+        return self.bytes[spread(self.start[ids], size)].tobytes(), size
+
+
+def spread(start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """``start, start + 1, ...`` with ``count`` members, for every pair of them."""
+    ends = np.cumsum(count)
+    return np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - ends + count, count)
+
+
+def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, with_ids: bool = False) -> DataFrame:
     """Encode and decode every whole text of ``docs(doc_id, text)``.
 
     Returns ``doc_id, n_tokens long, ids_sha256, decoded_sha256`` and, if
     ``with_ids``, ``ids binary`` (little-endian unsigned 32-bit).  A null text
     is empty: 0 tokens and the digest of nothing.  Repeated rows each give a
-    row; other columns are not carried.  The broadcast is the rank table.  The
-    words that a block of rows adds are encoded together by merge replay and
-    kept, about ``cache_words`` at most (more only while one text has more).
+    row; other columns are not carried.  The broadcast is the rank table and
+    its pairs.  The distinct words of about ``SLICE_BYTES`` of text are encoded
+    together by merge replay.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast((ranks, pair_index(ranks)))
+    names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
-    def make():
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 
-        replay = MergeReplay(shared.value)
+        coder = WordCoder(*shared.value)
         find = regex.compile(pattern).findall
-        known: dict[str, bytes] = {}
-
-        def step(rows):
-            if len(known) > cache_words:
-                known.clear()
-            split = [find(blob.decode("utf-8", "replace")) for blob in rows["text"]]
-            new = list({w for words in split for w in set(words).difference(known)})
-            for word, ids in zip(new, replay.encode([w.encode() for w in new])):
-                known[word] = ids.tobytes()
-            out = {"doc_id": rows["doc_id"], "n_tokens": [], "ids_sha256": [], "decoded_sha256": [], "ids": []}
-            for words in split:
-                packed = b"".join(map(known.__getitem__, words))
-                out["n_tokens"].append(len(packed) // 4)
-                out["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
-                ids = array("I")
-                ids.frombytes(packed)
-                out["decoded_sha256"].append(hashlib.sha256(replay.decode(ids)).hexdigest())
-                if with_ids:
-                    out["ids"].append(packed)
-            return out
-
-        return step
-
-    return map_rows(
-        docs.select("doc_id", utf8("text").alias("text")),
-        "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids,
-        make,
-        chunk=128,
+        for batch in batches:
+            for rows in slices(batch, "text", SLICE_BYTES):
+                words, n_words = [], [0]
+                for blob in rows.column("text").to_pylist():
+                    words += find(blob.decode("utf-8", "replace"))
+                    n_words.append(len(words))
+                coded = pa.array(words, pa.string()).dictionary_encode()
+                own, count = coder.encode(coded.dictionary.cast(pa.binary()).to_pylist())
+                code = coded.indices.to_numpy()
+                ids = own[spread((np.cumsum(count) - count)[code], count[code])]
+                ends = np.r_[0, np.cumsum(count[code])][n_words]
+                text, size = coder.decode(ids)
+                cuts = np.r_[0, np.cumsum(size)][ends].tolist()
+                packed, ends = ids.tobytes(), ends.tolist()
+                each = [packed[4 * a : 4 * b] for a, b in zip(ends, ends[1:])]
+                columns = [
+                    rows.column("doc_id"),
+                    pa.array([len(x) // 4 for x in each], pa.int64()),
+                    pa.array([hashlib.sha256(x).hexdigest() for x in each], pa.string()),
+                    pa.array([hashlib.sha256(text[a:b]).hexdigest() for a, b in zip(cuts, cuts[1:])], pa.string()),
+                ]
+                yield pa.record_batch(columns + [pa.array(each, pa.binary())] * with_ids, names=names)
+
+    return docs.selectExpr("cast(doc_id as long) as doc_id", "text").select("doc_id", utf8("text").alias("text")).mapInArrow(
+        run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids binary" * with_ids
     )

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, utf8
+from .common import materialize, slices, utf8
 
 WINDOW = 2048
 #: Queues: sources share a queue only if there are more of them.
@@ -92,19 +92,6 @@ def _tokens(docs: DataFrame, encoder: Callable[[], Callable[[pa.Array], tuple[np
     return slim.mapInArrow(run, "doc_id long, queue int, part int, n long, ids binary")
 
 
-def slices(batch: pa.RecordBatch, column: str, size: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows with about ``size`` bytes in ``column``; a longer value stands in a run of its own."""
-    import pyarrow.compute as pc
-
-    ends = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
-    start = 0
-    while start < batch.num_rows:
-        before = int(ends[start - 1]) if start else 0
-        stop = max(int(np.searchsorted(ends, before + size, "right")), start + 1)
-        yield batch.slice(start, stop - start)
-        start = stop
-
-
 def queue_of(docs: DataFrame, queues: int = QUEUES) -> tuple[DataFrame, int]:
     """``docs`` with a ``queue`` column: one for each source, the rarest in one queue if there are too many."""
     name = F.coalesce(F.col("source").cast("string"), F.lit(""))
