@@ -261,3 +261,37 @@ def test_pipeline(spark, tmp_path):
 
     rows = corpus_pipeline.run(spark, SF).collect()
     assert len(corpus_pipeline.STAGES) == 5 and sum(r.length for r in rows) > 100_000
+
+
+EDGES = ["", None, " ", "it's we'll L'été 'S", "<|endoftext|> x", "é Ǆ İstanbul ẞß", "a\u2003b\u00a0c\x1cd", "日本語 テスト", "ÀÉÎ×÷œ", "1234 12a3", "x" * 3000, "ab" * 70, "tab\tnl\nvt\x0bcr\r\n\n", "\x00 a\x00b", "A\u0308 ô", "%%% ### a%b"]
+
+
+def test_byte_bpe_words_equal_the_library():
+    import numpy as np
+    import public_tokenizers
+    import regex
+    import tiktoken
+    from folioscope.llm.byte_bpe import WordCoder, pair_index, read_ranks
+
+    ranks = read_ranks(public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    library = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    coder = WordCoder(ranks, pair_index(ranks))
+    for text in EDGES:
+        words = [w.encode() for w in regex.findall(public_tokenizers.PATTERN, text or "")]
+        ids, count = coder.encode(words)
+        assert ids.tolist() == library.encode_ordinary(text or "")
+        assert len(count) == len(words) and coder.decode(np.asarray(ids))[0] == (text or "").encode()
+
+
+def test_packing_encoder_equals_the_library():
+    import numpy as np
+    import public_tokenizers
+    import pyarrow as pa
+    from folioscope.llm.packing import json_encoder
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    ids, count = json_encoder(path)()(pa.array([(x or "").encode() for x in EDGES], pa.binary()))
+    want = [library.encode(x or "", add_special_tokens=False).ids for x in EDGES]
+    assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == want
