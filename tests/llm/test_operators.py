@@ -295,3 +295,15 @@ def test_packing_encoder_equals_the_library():
     ids, count = json_encoder(path)()(pa.array([(x or "").encode() for x in EDGES], pa.binary()))
     want = [library.encode(x or "", add_special_tokens=False).ids for x in EDGES]
     assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == want
+
+
+def test_exact_top_k_equals_its_sql(spark):
+    import duckdb
+    from folioscope.llm.queries import oracle_sql, queries
+
+    sf_dir = "/root/testdata/sf0.001"
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
+        want = db.sql(oracle_sql()["op8_exact_top_k"]).fetchall()
+    got = queries()["op8_exact_top_k"](spark, sf_dir).select("query_id", "rank", "vec_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(want) and want
