@@ -1,12 +1,9 @@
 """Byte-level BPE by replaying merges over a whole set of words at once.
 
 The distinct words of a block of documents are laid out as one chain of
-symbols.  An inverted index leads from a rank (the pair that the rank merges)
-to the positions where that pair stands; ranks are taken in order and each
-merge touches only its positions and their neighbours.  Words up to
-``WAVE_BYTES`` are replayed in waves: as words don't touch each other, a wave
-takes every word's next merge in rank order, for all words at once; longer
-words are replayed rank by rank.
+symbols.  An inverted index leads from a rank (the pairs that the rank merges)
+to the positions where they stand; ranks are taken in order and each merge
+touches only its positions and their neighbours.
 """
 
 from __future__ import annotations
@@ -14,7 +11,6 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,8 +19,6 @@ from pyspark.sql import DataFrame
 
 from .common import slices, utf8
 
-#: Words up to this length are replayed in waves.
-WAVE_BYTES = 64
 #: Bytes of text that a task encodes at once (a longer text on its own).
 SLICE_BYTES = 4 << 20
 
@@ -49,10 +43,16 @@ def pair_index(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     return keys[order], made[order]
 
 
-class MergeWaves:
-    """Encodes short words, all at once."""
+class MergeReplay:
+    """Encodes a set of words, laid out as one chain of symbols, with an inverted index from ranks to positions.
+
+    Ranks are taken in order; each applies its merge at all of its positions at
+    once and looks up only the pairs that the merged symbols now form.
+    """
 
     NONE = np.int64(1 << 40)
+    #: Stands before the first and after the last symbol of a word; no pair holds it.
+    EDGE = np.int64((1 << 31) - 1)
     SLOT_BITS = 21
 
     def __init__(self, ranks: dict[bytes, int], pairs: tuple[np.ndarray, np.ndarray]):
@@ -67,148 +67,96 @@ class MergeWaves:
     def _slot(self, key: np.ndarray) -> np.ndarray:
         return ((key ^ key >> 15) * 0x9E3779B1 & 0xFFFFFFFF) >> (32 - self.SLOT_BITS)
 
-    def _ranks(self, key: np.ndarray) -> np.ndarray:
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """What each pair merges to, ``NONE`` if nothing."""
+        key = left << 32 | right
         slot = self._slot(key)
         at = self.first[slot]
         hit = self.keys[at] == key
-        rest = np.flatnonzero(~hit & self.crowded[slot])
-        at[~hit] = len(self.sorted)
-        if len(rest):
-            there = np.minimum(np.searchsorted(self.sorted, key[rest]), len(self.sorted) - 1)
-            good = self.sorted[there] == key[rest]
-            at[rest[good]] = there[good]
+        if not hit.all():
+            rest = np.flatnonzero(~hit & self.crowded[slot])
+            at[~hit] = len(self.sorted)
+            if len(rest):
+                there = np.minimum(np.searchsorted(self.sorted, key[rest]), len(self.sorted) - 1)
+                good = self.sorted[there] == key[rest]
+                at[rest[good]] = there[good]
         return self.value[at]
 
     def encode(self, data: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words of these sizes in ``data``, one word after the other, and each id's word."""
-        symbol = self.single[data]
+        """Ids of the (non-empty) words of these sizes in ``data``, one word after the other, and each id's word."""
+        n = len(data)
         word = np.repeat(np.arange(len(size)), size)
-
-        def ranks(at: np.ndarray) -> np.ndarray:
-            """Ranks of the pairs that begin at ``at``."""
-            then = np.minimum(at + 1, len(symbol) - 1)
-            found = self._ranks(symbol[at] << 32 | symbol[then])
-            found[(word[at] != word[then]) | (at == then)] = self.NONE
-            return found
-
-        rank = ranks(np.arange(len(symbol)))
-        done_symbol, done_word = [symbol[:0]], [word[:0]]
-        while len(symbol):
-            first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
-            length = np.diff(np.r_[first, len(symbol)])
-            least = np.repeat(np.minimum.reduceat(rank, first), length)
-            over = least == self.NONE
-            done_symbol.append(symbol[over])
-            done_word.append(word[over])
-            equal = np.flatnonzero((rank == least) & ~over)
-            # of equal ranks in a word the leftmost goes first: its merge may bring up a lower rank
-            places = equal[np.r_[True, word[equal[1:]] != word[equal[:-1]]]] if len(equal) else equal
-            symbol[places] = rank[places]
-            left = ~over
-            left[places + 1] = False
-            hit = np.zeros(len(symbol), bool)
-            hit[places] = True
-            symbol, word, rank, hit = symbol[left], word[left], rank[left], hit[left]
-            hit[:-1] |= hit[1:].copy()
-            again = np.flatnonzero(hit)
-            rank[again] = ranks(again)
-        symbol, word = np.concatenate(done_symbol), np.concatenate(done_word)
-        order = np.argsort(word, kind="stable")
-        return symbol[order], word[order]
-
-
-class MergeReplay:
-    """Encodes sets of words with one ordered pass over the merges they need."""
-
-    def __init__(self, ranks: dict[bytes, int]):
-        self.ranks = ranks
-        self.token_bytes = {r: t for t, r in ranks.items()}
-        self._pairs: dict[tuple[int, int], int] = {}
-
-    def _merged(self, left: int, right: int) -> int:
-        """The rank that the pair merges to, or -1."""
-        rank = self._pairs.get((left, right))
-        if rank is None:
-            rank = self.ranks.get(self.token_bytes[left] + self.token_bytes[right], -1)
-            if len(self._pairs) > 1_000_000:
-                self._pairs.clear()
-            self._pairs[left, right] = rank
-        return rank
-
-    def encode(self, words: list[bytes]) -> list[array]:
-        """Token ids (unsigned 32-bit) of every word."""
-        out: list[array] = [array("I")] * len(words)
-        todo = []
-        for k, word in enumerate(words):
-            whole = self.ranks.get(word)
-            if whole is None and word:
-                todo.append(k)
-            elif word:
-                out[k] = array("I", [whole])
-        symbol: list[int] = []
-        after: list[int] = []
-        starts = []
-        for k in todo:
-            starts.append(len(symbol))
-            symbol.extend(self.ranks[words[k][i : i + 1]] for i in range(len(words[k])))
-            after.extend(range(starts[-1] + 1, len(symbol)))
-            after.append(-1)
-        before = [-1] * len(symbol)
-        for p, q in enumerate(after):
-            if q >= 0:
-                before[q] = p
-        index: dict[int, list[int]] = {}
-        for p, q in enumerate(after):
-            if q >= 0 and (rank := self._merged(symbol[p], symbol[q])) >= 0:
-                index.setdefault(rank, []).append(p)
+        symbol = np.r_[self.single[data], self.EDGE]
+        ends = np.cumsum(size)
+        after, before = np.arange(1, n + 2), np.arange(-1, n)
+        after[ends - 1] = n
+        before[ends - size] = n
+        rank = np.r_[self._ranks(symbol[:n], symbol[after[:n]]), self.NONE]
+        # the index: positions of the first pairs in order of their ranks, those of later pairs in lists
+        order = np.argsort(rank[:n], kind="stable")
+        order = order[: np.searchsorted(rank[order], self.NONE)]
+        known, begin = np.unique(rank[order], return_index=True)
+        index = dict(zip(known.tolist(), np.split(order, begin[1:])))
+        later: dict[int, list[int]] = {}
         heap = list(index)
-        heapq.heapify(heap)
         while heap:
-            rank = heapq.heappop(heap)
-            places = index.pop(rank, None)
-            if not places:
+            r = heapq.heappop(heap)
+            places = index.pop(r, None)
+            if (new := later.pop(r, None)) is not None:
+                places = np.array(sorted({*new, *(() if places is None else places.tolist())}))
+            if places is None:
                 continue
-            places.sort()
-            for k, p in enumerate(places):
-                q = after[p]
-                if q < 0 or symbol[p] < 0 or self._merged(symbol[p], symbol[q]) != rank:
-                    continue
-                r = after[q]
-                symbol[p], symbol[q], after[p] = rank, -1, r
-                if r >= 0:
-                    before[r] = p
-                lower = False
-                for left, right in ((before[p], p), (p, r)):
-                    if left >= 0 and right >= 0 and (new := self._merged(symbol[left], symbol[right])) >= 0:
-                        if new not in index:
-                            index[new] = []
-                            heapq.heappush(heap, new)
-                        index[new].append(left)
-                        lower = lower or new < rank
-                if lower:  # a smaller rank has come up: it goes first, then the rest of this one
-                    index.setdefault(rank, []).extend(places[k + 1 :])
-                    heapq.heappush(heap, rank)
-                    break
-        for k, p in zip(todo, starts):
-            ids = array("I")
-            while p >= 0:
-                ids.append(symbol[p])
-                p = after[p]
-            out[k] = ids
-        return out
-
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.token_bytes.__getitem__, ids))
+            places = places[rank[places] == r]
+            if not len(places):
+                continue
+            q = after[places]
+            touching = q[:-1] == places[1:]
+            if touching.any():  # of overlapping pairs every other one, from the left
+                at = np.arange(len(places))
+                run = np.maximum.accumulate(np.where(np.r_[True, ~touching], at, 0))
+                places = places[(at - run) % 2 == 0]
+                q = after[places]
+            s, left = after[q], before[places]
+            # merges go from left to right: a pair of lower rank that comes up goes before the word's other places
+            low = self._ranks(np.full(len(s), r), symbol[s]) < r
+            merged = np.isin(left, q)
+            low |= self._ranks(np.where(merged, r, symbol[left]), np.full(len(left), r)) < r
+            if low.any():
+                w = word[places]
+                head = np.flatnonzero(np.r_[True, w[1:] != w[:-1]])
+                earlier = np.cumsum(low) - low
+                wait = earlier > np.repeat(earlier[head], np.diff(np.r_[head, len(w)]))
+                later.setdefault(r, []).extend(places[wait].tolist())
+                if wait.any():
+                    heapq.heappush(heap, r)
+                places, q = places[~wait], q[~wait]
+                s = after[q]
+            symbol[places] = r
+            after[places] = s
+            before[s] = places
+            symbol[q], rank[q] = -1, self.NONE
+            left = before[places]
+            again = np.concatenate([places, left[left < n]])
+            rank[again] = found = self._ranks(symbol[again], symbol[after[again]])
+            for x, p in zip(found.tolist(), again.tolist()):
+                if x < self.NONE:
+                    if x not in later:
+                        later[x] = []
+                        heapq.heappush(heap, x)
+                    later[x].append(p)
+        alive = np.flatnonzero(symbol[:n] >= 0)
+        return symbol[alive], word[alive]
 
 
 class WordCoder:
-    """Words to ids: whole tokens as such, short words in waves, longer ones rank by rank."""
+    """Words to ids, whole tokens as such, all others by merge replay; ids to bytes."""
 
     def __init__(self, ranks: dict[bytes, int], pairs: tuple[np.ndarray, np.ndarray]):
         self.ranks = ranks
-        self.waves, self.replay = MergeWaves(ranks, pairs), MergeReplay(ranks)
-        tokens = [self.replay.token_bytes.get(i, b"") for i in range(max(ranks.values()) + 1)]
+        self.replay = MergeReplay(ranks, pairs)
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
         self.size = np.array([len(t) for t in tokens])
         self.start = np.cumsum(self.size) - self.size
         self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
@@ -217,15 +165,9 @@ class WordCoder:
         """Ids of the words, one after the other, and each word's count."""
         whole = np.array([self.ranks.get(w, -1) for w in words], np.int64)
         size = np.array([len(w) for w in words], np.int64)
-        known = np.flatnonzero(whole >= 0)
-        short = np.flatnonzero((whole < 0) & (size <= WAVE_BYTES))
-        ids, word = self.waves.encode(np.frombuffer(b"".join([words[i] for i in short.tolist()]), np.uint8), size[short])
-        ids, word = [whole[known], ids], [known, short[word]]
-        long = np.flatnonzero((whole < 0) & (size > WAVE_BYTES)).tolist()
-        for i, own in zip(long, self.replay.encode([words[i] for i in long])):
-            ids.append(np.asarray(own, np.int64))
-            word.append(np.full(len(own), i))
-        ids, word = np.concatenate(ids), np.concatenate(word)
+        known, rest = np.flatnonzero(whole >= 0), np.flatnonzero((whole < 0) & (size > 0))
+        ids, word = self.replay.encode(np.frombuffer(b"".join([words[i] for i in rest.tolist()]), np.uint8), size[rest])
+        ids, word = np.concatenate([whole[known], ids]), np.concatenate([known, rest[word]])
         order = np.argsort(word, kind="stable")
         return ids[order].astype("<u4"), np.bincount(word, minlength=len(words))
 

@@ -281,6 +281,12 @@ def test_byte_bpe_words_equal_the_library():
         ids, count = coder.encode(words)
         assert ids.tolist() == library.encode_ordinary(text or "")
         assert len(count) == len(words) and coder.decode(np.asarray(ids))[0] == (text or "").encode()
+    draw, alphabets = random.Random(1), [b"ab", b"a", b"the anox", bytes(range(256)), "éàñüß".encode(), b"  \n", b"=-_.*#"]
+    words = [bytes(draw.choices(draw.choice(alphabets), k=draw.choice([1, 2, 5, 9, 20, 70, 300]))) for _ in range(3000)]
+    words += [b"a" * 99_999, b"ab" * 50_000]
+    ids, count = coder.encode(words)
+    for word, own in zip(words, np.split(ids, np.cumsum(count)[:-1])):
+        assert own.tolist() == library._core_bpe.encode_single_piece(word)
 
 
 def test_packing_encoder_equals_the_library():
