@@ -46,6 +46,23 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+#: Keys with more than this part of a table's rows are hot; there are fewer than its inverse.
+HOT_SHARE = 0.001
+
+
+def join_hot(left: DataFrame, right: DataFrame, keys: list[str], weight: str, total: int) -> DataFrame:
+    """Inner join with ``right``, which holds each key once and in ``weight`` the number of its rows in ``left``.
+
+    Hot keys (fewer than ``1 / HOT_SHARE``, as ``left`` has ``total`` rows) are
+    broadcast, so that their rows stay where they are; all others are shuffled.
+    ``weight`` is dropped.  Both tables are read twice.
+    """
+    hot = right.where(F.col(weight) > HOT_SHARE * total).drop(weight)
+    rest = right.where(F.col(weight) <= HOT_SHARE * total).drop(weight)
+    cold = left.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return left.join(F.broadcast(hot), keys).unionByName(cold.join(rest, keys))
+
+
 def utf8(column: str) -> Column:
     """A text column as UTF-8 bytes, null as empty."""
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")

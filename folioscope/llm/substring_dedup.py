@@ -13,28 +13,35 @@ import hashlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, materialize, utf8
+from .common import join_hot, map_rows, materialize, utf8
 
 #: Words that a run of repeated lines must have to be removed.
 MIN_WORDS = 50
 #: Documents with removals up to this number are broadcast with their spans; more are joined by shuffle.
 BROADCAST_ROWS = 100_000
+#: What is returned of a removed line.
+UNIT = ("unit", "start", "stop", "n_words", "first_doc_id", "first_unit")
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, unit, start, stop, n_words, digest`` of every line with a word."""
+    """``doc_id, text_hash, unit, start, stop, follows, n_words, digest`` of every line with a word.
+
+    ``follows`` is the ``stop`` of the line with a word before it, -1 if there is none.
+    """
+    columns = ("doc_id", "text_hash", "unit", "start", "stop", "follows", "n_words", "digest")
 
     def make():
         def step(rows):
-            out = {k: [] for k in ("doc_id", "text_hash", "unit", "start", "stop", "n_words", "digest")}
+            out = {k: [] for k in columns}
             for doc, key, blob in zip(rows["doc_id"], rows["text_hash"], rows["text"]):
-                at = 0
+                at, last = 0, -1
                 for unit, line in enumerate(blob.decode("utf-8", "replace").split("\n")):
                     words = line.lower().split()
                     if words:
                         digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
-                        for k, v in zip(out, (doc, key, unit, at, at + len(line), len(words), digest)):
+                        for k, v in zip(out, (doc, key, unit, at, at + len(line), last, len(words), digest)):
                             out[k].append(v)
+                        last = at + len(line)
                     at += len(line) + 1
             return out
 
@@ -43,7 +50,7 @@ def _lines(docs: DataFrame) -> DataFrame:
     slim = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8("text").alias("text"))
     return map_rows(
         slim,
-        "doc_id long, text_hash long, unit int, start int, stop int, n_words int, digest binary",
+        "doc_id long, text_hash long, unit int, start int, stop int, follows int, n_words int, digest binary",
         make,
         chunk=256,
     )
@@ -57,16 +64,19 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     that repeat both id and text are one document.  A line is repeated if an
     equal one (case and white space aside) ranks before it; it is removed if
     the run of consecutive repeated lines around it has ``min_words`` words.
-    Lines without words, null and empty texts have no units.
+    Lines without words are no units and end no run; null and empty texts have
+    no units.  The lines of very frequent digests are not shuffled to find
+    their first occurrence.
     """
     units = materialize(_lines(docs), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit")
-    first = units.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("final")).where("first <> final")
-    late = units.join(first, "digest").where(rank > F.col("first")).select(
+    found = units.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("final"), F.count("*").alias("times"))
+    first = materialize(found.where("first <> final").drop("final"), "first")
+    late = join_hot(units, first, ["digest"], "times", units.count()).where(rank > F.col("first")).select(
         "doc_id",
         "text_hash",
         F.struct(
-            "unit", "start", "stop", "n_words",
+            "unit", "start", "stop", "n_words", "follows",
             F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"),
         ).alias("u"),
     )
@@ -75,20 +85,19 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     def make():
         def step(rows):
-            out = {k: [] for k in ("doc_id", "text_hash", "unit", "start", "stop", "n_words", "first_doc_id", "first_unit")}
+            out = {k: [] for k in ("doc_id", "text_hash", *UNIT)}
             for doc, key, us in zip(rows["doc_id"], rows["text_hash"], rows["us"]):
                 i = 0
                 while i < len(us):
                     j = i + 1
-                    # lines without words between two repeated ones don't end a run: they have no unit
-                    while j < len(us) and us[j]["start"] - us[j - 1]["stop"] <= 1:
+                    while j < len(us) and us[j]["follows"] == us[j - 1]["stop"]:
                         j += 1
                     if sum(u["n_words"] for u in us[i:j]) >= min_words:
                         for u in us[i:j]:
                             out["doc_id"].append(doc)
                             out["text_hash"].append(key)
-                            for k, v in u.items():
-                                out[k].append(v)
+                            for k in UNIT:
+                                out[k].append(u[k])
                     i = j
             return out
 
