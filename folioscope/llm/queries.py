@@ -96,5 +96,48 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
+#: White space as Python's ``str.split`` takes it.
+_SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+
+SUBSTRING_DEDUP_SQL = f"""
+WITH a AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS unit FROM documents
+), b AS (
+  SELECT doc_id, unit, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - 1 AS stop, length(line) AS size,
+    trim(regexp_replace(lower(line), '{_SPACE}', ' ', 'g')) AS words FROM a
+), u AS (
+  SELECT *, length(words) - length(replace(words, ' ', '')) + 1 AS n_words, row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS place,
+    first_value(doc_id) OVER w AS first_doc_id, first_value(unit) OVER w AS first_unit FROM b WHERE words <> ''
+  WINDOW w AS (PARTITION BY words ORDER BY doc_id, unit)
+), late AS (
+  SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run FROM u WHERE doc_id <> first_doc_id OR unit <> first_unit
+), t AS (SELECT *, sum(n_words) OVER (PARTITION BY doc_id, run) AS run_words FROM late)
+SELECT doc_id, unit::INTEGER AS unit, (stop - size)::INTEGER AS start, stop::INTEGER AS stop, n_words::INTEGER AS n_words,
+  first_doc_id, first_unit::INTEGER AS first_unit FROM t WHERE run_words >= 50
+"""
+
+JACCARD_JOIN_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(list_transform(range(1, greatest(len(w) - 3, 1) + 1), lambda i: array_to_string(w[i:i + 3], ' '))) AS s FROM w WHERE len(w) > 0
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+g AS (SELECT doc_id, string_agg(s, chr(10) ORDER BY s) AS whole FROM s GROUP BY doc_id),
+r AS (SELECT doc_id, min(doc_id) OVER (PARTITION BY whole) AS rep FROM g),
+c AS (SELECT s.doc_id, s.s FROM s JOIN r ON s.doc_id = r.rep AND r.doc_id = r.rep),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM c x JOIN c y ON x.s = y.s AND x.doc_id < y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+k AS (SELECT doc_id AS node, doc_id AS low FROM r WHERE doc_id = rep UNION SELECT e.b, k.low FROM k JOIN e ON k.node = e.a WHERE k.low < e.b),
+m AS (SELECT node, min(low) AS low FROM k GROUP BY node)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.low, d.doc_id) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN m ON m.node = r.rep
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op8_exact_top_k": EXACT_TOP_K_SQL}
+    return {
+        "op6_ngram_jaccard_join": JACCARD_JOIN_SQL,
+        "op8_exact_top_k": EXACT_TOP_K_SQL,
+        "op10_substring_dedup": SUBSTRING_DEDUP_SQL,
+    }

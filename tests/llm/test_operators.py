@@ -243,10 +243,11 @@ def test_substring_dedup(spark):
     rows = [
         (1, f"{a}\nown one", 0), (2, f"start\n{a.upper()}\nend", 0), (3, f"{b}\n{c}", 0), (4, f"head\n{b}\n{c}\ntail", 0), (5, f"{b}\nother", 0),
         (6, None, None), (7, "", 0), (None, a, 0), (1, f"{a}\nown one", 0), (8, f"{a}\nmid\n{a}", 0),
+        (9, f"{b}\n \n{c}\n\nlast", 0),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
     units = repeated_units(docs)
-    assert {(r.doc_id, r.unit, r.first_doc_id) for r in units.collect()} == {(2, 1, 1), (4, 1, 3), (4, 2, 3), (None, 0, 1), (8, 0, 1), (8, 2, 1)}
+    assert {(r.doc_id, r.unit, r.first_doc_id) for r in units.collect()} == {(2, 1, 1), (4, 1, 3), (4, 2, 3), (None, 0, 1), (8, 0, 1), (8, 2, 1), (9, 0, 3), (9, 2, 3)}
     for r in units.collect():
         text = next(t for d, t, _ in rows if d == r.doc_id)
         assert text[r.start : r.stop].lower() in (a, b, c)
@@ -303,13 +304,16 @@ def test_packing_encoder_equals_the_library():
     assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == want
 
 
-def test_exact_top_k_equals_its_sql(spark):
+@pytest.mark.parametrize("name", ["op6_ngram_jaccard_join", "op8_exact_top_k", "op10_substring_dedup"])
+def test_query_equals_its_sql(spark, name):
     import duckdb
     from folioscope.llm.queries import oracle_sql, queries
 
     sf_dir = "/root/testdata/sf0.001"
     with duckdb.connect() as db:
-        db.sql(f"CREATE VIEW embeddings AS SELECT * FROM '{sf_dir}/embeddings.parquet'")
-        want = db.sql(oracle_sql()["op8_exact_top_k"]).fetchall()
-    got = queries()["op8_exact_top_k"](spark, sf_dir).select("query_id", "rank", "vec_id", "score").collect()
+        for table in ("documents", "embeddings"):
+            db.sql(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+        want = db.sql(oracle_sql()[name])
+        got = queries()[name](spark, sf_dir).select(*want.columns).collect()
+        want = want.fetchall()
     assert sorted(map(tuple, got)) == sorted(want) and want
