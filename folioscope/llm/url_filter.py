@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize
+from .common import discard, join_hot, materialize
 
 #: (action, host, path prefix)
 RULES = (
@@ -109,9 +109,9 @@ def template_tree(urls: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         discard(nodes)
         nodes = grown
     leaf = nodes.groupBy("host", "template").agg(
-        F.sum("n").alias("n"), F.sum("lab").alias("n_labelled"), F.sum("bad").alias("n_bad")
+        F.sum("n").alias("n"), F.sum("lab").alias("n_labelled"), F.sum("bad").alias("n_bad"), F.count("*").alias("times")
     )
-    return nodes.select("host", "path", "template").join(leaf, ["host", "template"])
+    return join_hot(nodes.select("host", "path", "template"), materialize(leaf, "urlleaf"), ["host", "template"], "times", nodes.count())
 
 
 def filter_urls(pages: DataFrame, labels: DataFrame, rules=RULES) -> DataFrame:
