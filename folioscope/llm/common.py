@@ -110,8 +110,9 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
     """``(node, component)`` for every node of an undirected edge list; the component is its smallest node.
 
     Alternates large-star and small-star steps; each step is one or two
-    aggregations, its edges are written to the shared folder, and a hub's
-    neighbours are only ever reduced to their minimum.
+    aggregations, its edges are written to the shared folder, a hub's
+    neighbours are only ever reduced to their minimum, and they are not
+    gathered to learn it.
     """
     def distinct_edges(df: DataFrame) -> DataFrame:
         return df.where("a <> b").distinct()
@@ -123,11 +124,11 @@ def connected_components(edges: DataFrame, src: str = "a", dst: str = "b") -> Da
     while True:
         # large star: every node hands its larger neighbours to its smallest neighbour (itself included)
         both = current.union(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = distinct_edges(
-            both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        )
-        large = materialize(large, "cc")
+        lowest = F.least(F.min("b"), F.first("a")).alias("m")
+        low = materialize(both.groupBy("a").agg(lowest, F.count_if(F.expr("b > a")).alias("times")).where("times > 0"), "cc")
+        upper = join_hot(both.where("b > a"), low, ["a"], "times", current.count())
+        large = materialize(distinct_edges(upper.select(F.col("b").alias("a"), F.col("m").alias("b"))), "cc")
+        discard(low)
         # small star: every node and its smaller neighbours point to the smallest of them
         low = large.groupBy("a").agg(F.min("b").alias("m"))
         small = materialize(

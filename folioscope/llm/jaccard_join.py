@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, map_rows, materialize, utf8
+from .common import connected_components, discard, join_hot, map_rows, materialize, utf8
 
 #: Sets of one coarse component that one task joins at once.
 CHUNK = 512
@@ -394,13 +394,12 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     """
     docs = docs.select("doc_id", "text")
     base = materialize(_digests(docs, k), "sets")
-    blocks = F.min("d1").over(_by_key())
-    edges = (
-        _block_keys(docs.where("doc_id is not null"), k, percent)
-        .select("d1", blocks.alias("m"))
-        .where("d1 <> m")
-        .distinct()
-    )
+    keys = materialize(_block_keys(docs.where("doc_id is not null"), k, percent), "keys")
+    found = keys.groupBy("key").agg(F.min("d1").alias("m"), F.max("d1").alias("last"), F.count("*").alias("times"))
+    blocks = materialize(found.where("m <> last").drop("last"), "blocks")
+    edges = materialize(join_hot(keys, blocks, ["key"], "times", keys.count()).where("d1 <> m").select("d1", "m").distinct(), "edges")
+    discard(keys)
+    discard(blocks)
     coarse = connected_components(edges, "d1", "m").select(F.col("node").alias("d1"), F.col("component").alias("comp"))
     classes = base.where("d1 is not null and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
     members = materialize(classes.join(coarse, "d1"), "members")
@@ -425,12 +424,6 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     )
 
 
-def _by_key():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("key").orderBy("d1").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-
-
 def _across_chunks(docs: DataFrame, chunked: DataFrame, local: DataFrame, k: int, percent: int) -> DataFrame:
     """``rep, component`` once chunks of the same coarse component are joined too."""
     large = chunked.where("chunks > 1").drop("cluster")
