@@ -17,7 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices, utf8
+from .common import releasing, slices, utf8
 
 #: Bytes of text that a task encodes at once (a longer text on its own).
 SLICE_BYTES = 4 << 20
@@ -196,6 +196,7 @@ def encode_documents(docs: DataFrame, ranks: dict[bytes, int], pattern: str, wit
     shared = docs.sparkSession.sparkContext.broadcast((ranks, pair_index(ranks)))
     names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] + ["ids"] * with_ids
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import regex
 

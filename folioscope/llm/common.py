@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -68,6 +70,18 @@ def utf8(column: str) -> Column:
     return F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")
 
 
+def releasing(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``; after each task the worker, which Spark keeps, gives its free memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        with contextlib.suppress(OSError, AttributeError):  # not every C library can
+            ctypes.CDLL(None).malloc_trim(0)
+
+    return task
+
+
 def map_rows(
     df: DataFrame,
     schema: str,
@@ -80,6 +94,7 @@ def map_rows(
 
     arrow = to_arrow_schema(StructType.fromDDL(schema))
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         step = make()
         for batch in batches:

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, join_hot, map_rows, materialize, utf8
+from .common import connected_components, discard, join_hot, map_rows, materialize, releasing, utf8
 
 #: Sets of one coarse component that one task joins at once.
 CHUNK = 512
@@ -135,6 +135,7 @@ def frequent_shingles(docs: DataFrame, k: int) -> np.ndarray:
     n = docs.count()
     sample = docs.where(F.pmod(F.xxhash64("doc_id"), F.lit(max(1, n // SAMPLE_DOCS))) == 0)
 
+    @releasing
     def run(batches):
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
@@ -172,6 +173,7 @@ def _block_keys(docs: DataFrame, k: int, percent: int) -> DataFrame:
 
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, k))
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -313,6 +315,7 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
     sorted partition, and its size is bounded by ``CHUNK`` or by a stated query set.
     """
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, group = {}, None
 

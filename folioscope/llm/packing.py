@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, slices, utf8
+from .common import materialize, releasing, slices, utf8
 
 WINDOW = 2048
 #: Queues: sources share a queue only if there are more of them.
@@ -69,6 +69,7 @@ def given(totals: np.ndarray, windows: np.ndarray, size: int = WINDOW) -> np.nda
 def _tokens(docs: DataFrame, encoder: Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]]) -> DataFrame:
     """``doc_id, queue, part, n, ids``: 16-bit ids of every whole text with the closing id."""
 
+    @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder()
         for batch in batches:
