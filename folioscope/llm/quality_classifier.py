@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -28,8 +29,8 @@ METADATA_DIM = 1 << 9
 ROUNDS = 4
 #: Share of the pool that a view hands over in a round.
 HANDOVER = 0.05
-#: Share of the held-out good documents that the threshold must let pass.
-GOOD_PASS = 0.998
+#: Share of the held-out good documents that the threshold must let pass; one may always go.
+GOOD_PASS = 0.99
 
 
 def word_features(word: str) -> tuple[int, int]:
@@ -38,11 +39,11 @@ def word_features(word: str) -> tuple[int, int]:
     return zlib.crc32(word.encode()) % CONTENT_DIM, zlib.crc32(("\0" + shape).encode()) % CONTENT_DIM
 
 
-def metadata_features(lang, source, text: str, n_words: int) -> list[int]:
-    """Buckets of the page's metadata: where it is from, its language, and classes of its size and layout."""
+def metadata_features(lang, source, text: str, split: list[str]) -> list[int]:
+    """Buckets of the page's metadata: where it is from, its language, and classes of its size, layout and repeated words."""
     lines = text.count("\n") + 1
     size = len(text)
-    words = max(n_words, 1)
+    words = max(len(split), 1)
     facts = (
         ("source", source),
         ("lang", lang),
@@ -53,6 +54,7 @@ def metadata_features(lang, source, text: str, n_words: int) -> list[int]:
         ("bars", min(20, 40 * text.count("|") // words)),
         ("marks", min(20, 20 * text.count("!") // words)),
         ("stops", min(20, 100 * text.count(".") // words)),
+        ("again", -(-20 * sum(map(eq, split, split[1:])) // words)),
     )
     return [zlib.crc32(f"{k}={v}".encode()) % METADATA_DIM for k, v in facts]
 
@@ -94,7 +96,7 @@ def _sample_features(docs: DataFrame) -> dict[str, np.ndarray]:
                     counts[b] += 1
                 at = np.flatnonzero(counts)
                 content.append(at.astype("<u2").tobytes() + counts[at].astype("<u4").tobytes())
-                meta.append(metadata_features(lang, source, text, len(words)))
+                meta.append(metadata_features(lang, source, text, words))
             return {"label": rows["label"], "content": content, "meta": meta}
 
         return step
@@ -122,6 +124,21 @@ def _sample_features(docs: DataFrame) -> dict[str, np.ndarray]:
 CONTENT_SCALE = np.float32(20)
 
 
+def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
+    """The least score to keep: it rejects the largest share of bad less the share of good, within ``GOOD_PASS``.
+
+    Between two scores that do equally well it is 0 (even odds) if that lies
+    between them, else the middle.
+    """
+    good = np.sort(good)
+    lost = np.arange(min(len(good), max(2, int((1 - GOOD_PASS) * len(good)) + 1)))
+    top = good[lost]
+    best = int(np.argmax((bad[:, None] < top).mean(0) - lost / len(good)))
+    below = np.r_[bad[bad < top[best]], good[good < top[best]]]
+    low = below.max() if len(below) else -np.inf
+    return 0.0 if low < 0 <= top[best] else float(top[best] if np.isinf(low) else (low + top[best]) / 2)
+
+
 def co_train(seed: dict[str, np.ndarray], pool: dict[str, np.ndarray]) -> dict:
     """Weights of both views, their calibration, and the threshold; plain numbers only."""
     held = np.arange(len(seed["label"])) % 4 == 3
@@ -148,13 +165,12 @@ def co_train(seed: dict[str, np.ndarray], pool: dict[str, np.ndarray]) -> dict:
     combined = Logistic().fit(((scores - centre) / spread).astype(np.float32), seed["label"][held].astype(np.float32), 400, 1e-3)
     slope = combined.w / spread
     offset = float(combined.b - (centre * slope).sum())
-    good = np.sort((scores @ slope + offset)[seed["label"][held] == 1])
-    least = good[int((1 - GOOD_PASS) * len(good))] - 0.5 if len(good) else -np.inf
+    scores, label = scores @ slope + offset, seed["label"][held]
     return {
         "content": views["content"].w * CONTENT_SCALE * slope[0],
         "meta": views["meta"].w * slope[1],
         "bias": float(offset + views["content"].b * slope[0] + views["meta"].b * slope[1]),
-        "threshold": float(min(0.0, least)),
+        "threshold": best_cut(scores[label == 1], scores[label == 0]),
     }
 
 
@@ -212,7 +228,7 @@ def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc
                     a, b = word_features(w)
                     known[w] = weights[a] + weights[b]
                 total = sum(map(known.__getitem__, words)) / max(1, 2 * len(words))
-                scores.append(total + sum(meta[k] for k in set(metadata_features(lang, source, text, len(words)))) + model["bias"])
+                scores.append(total + sum(meta[k] for k in set(metadata_features(lang, source, text, words))) + model["bias"])
             limit = model["threshold"] if model else 0.0
             return {c: rows[c] for c in carry} | {"score": scores, "kept": [s >= limit for s in scores]}
 

@@ -109,6 +109,21 @@ def test_quality_classifier(spark, labels):
     assert alone.collect() == []
 
 
+def test_quality_classifier_rejects_junk(spark):
+    from folioscope.llm.quality_classifier import best_cut, classify, fit
+
+    good, bad = np.r_[-4.0, np.linspace(1, 5, 199)], np.r_[np.linspace(-9, -1, 40), 6]
+    assert -1 < best_cut(good, bad) <= 1  # one odd good document does not set the cut
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    marks = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    model = fit(table, marks.where("doc_id % 2 = 0"))
+    scored = classify(table.join(marks.where("doc_id % 2 = 1").select("doc_id", "quality"), "doc_id"), model, ("quality",)).collect()  # held out
+    good = [r.kept for r in scored if r.quality == 1]
+    bad = [r.kept for r in scored if r.quality == 0]
+    assert len(bad) > 200 and np.mean(good) > 0.98 and np.mean(bad) < 0.08
+    print(np.mean(good), np.mean(bad), model["threshold"])
+
+
 def test_url_filter(spark):
     from folioscope.llm.url_filter import filter_urls
 
