@@ -3,32 +3,41 @@
 One view sees the words of a text (hashed words and word shapes), the other the
 page's metadata (source, language, size and layout classes).  Both start from a
 bounded labelled sample, hand each other their most confident pseudo-labels
-over some rounds, and are then calibrated on held-out labels and combined.
-Every document is scored with the combined model.
+over some rounds, each time out of all unlabelled documents, and are then
+calibrated on held-out labels and combined.  Every document is scored with the
+combined model.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 import zlib
+from collections import Counter
 from operator import eq
 
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows, utf8
+from .common import discard, map_rows, materialize, releasing, utf8
 
-#: Labelled rows that the classifiers are fitted and calibrated on, the first by hash of the id.
+#: Labelled rows that the classifiers are fitted and calibrated on, the first of each class by hash of the id.
 MAX_LABELLED = 2500
-#: Unlabelled rows that may get pseudo-labels, the first by hash of the id.
-MAX_POOL = 1000
+#: Label lists up to this number are broadcast; more are joined by shuffle.
+BROADCAST_ROWS = 500_000
 #: Hash buckets of each view.
 CONTENT_DIM = 1 << 12
 METADATA_DIM = 1 << 9
 ROUNDS = 4
 #: Share of the pool that a view hands over in a round.
 HANDOVER = 0.05
+#: Pseudo-labelled documents enter the training as means of so many groups a label and round, by their metadata.
+GROUPS = 16
+#: Scores are told apart by this part of a log odd, within a bound; documents of equal scores by a hash of the id.
+SCORE_PARTS, SCORE_BOUND, TIES = 64, 100, 16
+#: Word shares are summed in integers of this unit, so that sums don't depend on their order.
+UNIT = 1 << 20
 #: Share of the held-out good documents that the threshold must let pass; one may always go.
 GOOD_PASS = 0.99
 
@@ -62,9 +71,10 @@ def metadata_features(lang, source, text: str, split: list[str]) -> list[int]:
 class Logistic:
     """Class-weighted L2 logistic regression by Newton-free accelerated gradient steps."""
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 80, ridge: float = 1e-4) -> Logistic:
-        share = np.clip(y.mean(), 1e-3, 1 - 1e-3)
-        weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) / len(y)
+    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 80, ridge: float = 1e-4, times: np.ndarray | None = None) -> Logistic:
+        times = np.ones(len(y)) if times is None else times
+        share = np.clip(np.average(y, weights=times), 1e-3, 1 - 1e-3)
+        weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) * times / times.sum()
         self.w, self.b = np.zeros(x.shape[1], np.float32), 0.0
         rate = 4.0 / max(float((weight[:, None] * x**2).sum(0).max() * np.sqrt((x != 0).sum(1).max())), 0.25)
         vw, vb = np.zeros_like(self.w), 0.0
@@ -80,36 +90,42 @@ class Logistic:
         return x @ self.w + self.b
 
 
-def _sample_features(docs: DataFrame) -> dict[str, np.ndarray]:
-    """Dense features of a bounded sample of rows, fetched as index and count arrays."""
+def _features(docs: DataFrame) -> DataFrame:
+    """``label, tie``, the content view as buckets and counts and the metadata view as buckets, of ``text, lang, source``."""
 
     def make():
+        known: dict[str, tuple[int, int]] = {}
+
         def step(rows):
-            content, meta = [], []
+            out = {"label": rows["label"], "tie": rows["tie"], "buckets": [], "counts": [], "meta": []}
             for blob, lang, source in zip(rows["text"], rows["lang"], rows["source"]):
                 text = blob.decode("utf-8", "replace")
                 words = text.split()
-                counts = np.zeros(CONTENT_DIM, np.int64)
-                for w in words:
-                    a, b = word_features(w)
-                    counts[a] += 1
-                    counts[b] += 1
+                if len(known) > 200_000:
+                    known.clear()
+                for w in set(words).difference(known):
+                    known[w] = word_features(w)
+                counts = np.bincount(np.array([known[w] for w in words], np.int64).ravel(), minlength=CONTENT_DIM)
                 at = np.flatnonzero(counts)
-                content.append(at.astype("<u2").tobytes() + counts[at].astype("<u4").tobytes())
-                meta.append(metadata_features(lang, source, text, words))
-            return {"label": rows["label"], "content": content, "meta": meta}
+                out["buckets"].append(at.astype("<u2").tobytes())
+                out["counts"].append(counts[at].astype("<u4").tobytes())
+                out["meta"].append(np.unique(metadata_features(lang, source, text, words)).astype("<u2").tobytes())
+            return out
 
         return step
 
-    got = map_rows(docs, "label int, content binary, meta array<int>", make, chunk=64).toLocalIterator()
+    return map_rows(docs, "label int, tie int, buckets binary, counts binary, meta binary", make, chunk=64)
+
+
+def _sample_features(docs: DataFrame) -> dict[str, np.ndarray]:
+    """Dense features of a bounded sample of rows, fetched as index and count arrays."""
     labels, content, meta = [], [], []
-    for r in got:
-        n = len(r["content"]) // 6
+    for r in _features(docs).toLocalIterator():
         row = np.zeros(CONTENT_DIM, np.float32)
-        counts = np.frombuffer(r["content"], "<u4", offset=2 * n)
-        row[np.frombuffer(r["content"], "<u2", count=n)] = counts / max(1, counts.sum())
+        counts = np.frombuffer(r["counts"], "<u4")
+        row[np.frombuffer(r["buckets"], "<u2")] = counts / max(1, counts.sum())
         view = np.zeros(METADATA_DIM, np.float32)
-        view[r["meta"]] = 1
+        view[np.frombuffer(r["meta"], "<u2")] = 1
         labels.append(r["label"])
         content.append(row)
         meta.append(view)
@@ -139,27 +155,134 @@ def best_cut(good: np.ndarray, bad: np.ndarray) -> float:
     return 0.0 if low < 0 <= top[best] else float(top[best] if np.isinf(low) else (low + top[best]) / 2)
 
 
-def co_train(seed: dict[str, np.ndarray], pool: dict[str, np.ndarray]) -> dict:
-    """Weights of both views, their calibration, and the threshold; plain numbers only."""
+VIEWS = {"content": CONTENT_DIM, "meta": METADATA_DIM}
+
+
+def _sparse(rows: dict[str, list]) -> dict[str, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Row number, bucket and value of all entries of a chunk's rows, by view."""
+    number = lambda column, width: np.repeat(np.arange(len(column)), [len(x) // width for x in column])
+    counts = np.frombuffer(b"".join(rows["counts"]), "<u4").astype(float)
+    at = number(rows["buckets"], 2)
+    total = np.bincount(at, counts, len(rows["tie"]))
+    meta = np.frombuffer(b"".join(rows["meta"]), "<u2")
+    return {
+        "content": (at, np.frombuffer(b"".join(rows["buckets"]), "<u2"), counts / total[at]),
+        "meta": (number(rows["meta"], 2), meta, np.ones(len(meta))),
+    }
+
+
+def _steps(entries, weights: dict, ties: np.ndarray) -> dict[str, np.ndarray]:
+    """Each row's score by either view as an integer, ties told apart."""
+    out = {}
+    for v, (w, b) in weights.items():
+        at, bucket, value = entries[v]
+        score = np.bincount(at, w[bucket] * value, len(ties)) + b
+        out[v] = np.floor(np.clip(score, -SCORE_BOUND, SCORE_BOUND) * SCORE_PARTS).astype(np.int64) * TIES + ties
+    return out
+
+
+def _over_pool(pool: DataFrame, past: list, work):
+    """``work(rows, entries, steps, free)`` over the whole pool; its counts ``key -> n`` are summed by task, then by key.
+
+    ``past`` holds each round's weights and, but for the last, its cuts;
+    documents within the cuts of an earlier round are not free.
+    """
+    shared = pool.sparkSession.sparkContext.broadcast(past)
+
+    @releasing
+    def run(batches):
+        import pyarrow as pa
+
+        totals = Counter()
+        for batch in batches:
+            for start in range(0, batch.num_rows, 512):
+                rows = batch.slice(start, 512).to_pydict()
+                entries, ties = _sparse(rows), np.array(rows["tie"])
+                free, steps = np.ones(len(ties), bool), None
+                for i, (weights, cuts) in enumerate(shared.value):
+                    steps = _steps(entries, weights, ties)
+                    if i + 1 < len(shared.value):
+                        for v, (low, high) in cuts.items():
+                            free &= (steps[v] > low) & (steps[v] < high)
+                keys, n = work(rows, entries, steps, free, shared.value[-1][1])
+                for k, x in zip(keys.tolist(), n.tolist()):
+                    totals[k] += x
+        if totals:
+            yield pa.RecordBatch.from_arrays([pa.array(list(totals), pa.int64()), pa.array(list(totals.values()), pa.int64())], names=["key", "n"])
+
+    return pool.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
+
+
+def _count_steps(rows, entries, steps, free, cuts):
+    """How many free documents have a score, by view: the key is twice the score, plus 1 for the metadata view."""
+    return np.unique(np.concatenate([2 * steps[v][free] + i for i, v in enumerate(VIEWS)]), return_counts=True)
+
+
+def _sum_handed(rows, entries, steps, free, cuts):
+    """Sums of the pupils' features over the documents handed over, by pupil, label and group.
+
+    The key is ``((pupil * 2 + label) * GROUPS + group) * (CONTENT_DIM + 1) + bucket``; the last bucket counts documents.
+    """
+    group = np.array([zlib.crc32(m) % GROUPS for m in rows["meta"]])
+    keys, values = [], []
+    for i, (teacher, pupil) in enumerate((("meta", "content"), ("content", "meta"))):
+        low, high = cuts[teacher]
+        label = np.where(steps[teacher] <= low, 0, np.where(steps[teacher] >= high, 1, -1))
+        label[~free] = -1
+        base = ((i * 2 + label) * GROUPS + group) * (CONTENT_DIM + 1)
+        at, bucket, value = entries[pupil]
+        taken = label[at] >= 0
+        keys += [base[at][taken] + bucket[taken], base[label >= 0] + CONTENT_DIM]
+        values += [np.rint(value[taken] * UNIT), np.ones((label >= 0).sum())]
+    keys, where = np.unique(np.concatenate(keys), return_inverse=True)
+    return keys, np.bincount(where, np.concatenate(values), len(keys)).astype(np.int64)
+
+
+def _cut(steps: np.ndarray, n: np.ndarray, n_bad: int, n_good: int) -> tuple[int, int]:
+    """The scores up to which and from which on documents are handed over, as many as stated or the fewest there can be."""
+    order = np.argsort(steps)
+    steps, n = steps[order], np.cumsum(n[order])
+    low = max(0, int(np.searchsorted(n, n_bad, "right")) - 1)
+    high = min(len(steps) - 1, int(np.searchsorted(n, n[-1] - n_good, "left")) + 1)
+    return int(steps[low]), max(int(steps[high]), int(steps[low]) + 1)
+
+
+def co_train(seed: dict[str, np.ndarray], pool: DataFrame, good: float) -> dict:
+    """Weights of both views, their calibration, and the threshold; plain numbers only.
+
+    ``pool`` has the features of all unlabelled documents; ``good`` is the
+    share of good documents to hand over.
+    """
     held = np.arange(len(seed["label"])) % 4 == 3
     views = {}
-    train = {v: (seed[v][~held], seed["label"][~held].astype(np.float32)) for v in ("content", "meta")}
-    free = np.ones(len(pool["label"]), bool)
+    train = {v: (seed[v][~held], seed["label"][~held].astype(np.float32), np.ones((~held).sum())) for v in VIEWS}
+    past, size = [], 0
     for turn in range(ROUNDS + 1):
-        views = {v: Logistic().fit(*train[v]) for v in train}
-        if turn == ROUNDS or free.sum() < 2:
+        views = {v: Logistic().fit(x, y, times=times) for v, (x, y, times) in train.items()}
+        if turn == ROUNDS:
+            break
+        past.append(({v: (m.w.astype(float) * (CONTENT_SCALE if v == "content" else 1), m.b) for v, m in views.items()}, None))
+        found = _over_pool(pool, past, _count_steps)
+        key, n = found["key"].to_numpy(), found["n"].to_numpy()
+        if n.sum() < 4:
             break
-        n = max(1, int(HANDOVER * len(free)))
-        good = float(train["content"][1].mean())
-        for teacher, pupil in (("content", "meta"), ("meta", "content")):
-            open_rows = np.flatnonzero(free)
-            order = open_rows[np.argsort(views[teacher].logit(pool[teacher][open_rows]), kind="stable")]
-            n_bad = min(len(order), max(1, round(n * (1 - good))))
-            n_good = min(len(order) - n_bad, max(1, round(n * good)))
-            chosen = np.r_[order[:n_bad], order[len(order) - n_good :]].astype(int)
-            labels = np.r_[np.zeros(n_bad), np.ones(n_good)].astype(np.float32)
-            train[pupil] = (np.r_[train[pupil][0], pool[pupil][chosen]], np.r_[train[pupil][1], labels])
-            free[chosen] = False
+        size = size or int(n.sum()) // 2
+        share = max(1, int(HANDOVER * size))
+        n_bad, n_good = max(1, round(share * (1 - good))), max(1, round(share * good))
+        cuts = {v: _cut(key[key % 2 == i] // 2, n[key % 2 == i], n_bad, n_good) for i, v in enumerate(VIEWS)}
+        past[-1] = past[-1][0], cuts
+        found = _over_pool(pool, past, _sum_handed)
+        key, n = found["key"].to_numpy(), found["n"].to_numpy()
+        sums = np.zeros((4 * GROUPS, CONTENT_DIM + 1))
+        sums[key // (CONTENT_DIM + 1), key % (CONTENT_DIM + 1)] = n
+        # the whole pool weighs at most as much as the seed
+        unit = min(1.0, len(train["content"][1]) / size) if turn == 0 else unit
+        for i, (v, dim) in enumerate(VIEWS.items()):
+            part = sums[i * 2 * GROUPS : (i + 1) * 2 * GROUPS]
+            some = part[:, -1] > 0
+            mean = part[some, :dim] / part[some, -1:] / UNIT * (CONTENT_SCALE if v == "content" else 1)
+            x, y, times = train[v]
+            train[v] = (np.r_[x, mean.astype(np.float32)], np.r_[y, (np.arange(2 * GROUPS) // GROUPS)[some]].astype(np.float32), np.r_[times, unit * part[some, -1]])
     scores = np.stack([views[v].logit(seed[v][held]) for v in ("content", "meta")], 1)
     centre, spread = scores.mean(0), np.maximum(scores.std(0), 1e-6)
     combined = Logistic().fit(((scores - centre) / spread).astype(np.float32), seed["label"][held].astype(np.float32), 400, 1e-3)
@@ -175,27 +298,35 @@ def co_train(seed: dict[str, np.ndarray], pool: dict[str, np.ndarray]) -> dict:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
-    """Fit on bounded samples of ``docs``; ``None`` if the labels lack one of the classes.
+    """Fit on a bounded sample of the labelled and all unlabelled ``docs``; ``None`` if the labels lack one of the classes.
 
     A document is good if every label says so; ties between repeated labels
     count as bad.  Rows with null ids are neither sampled nor used.
     """
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
+    here = materialize(marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "labels")
     order = F.xxhash64("doc_id")
-    chosen = marks.orderBy(order, "doc_id").limit(MAX_LABELLED)
-    others = (
-        docs.select("doc_id").where("doc_id is not null").distinct()
-        .join(marks, "doc_id", "left_anti").orderBy(order, "doc_id").limit(MAX_POOL)
-        .withColumn("label", F.lit(-1))
-    )
-    # both lists are bounded by their limits
-    picked = docs.join(F.broadcast(chosen.union(others)), "doc_id").select("label", utf8("text").alias("text"), "lang", "source", "doc_id")
-    got = _sample_features(picked.orderBy(F.xxhash64("doc_id"), "text"))
-    part = lambda m: {k: v[m] for k, v in got.items()}
-    seed, pool = part(got["label"] >= 0), part(got["label"] < 0)
+    bad, good = (here.where(F.col("label") == k).orderBy(order, "doc_id").limit(MAX_LABELLED).collect() for k in (0, 1))
+    n_bad = min(len(bad), max(MAX_LABELLED // 2, MAX_LABELLED - len(good)))
+    chosen = docs.sparkSession.createDataFrame(bad[:n_bad] + good[: MAX_LABELLED - n_bad], here.schema)
+    columns = ("label", F.pmod(order, F.lit(TIES)).cast("int").alias("tie"), utf8("text").alias("text"), "lang", "source")
+    picked = docs.join(F.broadcast(chosen), "doc_id")
+    seed = _sample_features(picked.orderBy(order, "text").select(*columns))
     if len(seed["label"]) < 8 or len(set(seed["label"][np.arange(len(seed["label"])) % 4 != 3])) < 2 or len(set(seed["label"][3::4])) < 2:
+        warnings.warn(f"{len(bad)} bad and {len(good)} good labels are too few to fit on: every document is kept", stacklevel=2)
+        discard(here)
         return None
-    return co_train(seed, pool)
+    share = here.agg(F.avg("label")).first()[0]
+    known = here.select("doc_id")
+    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
+    others = docs.where("doc_id is not null").join(known, "doc_id", "left_anti").withColumn("label", F.lit(-1))
+    pool = materialize(_features(others.select(*columns)), "pool")
+    try:
+        return co_train(seed, pool, share)
+    finally:
+        discard(pool)
+        discard(here)
 
 
 def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc_id",), cache_words: int = 200_000) -> DataFrame:

@@ -121,7 +121,30 @@ def test_quality_classifier_rejects_junk(spark):
     good = [r.kept for r in scored if r.quality == 1]
     bad = [r.kept for r in scored if r.quality == 0]
     assert len(bad) > 200 and np.mean(good) > 0.98 and np.mean(bad) < 0.08
-    print(np.mean(good), np.mean(bad), model["threshold"])
+
+
+def test_quality_classifier_sees_every_unlabelled_document(spark, monkeypatch):
+    from folioscope.llm import quality_classifier as Q
+
+    table = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    marks = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    calls, own = [], Q.Logistic.fit
+
+    def fit(self, x, y, *more, times=None, **named):
+        calls.append((x.shape, y, times))
+        return own(self, x, y, *more, times=times, **named)
+
+    monkeypatch.setattr(Q.Logistic, "fit", fit)
+    first = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(2500)
+    assert Q.fit(table.join(first, "doc_id", "left_anti"), marks)  # labels of documents that have gone are replaced
+    seed, pool = len(calls[0][1]), table.join(marks, "doc_id", "left_anti").count()
+    share = Q.HANDOVER * pool
+    for view in (0, 1):
+        for turn in range(1, Q.ROUNDS + 1):
+            handed = calls[2 * turn + view][2][seed:].sum() / min(1, seed / pool)
+            assert 0.8 * turn * share < handed < 1.1 * turn * share
+    assert Q._cut(np.array([5, 1, 3, 9]), np.array([4, 2, 1, 7]), 3, 8) == (3, 9)
+    assert Q._cut(np.array([5, 1]), np.array([4, 2]), 1, 1) == (1, 5) and Q._cut(np.array([5]), np.array([4]), 1, 1) == (5, 6)
 
 
 def test_url_filter(spark):
