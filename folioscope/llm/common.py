@@ -48,6 +48,35 @@ def discard(df: DataFrame) -> None:
         p.getFileSystem(df.sparkSession._jsparkSession.sessionState().newHadoopConf()).delete(p, True)
 
 
+#: Tables of at most so many bytes in the shared folder (compressed) are broadcast; larger ones are joined by shuffle.
+BROADCAST_BYTES = 4 << 20
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, a table made by :func:`materialize`, marked for broadcast if its files are small."""
+    spark = df.sparkSession
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+    size = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getContentSummary(p).getLength()
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+
+
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with so many underscores before it that no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def every(df: DataFrame) -> list[Column]:
+    """All columns of ``df``, whatever their names."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 #: Keys with more than this part of a table's rows are hot; there are fewer than its inverse.
 HOT_SHARE = 0.001
 

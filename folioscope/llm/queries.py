@@ -75,7 +75,7 @@ def op9_packing(spark, sf_dir, tokenizer_file=None):
 def op10_substring_dedup(spark, sf_dir):
     from .substring_dedup import repeated_units
 
-    return repeated_units(_table(spark, sf_dir, "documents")).drop("text_hash")
+    return repeated_units(_table(spark, sf_dir, "documents")).drop("text_hash", "cut_start", "cut_stop")
 
 
 def queries():
@@ -96,24 +96,26 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
 
-#: White space as Python's ``str.split`` takes it.
-_SPACE = r"[\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}]+"
+#: White space as Python's ``str.split`` takes it, what else a unit ends with, and a unit with its end.
+_SPACE = r"\x09-\x0D\x1C-\x20\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_UNIT = rf"(?s).+?(?:[.!?,;:][!-/:-@\[-`{{-~]*[{_SPACE}]+|\n|$)"
 
 SUBSTRING_DEDUP_SQL = f"""
 WITH a AS (
-  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, unnest(range(len(string_split(text, chr(10))))) AS unit FROM documents
+  SELECT doc_id, unnest(p) AS piece, unnest(range(len(p))) AS n FROM (SELECT doc_id, regexp_extract_all(text, '{_UNIT}') AS p FROM documents)
 ), b AS (
-  SELECT doc_id, unit, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY unit) - 1 AS stop, length(line) AS size,
-    trim(regexp_replace(lower(line), '{_SPACE}', ' ', 'g')) AS words FROM a
+  SELECT doc_id, n, piece, sum(length(piece)) OVER (PARTITION BY doc_id ORDER BY n) - length(piece) AS pos,
+    trim(regexp_replace(lower(piece), '[{_SPACE}]+', ' ', 'g')) AS words FROM a
 ), u AS (
-  SELECT *, length(words) - length(replace(words, ' ', '')) + 1 AS n_words, row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS place,
-    first_value(doc_id) OVER w AS first_doc_id, first_value(unit) OVER w AS first_unit FROM b WHERE words <> ''
-  WINDOW w AS (PARTITION BY words ORDER BY doc_id, unit)
+  SELECT *, pos + length(piece) - length(regexp_replace(piece, '^[{_SPACE}]+', '')) AS start, pos + length(regexp_replace(piece, '[{_SPACE}]+$', '')) AS stop,
+    length(words) - length(replace(words, ' ', '')) + 1 AS n_words, row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS unit FROM b WHERE words <> ''
+), f AS (
+  SELECT *, first_value(doc_id) OVER w AS first_doc_id, first_value(unit) OVER w AS first_unit FROM u WINDOW w AS (PARTITION BY words ORDER BY doc_id, unit)
 ), late AS (
-  SELECT *, place - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run FROM u WHERE doc_id <> first_doc_id OR unit <> first_unit
+  SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS run FROM f WHERE doc_id <> first_doc_id OR unit <> first_unit
 ), t AS (SELECT *, sum(n_words) OVER (PARTITION BY doc_id, run) AS run_words FROM late)
-SELECT doc_id, unit::INTEGER AS unit, (stop - size)::INTEGER AS start, stop::INTEGER AS stop, n_words::INTEGER AS n_words,
-  first_doc_id, first_unit::INTEGER AS first_unit FROM t WHERE run_words >= 50
+SELECT doc_id, unit::INTEGER AS unit, start::INTEGER AS start, stop::INTEGER AS stop, n_words::INTEGER AS n_words,
+  first_doc_id, first_unit::INTEGER AS first_unit FROM t WHERE run_words >= 30
 """
 
 JACCARD_JOIN_SQL = r"""

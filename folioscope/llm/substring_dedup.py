@@ -1,48 +1,75 @@
-"""Substring dedup by line hashing.
-
-Units are the lines of a text, normalised and digested.  Digests are grouped
-over all documents, the earliest ranked occurrence of each stays, and later
-ones are removed where they stand in a run of repeated lines that is long
-enough to be a passage.  Removals keep their offsets in the original text.
+"""Substring dedup by hashing the units of lines.
+
+A text's units are its lines, cut further behind the punctuation that ends a
+sentence or a clause, because a passage that two texts share mostly begins and
+ends inside lines.  Units are normalised and digested, digests are grouped over
+all documents, the earliest ranked occurrence of each stays, and later ones are
+removed where they stand in a run of repeated units that is long enough to be a
+passage.  Removals keep their offsets in the original text.
 """
 
 from __future__ import annotations
 
 import hashlib
+import re
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import join_hot, map_rows, materialize, utf8
+from .common import broadcast_if_small, discard, every, join_hot, map_rows, materialize, unused, utf8
 
-#: Words that a run of repeated lines must have to be removed.
-MIN_WORDS = 50
-#: Documents with removals up to this number are broadcast with their spans; more are joined by shuffle.
-BROADCAST_ROWS = 100_000
-#: What is returned of a removed line.
-UNIT = ("unit", "start", "stop", "n_words", "first_doc_id", "first_unit")
+#: Words that a run of repeated units must have to be removed: a passage of 50 words less the clauses that it cuts at either end.
+MIN_WORDS = 30
+#: What is returned of a removed unit.
+UNIT = ("unit", "start", "stop", "n_words", "first_doc_id", "first_unit", "cut_start", "cut_stop")
+#: White space as ``str.split`` takes it.
+SPACE = r"\x09-\x0d\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+#: What ends a unit: a newline, or a mark of the first class with any marks behind it and white space.
+BOUNDARY = r"[.!?,;:][!-/:-@\[-`{-~]*[" + SPACE + r"]+|\n"
+_BOUNDARY = re.compile(BOUNDARY)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, unit, start, stop, follows, n_words, digest`` of every line with a word.
+def spans(text: str) -> Iterator[tuple[int, int, list[str], int, bool]]:
+    """``start, stop, words, end, whole`` of every unit with a word.
 
-    ``follows`` is the ``stop`` of the line with a word before it, -1 if there is none.
+    ``start`` and ``stop`` leave out the white space around the unit; ``end`` is
+    where a cut of it ends, behind the blanks that follow in its line; ``whole``
+    is 1 if the unit begins its line, plus 2 if it ends it.
     """
-    columns = ("doc_id", "text_hash", "unit", "start", "stop", "follows", "n_words", "digest")
+    at = before = 0  # the unit's first character, and that of the boundary before it
+    for boundary in [*_BOUNDARY.finditer(text), None]:
+        edge = boundary.end() if boundary else len(text)
+        piece = text[at:edge]
+        words = piece.lower().split()
+        if words:
+            start = at + len(piece) - len(piece.lstrip())
+            stop = at + len(piece.rstrip())
+            line = text.find("\n", stop, edge)
+            begins = at == 0 or "\n" in text[before:start]
+            yield start, stop, words, edge if line < 0 else line, begins + 2 * (line >= 0 or boundary is None)
+        at, before = edge, boundary.start() if boundary else edge
+
+
+def _units(docs: DataFrame) -> DataFrame:
+    """``doc_id, text_hash, unit, start, stop, till, whole, n_words, digest`` of every unit with a word; ``unit`` counts them."""
+    columns = ("doc_id", "text_hash", "unit", "start", "stop", "till", "whole", "n_words", "digest")
 
     def make():
         def step(rows):
             out = {k: [] for k in columns}
             for doc, key, blob in zip(rows["doc_id"], rows["text_hash"], rows["text"]):
-                at, last = 0, -1
-                for unit, line in enumerate(blob.decode("utf-8", "replace").split("\n")):
-                    words = line.lower().split()
-                    if words:
-                        digest = hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest()
-                        for k, v in zip(out, (doc, key, unit, at, at + len(line), last, len(words), digest)):
-                            out[k].append(v)
-                        last = at + len(line)
-                    at += len(line) + 1
+                n = 0
+                for n, (start, stop, words, end, whole) in enumerate(spans(blob.decode("utf-8", "replace")), 1):
+                    out["start"].append(start)
+                    out["stop"].append(stop)
+                    out["till"].append(end)
+                    out["whole"].append(whole)
+                    out["n_words"].append(len(words))
+                    out["digest"].append(hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest())
+                out["doc_id"] += [doc] * n
+                out["text_hash"] += [key] * n
+                out["unit"] += range(n)
             return out
 
         return step
@@ -50,25 +77,28 @@ def _lines(docs: DataFrame) -> DataFrame:
     slim = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8("text").alias("text"))
     return map_rows(
         slim,
-        "doc_id long, text_hash long, unit int, start int, stop int, follows int, n_words int, digest binary",
+        "doc_id long, text_hash long, unit int, start int, stop int, till int, whole int, n_words int, digest binary",
         make,
         chunk=256,
     )
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Every line to remove: ``doc_id, text_hash, unit, start, stop, n_words, first_doc_id, first_unit``.
-
-    Offsets are code points in the original text, ``stop`` exclusive.  Rank is
-    ``doc_id`` (nulls last), then the text's hash, then the line's number.  Rows
-    that repeat both id and text are one document.  A line is repeated if an
-    equal one (case and white space aside) ranks before it; it is removed if
-    the run of consecutive repeated lines around it has ``min_words`` words.
-    Lines without words are no units and end no run; null and empty texts have
-    no units.  The lines of very frequent digests are not shuffled to find
-    their first occurrence.
+    """Every unit to remove: ``doc_id, text_hash`` and ``UNIT``.
+
+    Offsets are code points in the original text, ``stop`` exclusive;
+    ``cut_start`` and ``cut_stop`` are those of the whole run, with a newline if
+    it fills its lines, else with the blanks behind it.  Rank is ``doc_id``
+    (nulls last), then the text's hash, then the unit's number; the rest of a
+    tie are rows that repeat both id and text, which are one document.  A unit
+    is repeated if an equal one (case and white space aside) ranks before it;
+    it is removed if the run of consecutive repeated units around it has
+    ``min_words`` words.  Lines without words are no units and end no run; null,
+    empty and blank texts and an empty table have no units.  Other columns are
+    not read.  The units of very frequent digests are not shuffled to find their
+    first occurrence.
     """
-    units = materialize(_lines(docs), "units")
+    units = materialize(_units(docs), "units")
     rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit")
     found = units.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("final"), F.count("*").alias("times"))
     first = materialize(found.where("first <> final").drop("final"), "first")
@@ -76,11 +106,11 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         "doc_id",
         "text_hash",
         F.struct(
-            "unit", "start", "stop", "n_words", "follows",
+            "unit", "start", "stop", "n_words", "till", "whole",
             F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"),
         ).alias("u"),
     )
-    # the repeated lines of one document, in order; equal rows of one document fall together
+    # the repeated units of one document, in order; equal rows of one document fall together
     runs = late.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("u")).alias("us"))
 
     def make():
@@ -90,14 +120,19 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 i = 0
                 while i < len(us):
                     j = i + 1
-                    while j < len(us) and us[j]["follows"] == us[j - 1]["stop"]:
+                    while j < len(us) and us[j]["unit"] == us[j - 1]["unit"] + 1:
                         j += 1
-                    if sum(u["n_words"] for u in us[i:j]) >= min_words:
-                        for u in us[i:j]:
+                    run, last = us[i:j], us[j - 1]
+                    if sum(u["n_words"] for u in run) >= min_words:
+                        ends = last["whole"] >= 2
+                        cut = last["till"] + 1 if ends and run[0]["whole"] % 2 else last["stop"] if ends else last["till"]
+                        for u in run:
                             out["doc_id"].append(doc)
                             out["text_hash"].append(key)
-                            for k in UNIT:
+                            for k in UNIT[:-2]:
                                 out[k].append(u[k])
+                            out["cut_start"].append(run[0]["start"])
+                            out["cut_stop"].append(cut)
                     i = j
             return out
 
@@ -105,38 +140,42 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
     return map_rows(
         runs,
-        "doc_id long, text_hash long, unit int, start int, stop int, n_words int, first_doc_id long, first_unit int",
+        "doc_id long, text_hash long, unit int, start int, stop int, n_words int, first_doc_id long, first_unit int, cut_start int, cut_stop int",
         make,
     )
 
 
 def remove_units(docs: DataFrame, units: DataFrame) -> DataFrame:
-    """``docs`` with the spans of ``units`` cut from ``text``; ``n_chars``, if there, follows the text.
+    """``docs`` with the runs of ``units`` cut from ``text``; ``n_chars``, if there, follows the text.
 
-    A removed line takes one newline with it.  All rows stay, in all columns.
+    A run that fills its lines takes one newline with it, one inside a line
+    none.  All rows stay, in all columns, whatever their names; a text without
+    runs stays as it is, null included.
     """
-    columns = docs.columns
-    spans = materialize(units, "spans").groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(
-        F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("_spans")
+    key, digest, cuts = unused(docs, "_id", "_hash", "_cuts")
+    held = materialize(units.select("doc_id", "text_hash", "cut_start", "cut_stop").distinct(), "spans")
+    gone = materialize(
+        held.groupBy(F.col("doc_id").alias(key), F.col("text_hash").alias(digest)).agg(
+            F.sort_array(F.collect_set(F.struct("cut_start", "cut_stop"))).alias(cuts)
+        ),
+        "cuts",
     )
-    if spans.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        spans = F.broadcast(spans)
+    discard(held)
     keyed = docs.join(
-        spans, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_hash")), "left"
+        broadcast_if_small(gone), docs["doc_id"].eqNullSafe(gone[key]) & (F.xxhash64(docs["text"]) == gone[digest]), "left"
     )
-    # text between spans: from the end of one (and its newline) to the start of the next
-    begin = F.concat(F.array(F.lit(0)), F.transform("_spans", lambda s: s["stop"] + 1))
-    end = F.concat(F.transform("_spans", lambda s: s["start"]), F.array(F.length("text") + 1))
+    text = F.col("text")
+    # text between runs: from the end of one to the start of the next
+    begin = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda s: s["cut_stop"]))
+    end = F.concat(F.transform(cuts, lambda s: s["cut_start"]), F.array(F.length(text)))
     kept = F.array_join(
         F.transform(
             F.arrays_zip(begin.alias("b"), end.alias("e")),
-            lambda p: F.substring(F.col("text"), p["b"] + 1, F.greatest(p["e"] - p["b"], F.lit(0))),
+            lambda p: F.substring(text, p["b"] + 1, F.greatest(p["e"] - p["b"], F.lit(0))),
         ),
         "",
     )
-    out = keyed.withColumn("text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(F.rtrim(kept, F.lit("\n"))))
-    if "n_chars" in columns:
-        out = out.withColumn(
-            "n_chars", F.when(F.col("_spans").isNull(), F.col("n_chars")).otherwise(F.length("text"))
-        )
-    return out.select(*columns)
+    changed = {"text": F.when(F.col(cuts).isNull(), text).otherwise(kept)}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col(cuts).isNull(), F.col("n_chars")).otherwise(F.length(kept))
+    return keyed.select([changed[c].cast(docs.schema[c].dataType).alias(c) if c in changed else x for c, x in zip(docs.columns, every(docs))])

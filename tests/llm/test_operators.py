@@ -277,7 +277,7 @@ def test_substring_dedup(spark):
     from folioscope.llm.substring_dedup import remove_units, repeated_units
 
     line = lambda n, k: " ".join(f"x{k}w{i}" for i in range(n))
-    a, b, c = line(60, 1), line(30, 2), line(30, 3)
+    a, b, c = line(60, 1), line(20, 2), line(20, 3)
     rows = [
         (1, f"{a}\nown one", 0), (2, f"start\n{a.upper()}\nend", 0), (3, f"{b}\n{c}", 0), (4, f"head\n{b}\n{c}\ntail", 0), (5, f"{b}\nother", 0),
         (6, None, None), (7, "", 0), (None, a, 0), (1, f"{a}\nown one", 0), (8, f"{a}\nmid\n{a}", 0),
@@ -285,16 +285,84 @@ def test_substring_dedup(spark):
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
     units = repeated_units(docs)
-    assert {(r.doc_id, r.unit, r.first_doc_id) for r in units.collect()} == {(2, 1, 1), (4, 1, 3), (4, 2, 3), (None, 0, 1), (8, 0, 1), (8, 2, 1), (9, 0, 3), (9, 2, 3)}
+    assert {(r.doc_id, r.unit, r.first_doc_id) for r in units.collect()} == {(2, 1, 1), (4, 1, 3), (4, 2, 3), (None, 0, 1), (8, 0, 1), (8, 2, 1), (9, 0, 3), (9, 1, 3)}
     for r in units.collect():
         text = next(t for d, t, _ in rows if d == r.doc_id)
         assert text[r.start : r.stop].lower() in (a, b, c)
     out = Counter((r.doc_id, r.text) for r in remove_units(docs, units).collect())
-    assert out[2, "start\nend"] == 1 and out[4, "head\ntail"] == 1 and out[8, "mid"] == 1 and out[1, f"{a}\nown one"] == 2 and out[5, f"{b}\nother"] == 1
+    assert out[2, "start\nend"] == 1 and out[4, "head\ntail"] == 1 and out[8, "mid\n"] == 1 and out[1, f"{a}\nown one"] == 2 and out[5, f"{b}\nother"] == 1
     assert sum(out.values()) == len(rows) and out[None, ""] == 1
     assert repeated_units(docs.limit(0)).collect() == []
 
 
+def brute_units(text):
+    """Units with a word, character by character: (start, stop, normalised words)."""
+    out, at, i = [], 0, 0
+    while i <= len(text):
+        edge = None
+        if i == len(text):
+            edge = i
+        elif text[i] in ".!?,;:":
+            j = i + 1
+            while j < len(text) and text[j] in "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~":
+                j += 1
+            edge = next((k for k in range(j, len(text)) if not text[k].isspace()), len(text)) if j < len(text) and text[j].isspace() else None
+        elif text[i] == "\n":
+            edge = i + 1
+        if edge is None:
+            i += 1
+            continue
+        piece = text[at:edge]
+        if piece.strip():
+            out.append((at + len(piece) - len(piece.lstrip()), at + len(piece.rstrip()), " ".join(piece.lower().split())))
+        at, i = edge, edge + (edge == len(text))
+    return out
+
+
+def test_substring_dedup_against_brute_force(spark):
+    from folioscope.llm.substring_dedup import remove_units, repeated_units
+
+    draw = random.Random(8)
+    word = lambda: "".join(draw.choices("abcdefgh", k=draw.randrange(2, 7)))
+    prose = lambda n: "".join(word() + draw.choice([" "] * 12 + [", ", ". ", ".\n", '." ', "\n", ",\u00a0"]) for _ in range(n))
+    passages = [prose(60) for _ in range(6)]
+    rows, planted = [], defaultdict(list)
+    for d in range(80):
+        text = prose(draw.randrange(20, 200)) + word() + " "
+        if d % 3 == 0:
+            k = draw.randrange(6)
+            planted[k].append(d)
+            text += passages[k] + prose(40)
+        rows.append((d, text, "x"))
+    rows += [(90, "y " * 30_000 + passages[0], "x"), (91, passages[1], "x"), (92, passages[1], "x"), (92, passages[1], "x"), (93, None, None), (94, "", "x"), (None, passages[2], "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, _hash string").withColumn("_cuts", F.lit(1)).withColumn("start", F.lit(None).cast("int")).withColumn("a.b", F.lit(2))
+    first, want, cuts = {}, set(), {}
+    for d, text in sorted({(d, t or "") for d, t, _ in rows}, key=lambda r: (r[0] is None, r)):
+        units, run = brute_units(text), []
+        for n, (start, stop, key) in enumerate([*units, (None, None, None)]):
+            seen = key is not None and first.setdefault(key, (d, n)) != (d, n)
+            if seen:
+                run.append((d, n, start, stop, len(key.split()), *first[key]))
+            else:
+                if sum(x[4] for x in run) >= 30:
+                    want |= set(run)
+                    cuts.setdefault(d, []).append((run[0][2], run[-1][3]))
+                run = []
+    units = repeated_units(frame)
+    got = [tuple(r[c] for c in ("doc_id", "unit", "start", "stop", "n_words", "first_doc_id", "first_unit")) for r in units.collect()]
+    assert len(got) == len(set(got)) and set(got) == want
+    for found in planted.values():  # the passage begins and ends inside lines in all of them
+        assert set(found[1:]) <= set(cuts)
+    out = remove_units(frame, units)
+    assert out.columns == frame.columns and Counter(r.doc_id for r in out.collect()) == Counter(r[0] for r in rows)
+    squeeze = lambda t: None if t is None else "".join(t.split())
+    for r in out.collect():
+        whole = next(t for d, t, _ in rows if d == r.doc_id)
+        for a, b in reversed(cuts.get(r.doc_id, [])):
+            whole = whole[:a] + whole[b:]
+        assert squeeze(r.text) == squeeze(whole) and r._cuts == 1 and r["a.b"] == 2
+
+
 def test_pipeline(spark, tmp_path):
     import corpus_pipeline
 
