@@ -23,15 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import connected_components, discard, join_hot, map_rows, materialize, releasing, utf8
+from .common import broadcast_if_small, connected_components, discard, join_hot, map_rows, materialize, releasing, utf8
 
 #: Sets of one coarse component that one task joins at once.
 CHUNK = 512
 #: Bits of a signature.
 BITS = 2048
 LEAF, FANOUT = 8, 8
-#: Representatives up to this number are broadcast to fetch their texts; more are joined by shuffle.
-BROADCAST_IDS = 200_000
 
 #: Texts whose shingles are counted for the blocking hint, the count that makes a shingle frequent, and how many are kept.
 SAMPLE_DOCS = 10_000
@@ -361,12 +359,10 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
 
 def _fetch(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """``members`` with their shingle sets ``s``, from the texts of their representatives."""
-
-    small = members.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    side = members.withColumnRenamed("rep", "doc_id")
+    side = materialize(members.withColumnRenamed("rep", "doc_id"), "asked")
     columns = [c for c in side.columns if c not in ("doc_id", "s")]
     kinds = dict(side.dtypes)
-    picked = docs.select("doc_id", utf8("text").alias("text")).join(F.broadcast(side) if small else side, "doc_id")
+    picked = docs.select("doc_id", utf8("text").alias("text")).join(broadcast_if_small(side), "doc_id")
 
     def make():
         import xxhash

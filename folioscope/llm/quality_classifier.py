@@ -20,12 +20,10 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, map_rows, materialize, releasing, utf8
+from .common import broadcast_if_small, discard, every, map_rows, materialize, releasing, unused, utf8
 
 #: Labelled rows that the classifiers are fitted and calibrated on, the first of each class by hash of the id.
 MAX_LABELLED = 2500
-#: Label lists up to this number are broadcast; more are joined by shuffle.
-BROADCAST_ROWS = 500_000
 #: Hash buckets of each view.
 CONTENT_DIM = 1 << 12
 METADATA_DIM = 1 << 9
@@ -317,10 +315,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
         discard(here)
         return None
     share = here.agg(F.avg("label")).first()[0]
-    known = here.select("doc_id")
-    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
-        known = F.broadcast(known)
-    others = docs.where("doc_id is not null").join(known, "doc_id", "left_anti").withColumn("label", F.lit(-1))
+    others = docs.where("doc_id is not null").join(broadcast_if_small(here).select("doc_id"), "doc_id", "left_anti").withColumn("label", F.lit(-1))
     pool = materialize(_features(others.select(*columns)), "pool")
     try:
         return co_train(seed, pool, share)
@@ -333,9 +328,15 @@ def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc
     """The columns to carry, ``score double`` (log odds of good) and ``kept boolean`` for every row.
 
     Reads ``text, lang, source``; null texts are empty.  Without a model all
-    scores are 0 and everything is kept.
+    scores are 0 and everything is kept.  Where a carried column has the name,
+    that of the score or the verdict, which come last, gets underscores before it.
     """
     spark = docs.sparkSession
+    body, lang, source, score, kept = unused(docs, "_text", "_lang", "_source", "score", "kept")
+    if "score" not in carry:
+        score = "score"
+    if "kept" not in carry:
+        kept = "kept"
     shared = spark.sparkContext.broadcast(model)
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 
@@ -347,7 +348,7 @@ def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc
 
         def step(rows):
             scores = []
-            for blob, lang, source in zip(rows["_text"], rows["_lang"], rows["_source"]):
+            for blob, where, whence in zip(rows[body], rows[lang], rows[source]):
                 if not model:
                     scores.append(0.0)
                     continue
@@ -359,14 +360,16 @@ def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc
                     a, b = word_features(w)
                     known[w] = weights[a] + weights[b]
                 total = sum(map(known.__getitem__, words)) / max(1, 2 * len(words))
-                scores.append(total + sum(meta[k] for k in set(metadata_features(lang, source, text, words))) + model["bias"])
+                scores.append(total + sum(meta[k] for k in set(metadata_features(where, whence, text, words))) + model["bias"])
             limit = model["threshold"] if model else 0.0
-            return {c: rows[c] for c in carry} | {"score": scores, "kept": [s >= limit for s in scores]}
+            return {c: rows[c] for c in carry} | {score: scores, kept: [s >= limit for s in scores]}
 
         return step
 
-    slim = docs.select(*carry, utf8("text").alias("_text"), F.col("lang").alias("_lang"), F.col("source").alias("_source"))
-    return map_rows(slim, ", ".join(f"`{c}` {fields[c]}" for c in carry) + ", score double, kept boolean", make, chunk=256)
+    own = {c: x for c, x in zip(docs.columns, every(docs))}
+    slim = docs.select(*(own[c] for c in carry), utf8("text").alias(body), F.col("lang").alias(lang), F.col("source").alias(source))
+    quoted = {c: "`" + c.replace("`", "``") + "`" for c in carry}
+    return map_rows(slim, ", ".join(f"{quoted[c]} {fields[c]}" for c in carry) + f", {score} double, {kept} boolean", make, chunk=256)
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:

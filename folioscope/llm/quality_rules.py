@@ -13,7 +13,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import ASCII_SPACE
+from .common import ASCII_SPACE, broadcast_if_small, materialize
 
 #: Characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
@@ -25,8 +25,6 @@ SCALE = 1000
 THRESHOLD = -150
 #: Added to every bucket of both multinomials.
 SMOOTHING = 1
-#: Trusted ids up to this number are broadcast; more are joined by shuffle.
-BROADCAST_IDS = 1_000_000
 
 
 def words_of(text: Column) -> Column:
@@ -60,10 +58,8 @@ def bucket_ratios(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKET
     combined in each task before the shuffle, whose rows the number of buckets
     bounds.  The result is a list of ``buckets`` integers whatever the input.
     """
-    ids = trusted_ids.select("doc_id").where("doc_id is not null").distinct()
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        ids = F.broadcast(ids)
-    marked = docs.join(ids.withColumn("trusted", F.lit(1)), "doc_id", "left")
+    ids = trusted_ids.where("doc_id is not null").select("doc_id", F.lit(1).alias("trusted")).distinct()
+    marked = docs.join(broadcast_if_small(materialize(ids, "trusted")), "doc_id", "left")
     counted = (
         marked.select(F.coalesce("trusted", F.lit(0)).alias("trusted"), words_of(F.col("text")).alias("words"))
         .select("trusted", "words", F.posexplode("words").alias("pos", "word"))
