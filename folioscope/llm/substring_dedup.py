@@ -14,13 +14,17 @@ import hashlib
 import re
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, discard, every, join_hot, map_rows, materialize, unused, utf8
+from .common import HOT_SHARE, broadcast_if_small, discard, every, map_rows, materialize, unused, utf8
 
 #: Words that a run of repeated units must have to be removed: a passage of 50 words less the clauses that it cuts at either end.
 MIN_WORDS = 30
+#: Hash buckets of digests, by whose rows very frequent ones are found.
+BUCKETS = 1 << 16
 #: What is returned of a removed unit.
 UNIT = ("unit", "start", "stop", "n_words", "first_doc_id", "first_unit", "cut_start", "cut_stop")
 #: White space as ``str.split`` takes it.
@@ -52,37 +56,67 @@ def spans(text: str) -> Iterator[tuple[int, int, list[str], int, bool]]:
 
 
 def _units(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, unit, start, stop, till, whole, n_words, digest`` of every unit with a word; ``unit`` counts them."""
-    columns = ("doc_id", "text_hash", "unit", "start", "stop", "till", "whole", "n_words", "digest")
+    """``doc_id, text_hash, unit, start, stop, till, whole, n_words, d1, d2`` of every unit with a word; ``unit`` counts them, ``d1, d2`` are its digest."""
+    numbers = ("start", "stop", "till", "whole", "n_words")
 
     def make():
         def step(rows):
-            out = {k: [] for k in columns}
-            for doc, key, blob in zip(rows["doc_id"], rows["text_hash"], rows["text"]):
-                n = 0
-                for n, (start, stop, words, end, whole) in enumerate(spans(blob.decode("utf-8", "replace")), 1):
-                    out["start"].append(start)
-                    out["stop"].append(stop)
-                    out["till"].append(end)
-                    out["whole"].append(whole)
-                    out["n_words"].append(len(words))
-                    out["digest"].append(hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest())
-                out["doc_id"] += [doc] * n
-                out["text_hash"] += [key] * n
-                out["unit"] += range(n)
-            return out
+            out = {k: [] for k in numbers}
+            digests, n = [], []
+            for blob in rows["text"]:
+                before = len(digests)
+                for start, stop, words, end, whole in spans(blob.decode("utf-8", "replace")):
+                    for column, x in zip(out.values(), (start, stop, end, whole, len(words))):
+                        column.append(x)
+                    digests.append(hashlib.blake2b(" ".join(words).encode(), digest_size=16).digest())
+                n.append(len(digests) - before)
+            digest = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+            at = np.repeat(np.arange(len(n)), n)
+            own = lambda c, kind: pa.array(rows[c], kind).take(pa.array(at))
+            unit = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
+            return out | {
+                "doc_id": own("doc_id", pa.int64()), "text_hash": own("text_hash", pa.int64()),
+                "unit": unit.astype(np.int32), "d1": digest[:, 0], "d2": digest[:, 1],
+            }
 
         return step
 
-    slim = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), utf8("text").alias("text"))
+    slim = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), utf8("text").alias("text"))
     return map_rows(
         slim,
-        "doc_id long, text_hash long, unit int, start int, stop int, till int, whole int, n_words int, digest binary",
+        "doc_id long, text_hash long, unit int, start int, stop int, till int, whole int, n_words int, d1 long, d2 long",
         make,
         chunk=256,
     )
 
 
+def _later(units: DataFrame) -> DataFrame:
+    """The units of which an equal one ranks before them, each once, with ``first``, the rank of that one.
+
+    One shuffle by digest.  Very frequent digests, of which there are fewer than
+    the inverse of ``HOT_SHARE``, are found by the rows of hash buckets, and
+    their first occurrence is broadcast to the rows, which stay where they are.
+    """
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit")
+    most = HOT_SHARE * units.count()
+    bucket = F.pmod("d1", F.lit(BUCKETS))
+    full = [r["b"] for r in units.groupBy(bucket.alias("b")).count().where(F.col("count") > most).collect()]
+    rest, parts = units, []
+    if full:
+        found = units.where(bucket.isin(full)).groupBy("d1", "d2").agg(F.min(rank).alias("first"), F.count("*").alias("times"))
+        hot = F.broadcast(materialize(found.where(F.col("times") > most).drop("times"), "hotunits"))
+        rest = units.join(hot, ["d1", "d2"], "left_anti")
+        parts = [units.join(hot, ["d1", "d2"]).where(rank > F.col("first")).distinct()]
+    order = Window.partitionBy("d1", "d2").orderBy(F.col("doc_id").isNull(), "doc_id", "text_hash", "unit")
+    # equal ranks are rows that repeat id and text
+    same = F.lag(rank).over(order) == rank
+    cold = rest.select("*", F.first(rank).over(order).alias("first"), F.coalesce(same, F.lit(False)).alias("again"))
+    out = cold.where(rank > F.col("first")).where("not again").drop("again")
+    for part in parts:
+        out = out.unionByName(part)
+    return out
+
+
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """Every unit to remove: ``doc_id, text_hash`` and ``UNIT``.
 
@@ -95,53 +129,25 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     it is removed if the run of consecutive repeated units around it has
     ``min_words`` words.  Lines without words are no units and end no run; null,
     empty and blank texts and an empty table have no units.  Other columns are
-    not read.  The units of very frequent digests are not shuffled to find their
-    first occurrence.
+    not read.
     """
     units = materialize(_units(docs), "units")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit")
-    found = units.groupBy("digest").agg(F.min(rank).alias("first"), F.max(rank).alias("final"), F.count("*").alias("times"))
-    first = materialize(found.where("first <> final").drop("final"), "first")
-    late = join_hot(units, first, ["digest"], "times", units.count()).where(rank > F.col("first")).select(
-        "doc_id",
-        "text_hash",
-        F.struct(
-            "unit", "start", "stop", "n_words", "till", "whole",
-            F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"),
-        ).alias("u"),
+    late = _later(units).select(
+        "doc_id", "text_hash", "unit", "start", "stop", "till", "whole", "n_words",
+        F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"),
     )
-    # the repeated units of one document, in order; equal rows of one document fall together
-    runs = late.groupBy("doc_id", "text_hash").agg(F.sort_array(F.collect_set("u")).alias("us"))
-
-    def make():
-        def step(rows):
-            out = {k: [] for k in ("doc_id", "text_hash", *UNIT)}
-            for doc, key, us in zip(rows["doc_id"], rows["text_hash"], rows["us"]):
-                i = 0
-                while i < len(us):
-                    j = i + 1
-                    while j < len(us) and us[j]["unit"] == us[j - 1]["unit"] + 1:
-                        j += 1
-                    run, last = us[i:j], us[j - 1]
-                    if sum(u["n_words"] for u in run) >= min_words:
-                        ends = last["whole"] >= 2
-                        cut = last["till"] + 1 if ends and run[0]["whole"] % 2 else last["stop"] if ends else last["till"]
-                        for u in run:
-                            out["doc_id"].append(doc)
-                            out["text_hash"].append(key)
-                            for k in UNIT[:-2]:
-                                out[k].append(u[k])
-                            out["cut_start"].append(run[0]["start"])
-                            out["cut_stop"].append(cut)
-                    i = j
-            return out
-
-        return step
-
-    return map_rows(
-        runs,
-        "doc_id long, text_hash long, unit int, start int, stop int, n_words int, first_doc_id long, first_unit int, cut_start int, cut_stop int",
-        make,
+    own = ("doc_id", "text_hash")
+    late = late.repartition(*own).withColumn("run", F.col("unit") - F.row_number().over(Window.partitionBy(*own).orderBy("unit")))
+    run = Window.partitionBy(*own, "run").orderBy("unit").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    ends = F.last("whole").over(run) >= 2
+    begins = F.first("whole").over(run) % 2 == 1
+    till, stop = F.last("till").over(run), F.last("stop").over(run)
+    return (
+        late.withColumn("run_words", F.sum("n_words").over(run))
+        .withColumn("cut_start", F.first("start").over(run))
+        .withColumn("cut_stop", F.when(ends & begins, till + 1).when(ends, stop).otherwise(till))
+        .where(F.col("run_words") >= min_words)
+        .select(*own, *UNIT)
     )
 
 
