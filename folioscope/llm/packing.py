@@ -1,12 +1,13 @@
 """Mixture-controlled packing: deficit round-robin over source queues.
 
-Every window of ``window`` tokens is filled from the queues in proportion to
-their target shares; what a queue is owed beyond whole tokens stays as its
-deficit and is served first later.  Serving the queue with the oldest claim is
-a total order of all tokens (token ``j`` of a queue with ``T`` tokens is due at
-``(2 j + 1) / 2 T``), so how much each queue has given before window ``w`` can
-be computed for any ``w`` on its own: partitions take over exactly the deficits
-that the partition before them leaves.
+In every window each queue's deficit grows by its target share of the window;
+the queue gives the whole tokens of its deficit, the places left over go to the
+greatest remainders, and what is owed beyond that, or was given early, is
+carried to the next window.  Shares of queues that have run dry fall to the
+others.  A queue's deficit before a window is its share of all tokens so far
+less what it gave, so what each queue has given before any window can be
+computed on its own: partitions take over exactly the deficits that the
+partition before them leaves.
 """
 
 from __future__ import annotations
@@ -16,58 +17,60 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, releasing, slices, utf8
+from .common import discard, materialize, releasing, slices, utf8
 
 WINDOW = 2048
-#: Queues: sources share a queue only if there are more of them.
-QUEUES = 32
-#: Parts of a queue, by the document id's hash; each is laid out in id order on its own.
-PARTS = 256
+#: Tokens a window from which a source has a queue of its own; rarer ones share one, dealt among them by a second round-robin.
+LEAST_QUANTUM = 1.5
+#: Tokens of a queue's part, which one task lays out, and how many parts there are before they grow with the input.
+PART_TOKENS, MAX_PARTS = 1 << 20, 100_000
 #: Id that ends every document.
 END_ID = 1
 #: Bytes of text that a task encodes at once (a longer text on its own).
 SLICE_BYTES = 4 << 20
 
 
-def given(totals: np.ndarray, windows: np.ndarray, size: int = WINDOW) -> np.ndarray:
-    """Tokens that each queue has given before each window: ``len(windows)`` x ``len(totals)`` integers.
+def given(totals: np.ndarray, weights: np.ndarray, goals: np.ndarray) -> np.ndarray:
+    """Tokens that each queue has given once ``goals`` tokens are: ``len(goals)`` x ``len(totals)`` integers.
 
-    The first ``size * w`` tokens by (due time, queue).  Sums are exact, and
-    counts never fall from one window to the next.
+    Queue ``s`` is owed ``min(totals[s], weights[s] * v)`` at the point ``v`` at
+    which all together are owed the goal.  It gives the whole part, and the
+    tokens then missing come from the greatest remainders (of equal ones, the
+    first queue's).  ``weights`` are positive where ``totals`` are.
     """
-    totals = np.asarray(totals, dtype=np.int64)
-    whole = int(totals.sum())
-    goal = np.minimum(np.asarray(windows, dtype=np.int64) * size, whole)
-    safe = np.maximum(totals, 1).astype(np.float64)
-    at = goal[:, None] / max(whole, 1)
-    count = np.clip(np.floor(at * totals + 0.5).astype(np.int64), 0, totals)
-    column = np.arange(len(totals))
-
-    def due(c):
-        return (2.0 * c + 1.0) / (2.0 * safe)
-
-    for _ in range(100 * len(totals) + 100):
-        off = goal - count.sum(1)
-        following = np.where(count < totals, due(count), np.inf)
-        last = np.where(count > 0, due(count - 1), -np.inf)
-        nxt = np.argmin(following, 1)  # of equal claims the first queue's
-        prv = len(totals) - 1 - np.argmax(last[:, ::-1], 1)
-        row = np.arange(len(goal))
-        f, l = following[row, nxt], last[row, prv]
-        swap = (off == 0) & ((f < l) | ((f == l) & (nxt < prv)))
-        up, down = (off > 0) | swap, (off < 0) | swap
-        if not (up.any() or down.any()):
-            break
-        count += up[:, None] & (column == nxt[:, None])
-        count -= down[:, None] & (column == prv[:, None])
+    totals, goals = np.asarray(totals, np.int64), np.asarray(goals, np.int64)
+    weights = np.asarray(weights, np.float64)
+    live = totals > 0
+    dry = np.where(live, totals / np.where(live, weights, 1), 0.0)
+    order = np.argsort(dry, kind="stable")
+    gone = np.r_[0, np.cumsum(totals[order])]  # tokens of the queues that are dry
+    left = np.r_[np.cumsum((weights * live)[order][::-1])[::-1], 0]  # weights of the others
+    ends = gone[:-1] + left[:-1] * dry[order]  # tokens given when each queue runs dry
+    ends = np.maximum.accumulate(ends)
+    e = np.minimum(np.searchsorted(ends, goals, "left"), len(totals) - 1)
+    v = (goals - gone[e]) / np.where(left[e] > 0, left[e], 1)
+    owed = np.minimum(totals, weights * live * v[:, None])
+    owed[goals >= totals.sum()] = totals
+    count = np.floor(owed + 1e-9).astype(np.int64)
+    short = np.minimum(goals, totals.sum()) - count.sum(1)
+    for i in np.flatnonzero(short < 0):  # sums of rounded weights
+        for s in np.argsort(np.where(count[i] > 0, owed[i] - count[i], np.inf), kind="stable")[: -short[i]]:
+            count[i, s] -= 1
+            short[i] += 1
+    rest = np.where(count < totals, np.round(owed - count, 6), -np.inf)
+    place = np.empty_like(count)
+    np.put_along_axis(place, np.argsort(-rest, 1, kind="stable"), np.arange(len(totals))[None, :], 1)
+    count += place < short[:, None]
+    if (count.sum(1) != np.minimum(goals, totals.sum())).any() or (count > totals).any():
+        raise ArithmeticError("the queues' shares do not add up")
     return count
 
 
 def _tokens(docs: DataFrame, encoder: Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]]) -> DataFrame:
-    """``doc_id, queue, part, n, ids``: 16-bit ids of every whole text with the closing id."""
+    """``doc_id, source, h, n, ids``: 16-bit ids of every whole text with the closing id; ``h`` is a hash of id and text."""
 
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,107 +84,171 @@ def _tokens(docs: DataFrame, encoder: Callable[[], Callable[[pa.Array], tuple[np
                 out[np.arange(len(ids)) + np.repeat(doc, count)] = ids
                 offsets = np.r_[0, 2 * ends].astype(np.int32)
                 packed = pa.Array.from_buffers(pa.binary(), len(count), [None, pa.py_buffer(offsets), pa.py_buffer(out)])
-                columns = [rows.column(c) for c in ("doc_id", "queue", "part")]
-                yield pa.record_batch([*columns, pa.array(count + 1, pa.int64()), packed], names=["doc_id", "queue", "part", "n", "ids"])
+                columns = [rows.column(c) for c in ("doc_id", "source", "h")]
+                yield pa.record_batch([*columns, pa.array(count + 1, pa.int64()), packed], names=["doc_id", "source", "h", "n", "ids"])
 
     slim = docs.select(
         F.col("doc_id").cast("long"),
-        F.col("queue"),
-        F.pmod(F.xxhash64("doc_id"), F.lit(PARTS)).cast("int").alias("part"),
+        F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source"),
+        F.xxhash64("doc_id", "text").alias("h"),
         utf8("text").alias("text"),
     )
-    return slim.mapInArrow(run, "doc_id long, queue int, part int, n long, ids binary")
+    return slim.mapInArrow(run, "doc_id long, source string, h long, n long, ids binary")
 
 
-def queue_of(docs: DataFrame, queues: int = QUEUES) -> tuple[DataFrame, int]:
-    """``docs`` with a ``queue`` column: one for each source, the rarest in one queue if there are too many."""
-    name = F.coalesce(F.col("source").cast("string"), F.lit(""))
-    top = [r["s"] for r in docs.groupBy(name.alias("s")).count().orderBy(F.desc("count"), "s").limit(queues - 1).collect()]
-    where = F.array_position(F.array(*[F.lit(s) for s in top]) if top else F.array().cast("array<string>"), name)
-    return docs.withColumn("queue", F.when(where == 0, len(top)).otherwise(where - 1).cast("int")), len(top) + 1
+def _shared_queue(rows: DataFrame, totals: DataFrame, weights: DataFrame | None, parts: int) -> DataFrame:
+    """``rows`` of the sources that share a queue, with ``part`` and ``due``.
+
+    Whole documents take turns: one is due when its source, given evenly, is in
+    the middle of it.  A source's documents are in order of ``doc_id, h``.
+    """
+    side = totals.join(weights, "source") if weights is not None else totals.withColumn("weight", F.col("total").cast("double"))
+    before = F.sum("n").over(Window.partitionBy("source").orderBy("doc_id", "h").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    due = (before - F.col("n") / 2) / F.col("weight")
+    rows = rows.join(side, "source").withColumn("due", due)
+    top = side.agg(F.max(F.col("total") / F.col("weight"))).first()[0]
+    part = F.least(F.floor(F.col("due") / F.lit(float(top)) * parts), F.lit(parts - 1)).cast("int")
+    return rows.withColumn("part", part).drop("total", "weight")
 
 
 def pack(
     docs: DataFrame,
     encoder: Callable[[], Callable[[pa.Array], tuple[np.ndarray, np.ndarray]]],
     window: int = WINDOW,
+    targets: dict[str, float] | None = None,
 ) -> DataFrame:
     """``doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset``: one row for each piece.
 
     All tokens of all rows of ``docs(doc_id, text, source)`` are packed, each
     into exactly one piece; only the last sequence can be short.  ``encoder()``
     runs in each task and returns a function from an Arrow array of UTF-8 texts
-    to their 16-bit ids, one after the other, and each text's count.  A null text is empty and gives its closing id; null sources form a
-    source; null and repeated ids are ordered by their tokens, and equal rows
-    are interchangeable.  Target shares are the queues' shares of all tokens, so
-    queues run dry together.  Other columns are not carried.
-
-    The ids are written once to the shared folder; only the totals of
-    ``QUEUES`` x ``PARTS`` queue parts reach the driver.
+    to their 16-bit ids, one after the other, and each text's count.  A null
+    text is empty and gives its closing id; null and empty sources are one
+    source; equal rows are interchangeable.  An empty table gives no pieces.
+    Other columns are not carried.
+
+    ``targets`` are the sources' shares of every window, relative to each other;
+    by default their shares of all tokens, so that all run dry together.
+    Sources without a target, or with one of 0, follow once the others are dry,
+    by their shares of all tokens.  Every source of at least ``LEAST_QUANTUM``
+    tokens a window (there are fewer than a window has tokens) has its own queue
+    and is in each full window within one token of its deficit; rarer ones share
+    a queue, in which whole documents take turns by the same shares.
+
+    The ids are written once to the shared folder; only the totals of the
+    queues' parts, in proportion to their tokens, reach the driver.
     """
-    queued, n_queues = queue_of(docs)
-    table = materialize(_tokens(queued, encoder), "pack")
-    sums = {(r["queue"], r["part"]): r["n"] for r in table.groupBy("queue", "part").agg(F.sum("n").alias("n")).collect()}
-    totals = np.zeros(n_queues, dtype=np.int64)
+    spark = docs.sparkSession
+    table = materialize(_tokens(docs, encoder), "pack")
+    sums = materialize(table.groupBy("source").agg(F.sum("n").alias("total")), "packsums")
+    whole = sums.agg(F.sum("total")).first()[0]
+    if not whole:
+        return spark.createDataFrame([], ", ".join(f"{c} long" for c in NAMES))
+    unit = max(PART_TOKENS, whole // MAX_PARTS)
+    wanted = {k or "": w for k, w in (targets or {}).items() if w > 0}
+    if targets is None:
+        all_weight = float(whole)
+        own = [(r["source"], r["total"], float(r["total"])) for r in sums.where(F.col("total") * window >= LEAST_QUANTUM * whole).collect()]
+    else:
+        there = [(r["source"], r["total"], float(wanted[r["source"]])) for r in sums.where(F.col("source").isin(list(wanted))).collect()]
+        all_weight = sum(w for _, _, w in there)
+        own = [x for x in there if x[2] * window >= LEAST_QUANTUM * all_weight]
+    # the rare ones' queue must not be rare itself: counts would not always grow with the windows
+    own.sort(key=lambda x: (-x[2], x[0]))
+    while own and 0 < (all_weight - sum(w for _, _, w in own)) * window < LEAST_QUANTUM * all_weight:
+        own.pop()
+    own.sort()
+    named = spark.createDataFrame([(s, q, -(-t // unit)) for q, (s, t, _) in enumerate(own)], "source string, queue int, parts int")
+    columns = ("queue", "part", "due", "doc_id", "h", "n", "ids")
+    part = F.pmod(F.xxhash64("h"), F.col("parts")).cast("int").alias("part")
+    rows = table.join(F.broadcast(named), "source").withColumn("due", F.lit(0.0)).withColumn("part", part)
+    queues, tiers = [(t, w) for _, t, w in own], [0] * len(own)
+    rare = sums.join(F.broadcast(named), "source", "left_anti")
+    groups = [(rare, None, 0)] if targets is None else []
+    if targets is not None:
+        marks = spark.createDataFrame([(k, float(w)) for k, w in wanted.items()], "source string, weight double")
+        groups = [(rare.join(F.broadcast(marks), "source", "left_semi"), marks, 0), (rare.join(F.broadcast(marks), "source", "left_anti"), None, 1)]
+    shared = []
+    for some, marks, tier in groups:
+        total = some.agg(F.sum("total")).first()[0]
+        if not total:
+            continue
+        weight = float(total) if marks is None else some.join(F.broadcast(marks), "source").agg(F.sum("weight")).first()[0]
+        turn = _shared_queue(table, some, marks, -(-total // unit)).withColumn("queue", F.lit(len(queues)))
+        shared.append(materialize(turn.select(*columns), "packrare"))
+        queues.append((total, weight))
+        tiers.append(tier)
+    rows = rows.select(*columns)
+    for turn in shared:
+        rows = rows.union(turn)
+    parts = rows.groupBy("queue", "part").agg(F.sum("n").alias("n")).collect()
+    sizes = {(r["queue"], r["part"]): r["n"] for r in parts}
     base: dict[tuple[int, int], int] = {}
-    for queue, part in sorted(sums):
-        base[queue, part] = int(totals[queue])
-        totals[queue] += sums[queue, part]
-    whole = int(totals.sum())
+    filled = [0] * len(queues)
+    for queue, number in sorted(sizes):
+        base[queue, number] = filled[queue]
+        filled[queue] += sizes[queue, number]
+    discard(sums)
+    totals, weights, tier = np.array([t for t, _ in queues]), np.array([w for _, w in queues]), np.array(tiers)
+    first_tier = int(totals[tier == 0].sum())
     last = -(-whole // window)
 
+    def edges_of(windows: np.ndarray) -> np.ndarray:
+        """What each queue has given before each window."""
+        goals = np.minimum(windows * window, whole)
+        out = np.zeros((len(goals), len(totals)), np.int64)
+        for t, goal in ((0, np.minimum(goals, first_tier)), (1, np.maximum(goals - first_tier, 0))):
+            if (tier == t).any():
+                out[:, tier == t] = given(totals[tier == t], weights[tier == t], goal)
+        return out
+
+    @releasing
     def lay(batches):
-        start: dict[tuple[int, int], int] = {}
-        edges = np.zeros((0, n_queues), dtype=np.int64)
+        edges = np.zeros((0, len(totals)), np.int64)
         first = 0  # window of edges[0]
+        key, w, here = None, 0, 0
 
-        def need(lo, hi):
+        def need(lo):
             nonlocal edges, first
-            if lo < first or hi >= first + len(edges):
-                first, edges = lo, given(totals, np.arange(lo, max(hi + 1, lo + 512)), window)
+            if lo < first or lo + 1 >= first + len(edges):
+                first, edges = lo, edges_of(np.arange(lo, lo + max(8, (1 << 19) // len(totals))))
+
+        def find(queue, at):
+            """The window that holds the queue's token number ``at``."""
+            lo, hi = 0, last
+            while hi - lo > 1:
+                mid = (lo + hi) // 2
+                lo, hi = (mid, hi) if edges_of(np.array([mid]))[0, queue] <= at else (lo, mid)
+            return lo
 
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256).to_pydict()
                 out = [[] for _ in range(7)]
-                for doc, queue, part, n, ids in zip(*(rows[c] for c in ("doc_id", "queue", "part", "n", "ids"))):
-                    here = start.get((queue, part), base[queue, part])
-                    start[queue, part] = here + n
+                for doc, queue, number, n, ids in zip(*(rows[c] for c in ("doc_id", "queue", "part", "n", "ids"))):
+                    if key != (queue, number):
+                        key, here = (queue, number), base[queue, number]
+                        w = find(queue, here)
                     wide = np.frombuffer(ids, "<u2").astype("<u4")
-                    # the window that holds the queue's token number `here`
-                    w = min(int(here / max(int(totals[queue]), 1) * whole / window), last - 1)
-                    w = max(0, w - 1)
-                    need(w, w + 2)
-                    while edges[w - first, queue] > here:
-                        w = max(0, w - 8)
-                        need(w, w + 16)
                     done = 0
                     while done < n:
-                        need(w, w + 1)
+                        need(w)
                         i = w - first
                         stop = int(edges[i + 1, queue])
-                        if stop > here + done:
-                            take = min(n - done, stop - here - done)
-                            before = int((edges[i + 1, :queue] - edges[i, :queue]).sum())
-                            for column, value in zip(
-                                out,
-                                (
-                                    doc,
-                                    done,
-                                    take,
-                                    zlib.crc32(wide[done : done + take].tobytes()),
-                                    n,
-                                    w,
-                                    before + here + done - int(edges[i, queue]),
-                                ),
-                            ):
-                                column.append(value)
-                            done += take
-                        w += 1
+                        if stop <= here + done:
+                            w += 1
+                            continue
+                        take = min(n - done, stop - here - done)
+                        before = int((edges[i + 1, :queue] - edges[i, :queue]).sum())
+                        values = (doc, done, take, zlib.crc32(wide[done : done + take].tobytes()), n, w, before + here + done - int(edges[i, queue]))
+                        for column, value in zip(out, values):
+                            column.append(value)
+                        done += take
+                    here += n
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in out], names=NAMES)
 
-    dealt = table.repartition("queue", "part").sortWithinPartitions("queue", "part", "doc_id", "n", "ids")
-    return dealt.mapInArrow(lay, ", ".join(f"{c} long" for c in NAMES))
+    dealt = rows.repartition("queue", "part").sortWithinPartitions("queue", "part", "due", "doc_id", "h", "n", "ids")
+    return dealt.select("queue", "part", "doc_id", "n", "ids").mapInArrow(lay, ", ".join(f"{c} long" for c in NAMES))
 
 
 NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
