@@ -1,9 +1,11 @@
 """Every operator against a brute-force version on small fixtures with nulls, empty and repeated rows."""
 
 import hashlib
+import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import public_tokenizers
@@ -216,30 +218,55 @@ def test_sharding(spark, docs):
     assert shard_rows(docs.limit(0)).collect() == []
 
 
-def test_top_k(spark):
-    from folioscope.llm.top_k import top_k
+def best_of(rows, k=5):
+    """``(query_id, rank, vec_id, score)`` by comparing every query row with every other row."""
+    whole = {}
+    for n, (i, v) in enumerate(rows):
+        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
+            whole[n] = i, [math.floor(Fraction(x) * 256) for x in v]
+    out = Counter()
+    for n, (i, v) in whole.items():
+        if i % 50 == 0:
+            score = lambda w: max(-(2**63), min(2**63 - 1, sum(a * b for a, b in zip(v, w))))  # noqa: B023, E731
+            best = sorted((-score(w), j) for m, (j, w) in whole.items() if m != n)[:k]
+            out.update((i, r, j, -x) for r, (x, j) in enumerate(best, 1))
+    return out
+
 
+@pytest.mark.parametrize("piece,block", [(8192, 8192), (37, 3)])
+def test_top_k(spark, piece, block, monkeypatch):
+    from folioscope.llm import top_k as T
+
+    monkeypatch.setattr(T, "PIECE_ROWS", piece)
+    monkeypatch.setattr(T, "QUERY_BLOCK", block)
+    monkeypatch.setattr(T, "SLICES", 4)
+    monkeypatch.setattr(T, "SEED_ROWS", 20)
     rng = np.random.default_rng(1)
-    vectors = {i: rng.normal(size=8) * rng.choice([0.1, 1, 3]) for i in range(400)}
-    rows = [(i, v.tolist()) for i, v in vectors.items()]
-    rows += [(900, None), (901, [None] * 8), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (904, []), (None, [1.0] * 8), (7, vectors[7].tolist()), (950, [2.0, 1.0])]
-    vectors[950] = np.array([2.0, 1.0, 0, 0, 0, 0, 0, 0])
-    q = {i: np.floor(256 * v).astype(int) for i, v in vectors.items()}
-    got = defaultdict(list)
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    for r in top_k(df, F.col("vec_id") % 50 == 0).orderBy("query_id", "rank").collect():
-        got[r.query_id].append((r.rank, r.vec_id, r.score))
-    for i in [i for i in q if i % 50 == 0]:
-        best = sorted((-int(q[i] @ q[j]), j) for j in q if j != i)[:5]
-        assert got.pop(i) == [(k + 1, j, -s) for k, (s, j) in enumerate(best)]
-    assert not got
-    assert top_k(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
+    rows = [(i, (rng.normal(size=8) * rng.choice([0.1, 1, 3])).tolist()) for i in range(400)]
+    rows += [(900, None), (901, [None] * 8), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (904, []), (None, [1.0] * 8), (950, [2.0, 1.0])]
+    rows += [(7, rows[7][1]), (50, rows[50][1]), (50, rows[51][1]), (100, rows[100][1]), (100, rows[100][1])]  # repeated ids, queries included
+    rows += [(500 + i, rows[20][1]) for i in range(30)]  # ties
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("row", F.lit(1)).withColumn("x", F.lit("x"))
+    got = Counter(tuple(r) for r in T.top_k(df, F.col("vec_id") % 50 == 0).collect())
+    assert got == best_of(rows)
+    assert T.top_k(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
+    one = spark.createDataFrame([(50, [1.0])], "vec_id long, embedding array<double>")
+    assert T.top_k(one, F.col("vec_id") % 50 == 0).collect() == []
+
+
+def test_top_k_of_large_components(spark):
+    from folioscope.llm.top_k import top_k
+
+    rows = [(0, [1e8, 1.0]), (1, [9e6, 0.0]), (2, [1.0, 3.0]), (50, [9e6, -2.0]), (51, [1e300, 1.0]), (52, [-1e8, 5e7]), (53, [0.0, 0.0])]
+    rows += [(100, [1.7e308, 0.0]), (101, [-1.7e308, 1.0]), (150, [0.0, 1.0]), (102, [1e-300, 0.0]), (200, [3e7, 3e7]), (103, [2.0**28 + 0.5, -(2.0**28)])]
+    got = Counter(tuple(r) for r in top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0, k=20).collect())
+    assert got == best_of(rows, 20)
 
 
 def test_packing(spark, docs):
     from tokenizers import Tokenizer
 
-    from folioscope.llm.packing import given, json_encoder, pack
+    from folioscope.llm.packing import json_encoder, pack
 
     path = public_tokenizers.path("word_bpe_49k.json")
     library = Tokenizer.from_file(path)
@@ -267,12 +294,92 @@ def test_packing(spark, docs):
             assert offset == at
             at += length
         assert at == 2048 or w == last
-    totals = np.array([5, 0, 90, 3000])
-    c = given(totals, np.arange(400), 8)
-    assert (np.diff(c, axis=0) >= 0).all() and (c[-1] == totals).all()
     assert pack(docs.limit(0), json_encoder(path)).collect() == []
 
 
+def round_robin(totals, weights, window):
+    """Plain deficit round-robin, window by window: what each queue gives, and its deficit before it gives."""
+    left, owed, out = list(totals), [0.0] * len(totals), []
+    while sum(left):
+        room = min(window, sum(left))
+        want, share = room, [0.0] * len(left)
+        before = list(left)
+        while want > 1e-9:  # a queue that runs dry leaves its share to the others
+            live = [s for s in range(len(left)) if before[s] - owed[s] - share[s] > 1e-9]
+            if not live:
+                break
+            step = min([want] + [(before[s] - owed[s] - share[s]) * sum(weights[t] for t in live) / weights[s] for s in live])
+            for s in live:
+                share[s] += step * weights[s] / sum(weights[t] for t in live)
+            want -= step
+        owed = [o + x for o, x in zip(owed, share)]
+        claim = list(owed)
+        give = [math.floor(o + 1e-9) for o in owed]
+        for s in sorted(range(len(left)), key=lambda s: (-round(owed[s] - give[s], 6) if give[s] < left[s] else math.inf, s))[: room - sum(give)]:
+            give[s] += 1
+        left = [x - g for x, g in zip(left, give)]
+        owed = [o - g for o, g in zip(owed, give)]
+        out.append((give, claim))
+    return out
+
+
+def test_packing_gives_what_deficit_round_robin_gives():
+    from folioscope.llm.packing import given
+
+    draw = random.Random(4)
+    for case in range(30):
+        size = draw.randrange(1, 9)
+        totals = [draw.randrange(0, 4000) for _ in range(size)]
+        weights = [float(t) for t in totals] if case % 2 else [draw.choice([1.0, 2.0, 5.0, 0.5]) for _ in totals]
+        window = draw.choice([64, 100])
+        rounds = round_robin(totals, weights, window)
+        goals = np.minimum(np.arange(len(rounds) + 1) * window, sum(totals))
+        edges = given(np.array(totals), np.array(weights), goals)
+        assert (edges[0] == 0).all() and (edges[-1] == totals).all()
+        for step, (give, claim) in zip(np.diff(edges, axis=0), rounds):
+            assert step.tolist() == give and (abs(step - np.array(claim)) < 1 + 1e-6).all()  # each deficit is less than a token
+        alone = given(np.array(totals), np.array(weights), goals[len(goals) // 2 :])
+        assert (alone == edges[len(goals) // 2 :]).all()  # any window on its own
+
+
+def test_packing_keeps_target_shares(spark, monkeypatch):
+    from folioscope.llm import packing as P
+
+    monkeypatch.setattr(P, "PART_TOKENS", 500)
+    spaces = lambda: lambda texts: (np.concatenate([np.array([int(x) for x in t.as_py().split()], np.uint16) for t in texts] or [np.zeros(0, np.uint16)]), np.array([len(t.as_py().split()) for t in texts]))
+    draw = random.Random(6)
+    rows, n = [], 0
+    for source, count in (("a", 120), ("b", 60), (None, 30), *((f"rare{i}", 1) for i in range(40))):
+        for _ in range(count):
+            rows.append((n, " ".join(str(draw.randrange(2, 999)) for _ in range(draw.randrange(0, 90) if count > 1 else 3)), source))
+            n += 1
+    rows += [(n, "7 " * 3000, "a"), (None, "", "a"), (None, None, "b"), (n + 1, "5", "b"), (n + 1, "5", "b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("queue", F.lit(1)).withColumn("part", F.lit("x"))
+    size = {}
+    for d, t, s in rows:
+        size[s or ""] = size.get(s or "", 0) + len((t or "").split()) + 1
+    whole, window = sum(size.values()), 128
+    source = {d: s or "" for d, _, s in rows}
+    for targets in (None, {"a": 1.0, "b": 3.0, "rare0": 0.0, "rare1": 0.001, "none": 2.0}):
+        got = P.pack(docs, spaces, window, targets).collect()
+        filled = defaultdict(Counter)
+        for r in got:
+            filled[r.sequence_id][source[r.doc_id] if r.doc_id is not None else "?"] += r.length
+        assert sum(r.length for r in got) == whole and sorted(filled) == list(range(-(-whole // window)))
+        assert all(sum(c.values()) == window for w, c in filled.items() if w < max(filled))
+        places = defaultdict(list)
+        for r in got:
+            places[r.sequence_id].append((r.offset, r.length))
+        assert all(sum(x for _, x in sorted(v)[:i]) == o for v in places.values() for i, (o, _) in enumerate(sorted(v)))
+        share = {s: t / whole for s, t in size.items()} if targets is None else {"a": 1 / 4, "b": 3 / 4}
+        end = max(filled) if targets is None else int(size["b"] / (window * 3 / 4)) - 1
+        for s in ("a", "b", ""):
+            for w in range(end):  # two roundings of a window's edges, and the pieces without an id
+                assert abs(filled[w][s] - window * share.get(s, 0)) <= 2 + filled[w]["?"]
+        rare = [r.sequence_id for r in got if source.get(r.doc_id, "").startswith("rare")]
+        assert targets or max(rare) - min(rare) > 0.7 * max(filled)
+
+
 def test_substring_dedup(spark):
     from folioscope.llm.substring_dedup import remove_units, repeated_units
 
