@@ -16,7 +16,7 @@ _SQL: dict[str, str] = {}
 #: Text that is added to documents by turns, so that rules for markup find something.
 SNIPPETS = [
     "plain end",
-    r"\left( x \right) and \left[ y",
+    r"$a$ \left( x \right) and \left[ y",
     "<math>a</math> <center> </center>",
     r"$$ {a \{ b $$ and $$ {c} $$",
     r"\begin{array} x \end{array} \begin{cases}",
@@ -26,7 +26,11 @@ SNIPPETS = [
     "{{note text}} � ",
     "```\n  | a |\n```\n| a |\n| b |\n  | c |",
     "```\nopen fence",
-    "<p>old</p> <iaci> <Div class='x'>",
+    "<p>old</p> <iaci> <Div class='x'> <see 3, x> </Mb >",
+    r"\left( no formula \begin{array}",
+    "$$ x $$ .\n$$ y $$ tail\n$$ z $$\n" + r"$a \right\\left. b$ \right\\left\{",
+    "<math\nx='1'>a <center\nclass='c'>\n</center> $$ {{a}} $$ $$ {a\\\\{ b} $$ $$$$",
+    "## References\n\nThis work was published before January 1\nlonger tail",
 ]
 
 
@@ -72,23 +76,49 @@ def _count(pattern: str) -> str:
     return f"len(regexp_extract_all(text, {_q(pattern)}))"
 
 
+def _lines_where(condition: str) -> str:
+    return f"len([x for x in string_split(text, chr(10)) if {condition}])"
+
+
+_TRAILER = f"regexp_matches(x, {_q('(?s)' + rules.TRAILER)}) and not contains(regexp_extract(x, {_q('(?s)' + rules.TRAILER)}, 1), '$$')"
+_UNBALANCED = "length(replace(s, '{', '')) <> length(replace(s, '}', ''))"
+
+
 def _rules_sql(t: str) -> str:
-    def row(code, severity, n):
-        return f"select doc_id, '{code}' as code, '{severity}' as severity, cast({n} as bigint) as n from {t}"
-
-    near_math = " - " + _count(r"(?s)\$\$.{0,8}" + rules.PATTERNS["W003"][1])
-    parts = [row(c, s, _count(p) + near_math * (c == "W003")) for c, (s, p) in rules.PATTERNS.items()]
-    parts += [row(c, s, f"abs({_count(a)} - {_count(b)})") for c, (s, a, b) in rules.BALANCES.items()]
-    stripped = "[regexp_replace(s, '\\\\[\\\\{}]', '', 'g') for s in regexp_extract_all(text, '\\$\\$([^\\n$]*)\\$\\$', 1)]"
-    parts.append(row("M005", "error", f"len([s for s in {stripped} if length(replace(s, '{{', '')) <> length(replace(s, '}}', ''))])"))
-    parts.append(row("C001", "error", "len([x for x in string_split(text, chr(10)) if starts_with(x, '```')]) % 2"))
-    parts.append(row("W001", "error", " + ".join(f"contains(text, {_q(d)})::int" for d in rules.DEBRIS)))
-    footer = "regexp_matches(s, '^## +(Footnotes|External links|References|See also|Categories)[ \\t]*(\\n|$)')"
+    """``doc_id, code, severity, n``: hits of the rules on the texts of ``t``, which have no headers."""
+    def row(code, severity, n, math=False):
+        return f"select doc_id, '{code}' as code, '{severity}' as severity, cast({n} as bigint) as n from {t}" + " where contains(text, '$')" * math
+
+    near_math = _count(r"(?s)\$\$.{0,8}" + rules.TEMPLATE)
+    stripped = "[regexp_replace(s, '\\\\[\\\\{}]', '', 'g') for s in " + f"regexp_extract_all(text, {_q(rules.FORMULA)}, 1)]"
+    begins, ends = (f"regexp_extract_all(text, {_q(chr(92) * 2 + w + rules.ENVIRONMENT)}, 1)" for w in ("begin", "end"))
+    envs = f"list_distinct(list_concat({begins}, {ends}))"
+    off = f"abs(len([y for y in {begins} if y = x]) - len([y for y in {ends} if y = x]))"
+    levels = "[length(h) for h in " + f"regexp_extract_all(text, {_q(rules.HEADING)}, 1)]"
+    footer = f"regexp_matches(s, '^##\\s+(?:{rules.FOOTERS})[ \\t]*(?:\\n|$)')"
     debris = " or ".join(f"contains(s, {_q(d)})" for d in rules.DEBRIS)
     sections = "string_split(replace(text, chr(10) || '## ', chr(10) || chr(1) || '## '), chr(10) || chr(1))"
-    parts.append(row("W002", "error", f"len([s for s in {sections} if {footer} and ({debris})])"))
-    parts.append(row("B001", "error", "(length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) < 100)::int"))
-    parts.append(f"select doc_id, 'L001', 'warn', min(line_no) from {_lines_sql(t)} where length(line) > 20000 group by doc_id")
+    parts = [
+        row("M001", "error", f"abs({_count(rules.LEFT)} - {_count(rules.RIGHT)})", True),
+        row("M002", "error", _count(rules.BROKEN), True),
+        row("M003", "warn", _lines_where(_TRAILER), True),
+        row("M004", "error", _count(rules.MATH_TAG)),
+        row("M005", "error", f"len([s for s in {stripped} if {_UNBALANCED}])", True),
+        row("M006", "error", f"abs(len({begins}) - len({ends}))", True),
+        row("M007", "error", f"coalesce(list_sum([{off} for x in {envs}]), 0)", True),
+        row("W001", "error", " + ".join(f"contains(text, {_q(d)})::int" for d in rules.DEBRIS)),
+        row("W002", "error", f"len([s for s in {sections} if {footer} and ({debris})])"),
+        row("W003", "warn", f"{_count(rules.TEMPLATE)} - {near_math}"),
+        row("H001", "warn", _count(rules.EMPTY_CENTER)),
+        row("H002", "warn", f"(len([i for i in range(2, len({levels}) + 1) if {levels}[i] > {levels}[i - 1] + 1]) > 0)::int"),
+        row("B001", "error", "(length(regexp_replace(text, '^\\s+|\\s+$', '', 'g')) < 100)::int"),
+        row("U001", "error", _count(r"\x{FFFD}")),
+        row("U002", "warn", _count(r"[\x{E000}-\x{F8FF}]")),
+        row("C001", "error", _lines_where("starts_with(x, '```')") + " % 2"),
+        row("X001", "warn", _count(rules.KNOWN_TAG)),
+        row("X002", "error", f"len([x for x in regexp_extract_all(text, {_q(rules.TAG)}, 1) if not list_contains({_list(rules.ELEMENTS)}, lower(x))])"),
+        row("L001", "warn", f"({_lines_where('length(x) > 20000')} > 0)::int"),
+    ]
     return "(select * from (" + " union all ".join(parts) + ") where n > 0)"
 
 
@@ -107,7 +137,49 @@ def quality_gate(spark, sf_dir):
 
 
 @query(
-    f"""with m as (select doc_id, unnest(regexp_extract_all(text, '\\\\(?:begin|end)\\{{[^}}]*\\}}')) as m from {INJECTED})
+    f"""select count(distinct doc_id) as n_docs, sum(n)::bigint as n_issues, sum(n) filter (severity = 'error')::bigint as n_errors, sum(n) filter (severity = 'warn')::bigint as n_warnings,
+    sum(n) filter (code in ('M002', 'M003', 'W001', 'W002', 'H001'))::bigint as n_fixable, 'failed' as status from {_rules_sql(INJECTED)}"""
+)
+def lint_totals(spark, sf_dir):
+    return reports.totals(_injected(spark, sf_dir))
+
+
+def _marked_sql(code: str, pattern: str, condition: str = "true") -> str:
+    marked = f"string_split(regexp_replace(text, {_q(pattern)}, chr(1) || chr(92) || '0', 'g'), chr(10))"
+    return f"""select doc_id, '{code}' as code, line::int as line, (length(x) - length(replace(x, chr(1), '')))::bigint as n
+    from (select doc_id, unnest(range(1, len(ls) + 1)) as line, unnest(ls) as x from (select doc_id, {marked} as ls from {INJECTED} where {condition})) where contains(x, chr(1))"""
+
+
+@query(
+    "select * from (" + " union all ".join([
+        _marked_sql("M002", rules.BROKEN, "contains(text, '$')"), _marked_sql("M004", rules.MATH_TAG), _marked_sql("H001", rules.EMPTY_CENTER),
+        f"select doc_id, 'M003' as code, line_no::int as line, 1::bigint as n from (select doc_id, line_no, line as x from {_lines_sql(INJECTED)}) where {_TRAILER}",
+        f"""select doc_id, 'W001' as code, (length(p) - length(replace(p, chr(10), '')) + 1)::int as line, 1::bigint as n
+        from (select doc_id, substr(text, 1, strpos(text, d) - 1) as p from (select *, unnest({_list(rules.DEBRIS)}) as d from {INJECTED}) where contains(text, d))""",
+    ]) + ")"
+)
+def issue_lines(spark, sf_dir):
+    found = rules.issues(_injected(spark, sf_dir), "doc_id").where(F.col("code").isin("M002", "M003", "M004", "H001", "W001"))
+    return found.select("doc_id", "code", "line", "n")
+
+
+@query(
+    f"""select doc_id, md5(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?s)\\s+## See also\\nrule of the shorter term\\n## Next$', chr(10)),
+    '(?s)\\s+## References\\n\\nThis work was published.*$', chr(10)), '\\\\right\\\\\\\\left([\\\\.])', '\\\\right\\\\}}\\\\left\\1', 'g'), '(?m)^(\\$\\$ .* \\$\\$)[.,;:!?]+\\s*$', '\\1', 'g'),
+    '<center[^>]*>\\s*</center>', '', 'g')) as digest from {INJECTED}"""
+)
+def fixed_texts(spark, sf_dir):
+    return _injected(spark, sf_dir).select("doc_id", F.md5(rules.fix_text("text").cast("binary")).alias("digest"))
+
+
+@query("select doc_id, 'E001' as code, 'error' as severity, 0 as line from documents where doc_id % 9 = 0")
+def encoding_errors(spark, sf_dir):
+    tail = F.when(F.col("doc_id") % 9 == 0, F.unhex(F.lit("FF"))).otherwise(F.unhex(F.lit("")))
+    return rules.encoding_rule(_t(spark, sf_dir, "documents").select("doc_id", F.concat(F.col("text").cast("binary"), tail).alias("content")))
+
+
+@query(
+    f"""with m as (select doc_id, unnest(regexp_extract_all(text, '\\\\(?:begin|end)\\{{[a-z*]+\\}}')) as m from {INJECTED})
     select * from (select doc_id, regexp_extract(m, '\\{{([^}}]*)\\}}', 1) as env, sum(starts_with(m, '\\begin')::int)::bigint as n_begin,
     sum(1 - starts_with(m, '\\begin')::int)::bigint as n_end from m group by all) where n_begin <> n_end"""
 )
@@ -229,13 +301,13 @@ def index_header(spark, sf_dir):
     )
 
 
-@query(f"select page_id as doc_id, substr(t, 1, 40) as tag, count(*) as n from (select page_id, unnest(regexp_extract_all(html, {_q(rules.PATTERNS['X001'][1])})) as t from pages) group by all")
+@query(f"select page_id as doc_id, substr(t, 1, 40) as tag, count(*) as n from (select page_id, unnest(regexp_extract_all(html, {_q(rules.KNOWN_TAG)})) as t from pages) group by all")
 def html_tag_counts(spark, sf_dir):
     return rules.tag_counts(_t(spark, sf_dir, "pages").withColumnRenamed("page_id", "doc_id"), "html")
 
 
 @query(
-    f"""select doc_id, lower(t) as name, count(*) as n from (select doc_id, unnest(regexp_extract_all(text, '</?([a-zA-Z][a-zA-Z0-9-]*)(?:\\s[^<>]*)?/?>', 1)) as t from {INJECTED})
+    f"""select doc_id, lower(t) as name, count(*) as n from (select doc_id, unnest(regexp_extract_all(text, {_q(rules.TAG)}, 1)) as t from {INJECTED})
     where not list_contains({_list(rules.ELEMENTS)}, lower(t)) group by all"""
 )
 def unknown_tags(spark, sf_dir):
@@ -295,14 +367,14 @@ def snapshot_diff(spark, sf_dir):
 
 
 @query(
-    """select doc_id, m as mark, length(text) - length(replace(text, m, '')) as n_source, (length(c) - length(replace(c, m, '')))::bigint as n_copy
-    from (select doc_id, text, regexp_replace(text, '[.,][^.]*$', '') as c, unnest(['.', ',', '«']) as m from documents)
-    where length(c) - length(replace(c, m, '')) < length(text) - length(replace(text, m, ''))"""
+    """select doc_id, m as mark, length(text) - length(replace(text, m, '')) as n_source, (length(c) - length(replace(c, m, '')))::bigint as n_copy,
+    m = '«' or length(c) - length(replace(c, m, '')) >= length(text) - length(replace(text, m, '')) as ok
+    from (select doc_id, text, regexp_replace(text, '[.,][^.]*$', '') as c, unnest(['.', ',', '«']) as m from documents) where contains(text, m)"""
 )
 def mark_drops(spark, sf_dir):
     docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
     copy = docs.select("doc_id", F.regexp_replace("text", r"[.,][^.]*$", "").alias("text"))
-    return relations.mark_drops(docs, copy, ".,«")
+    return relations.mark_drops(docs, copy, ".,«", rendered={"«"})
 
 
 STATED = [("en", 1), ("fr", 2), ("xx", 3), ("en", 4)]
@@ -321,47 +393,125 @@ def coverage_check(spark, sf_dir):
 
 _HEAD = "---\ntitle: {}\nauthor: A\nlanguage: {}\nyear: {}\nsource: S\n"
 HEADERS = [
-    _HEAD.format("T", "en", "1915") + "license: L\n---\n\nbody",
-    _HEAD.format("A: B", "no", "c. 500") + "---\nbody",
+    _HEAD.format("T", "en", "1915") + "license: L\n---\n\n",
+    _HEAD.format("A: B", "no", "c. 500") + "---\n",
     _HEAD.format('"A: B"', "en", '"c. 399 BCE"') + "license: L\nnever closed",
-    "no header",
+    "no header\n",
+    _HEAD.format("T:", "~", "'1800'") + "license: L\n---\n",
+    _HEAD.format("T", "en", "-399") + "licence: L\nnote: yes\n---\n---\n",
 ]
 
 
+def _headed(spark, sf_dir) -> DataFrame:
+    """Documents below headers by turns."""
+    raw = F.element_at(F.array(*map(F.lit, HEADERS)), (F.col("doc_id") % len(HEADERS) + 1).cast("int"))
+    return _t(spark, sf_dir, "documents").select("doc_id", "lang", F.concat(raw, F.col("text")).alias("raw"))
+
+
+HEADED = f"(select doc_id, lang, {_list(HEADERS)}[doc_id % {len(HEADERS)} + 1] || text as raw from documents)"
+_HEADER_SQL = f"""(select doc_id, raw, starts_with(raw, '---' || chr(10)) as opened, regexp_extract(raw, '(?s)^---\\n(.*?)\\n---\\n', 1) as header,
+    regexp_matches(raw, '(?s)^---\\n.*?\\n---\\n') as closed from {HEADED})"""
+_HEADER_LINES = f"""(select doc_id, line, regexp_extract(x, '^[A-Za-z_][A-Za-z0-9_-]*:\\s+(\\S.*)$', 1) as v from
+    (select doc_id, unnest(range(2, len(ls) + 2)) as line, unnest(ls) as x from (select doc_id, string_split(header, chr(10)) as ls from {_HEADER_SQL} where closed)))"""
+
+
 @query(
-    """select doc_id, code, n from (select doc_id, unnest([{code: 'FM001', n: [0, 0, 0, 1][k]}, {code: 'FM002', n: [0, 0, 1, 0][k]}, {code: 'FM003', n: [0, 1, 0, 0][k]},
-    {code: 'FM004', n: [0, 1, 0, 0][k]}, {code: 'FM005', n: [0, 1, 0, 0][k]}, {code: 'FM006', n: [0, 1, 0, 0][k]}], recursive := true)
-    from (select doc_id, (doc_id % 4 + 1)::int as k from documents)) where n > 0"""
+    f"""select doc_id, 'FM001' as code, 'error' as severity, 1 as line, 1::bigint as n from {_HEADER_SQL} where not opened
+    union all select doc_id, 'FM002', 'error', 1, 1 from {_HEADER_SQL} where opened and not closed
+    union all select doc_id, 'FM003', 'warn', 1, n from (select doc_id, {' + '.join(f"(not regexp_matches(header, '(?m)^{k}:'))::int" for k in rules.REQUIRED)} as n from {_HEADER_SQL} where closed) where n > 0
+    union all select doc_id, 'FM004', 'warn', 1, 1 from (select doc_id, regexp_extract(header, '(?m)^year: *(.+)$', 1) as y from {_HEADER_SQL} where closed) where not regexp_matches(y, '^-?[0-9]+$') and y[1] <> '"'
+    union all select doc_id, 'FM005', 'error', line::int, 1 from {_HEADER_LINES} where v[1] not in ('"', chr(39)) and (contains(v, ': ') or ends_with(v, ':'))
+    union all select doc_id, 'FM006', 'error', line::int, 1 from {_HEADER_LINES} where list_contains({_list(rules.COERCED)}, lower(v))"""
 )
 def frontmatter_rules(spark, sf_dir):
-    raw = F.element_at(F.array(*map(F.lit, HEADERS)), (F.col("doc_id") % 4 + 1).cast("int"))
-    return rules.header_rules(_t(spark, sf_dir, "documents").select("doc_id", raw.alias("raw")))
+    return rules.header_rules(_headed(spark, sf_dir))
+
+
+_ROUTE = "---\nlanguage: {}\nsacred_text: {}\n{}---\n"
+ROUTED = [
+    _ROUTE.format("cop", "other", ""),
+    _ROUTE.format("cop", "recovered-text", ""),
+    _ROUTE.format("cop", '"recovered-text"', "source_note: >-\n  folded\n"),
+    _ROUTE.format("cop", "recovered-text", 'source_note: "found again"\n'),
+    _ROUTE.format("cop", "sole-witness", "source_note: sole-witness\n"),
+    _ROUTE.format("cop", "sole-witness", "source_note: sole-witness, ISO 15924 Copt, sources/a.md\n"),
+    _ROUTE.format("cop", "sole-witness", "source_note: sole-witness, ISO 15924 Copt, sources/b.md\n"),
+    _ROUTE.format("cop", "sole-witness", "source_note: sole-witness, ISO 15924 Copt, sources/c.md\n"),
+    "---\nlanguage: en\n---\n",
+]
+RECORDS = [("a.md", "script `Copt` and locale `cop`"), ("b.md", "script Copt and `co`")]
+_WRONG = [["route"], ["note"], ["block"], ["unnamed"], ["script", "citation"], [], ["record script", "record locale"], ["record"], []]
 
 
-YEARS = ["1915", "c. 1280", "c. 399 BCE", "1887-1906", "-399", "n.d."]
+@query(
+    f"""select doc_id, 'FM007' as code, 'error' as severity, 1 as line, unnest([{', '.join(_list(x) for x in _WRONG)}][doc_id % {len(ROUTED)} + 1]) as detail
+    from documents where not starts_with(text, '---')"""
+)
+def admission_routes(spark, sf_dir):
+    header = F.element_at(F.array(*map(F.lit, ROUTED)), (F.col("doc_id") % len(ROUTED) + 1).cast("int"))
+    docs = _t(spark, sf_dir, "documents").select("doc_id", F.concat(header, F.col("text")).alias("raw"))
+    return rules.route_rule(docs, spark.createDataFrame(RECORDS, "name string, text string"))
 
 
-@query(f"select doc_id, [1915, 1280, -399, 1887, -399, null][doc_id % 6 + 1]::int as year_number from documents where {_list(YEARS)}[doc_id % 6 + 1] is not null")
+@query(
+    """with c as (select 'books/' || lang || '/' || doc_id || '.md' as path, ['Copt', 'Goth', 'Ogam'][doc_id % 3 + 1] as script from documents where doc_id % 50 = 7),
+    f as (select script, min(path) as first_path from c group by script) select path, script, first_path from c join f using (script) where path <> first_path"""
+)
+def sole_witnesses(spark, sf_dir):
+    script = F.element_at(F.array(*map(F.lit, ["Copt", "Goth", "Ogam"])), (F.col("doc_id") % 3 + 1).cast("int"))
+    route = F.when(F.col("doc_id") % 50 == 7, "sole-witness").otherwise("recovered-text")
+    raw = F.concat(F.lit("---\nsacred_text: "), route, F.lit("\nsource_note: 'ISO 15924 "), script, F.lit("'\n---\n"), F.col("text"))
+    path = F.concat(F.lit("books/"), "lang", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md"))
+    return rules.sole_witness_rule(_t(spark, sf_dir, "documents").select(path.alias("path"), raw.alias("raw")))
+
+
+YEARS = ["1915", "c. 1280", "c. 399 BCE", "1887-1906", " -399", "n.d."]
+
+
+@query(
+    f"""select doc_id, case when d <> '' then d::int * case when contains(t, 'BCE') or regexp_matches(t, '^\\s*-') then -1 else 1 end end as year_number
+    from (select doc_id, t, regexp_extract(t, '[0-9]{{1,4}}') as d from (select doc_id, {_list(YEARS)}[doc_id % 6 + 1] || text as t from documents))"""
+)
 def year_numeric(spark, sf_dir):
-    year = F.element_at(F.array(*map(F.lit, YEARS)), (F.col("doc_id") % 6 + 1).cast("int"))
+    year = F.concat(F.element_at(F.array(*map(F.lit, YEARS)), (F.col("doc_id") % 6 + 1).cast("int")), F.col("text"))
     return _t(spark, sf_dir, "documents").select("doc_id", T.year_number(year).alias("year_number"))
 
 
 @query(
-    """with r as (select 'books/' || lang || '/' || source || '/' || doc_id || case when doc_id % 5 = 0 then '.txt' else '.md' end as path, doc_id from documents)
-    select path, rule from (select path, unnest([case when doc_id % 5 = 0 then 'MS-3' end, case when doc_id % 3 = 0 then 'MS-5' end, case when 1900 + doc_id % 50 > 1928 then 'MS-6' end]) as rule from r)
+    """with r as (select doc_id, 'books/' || lang || '/' || source || case when doc_id % 5 = 0 then '.txt' else '/' || doc_id || '.md' end as path from documents)
+    select path, rule from (select path, unnest([case when doc_id % 13 = 0 then 'MS-1' end, case when doc_id % 17 = 0 then 'MS-2' end, case when doc_id % 5 = 0 then 'MS-3' end,
+    case when doc_id % 19 = 0 then 'MS-4' end, case when doc_id % 3 = 0 then 'MS-5' end, case when 1900 + doc_id % 50 > 1928 or doc_id % 23 = 0 then 'MS-6' end,
+    case when doc_id % 29 = 0 or doc_id % 13 = 0 then 'MS-7' end, case when doc_id % 31 = 0 then 'MS-8' end, case when doc_id % 37 = 0 then 'MS-9' end, case when doc_id % 7 = 2 then 'MS-10' end]) as rule from r)
     where rule is not null"""
 )
 def index_violations(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents")
-    ending = F.when(F.col("doc_id") % 5 == 0, ".txt").otherwise(".md")
-    records = docs.select(
-        F.concat(F.lit("books/"), "lang", F.lit("/"), "source", F.lit("/"), F.col("doc_id").cast("string"), ending).alias("path"),
-        F.col("lang").alias("locale"), F.when(F.col("doc_id") % 3 == 0, "").otherwise("t").alias("title"), F.lit("a").alias("author"), "source",
-        (1900 + F.col("doc_id") % 50).alias("year_number"), F.lit("https://x.example").alias("source_url"),
-        F.octet_length("text").alias("size_bytes"), T.token_count(F.col("text")).alias("word_count"),
+    every = lambda k, odd, plain, rest=0: F.when(F.col("doc_id") % k == rest, odd).otherwise(plain)
+    number = F.col("doc_id").cast("string")
+    fields = {
+        "locale": F.col("lang"), "language": every(19, F.lit("english"), F.col("lang")), "title": every(3, F.lit(""), F.lit("t")), "author": F.lit("a"),
+        "source": F.col("source"), "year": every(23, F.lit("ca 1900"), F.lit("c. 1900 CE")), "yearNumeric": (1900 + F.col("doc_id") % 50).cast("string"),
+        "source_url": every(29, F.lit("http://x.example"), F.lit("https://x.example")), "license": every(31, F.lit("other"), F.lit(relations.LICENSE)),
+        "sizeBytes": every(37, F.lit("-1"), F.octet_length("text").cast("string")), "wordCount": T.token_count(F.col("text")).cast("string"),
+        "text_quality": every(7, F.lit("poor"), F.lit("noisy"), 2), "extra": F.lit("x"),
+    }
+    record = F.map_from_arrays(F.array(*map(F.lit, fields)), F.array(*fields.values()))
+    record = F.map_filter(record, lambda k, v: ~((k == "extra") & (F.col("doc_id") % 17 != 0)) & ~((k == "source_url") & (F.col("doc_id") % 13 == 0)))
+    path = F.concat(F.lit("books/"), "lang", F.lit("/"), "source", every(5, F.lit(".txt"), F.concat(F.lit("/"), number, F.lit(".md"))))
+    return relations.index_violations(_t(spark, sf_dir, "documents").select(path.alias("path"), record.alias("record")))
+
+
+@query("select count(*) as book_count, count(distinct lang)::int as locale_count, list_sort(list_distinct(list(lang))) as locales from documents")
+def index_counts(spark, sf_dir):
+    return relations.index_header(_t(spark, sf_dir, "documents").select(F.col("doc_id").cast("string").alias("path"), F.col("lang").alias("locale")))
+
+
+@query("select source as name, 'MS-11' as rule from documents group by source having count(*) > count(distinct lang) or bool_or(doc_id % 100 = 1)")
+def index_header_rules(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").groupBy("source").agg(
+        F.array_sort(F.collect_list("lang")).alias("locales"), F.when(F.bool_or(F.col("doc_id") % 100 == 1), -1).otherwise(F.count("*")).alias("book_count"),
+        F.countDistinct("lang").alias("locale_count"),
     )
-    return relations.index_violations(records)
+    return relations.header_violations(docs.withColumnRenamed("source", "name"))
 
 
 @query("select doc_id, source from (select doc_id, source, row_number() over (partition by source order by doc_id) as rn from documents) where rn > 1")

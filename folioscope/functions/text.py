@@ -47,7 +47,7 @@ def script_count(text: Column, blocks: list[tuple[int, int]]) -> Column:
 def year_number(text: Column) -> Column:
     """First run of one to four digits, negative before the common era; null without digits."""
     digits = F.regexp_extract(text, "([0-9]{1,4})", 1)
-    sign = F.when(text.contains("BCE") | text.startswith("-"), -1).otherwise(1)
+    sign = F.when(text.contains("BCE") | F.ltrim(text).startswith("-"), -1).otherwise(1)
     return F.when(digits != "", digits.cast("int") * sign)
 
 

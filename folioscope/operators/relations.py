@@ -28,16 +28,20 @@ def snapshot_diff(old: DataFrame, new: DataFrame) -> DataFrame:
     return plain.join(renamed.select("doc_id"), "doc_id", "left_anti").unionByName(renamed)
 
 
-def mark_drops(source: DataFrame, copy: DataFrame, marks: str = MARKS, key: str = "doc_id") -> DataFrame:
-    """Marks that are rarer in the copy than in the source: ``key, mark, n_source, n_copy``."""
-    each = F.explode(F.array(*[F.lit(m) for m in marks])).alias("mark")
+def mark_drops(source: DataFrame, copy: DataFrame, marks: str = MARKS, key: str = "doc_id", rendered: frozenset | set = frozenset()) -> DataFrame:
+    """``key, mark, n_source, n_copy, ok`` for every mark of the source: ``ok`` unless the copy has fewer.
 
+    Marks in ``rendered`` stand for what a renderer draws itself; they need not
+    be in the copy.  One row for each document is joined, with its counts.
+    """
     def counts(df, name):
-        return df.select(key, "text", each).select(
-            key, "mark", ((F.length("text") - F.length(F.replace("text", F.col("mark")))) / F.length("mark")).cast("long").alias(name)
-        )
+        n = [(F.length("text") - F.length(F.replace("text", F.lit(m)))).cast("long") for m in marks]
+        return df.select(key, F.array(*n).alias(name))
 
-    return counts(source, "n_source").join(counts(copy, "n_copy"), [key, "mark"]).where("n_copy < n_source")
+    both = counts(source, "s").join(counts(copy, "c"), key)
+    rows = both.select(key, F.inline(F.arrays_zip(F.array(*map(F.lit, marks)).alias("mark"), F.col("s").alias("n_source"), F.col("c").alias("n_copy"))))
+    ok = (F.col("n_copy") >= F.col("n_source")) | F.col("mark").isin(list(rendered))
+    return rows.where("n_source > 0").withColumn("ok", ok)
 
 
 def line_agreement(base: DataFrame, other: DataFrame, min_length: int = 12, high: float = 0.8) -> DataFrame:
@@ -63,27 +67,65 @@ def coverage(stated: DataFrame, actual: DataFrame) -> DataFrame:
     return claimed.join(counts, "locale", "full_outer").select("locale", problem.alias("problem")).where("problem is not null")
 
 
-#: Fixed values of the index schema.
+#: Fixed values of the index schema: keys, patterns, constants.
+INDEX_KEYS = ["path", "locale", "title", "author", "language", "year", "source", "source_url", "license", "yearNumeric", "sizeBytes", "wordCount"]
+OPTIONAL_KEYS = [
+    "year_note", "source_note", "selection_note", "language_note", "edition_note", "translator", "title_translit",
+    "title_en", "author_translit", "text_quality", "sacred_text", "writing-mode",
+]
+LICENSE = "Public domain in the United States"
+TAG_PATTERN = "^[a-z]{2,3}(-[A-Za-z]{2,4})*$"
 INDEX_RULES = {
-    "MS-3": "path is null or not path rlike '^books/[A-Za-z-]+/.+[.]md$'",
-    "MS-4": "locale is null or not locale rlike '^[a-z]{2,3}(-[A-Za-z0-9]{2,8})*$'",
+    "MS-3": "path is null or not path rlike '^books/[^/]+/[^/]+/.+[.]md$'",
+    "MS-4": f"locale is null or language is null or not locale rlike '{TAG_PATTERN}' or not language rlike '{TAG_PATTERN}'",
     "MS-5": "coalesce(length(title), 0) = 0 or coalesce(length(author), 0) = 0 or coalesce(length(source), 0) = 0",
-    "MS-6": "year_number is null or year_number not between -3000 and 1928",
+    "MS-6": "year is null or not year rlike '^(c[.] )?[0-9]{1,4}( (BCE|CE))?(-[0-9]{1,4})?$' or yearNumeric is null or yearNumeric not between -3000 and 1928",
     "MS-7": "source_url is null or not source_url like 'https://%'",
-    "MS-9": "coalesce(size_bytes, -1) < 0 or coalesce(word_count, -1) < 0",
+    "MS-8": f"license is null or license <> '{LICENSE}'",
+    "MS-9": "coalesce(sizeBytes, -1) < 0 or coalesce(wordCount, -1) < 0",
+    "MS-10": "text_quality not in ('noisy', 'alpha') or sacred_text not in ('recovered-text', 'sole-witness') or `writing-mode` not in ('vertical-rl', 'horizontal-tb')",
 }
 
 
-def index_violations(records: DataFrame, rules: dict[str, str] = INDEX_RULES) -> DataFrame:
-    """``path, rule`` for every rule that an index record breaks."""
-    checks = F.explode(F.array(*[F.when(F.expr(c), F.lit(k)) for k, c in rules.items()])).alias("rule")
-    return records.select("path", checks).where("rule is not null")
+def index_violations(records: DataFrame) -> DataFrame:
+    """``path, rule`` for every rule that a record breaks; ``records(path, record map<string,string>)``, values as text.
+
+    MS-1 is a required key that is missing, MS-2 one that the schema does not
+    know; the other rules look at the values, numbers as far as they are any.
+    """
+    numbers = ("yearNumeric", "sizeBytes", "wordCount")
+    value = lambda k: F.try_element_at("record", F.lit(k))
+    typed = [(value(k).try_cast("long") if k in numbers else value(k)).alias(k) for k in INDEX_KEYS[1:] + OPTIONAL_KEYS]
+    keys = F.map_keys("record")
+    rows = records.select(
+        "path",
+        *typed,
+        (F.size(F.array_except(F.array(*map(F.lit, INDEX_KEYS[1:])), keys)) > 0).alias("_missing"),
+        (F.size(F.array_except(keys, F.array(*map(F.lit, INDEX_KEYS + OPTIONAL_KEYS)))) > 0).alias("_more"),
+    )
+    checks = [F.when(F.col("path").isNull() | F.col("_missing"), F.lit("MS-1")), F.when(F.col("_more"), F.lit("MS-2"))]
+    checks += [F.when(F.expr(c), F.lit(k)) for k, c in INDEX_RULES.items()]
+    return rows.select("path", F.explode(F.array(*checks)).alias("rule")).where("rule is not null")
+
+
+def index_header(records: DataFrame) -> DataFrame:
+    """The header of an index of ``records(path, locale)``: ``book_count, locale_count, locales`` (sorted)."""
+    locales = F.array_sort(F.collect_set("locale"))
+    return records.agg(F.count("*").alias("book_count"), locales.alias("locales")).select("book_count", F.size("locales").alias("locale_count"), "locales")
+
+
+def header_violations(headers: DataFrame) -> DataFrame:
+    """MS-11 over ``name, locales array, book_count, locale_count``: repeated or malformed locales, negative or missing counts."""
+    twice = F.size(F.array_distinct("locales")) != F.size("locales")
+    odd = F.exists("locales", lambda x: ~x.rlike(TAG_PATTERN))
+    wrong = (F.coalesce("book_count", F.lit(-1)) < 0) | (F.coalesce("locale_count", F.lit(-1)) < 0)
+    return headers.where(F.coalesce(twice | odd, F.lit(True)) | wrong).select("name", F.lit("MS-11").alias("rule"))
 
 
 def one_each(docs: DataFrame, key: str, order: str) -> DataFrame:
-    """Rows after the first of their key: a uniqueness constraint's violations."""
-    w = Window.partitionBy(key).orderBy(order)
-    return docs.withColumn("rn", F.row_number().over(w)).where("rn > 1").drop("rn")
+    """Rows after the first of their key: a uniqueness constraint's violations.  The first ones are an aggregate, so no key is gathered."""
+    first = docs.groupBy(key).agg(F.min(order).alias("_first"))
+    return docs.join(first, key).where(F.col(order) > F.col("_first")).drop("_first").select(docs.columns)
 
 
 def noise(pages: DataFrame, letters: str) -> DataFrame:

@@ -8,13 +8,32 @@ from pyspark.sql import functions as F
 from ..operators import rules
 
 
-def summary_by_lang(docs: DataFrame) -> DataFrame:
+def summary_by_lang(docs: DataFrame, **options) -> DataFrame:
     """Issues by language, code and severity: ``lang, code, severity, n_docs, n_hits``."""
-    issues = rules.text_rules(docs).join(docs.select("doc_id", "lang"), "doc_id")
-    return issues.groupBy("lang", "code", "severity").agg(F.count("*").alias("n_docs"), F.sum("n").alias("n_hits"))
+    found = rules.checked(docs, "lang", **options).select("lang", F.inline("checks")).where(F.size("hits") > 0)
+    hits = F.aggregate("hits", F.lit(0).cast("bigint"), lambda a, h: a + h["n"])
+    return found.groupBy("lang", "code", "severity").agg(F.count("*").alias("n_docs"), F.sum(hits).alias("n_hits"))
 
 
-def gate(docs: DataFrame, strict: bool = False) -> DataFrame:
-    """``doc_id, status``: blocked by errors (by warnings too if strict), else advisory."""
-    bad = (F.col("severity") == "error") | F.lit(strict)
-    return rules.text_rules(docs).groupBy("doc_id").agg(F.when(F.bool_or(bad), "blocked").otherwise("advisory").alias("status"))
+def gate(docs: DataFrame, strict: bool = False, **options) -> DataFrame:
+    """``doc_id, status`` of documents with issues: blocked by errors (by warnings too if strict), else advisory."""
+    broken = lambda x: F.size(x["hits"]) > 0
+    bad = F.exists("checks", lambda x: broken(x) & ((x["severity"] == "error") | F.lit(strict)))
+    found = rules.checked(docs, "doc_id", **options).where(F.exists("checks", broken))
+    return found.select("doc_id", F.when(bad, "blocked").otherwise("advisory").alias("status"))
+
+
+def totals(docs: DataFrame, strict: bool = False, **options) -> DataFrame:
+    """One row: ``n_docs, n_issues, n_errors, n_warnings, n_fixable, status``."""
+    found = rules.issues(docs, "doc_id", **options)
+    count = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    fixable = F.col("code").isin("M002", "M003", "W001", "W002", "H001")
+    out = found.agg(
+        F.countDistinct("doc_id").alias("n_docs"),
+        count(F.lit(True)).alias("n_issues"),
+        count(F.col("severity") == "error").alias("n_errors"),
+        count(F.col("severity") == "warn").alias("n_warnings"),
+        count(fixable).alias("n_fixable"),
+    )
+    failed = (F.col("n_errors") > 0) | (F.lit(strict) & (F.col("n_warnings") > 0))
+    return out.withColumn("status", F.when(failed, "failed").otherwise("passed"))

@@ -34,7 +34,10 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 def read_code_table(spark: SparkSession, path: str) -> DataFrame:
     """A tab-separated code table with ``#`` comments; of equal codes the first value wins."""
-    return spark.read.csv(path, sep="\t", comment="#", schema="code string, value string").groupBy("code").agg(F.min("value").alias("value"))
+    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", "\r?\n")).alias("n", "line")).where("line <> '' and line not like '#%'")
+    cells = F.split("line", "\t")
+    rows = lines.select("n", F.get(cells, F.lit(0)).alias("code"), F.get(cells, F.lit(1)).alias("value"))
+    return rows.groupBy("code").agg(F.min_by("value", "n").alias("value"))
 
 
 @F.pandas_udf(StringType())
