@@ -16,7 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import HOT_SHARE, broadcast_if_small, discard, every, map_rows, materialize, unused, utf8
@@ -55,8 +55,19 @@ def spans(text: str) -> Iterator[tuple[int, int, list[str], int, bool]]:
         at, before = edge, boundary.start() if boundary else edge
 
 
+def _text_hash(docs: DataFrame) -> Column:
+    """A hash that tells documents of one id apart: of the text if any id is null or repeated, else 0, which costs no space."""
+    again = docs.groupBy("doc_id").count().where("doc_id is null or count > 1")
+    return F.lit(0).cast("long") if again.isEmpty() else F.xxhash64("text")
+
+
 def _units(docs: DataFrame) -> DataFrame:
-    """``doc_id, text_hash, unit, start, stop, till, whole, n_words, d1, d2`` of every unit with a word; ``unit`` counts them, ``d1, d2`` are its digest."""
+    """``doc_id, text_hash, d1, d2, place, size, tail`` of every unit with a word.
+
+    ``d1, d2`` are its digest, ``place`` its start and its number among the
+    document's, ``size`` its length and words, ``tail`` the blanks behind it and
+    whether it begins and ends its line; each two numbers in one.
+    """
     numbers = ("start", "stop", "till", "whole", "n_words")
 
     def make():
@@ -72,22 +83,26 @@ def _units(docs: DataFrame) -> DataFrame:
                 n.append(len(digests) - before)
             digest = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
             at = np.repeat(np.arange(len(n)), n)
-            own = lambda c, kind: pa.array(rows[c], kind).take(pa.array(at))
+            own = lambda c: pa.array(rows[c], pa.int64()).take(pa.array(at))
             unit = np.arange(len(at)) - np.repeat(np.cumsum(n) - n, n)
-            return out | {
-                "doc_id": own("doc_id", pa.int64()), "text_hash": own("text_hash", pa.int64()),
-                "unit": unit.astype(np.int32), "d1": digest[:, 0], "d2": digest[:, 1],
+            start, stop, till, whole, n_words = (np.array(out[k], np.int64) for k in numbers)
+            return {
+                "doc_id": own("doc_id"), "text_hash": own("text_hash"), "d1": digest[:, 0], "d2": digest[:, 1],
+                "place": start << 32 | unit, "size": stop - start << 32 | n_words, "tail": till - stop << 2 | whole,
             }
 
         return step
 
-    slim = docs.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("text_hash"), utf8("text").alias("text"))
-    return map_rows(
-        slim,
-        "doc_id long, text_hash long, unit int, start int, stop int, till int, whole int, n_words int, d1 long, d2 long",
-        make,
-        chunk=256,
-    )
+    slim = docs.select(F.col("doc_id").cast("long"), _text_hash(docs).alias("text_hash"), utf8("text").alias("text"))
+    return map_rows(slim, "doc_id long, text_hash long, d1 long, d2 long, place long, size long, tail long", make, chunk=256)
+
+
+def _high(column: str) -> Column:
+    return F.shiftright(F.col(column), 32).cast("int")
+
+
+def _low(column) -> Column:
+    return F.col(column).bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
 
 def _later(units: DataFrame) -> DataFrame:
@@ -97,7 +112,7 @@ def _later(units: DataFrame) -> DataFrame:
     the inverse of ``HOT_SHARE``, are found by the rows of hash buckets, and
     their first occurrence is broadcast to the rows, which stay where they are.
     """
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "unit")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash", "place")
     most = HOT_SHARE * units.count()
     bucket = F.pmod("d1", F.lit(BUCKETS))
     full = [r["b"] for r in units.groupBy(bucket.alias("b")).count().where(F.col("count") > most).collect()]
@@ -107,7 +122,7 @@ def _later(units: DataFrame) -> DataFrame:
         hot = F.broadcast(materialize(found.where(F.col("times") > most).drop("times"), "hotunits"))
         rest = units.join(hot, ["d1", "d2"], "left_anti")
         parts = [units.join(hot, ["d1", "d2"]).where(rank > F.col("first")).distinct()]
-    order = Window.partitionBy("d1", "d2").orderBy(F.col("doc_id").isNull(), "doc_id", "text_hash", "unit")
+    order = Window.partitionBy("d1", "d2").orderBy(F.col("doc_id").isNull(), "doc_id", "text_hash", "place")
     # equal ranks are rows that repeat id and text
     same = F.lag(rank).over(order) == rank
     cold = rest.select("*", F.first(rank).over(order).alias("first"), F.coalesce(same, F.lit(False)).alias("again"))
@@ -118,7 +133,7 @@ def _later(units: DataFrame) -> DataFrame:
 
 
 def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """Every unit to remove: ``doc_id, text_hash`` and ``UNIT``.
+    """Every unit to remove: ``doc_id, text_hash`` (0 if ids are unique) and ``UNIT``.
 
     Offsets are code points in the original text, ``stop`` exclusive;
     ``cut_start`` and ``cut_stop`` are those of the whole run, with a newline if
@@ -132,16 +147,20 @@ def repeated_units(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     not read.
     """
     units = materialize(_units(docs), "units")
-    late = _later(units).select(
-        "doc_id", "text_hash", "unit", "start", "stop", "till", "whole", "n_words",
-        F.col("first.doc_id").alias("first_doc_id"), F.col("first.unit").alias("first_unit"),
-    )
+    first = F.col("first.place").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+    late = _later(units).select("doc_id", "text_hash", "place", "size", "tail", F.col("first.doc_id").alias("first_doc_id"), first.alias("first_unit"))
     own = ("doc_id", "text_hash")
-    late = late.repartition(*own).withColumn("run", F.col("unit") - F.row_number().over(Window.partitionBy(*own).orderBy("unit")))
+    late = late.repartition(*own).select(
+        *own, _low("place").alias("unit"), _high("place").alias("start"), (_high("place") + _high("size")).alias("stop"),
+        _low("size").alias("n_words"), F.shiftright("tail", 2).cast("int").alias("blanks"), F.col("tail").bitwiseAND(F.lit(3)).alias("whole"),
+        "first_doc_id", "first_unit",
+    )
+    late = late.withColumn("run", F.col("unit") - F.row_number().over(Window.partitionBy(*own).orderBy("unit")))
     run = Window.partitionBy(*own, "run").orderBy("unit").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     ends = F.last("whole").over(run) >= 2
     begins = F.first("whole").over(run) % 2 == 1
-    till, stop = F.last("till").over(run), F.last("stop").over(run)
+    stop = F.last("stop").over(run)
+    till = stop + F.last("blanks").over(run)
     return (
         late.withColumn("run_words", F.sum("n_words").over(run))
         .withColumn("cut_start", F.first("start").over(run))
@@ -167,9 +186,10 @@ def remove_units(docs: DataFrame, units: DataFrame) -> DataFrame:
         "cuts",
     )
     discard(held)
-    keyed = docs.join(
-        broadcast_if_small(gone), docs["doc_id"].eqNullSafe(gone[key]) & (F.xxhash64(docs["text"]) == gone[digest]), "left"
-    )
+    same = docs["doc_id"].eqNullSafe(gone[key])
+    if not gone.where(F.col(digest) != 0).isEmpty():  # ids that are not unique
+        same = same & (F.xxhash64(docs["text"]) == gone[digest])
+    keyed = docs.join(broadcast_if_small(gone), same, "left")
     text = F.col("text")
     # text between runs: from the end of one to the start of the next
     begin = F.concat(F.array(F.lit(0)), F.transform(cuts, lambda s: s["cut_stop"]))
