@@ -1,7 +1,8 @@
 """Quality classifier by co-training of two views.
 
-One view sees the words of a text (hashed words and word shapes), the other the
-page's metadata (source, language, size and layout classes).  Both start from a
+One view sees a text's content (hashed words and word shapes, and classes of its
+layout and marks), the other only the page's metadata (source, language and
+size).  Both start from a
 bounded labelled sample, hand each other their most confident pseudo-labels
 over some rounds, each time out of all unlabelled documents, and are then
 calibrated on held-out labels and combined.  Every document is scored with the
@@ -17,17 +18,20 @@ from collections import Counter
 from operator import eq
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import broadcast_if_small, discard, every, map_rows, materialize, releasing, unused, utf8
 
 #: Labelled rows that the classifiers are fitted and calibrated on, the first of each class by hash of the id.
 MAX_LABELLED = 2500
-#: Hash buckets of each view.
-CONTENT_DIM = 1 << 12
+#: Hash buckets of words and of layout classes, which are the content view, and of the metadata view.
+WORD_DIM, LAYOUT_DIM = 1 << 12, 1 << 9
+CONTENT_DIM = WORD_DIM + LAYOUT_DIM
 METADATA_DIM = 1 << 9
 ROUNDS = 4
+#: Gradient steps of the first fit and of each later one, which goes on from the one before.
+FIRST_STEPS, STEPS = 200, 60
 #: Share of the pool that a view hands over in a round.
 HANDOVER = 0.05
 #: Pseudo-labelled documents enter the training as means of so many groups a label and round, by their metadata.
@@ -43,18 +47,19 @@ GOOD_PASS = 0.99
 def word_features(word: str) -> tuple[int, int]:
     """Buckets of a word and of its shape (runs of upper, lower, digit and other characters)."""
     shape = re.sub(r"(.)\1+", r"\1", "".join("d" if c.isdigit() else "U" if c.isupper() else "l" if c.isalpha() else c for c in word))
-    return zlib.crc32(word.encode()) % CONTENT_DIM, zlib.crc32(("\0" + shape).encode()) % CONTENT_DIM
+    return zlib.crc32(word.encode()) % WORD_DIM, zlib.crc32(("\0" + shape).encode()) % WORD_DIM
 
 
-def metadata_features(lang, source, text: str, split: list[str]) -> list[int]:
-    """Buckets of the page's metadata: where it is from, its language, and classes of its size, layout and repeated words."""
+def _buckets(facts, dim: int) -> list[int]:
+    return sorted({zlib.crc32(f"{k}={v}".encode()) % dim for k, v in facts})
+
+
+def layout_features(text: str, split: list[str]) -> list[int]:
+    """Buckets of classes of a text's lines, word lengths, marks and repeated words."""
     lines = text.count("\n") + 1
     size = len(text)
     words = max(len(split), 1)
     facts = (
-        ("source", source),
-        ("lang", lang),
-        ("size", size.bit_length()),
         ("lines", lines.bit_length()),
         ("line", (size // lines).bit_length()),
         ("word", min(size // words, 30)),
@@ -63,24 +68,41 @@ def metadata_features(lang, source, text: str, split: list[str]) -> list[int]:
         ("stops", min(20, 100 * text.count(".") // words)),
         ("again", -(-20 * sum(map(eq, split, split[1:])) // words)),
     )
-    return [zlib.crc32(f"{k}={v}".encode()) % METADATA_DIM for k, v in facts]
+    return _buckets(facts, LAYOUT_DIM)
+
+
+def metadata_features(lang, source, size: int) -> list[int]:
+    """Buckets of what is known of a page without its text: where it is from, its language, and the class of its size."""
+    half = (size * size).bit_length()  # two classes for each doubling
+    return _buckets((("source", source), ("lang", lang), ("from", (source, lang)), ("size", half)), METADATA_DIM)
 
 
 class Logistic:
-    """Class-weighted L2 logistic regression by Newton-free accelerated gradient steps."""
+    """Class-weighted L2 logistic regression by accelerated gradient steps."""
 
-    def fit(self, x: np.ndarray, y: np.ndarray, steps: int = 80, ridge: float = 1e-4, times: np.ndarray | None = None) -> Logistic:
+    def fit(
+        self, x: np.ndarray, y: np.ndarray, steps: int = 200, ridge: float = 1e-4, times: np.ndarray | None = None, start: Logistic | None = None
+    ) -> Logistic:
+        """Weights for rows ``x`` that count ``times``, from those of ``start`` on, if given."""
         times = np.ones(len(y)) if times is None else times
         share = np.clip(np.average(y, weights=times), 1e-3, 1 - 1e-3)
-        weight = np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) * times / times.sum()
-        self.w, self.b = np.zeros(x.shape[1], np.float32), 0.0
-        rate = 4.0 / max(float((weight[:, None] * x**2).sum(0).max() * np.sqrt((x != 0).sum(1).max())), 0.25)
+        weight = (np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) * times / times.sum()).astype(np.float32)
+        self.w, self.b = (start.w, start.b) if start else (np.zeros(x.shape[1], np.float32), 0.0)
+        # the greatest curvature of the loss, by power iteration
+        v, top = np.ones(x.shape[1] + 1, np.float32), 1.0
+        for _ in range(12):
+            v /= np.linalg.norm(v)
+            z = weight * (x @ v[:-1] + v[-1])
+            v = np.r_[x.T @ z, z.sum()].astype(np.float32)
+            top = float(np.linalg.norm(v))
+        rate = 1 / (0.3 * top + ridge)
         vw, vb = np.zeros_like(self.w), 0.0
         for _ in range(steps):
-            error = weight * (1 / (1 + np.exp(-np.clip(x @ self.w + self.b, -30, 30))) - y)
-            vw = 0.9 * vw - rate * (x.T @ error + ridge * self.w)
-            vb = 0.9 * vb - rate * error.sum()
-            self.w = (self.w + vw).astype(np.float32)
+            error = weight * (1 / (1 + np.exp(-np.clip(x @ self.w + np.float32(self.b), -30, 30))) - y)
+            error = error.astype(np.float32)
+            vw = (0.9 * vw - rate * (x.T @ error + ridge * self.w)).astype(np.float32)
+            vb = 0.9 * vb - rate * float(error.sum())
+            self.w = self.w + vw
             self.b += vb
         return self
 
@@ -89,30 +111,31 @@ class Logistic:
 
 
 def _features(docs: DataFrame) -> DataFrame:
-    """``label, tie``, the content view as buckets and counts and the metadata view as buckets, of ``text, lang, source``."""
+    """``label, tie``, the content view as word buckets with counts and layout buckets, and the metadata view as buckets, of ``text, lang, source, size``."""
 
     def make():
         known: dict[str, tuple[int, int]] = {}
 
         def step(rows):
-            out = {"label": rows["label"], "tie": rows["tie"], "buckets": [], "counts": [], "meta": []}
-            for blob, lang, source in zip(rows["text"], rows["lang"], rows["source"]):
+            out = {"label": rows["label"], "tie": rows["tie"], "buckets": [], "counts": [], "layout": [], "meta": []}
+            for blob, lang, source, size in zip(rows["text"], rows["lang"], rows["source"], rows["size"]):
                 text = blob.decode("utf-8", "replace")
                 words = text.split()
                 if len(known) > 200_000:
                     known.clear()
                 for w in set(words).difference(known):
                     known[w] = word_features(w)
-                counts = np.bincount(np.array([known[w] for w in words], np.int64).ravel(), minlength=CONTENT_DIM)
+                counts = np.bincount(np.array([known[w] for w in words], np.int64).ravel(), minlength=WORD_DIM)
                 at = np.flatnonzero(counts)
                 out["buckets"].append(at.astype("<u2").tobytes())
                 out["counts"].append(counts[at].astype("<u4").tobytes())
-                out["meta"].append(np.unique(metadata_features(lang, source, text, words)).astype("<u2").tobytes())
+                out["layout"].append(np.array(layout_features(text, words), "<u2").tobytes())
+                out["meta"].append(np.array(metadata_features(lang, source, size), "<u2").tobytes())
             return out
 
         return step
 
-    return map_rows(docs, "label int, tie int, buckets binary, counts binary, meta binary", make, chunk=64)
+    return map_rows(docs, "label int, tie int, buckets binary, counts binary, layout binary, meta binary", make, chunk=64)
 
 
 def _sample_features(docs: DataFrame) -> dict[str, np.ndarray]:
@@ -122,6 +145,7 @@ def _sample_features(docs: DataFrame) -> dict[str, np.ndarray]:
         row = np.zeros(CONTENT_DIM, np.float32)
         counts = np.frombuffer(r["counts"], "<u4")
         row[np.frombuffer(r["buckets"], "<u2")] = counts / max(1, counts.sum())
+        row[WORD_DIM + np.frombuffer(r["layout"], "<u2").astype(int)] = 1 / CONTENT_SCALE
         view = np.zeros(METADATA_DIM, np.float32)
         view[np.frombuffer(r["meta"], "<u2")] = 1
         labels.append(r["label"])
@@ -162,9 +186,14 @@ def _sparse(rows: dict[str, list]) -> dict[str, tuple[np.ndarray, np.ndarray, np
     counts = np.frombuffer(b"".join(rows["counts"]), "<u4").astype(float)
     at = number(rows["buckets"], 2)
     total = np.bincount(at, counts, len(rows["tie"]))
-    meta = np.frombuffer(b"".join(rows["meta"]), "<u2")
+    meta, layout = (np.frombuffer(b"".join(rows[c]), "<u2").astype(np.int64) for c in ("meta", "layout"))
+    words = np.frombuffer(b"".join(rows["buckets"]), "<u2").astype(np.int64)
     return {
-        "content": (at, np.frombuffer(b"".join(rows["buckets"]), "<u2"), counts / total[at]),
+        "content": (
+            np.r_[at, number(rows["layout"], 2)],
+            np.r_[words, WORD_DIM + layout],
+            np.r_[counts / total[at], np.full(len(layout), 1 / float(CONTENT_SCALE))],
+        ),
         "meta": (number(rows["meta"], 2), meta, np.ones(len(meta))),
     }
 
@@ -256,7 +285,7 @@ def co_train(seed: dict[str, np.ndarray], pool: DataFrame, good: float) -> dict:
     train = {v: (seed[v][~held], seed["label"][~held].astype(np.float32), np.ones((~held).sum())) for v in VIEWS}
     past, size = [], 0
     for turn in range(ROUNDS + 1):
-        views = {v: Logistic().fit(x, y, times=times) for v, (x, y, times) in train.items()}
+        views = {v: Logistic().fit(x, y, STEPS if views else FIRST_STEPS, times=times, start=views.get(v)) for v, (x, y, times) in train.items()}
         if turn == ROUNDS:
             break
         past.append(({v: (m.w.astype(float) * (CONTENT_SCALE if v == "content" else 1), m.b) for v, m in views.items()}, None))
@@ -288,13 +317,20 @@ def co_train(seed: dict[str, np.ndarray], pool: DataFrame, good: float) -> dict:
     offset = float(combined.b - (centre * slope).sum())
     scores, label = scores @ slope + offset, seed["label"][held]
     return {
-        "content": views["content"].w * CONTENT_SCALE * slope[0],
+        "words": views["content"].w[:WORD_DIM] * CONTENT_SCALE * slope[0],
+        "layout": views["content"].w[WORD_DIM:] * slope[0],
         "meta": views["meta"].w * slope[1],
         "bias": float(offset + views["content"].b * slope[0] + views["meta"].b * slope[1]),
         "threshold": best_cut(scores[label == 1], scores[label == 0]),
     }
 
 
+def _size(docs: DataFrame) -> Column:
+    """The size that the page states, or else that of its text, in characters."""
+    size = F.length("text")
+    return F.coalesce(F.col("n_chars").cast("long"), size, F.lit(0)) if "n_chars" in docs.columns else F.coalesce(size, F.lit(0))
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     """Fit on a bounded sample of the labelled and all unlabelled ``docs``; ``None`` if the labels lack one of the classes.
 
@@ -307,7 +343,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     bad, good = (here.where(F.col("label") == k).orderBy(order, "doc_id").limit(MAX_LABELLED).collect() for k in (0, 1))
     n_bad = min(len(bad), max(MAX_LABELLED // 2, MAX_LABELLED - len(good)))
     chosen = docs.sparkSession.createDataFrame(bad[:n_bad] + good[: MAX_LABELLED - n_bad], here.schema)
-    columns = ("label", F.pmod(order, F.lit(TIES)).cast("int").alias("tie"), utf8("text").alias("text"), "lang", "source")
+    columns = ("label", F.pmod(order, F.lit(TIES)).cast("int").alias("tie"), utf8("text").alias("text"), "lang", "source", _size(docs).alias("size"))
     picked = docs.join(F.broadcast(chosen), "doc_id")
     seed = _sample_features(picked.orderBy(order, "text").select(*columns))
     if len(seed["label"]) < 8 or len(set(seed["label"][np.arange(len(seed["label"])) % 4 != 3])) < 2 or len(set(seed["label"][3::4])) < 2:
@@ -327,12 +363,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
 def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc_id",), cache_words: int = 200_000) -> DataFrame:
     """The columns to carry, ``score double`` (log odds of good) and ``kept boolean`` for every row.
 
-    Reads ``text, lang, source``; null texts are empty.  Without a model all
+    Reads ``text, lang, source`` and, if there, ``n_chars``; null texts are empty.  Without a model all
     scores are 0 and everything is kept.  Where a carried column has the name,
     that of the score or the verdict, which come last, gets underscores before it.
     """
     spark = docs.sparkSession
-    body, lang, source, score, kept = unused(docs, "_text", "_lang", "_source", "score", "kept")
+    body, lang, source, size, score, kept = unused(docs, "_text", "_lang", "_source", "_size", "score", "kept")
     if "score" not in carry:
         score = "score"
     if "kept" not in carry:
@@ -344,11 +380,11 @@ def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc
         model = shared.value
         known: dict[str, float] = {}
         if model:
-            weights, meta = model["content"].tolist(), model["meta"].tolist()
+            weights, layout, meta = (model[k].tolist() for k in ("words", "layout", "meta"))
 
         def step(rows):
             scores = []
-            for blob, where, whence in zip(rows[body], rows[lang], rows[source]):
+            for blob, where, whence, many in zip(rows[body], rows[lang], rows[source], rows[size]):
                 if not model:
                     scores.append(0.0)
                     continue
@@ -360,18 +396,24 @@ def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc
                     a, b = word_features(w)
                     known[w] = weights[a] + weights[b]
                 total = sum(map(known.__getitem__, words)) / max(1, 2 * len(words))
-                scores.append(total + sum(meta[k] for k in set(metadata_features(where, whence, text, words))) + model["bias"])
+                total += sum(layout[k] for k in layout_features(text, words))
+                scores.append(total + sum(meta[k] for k in metadata_features(where, whence, many)) + model["bias"])
             limit = model["threshold"] if model else 0.0
             return {c: rows[c] for c in carry} | {score: scores, kept: [s >= limit for s in scores]}
 
         return step
 
     own = {c: x for c, x in zip(docs.columns, every(docs))}
-    slim = docs.select(*(own[c] for c in carry), utf8("text").alias(body), F.col("lang").alias(lang), F.col("source").alias(source))
+    slim = docs.select(*(own[c] for c in carry), utf8("text").alias(body), F.col("lang").alias(lang), F.col("source").alias(source), _size(docs).alias(size))
     quoted = {c: "`" + c.replace("`", "``") + "`" for c in carry}
     return map_rows(slim, ", ".join(f"{quoted[c]} {fields[c]}" for c in carry) + f", {score} double, {kept} boolean", make, chunk=256)
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``doc_id, score, kept`` for every row of ``docs(doc_id, text, lang, source)``; repeated rows score alike."""
+    """``doc_id, score, kept`` for every row of ``docs(doc_id, text, lang, source)``.
+
+    Nulls in any column are values like any other, a null text is empty;
+    repeated rows score alike.  An empty table gives none.  Other columns are
+    not carried.
+    """
     return classify(docs, fit(docs, labels))
