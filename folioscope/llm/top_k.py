@@ -167,9 +167,18 @@ class TopK:
                 c = order[:reach]
                 bound = self.q.lead[s] @ side.lead[c].T + np.multiply.outer(self.q.rest[s], side.rest[c])
                 qi, ci = np.nonzero(~(bound < need[:, None]))
+                exact = None
+                if 16 * len(qi) > bound.size and self.q.length[s].max() * longest[0] < 2.0**52:
+                    # many are left: all products at once, which are whole numbers that doubles hold
+                    exact = self.q.v[s] @ side.v[c].T
+                    qi, ci = np.nonzero(exact >= need[:, None])
+                    exact = exact[qi, ci].astype(np.int64)
             qi, ci = s[qi], c[ci]
             other = self.rows[qi] != rows[ci]
             qi, ci = qi[other], ci[other]
+            if exact is not None:
+                self._merge(qi, ids[ci], exact[other])
+                continue
             with np.errstate(invalid="ignore", over="ignore"):
                 size = self.q.length[qi] * side.length[ci]
             size[np.isnan(size)] = np.inf
