@@ -149,13 +149,73 @@ def test_quality_classifier_sees_every_unlabelled_document(spark, monkeypatch):
     assert Q._cut(np.array([5, 1]), np.array([4, 2]), 1, 1) == (1, 5) and Q._cut(np.array([5]), np.array([4]), 1, 1) == (5, 6)
 
 
+def brute_tree(urls, prior, chance):
+    """The tree of ``{(host, path): bad}`` by recursion: a function from host and path to template and share."""
+    base = sum(urls.values()) / len(urls) if urls else 0.0
+    smooth = lambda labels, above: (sum(labels) + prior * above) / (len(labels) + prior)
+    cut = lambda path: [x for x in path.split("/") if x]
+    domain = lambda host: ".".join(host.split(".")[-2:])
+
+    def kl(p, q):
+        return (p * math.log(p / q) if p > 0 else 0) + ((1 - p) * math.log((1 - p) / (1 - q)) if p < 1 else 0)
+
+    def locate(host, path):
+        share = base
+        for same in (lambda h: domain(h) == domain(host), lambda h: h == host):
+            labels = [bad for (h, _), bad in urls.items() if same(h)]
+            if labels:
+                share = smooth(labels, share)
+        here = [(cut(p), bad) for (h, p), bad in urls.items() if h == host]
+        template, segs, level = "", cut(path), 0
+        while here and 0 < sum(b for _, b in here) < len(here):
+            kids = defaultdict(list)
+            for x, bad in here:
+                kids[x[level] if level < len(x) else ""].append((x, bad))
+            ended = kids.pop("", [])
+            if not kids:
+                break
+            n, bad = sum(map(len, kids.values())), sum(b for k in kids.values() for _, b in k)
+            literal = set()
+            for seg, k in kids.items():
+                own = sum(b for _, b in k)
+                expected = (bad - own + share) / (n - len(k) + 1)
+                if n == len(k) or len(k) * kl(own / len(k), expected) >= math.log(len(kids) / chance):
+                    literal.add(seg)
+            if level >= len(segs):
+                return (template, smooth([b for _, b in ended], share) if ended else share)
+            seg = segs[level]
+            if seg in literal:
+                here, step = kids[seg], seg
+            else:
+                here, step = [x for k, v in kids.items() if k not in literal for x in v], "*"
+            if not here:
+                return template, share
+            template, share, level = f"{template}/{step}", smooth([b for _, b in here], share), level + 1
+        return template, share
+
+    return base, locate
+
+
+def spam_urls(draw, n):
+    """URLs whose labels depend on sections and hosts, with numbers that vary."""
+    urls = {}
+    while len(urls) < n:
+        host = draw.choice(["a.test", "a.test", "a.test", "b.test", "shop.b.test", "spam.org.test"])
+        section = draw.choice(["news", "blog", "promo", ""])
+        tail = draw.choice(["", "x/", f"p{draw.randrange(4)}/"])
+        k = draw.randrange(10**6)
+        bad = section == "promo" and draw.random() < 0.95 or host.startswith("spam") and draw.random() < 0.9 or draw.random() < 0.05
+        urls[host, f"/{section}/{tail}{k}".replace("//", "/")] = int(bad)
+    return urls
+
+
 def test_url_filter(spark):
     from folioscope.llm.url_filter import filter_urls
 
     urls = ["http://A.example.NET/en/1?x", "https://x.net", "https://x.net/a", "http://fr.org/fr/2#t", "http://example.com/de/3", None, "no scheme", "http://bad.test/spam/1", "http://example.network/a"]
     urls += [f"http://bad.test/spam/{i}" for i in range(100, 160)] + [f"http://bad.test/news/{i}" for i in range(200, 260)]
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    marks = spark.createDataFrame([(i, 1) for i in range(100, 140)] + [(i, 0) for i in range(200, 240)], "url_key long, bad int")
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").withColumn("host", F.lit("x")).withColumn("share", F.lit(1))
+    marks = spark.createDataFrame([(i, 1) for i in range(100, 140)] + [(i, 0) for i in range(200, 240)] + [(None, 1), (7, None)], "url_key long, bad int")
     got = {r.page_id: r for r in filter_urls(pages, marks).collect()}
     assert len(got) == len(urls)
     assert (got[0].host, got[0].path, got[0].rule, got[0].verdict) == ("a.example.net", "/en/1", "example.net/en/", "allow")
@@ -163,6 +223,51 @@ def test_url_filter(spark):
     assert (got[5].host, got[5].path, got[5].verdict) == ("", "", "allow") and got[6].path == "" and got[8].rule is None
     assert {got[i].verdict for i in range(9, 69)} == {"block"} and {got[i].verdict for i in range(69, 129)} == {"allow"}
     assert filter_urls(pages.limit(0), marks.limit(0)).collect() == []
+    assert {r.verdict for r in filter_urls(pages.where("page_id > 8"), marks.limit(0)).collect()} == {"allow"}
+    twice = filter_urls(pages.union(pages).union(spark.createDataFrame([(None, None, "x", 1)], pages.schema)), marks).collect()
+    assert len(twice) == 2 * len(urls) + 1 and {(r.page_id, r.verdict) for r in twice if r.page_id is not None} == {(i, r.verdict) for i, r in got.items()}
+
+
+def test_url_filter_against_a_brute_force_tree(spark):
+    from folioscope.llm import url_filter as U
+
+    draw = random.Random(5)
+    urls = spam_urls(draw, 900)
+    urls["deep.test", "/" + "/".join("d" * 10) + "/1"] = 1
+    urls["deep.test", "/" + "/".join("d" * 10) + "/2"] = 0
+    others = [(h, p) for h, p in spam_urls(draw, 300)] + [("new.b.test", "/promo/1"), ("", ""), ("a.test", "/promo/"), ("a.test", "/*/7"), ("deep.test", "/d/d")]
+    labelled = spark.createDataFrame([(h, p, b) for (h, p), b in urls.items()], "host string, path string, bad int")
+    base, locate = brute_tree(urls, U.PRIOR, U.CHANCE)
+    asked = spark.createDataFrame([*urls, *others], "host string, path string")
+    tree = U.grow(labelled)
+    got = {(r.host, r.path): (r.template, r.share) for r in U.walk(asked, tree).collect()}
+    assert tree.base == pytest.approx(base) and len(tree.levels) > 2
+    for host, path in [*urls, *others]:
+        template, share = locate(host, path)
+        assert got[host, path] == (template, pytest.approx(share)), (host, path)
+    # the verdicts of pages whose labels were held out follow the labels
+    pages = spark.createDataFrame([(i, f"http://{h}{p}") for i, (h, p) in enumerate(urls)], "page_id long, url string")
+    held = [int(p.rsplit("/", 1)[1]) % 2 == 1 for _, p in urls]
+    marks = spark.createDataFrame([(int(p.rsplit("/", 1)[1]), b) for (_, p), b in urls.items() if int(p.rsplit("/", 1)[1]) % 2 == 0], "url_key long, bad int")
+    verdicts = {r.page_id: r.verdict for r in U.filter_urls(pages, marks).collect()}
+    bad = {v: [b for i, b in enumerate(urls.values()) if held[i] and verdicts[i] == v] for v in ("block", "allow")}
+    assert len(bad["block"]) > 100 and np.mean(bad["block"]) > 0.85 and np.mean(bad["allow"]) < 0.12
+
+
+def test_url_filter_over_the_pages(spark):
+    """Labels that follow the hosts are found on the given pages; those without any relation to URLs reject none."""
+    from folioscope.llm.url_filter import filter_urls
+
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    key = F.expr(r"try_cast(regexp_extract(url, '/([0-9]+)[^0-9/]*[/]?(?:[?#].*)?$', 1) as bigint)")
+    named = F.col("url").rlike("spam|ads|cheap|casino|pills")
+    rows = pages.select(key.alias("url_key"), F.when(named, F.pmod(F.xxhash64("url"), F.lit(10)) > 0).otherwise(F.pmod(F.xxhash64("url"), F.lit(20)) == 0).cast("int").alias("bad"))
+    marks = rows.where("url_key % 2 = 0")
+    out = filter_urls(pages, marks).where("rule is null").join(pages.select("page_id", named.alias("named")), "page_id").collect()
+    blocked = [r.named for r in out if r.verdict == "block"]
+    assert len(blocked) > 20 and np.mean(blocked) > 0.75 and np.mean([r.verdict == "block" for r in out if r.named]) > 0.6
+    noise = rows.select("url_key", (F.pmod(F.xxhash64("url_key", F.lit(3)), F.lit(4)) == 0).cast("int").alias("bad"))
+    assert np.mean([r.verdict == "block" for r in filter_urls(pages, noise).where("rule is null").collect()]) < 0.05
 
 
 @pytest.mark.parametrize("percent,chunk", [(85, 512), (50, 3)])
