@@ -9,9 +9,10 @@
    hold OR- and AND-combined bitmaps and size ranges.  A dual traversal prunes
    node pairs by the greatest overlap they can reach; leaf pairs that are not
    yet connected are compared exactly.
-4. Large components are cut into chunks: each chunk is joined on its own, chunk
-   leaders are joined next, and only members outside a component's largest
-   cluster are compared against the other chunks.
+4. Large components are cut into chunks of sets of like size: each chunk is
+   joined on its own, chunk leaders are joined next, and only members outside a
+   component's largest cluster are compared against the other chunks that hold
+   sizes they can link with, a block of them at a time.
 """
 
 from __future__ import annotations
@@ -307,10 +308,10 @@ def link(sets: list[np.ndarray], percent: int, group: list[int] | None = None, p
 
 
 def _joined(sets: DataFrame, percent: int) -> DataFrame:
-    """``comp, chunk, rep, root``: the least representative each set reaches within its (comp, chunk) group.
+    """``comp, chunk, rep, root``: the least representative each set reaches within its (comp, chunk, block) group.
 
-    ``sets(comp, chunk, rep, cluster, probe, s)``; a group is streamed from its
-    sorted partition, and its size is bounded by ``CHUNK`` or by a stated query set.
+    ``sets(comp, chunk, block, rep, cluster, probe, s)``; a group is streamed
+    from its sorted partition and holds about ``CHUNK`` sets, and as many probes.
     """
 
     @releasing
@@ -342,17 +343,17 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
                 rows = batch.slice(start, 256).to_pydict()
-                for comp, chunk, rep, cluster, probe, s in zip(*(rows[c] for c in ("comp", "chunk", "rep", "cluster", "probe", "s"))):
-                    if group != (comp, chunk):
+                for comp, chunk, block, rep, cluster, probe, s in zip(*(rows[c] for c in ("comp", "chunk", "block", "rep", "cluster", "probe", "s"))):
+                    if group != (comp, chunk, block):
                         if held:
                             yield flush()
-                        held, group = {}, (comp, chunk)
+                        held, group = {}, (comp, chunk, block)
                     held.setdefault(rep, (cluster, probe, s))
         if held:
             yield flush()
 
-    dealt = sets.repartition("comp", "chunk").sortWithinPartitions("comp", "chunk", "rep", "probe")
-    return dealt.select("comp", "chunk", "rep", "cluster", "probe", "s").mapInArrow(
+    dealt = sets.repartition("comp", "chunk", "block").sortWithinPartitions("comp", "chunk", "block", "rep", "probe")
+    return dealt.select("comp", "chunk", "block", "rep", "cluster", "probe", "s").mapInArrow(
         run, "comp long, chunk long, rep long, root long"
     )
 
@@ -380,6 +381,20 @@ def _fetch(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     return map_rows(picked.select("doc_id", "text", *columns), schema, make, chunk=128)
 
 
+#: A chunk's number within its band takes so many bits.
+CHUNK_BITS = 32
+
+
+def _deal(rows: DataFrame, seed: int) -> DataFrame:
+    """``rows(comp, band, rep, ...)`` with ``chunk``, one of the band's by hash, and ``chunks``, how many the component has."""
+    counts = rows.groupBy("comp", "band").agg(F.count("*").alias("size")).withColumn("cut", F.ceil(F.col("size") / CHUNK))
+    whole = counts.groupBy("comp").agg(F.sum("cut").alias("chunks"))
+    bands = materialize(counts.join(whole, "comp"), "bands")
+    dealt = join_hot(rows, bands, ["comp", "band"], "size", rows.count())
+    number = F.pmod(F.xxhash64("rep", F.lit(seed)), F.col("cut")).cast("long")
+    return dealt.withColumn("chunk", F.shiftleft(F.col("band").cast("long"), CHUNK_BITS) + number).drop("cut")
+
+
 def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs(doc_id, text)``.
 
@@ -400,22 +415,19 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     discard(keys)
     discard(blocks)
     coarse = connected_components(edges, "d1", "m").select(F.col("node").alias("d1"), F.col("component").alias("comp"))
-    classes = base.where("d1 is not null and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"))
-    members = materialize(classes.join(coarse, "d1"), "members")
-    counts = members.groupBy("comp").agg(F.count("*").alias("size"))
-    cut = F.ceil(F.col("size") / CHUNK)
+    classes = base.where("d1 is not null and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
+    blocking = Blocking(percent)
+    blocking.band(base.agg(F.max("n")).first()[0] or 1)
+    band = F.size(F.filter(F.array(*[F.lit(x).cast("long") for x in blocking.lows]), lambda x: x <= F.col("n"))) - 1
+    members = materialize(classes.join(coarse, "d1").select("comp", "rep", "d1", band.alias("band")), "members")
     chunked = materialize(
-        members.join(counts, "comp").select(
-            "comp", F.pmod(F.xxhash64("rep"), cut).cast("long").alias("chunk"), "rep", "d1", cut.alias("chunks"),
-            F.col("rep").alias("cluster"), F.lit(False).alias("probe"),
-        ),
-        "chunks",
-    )
+        _deal(members, 0).select("*", F.col("rep").alias("cluster"), F.lit(False).alias("probe"), F.lit(0).alias("block")), "chunks"
+    )
     local = materialize(_joined(_fetch(docs, chunked, k), percent), "links")
     labels = local.select("rep", F.col("root").alias("component"))
     if not chunked.where("chunks > 1").isEmpty():
         labels = _across_chunks(docs, chunked, local, k, percent)
-    named = classes.join(labels, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
+    named = classes.drop("n").join(labels, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     return base.join(named, ["d1", "d2"], "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
@@ -428,10 +440,8 @@ def _across_chunks(docs: DataFrame, chunked: DataFrame, local: DataFrame, k: int
     large = chunked.where("chunks > 1").drop("cluster")
     clustered = large.join(local.select("rep", F.col("root").alias("cluster")), "rep")
     # leaders first: one set for each cluster of each chunk
-    leaders = clustered.where("rep = cluster")
-    size = leaders.groupBy("comp").agg(F.ceil(F.count("*") / CHUNK).alias("cut"))
-    led = leaders.join(size, "comp").withColumn("chunk", F.pmod(F.xxhash64("rep", F.lit(1)), F.col("cut")).cast("long")).drop("cut")
-    found = _joined(_fetch(docs, led, k), percent).select("rep", "root")
+    leaders = materialize(clustered.where("rep = cluster").drop("chunk", "chunks"), "leaders")
+    found = _joined(_fetch(docs, _deal(leaders, 1), k), percent).select("rep", "root")
     edges = materialize(local.select("rep", "root").union(found).where("rep <> root"), "edges")
     merged = connected_components(edges, "rep", "root")
     clustered = materialize(
@@ -439,20 +449,45 @@ def _across_chunks(docs: DataFrame, chunked: DataFrame, local: DataFrame, k: int
         .withColumn("cluster", F.coalesce("cluster", "rep")),
         "clusters",
     )
-    # what is outside a component's largest cluster is compared with all its chunks
+    # what is outside a component's largest cluster is compared with the other chunks of its own and the next bands
     counts = clustered.groupBy("comp", "cluster").count()
-    largest = counts.groupBy("comp").agg(F.max_by("cluster", F.struct("count", "cluster")).alias("main"), F.count("*").alias("clusters"))
-    open_rows = clustered.join(largest.where("clusters > 1"), "comp")
-    if open_rows.isEmpty():
-        more = None
-    else:
-        probes = open_rows.where("cluster <> main").select(
-            "*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)).alias("to")
+    largest = counts.groupBy("comp").agg(
+        F.max_by("cluster", F.struct("count", "cluster")).alias("main"), F.count("*").alias("clusters"), F.sum("count").alias("size")
+    )
+    split = materialize(largest.where("clusters > 1").drop("clusters"), "split")
+    if not split.isEmpty():
+        open_rows = materialize(join_hot(clustered, split, ["comp"], "size", clustered.count()), "open")
+        asking = F.count_if(F.col("cluster") != F.col("main"))
+        each = open_rows.groupBy("comp", "band").agg(F.max(F.col("chunk").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1)) + 1).alias("cut"), asking.alias("asking"), F.count("*").alias("n"))
+        near = lambda a, b: F.abs(a - b) <= 1
+        bands = each.groupBy("comp").agg(F.sort_array(F.collect_list(F.struct("band", "cut", "asking"))).alias("bands"), F.sum("n").alias("size"))
+        placed = join_hot(open_rows, materialize(bands, "bands"), ["comp"], "size", open_rows.count())
+        # blocks of a band's chunks: as many as hold the sets that ask them
+        total = lambda at: F.aggregate(
+            F.filter("bands", lambda x: near(x["band"], at)), F.lit(0).cast("long"), lambda a, x: a + x["asking"]
+        )
+        blocks = lambda at: F.greatest(F.ceil(total(at) / CHUNK), F.lit(1)).cast("int")
+        asked = F.filter("bands", lambda x: near(x["band"], F.col("band")))
+        chunks = F.flatten(
+            F.transform(
+                asked,
+                lambda x: F.transform(
+                    F.sequence(F.lit(0).cast("long"), x["cut"] - 1),
+                    lambda i: F.struct(
+                        (F.shiftleft(x["band"].cast("long"), CHUNK_BITS) + i).alias("to"),
+                        F.pmod(F.xxhash64(F.col("rep"), F.lit(2)), blocks(x["band"])).cast("int").alias("block"),
+                    ),
+                ),
+            )
         )
-        sets = _fetch(docs, open_rows.drop("main", "clusters"), k)
-        asked = _fetch(docs, probes.where("to <> chunk").drop("chunk", "main", "clusters").withColumnRenamed("to", "chunk").withColumn("probe", F.lit(True)), k)
-        more = _joined(sets.unionByName(asked), percent).select("rep", "root")
-    if more is not None:
+        slim = placed.drop("block", "probe", "main")
+        probes = (
+            placed.where("cluster <> main").drop("block", "probe", "main").select("*", F.inline(chunks)).where("to <> chunk")
+            .drop("chunk", "bands").withColumnRenamed("to", "chunk").withColumn("probe", F.lit(True))
+        )
+        own = F.explode(F.sequence(F.lit(0), blocks(F.col("band")) - 1)).alias("block")
+        sets = slim.select("*", own).drop("bands").withColumn("probe", F.lit(False))
+        more = _joined(_fetch(docs, sets, k).unionByName(_fetch(docs, probes, k)), percent).select("rep", "root")
         edges = edges.union(more.where("rep <> root"))
         merged = connected_components(edges, "rep", "root")
     return local.select("rep").join(merged, F.col("rep") == F.col("node"), "left").select(

@@ -301,6 +301,45 @@ def test_jaccard(spark, percent, chunk, monkeypatch):
     assert got == {d: (len(sets[d]), comp[d]) for d in sets}
 
 
+def test_jaccard_of_a_large_component_without_a_main_cluster(spark, monkeypatch):
+    from folioscope.llm import jaccard_join as J
+
+    monkeypatch.setattr(J, "CHUNK", 32)
+    groups, own = [], J._joined
+
+    def joined(sets, percent):
+        groups.extend(r["count"] for r in sets.groupBy("comp", "chunk", "block").count().collect())
+        return own(sets, percent)
+
+    monkeypatch.setattr(J, "_joined", joined)
+    draw = random.Random(2)
+    heads = [[f"h{i}w{j}" for j in range(12)] for i in range(12)]
+    tails = [[f"t{i}w{j}" for j in range(12)] for i in range(12)]
+    texts = []
+    for _ in range(700):  # parts are shared by many, but few texts are alike
+        w = [*draw.choice(heads), *(f"o{draw.randrange(10**6)}" for _ in range(draw.randrange(3, 8))), *draw.choice(tails)]
+        texts.append(" ".join(w))
+        if draw.random() < 0.3:
+            texts.append(" ".join([*w, f"o{draw.randrange(10**6)}"]))
+    draw.shuffle(texts)
+    sets = {d: frozenset(tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)) for d, t in enumerate(texts)}
+    comp, common = {d: d for d in sets}, Counter()
+    holders = defaultdict(list)
+    for d, s in sets.items():
+        for x in s:
+            common.update((e, d) for e in holders[x])
+            holders[x].append(d)
+    for (a, b), n in common.items():
+        if 100 * n >= 85 * (len(sets[a]) + len(sets[b]) - n):
+            lo, hi = sorted((comp[a], comp[b]))
+            if lo != hi:
+                comp = {k: lo if v == hi else v for k, v in comp.items()}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in J.jaccard_components(docs, 4, 85).collect()}
+    assert got == comp and 150 < len(comp) - len(set(comp.values())) < 300
+    assert len(groups) > 40 and max(groups) < 8 * 32  # no group holds a whole component
+
+
 def test_sharding(spark, docs):
     from folioscope.llm.sharding import place, ring, shard_rows
 
