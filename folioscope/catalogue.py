@@ -326,7 +326,13 @@ def _entities_sql(text: str) -> str:
     return text
 
 
-@query(f"select page_id, md5({_steps_sql(_entities_sql(_steps_sql('html', markup.HTML_STEPS)), markup.TIDY_STEPS)}) as digest from pages")
+#: Headings: marks are set around them, and the pieces between the marks are looked at one by one.
+_HEADED_SQL = f"""array_to_string([case when regexp_matches(x, '(?is)^<h[1-6][^>]*>.*</h[1-6]>$') and lower(x[3]) = lower(x[-2]) then chr(10) || chr(10) || repeat('#', x[3]::int) || ' '
+    || trim(regexp_replace(regexp_replace(regexp_replace(x, '(?is)^<h[1-6][^>]*>', ''), '(?is)</h[1-6]>$', ''), '<[^>]+>|\\n', '', 'g')) || chr(10) || chr(10) else x end for x in
+    string_split(regexp_replace(regexp_replace({_steps_sql('html', markup.CHROME_STEPS)}, '(?i)(<h[1-6][^>]*>)', chr(1) || '\\1', 'g'), '(?i)(</h[1-6]>)', '\\1' || chr(1), 'g'), chr(1))], '')"""
+
+
+@query(f"select page_id, md5({_steps_sql(_entities_sql(_steps_sql('t', markup.INLINE_STEPS + markup.BLOCK_STEPS)), markup.TIDY_STEPS)}) as digest from (select page_id, {_HEADED_SQL} as t from pages)")
 def html_to_markdown(spark, sf_dir):
     return _t(spark, sf_dir, "pages").select("page_id", F.md5(markup.html_to_markdown(F.col("html")).cast("binary")).alias("digest"))
 
@@ -338,14 +344,14 @@ WIKI = [
 
 
 @query(
-    "select doc_id % 2 as kind, md5(w) as digest, count(*) as n from (select doc_id, "
-    + _steps_sql(_steps_sql(_steps_sql(f"({_list(WIKI)}[doc_id % 2 + 1] || chr(10) || substr(text, 1, 0))", [(r"\{\{[^{}]*\}\}", "")] * 8), markup.WIKI_STEPS), markup.TIDY_STEPS)
-    + " as w from documents) group by all"
+    "select doc_id, md5("
+    + _steps_sql(_steps_sql(_steps_sql(f"({_list(WIKI)}[doc_id % 2 + 1] || chr(10) || translate(text, '{{}}[]|=' || chr(39), ''))", [(r"\{\{[^{}]*\}\}", "")] * 2), markup.WIKI_STEPS), markup.TIDY_STEPS)
+    + ") as digest from documents"
 )
 def wikitext_to_markdown(spark, sf_dir):
-    source = F.concat(F.element_at(F.array(*map(F.lit, WIKI)), (F.col("doc_id") % 2 + 1).cast("int")), F.lit("\n"))
-    docs = _t(spark, sf_dir, "documents").select((F.col("doc_id") % 2).alias("kind"), F.md5(markup.wikitext_to_markdown(source).cast("binary")).alias("digest"))
-    return docs.groupBy("kind", "digest").agg(F.count("*").alias("n"))
+    head = F.element_at(F.array(*map(F.lit, WIKI)), (F.col("doc_id") % 2 + 1).cast("int"))
+    source = F.concat(head, F.lit("\n"), F.translate("text", "{}[]|='", ""))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(markup.wikitext_to_markdown(source).cast("binary")).alias("digest"))
 
 
 #: The older of two snapshots: some ids are missing, some have another text.
@@ -572,20 +578,21 @@ def base_engine_noise(spark, sf_dir):
 
 @query()
 def line_agreement(spark, sf_dir):
-    lines_of = F.explode(F.split("text", r"(?<=[.]) ")).alias("line")
-    docs = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("page_id"), lines_of)
-    other = docs.select("page_id", F.regexp_replace("line", "th", "tb").alias("line"))
-    return relations.line_agreement(docs, other)
+    pages = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("page_id"), F.regexp_replace("text", r"(?<=[.]) ", "\n").alias("text"))
+    other = pages.select("page_id", F.regexp_replace("text", "th", "tb").alias("text"))
+    return relations.agreement(relations.line_ratios(pages, other), "page_id")
 
 
-@query()
+@query(
+    """select page_id, md5(regexp_replace(html, '(?is)<nav\\b[^>]*>.*?</nav\\s*>', '', 'g')) as digest from pages"""
+)
 def strip_balanced(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", markup.strip_balanced("div", "ad")("html").alias("html"))
+    return _t(spark, sf_dir, "pages").select("page_id", F.md5(markup.strip_balanced("nav", "")("html").cast("binary")).alias("digest"))
 
 
 @query()
 def reflow_pages(spark, sf_dir):
-    return _t(spark, sf_dir, "documents").select("doc_id", markup.reflow(F.split("text", "\n")).alias("text"))
+    return _t(spark, sf_dir, "documents").select("doc_id", markup.reflow()(F.array("text")).alias("text"))
 
 
 @query(
@@ -602,8 +609,11 @@ def revenue_by_nation(spark, sf_dir):
 
 
 def queries() -> dict:
+    from . import catalogue_text  # noqa: F401  registers its queries
+
     return dict(_QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
+    queries()
     return dict(_SQL)

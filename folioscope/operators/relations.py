@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.similarity import best_line_ratio
+from ..functions.similarity import best_line_ratio, near_in_length
+from ..functions.text import clean_lines
 
 #: Marks that conversions tend to drop.
 MARKS = "๏๚๛ฯๆ।॥۔؟،؛ﷺ«»„…、。，「」『』《》！？；："
@@ -44,18 +45,58 @@ def mark_drops(source: DataFrame, copy: DataFrame, marks: str = MARKS, key: str
     return rows.where("n_source > 0").withColumn("ok", ok)
 
 
-def line_agreement(base: DataFrame, other: DataFrame, min_length: int = 12, high: float = 0.8) -> DataFrame:
-    """Best-match agreement of ``base(page_id, line)`` with the same page's lines of ``other``: one row a page."""
-    pages = other.where(F.length("line") > 0).groupBy("page_id").agg(F.sort_array(F.collect_list("line")).alias("candidates"))
-    scored = base.where(F.length("line") >= min_length).join(pages, "page_id").withColumn("ratio", best_line_ratio("line", "candidates"))
-    return scored.groupBy("page_id").agg(
+def is_body(line: Column, script: str | None = None, min_length: int = 12) -> Column:
+    """A line of text proper: long enough, no page number, and mostly in the work's script if one is given (a class)."""
+    good = (F.length(line) >= min_length) & ~line.rlike(r"^\W*[0-9]{1,4}\W*$")
+    if script is None:
+        return good
+    letters = F.regexp_count(line, F.lit(r"\p{L}"))
+    return good & (letters > 0) & (2 * F.regexp_count(line, F.lit(script)) >= letters)
+
+
+def line_ratios(base: DataFrame, other: DataFrame, script: str | None = None, min_length: int = 12) -> DataFrame:
+    """``page_id, line, ratio`` of every body line of ``base(page_id, text)`` against the same page of ``other``.
+
+    Pages are joined whole, as arrays of lines; lines of very different
+    length are left out before any is compared.
+    """
+    ours = base.select("page_id", clean_lines(F.col("text")).alias("lines"))
+    theirs = other.select("page_id", clean_lines(F.col("text")).alias("others"))
+    rows = ours.join(theirs, "page_id").select("page_id", F.explode("lines").alias("line"), "others").where(is_body(F.col("line"), script, min_length))
+    return rows.select("page_id", "line", best_line_ratio("line", near_in_length(F.col("line"), F.col("others"))).alias("ratio"))
+
+
+def agreement(ratios: DataFrame, *key: str, high: float = 0.8) -> DataFrame:
+    """``body_lines, high_share, mean, flagged`` of ``ratios(ratio)`` by key; without a key one row, zeros if there are no lines."""
+    ok = (F.col("ratio") >= high).cast("double")
+    zero = lambda c: F.coalesce(c, F.lit(0.0))
+    return ratios.groupBy(*key).agg(
         F.count("*").alias("body_lines"),
-        F.bround(F.avg((F.col("ratio") >= high).cast("double")), 4).alias("high_share"),
-        F.bround(F.avg("ratio"), 4).alias("mean"),
-        F.sum((F.col("ratio") < high).cast("long")).alias("flagged"),
+        zero(F.bround(F.avg(ok), 4)).alias("high_share"),
+        zero(F.bround(F.avg("ratio"), 4)).alias("mean"),
+        F.count_if(F.col("ratio") < high).alias("flagged"),
     )
 
 
+def flagged_lines(ratios: DataFrame, high: float = 0.8) -> DataFrame:
+    """Lines to look at: ``page_id, ratio`` (two places) and ``line``."""
+    return ratios.where(F.col("ratio") < high).select("page_id", F.bround("ratio", 2).alias("ratio"), "line")
+
+
+def pick_base(pages: DataFrame, letters: str) -> DataFrame:
+    """The engine with the least noise over the pages that all engines have; of equal ones the last by name."""
+    n_engines = pages.select("engine").distinct().count()
+    shared = pages.groupBy("page_id").agg(F.countDistinct("engine").alias("n")).where(F.col("n") == n_engines).select("page_id")
+    found = noise(pages.join(shared, "page_id"), letters)
+    return found.agg(F.max_by("engine", F.struct(-F.col("noise"), "engine")).alias("engine"), F.min("noise").alias("noise"))
+
+
+def witness_lines(a: DataFrame, b: DataFrame, count_a, count_b) -> DataFrame:
+    """``line_no, n_a, n_b`` of lines of two witnesses ``(line_no, text)`` whose counts differ, or that one of them lacks."""
+    x, y = (df.select("line_no", f(F.col("text")).alias(n)) for df, f, n in ((a, count_a, "n_a"), (b, count_b, "n_b")))
+    return x.join(y, "line_no", "full_outer").where("not n_a <=> n_b")
+
+
 def coverage(stated: DataFrame, actual: DataFrame) -> DataFrame:
     """Stated ``(locale, n)`` against actual: ``locale, problem`` (unknown, missing, duplicate, mismatch)."""
     counts = actual.groupBy("locale").agg(F.count("*").alias("have"))
