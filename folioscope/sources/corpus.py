@@ -28,8 +28,42 @@ def read_pages(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
-    """The records of an index file."""
-    return spark.read.json(path, multiLine=True).select(F.inline("books"))
+    """The records of an index, as written by :func:`write_index` or as one JSON object with ``books``."""
+    rows = spark.read.json(path, multiLine=True) if path.endswith(".json") else spark.read.json(path)
+    return rows.select(F.inline("books")) if "books" in rows.columns else rows
+
+
+def read_documents(spark: SparkSession, path: str, leave: str = "/books/") -> DataFrame:
+    """Texts that describe the corpus, without the corpus itself: ``path, text``."""
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    return files.where(~F.col("path").contains(leave))
+
+
+def read_wiki_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Answers of a wiki's interface as JSON files: ``title, wikitext, html``, null where an answer lacks one."""
+    raw = spark.read.text(path, wholetext=True).select("value")
+    get = lambda k: F.get_json_object("value", f"$.parse.{k}")
+    return raw.select(get("title").alias("title"), get("wikitext").alias("wikitext"), get("text").alias("html"))
+
+
+def read_poems(spark: SparkSession, path: str) -> DataFrame:
+    """Poems as JSON files: ``title, verses array<struct<position, text>>`` in their order."""
+    schema = "title string, verses array<struct<vOrder int, versePosition int, text string>>"
+    verses = F.transform(F.array_sort("verses"), lambda v: F.struct(v["versePosition"].alias("position"), v["text"].alias("text")))
+    return spark.read.json(path, schema=schema, multiLine=True).select("title", verses.alias("verses"))
+
+
+def read_listing(spark: SparkSession, path: str) -> DataFrame:
+    """An archive's listing, an address and a time a line: ``page, time``; other lines are left out."""
+    rows = spark.read.text(path).select(F.split("value", " ").alias("c")).where(F.size("c") == 2)
+    return rows.select(F.regexp_extract(F.get("c", F.lit(0)), r"([^/]+?)(?:\.html?)?$", 1).alias("page"), F.get("c", F.lit(1)).alias("time"))
+
+
+def read_witness(spark: SparkSession, path: str) -> DataFrame:
+    """A witness with numbered lines, ``(1) text``: ``line_no, text``."""
+    pattern = r"^\(([0-9]+)\)\s*(.*)$"
+    rows = spark.read.text(path).where(F.col("value").rlike(pattern))
+    return rows.select(F.regexp_extract("value", pattern, 1).cast("int").alias("line_no"), F.regexp_extract("value", pattern, 2).alias("text"))
 
 
 def read_code_table(spark: SparkSession, path: str) -> DataFrame:
@@ -75,6 +109,11 @@ def header_map(raw: Column) -> Column:
     return F.map_from_entries(F.transform(latest, entry))
 
 
+def _below(part: str) -> Column:
+    """A file's path from the last folder of that name on."""
+    return F.concat(F.lit(f"{part}/"), F.substring_index(F.col("path"), f"/{part}/", -1))
+
+
 def index_records(corpus: DataFrame) -> DataFrame:
     """One record for each file: header fields, ``year_number``, ``size_bytes``, ``word_count``."""
     h = corpus.select("path", "size_bytes", header_map(F.col("raw")).alias("h"), body(F.col("raw")).alias("body"))
@@ -90,6 +129,35 @@ def index_records(corpus: DataFrame) -> DataFrame:
     ).orderBy("path")
 
 
+def write_index(corpus: DataFrame, path: str, name: str = "books") -> None:
+    """The index as JSON lines in the order of the paths: one record for each file below ``name``."""
+    from ..operators.publish import record_json
+
+    record = record_json(F.col("below"), F.get(F.split("below", "/"), F.lit(1)), header_map(F.col("raw")), F.col("size_bytes"), body(F.col("raw")))
+    rows = corpus.withColumn("below", _below(name)).select("below", record.alias("record"))
+    rows.repartitionByRange("below").sortWithinPartitions("below").select("record").write.text(path)
+
+
+def write_snapshot(corpus: DataFrame, path: str, label: str) -> None:
+    """A corpus under a label; other labels stay."""
+    corpus.withColumn("snapshot", F.lit(label)).write.mode("append").partitionBy("snapshot").parquet(path)
+
+
+def read_snapshot(spark: SparkSession, path: str, label: str) -> DataFrame:
+    return spark.read.parquet(path).where(F.col("snapshot") == label).drop("snapshot")
+
+
+def cache_keys(pages: DataFrame) -> DataFrame:
+    """Pages with the ``key`` that a cache knows them by: of language and page, 24 hexadecimal digits."""
+    return pages.withColumn("key", F.substring(F.sha2(F.concat_ws(":", "lang", "page"), 256), 1, 24))
+
+
+def reuse_headers(bodies: DataFrame, corpus: DataFrame) -> DataFrame:
+    """``path, raw``: new bodies ``(path, text)`` under the headers of the files that are there."""
+    head = F.regexp_extract("raw", r"(?s)^(---\n.*?\n---\n)", 1)
+    return bodies.join(corpus.select("path", head.alias("head")), "path", "left").select("path", F.concat(F.coalesce("head", F.lit("")), F.lit("\n"), "text").alias("raw"))
+
+
 def write_bare(corpus: DataFrame, path: str) -> None:
     """Bodies without headers, by locale."""
     corpus.select(F.element_at(F.split("path", "/"), -3).alias("locale"), "path", body(F.col("raw")).alias("text")).write.partitionBy("locale").parquet(path)
