@@ -368,11 +368,8 @@ def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc
     that of the score or the verdict, which come last, gets underscores before it.
     """
     spark = docs.sparkSession
-    body, lang, source, size, score, kept = unused(docs, "_text", "_lang", "_source", "_size", "score", "kept")
-    if "score" not in carry:
-        score = "score"
-    if "kept" not in carry:
-        kept = "kept"
+    score, kept = unused(docs.select(*(x for c, x in zip(docs.columns, every(docs)) if c in carry)), "score", "kept")
+    place = {c: f"c{i}" for i, c in enumerate(carry)}  # names that a worker can have
     shared = spark.sparkContext.broadcast(model)
     fields = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
 
@@ -384,7 +381,7 @@ def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc
 
         def step(rows):
             scores = []
-            for blob, where, whence, many in zip(rows[body], rows[lang], rows[source], rows[size]):
+            for blob, where, whence, many in zip(rows["text"], rows["lang"], rows["source"], rows["size"]):
                 if not model:
                     scores.append(0.0)
                     continue
@@ -399,14 +396,14 @@ def classify(docs: DataFrame, model: dict | None, carry: tuple[str, ...] = ("doc
                 total += sum(layout[k] for k in layout_features(text, words))
                 scores.append(total + sum(meta[k] for k in metadata_features(where, whence, many)) + model["bias"])
             limit = model["threshold"] if model else 0.0
-            return {c: rows[c] for c in carry} | {score: scores, kept: [s >= limit for s in scores]}
+            return {c: rows[c] for c in place.values()} | {"score": scores, "kept": [s >= limit for s in scores]}
 
         return step
 
     own = {c: x for c, x in zip(docs.columns, every(docs))}
-    slim = docs.select(*(own[c] for c in carry), utf8("text").alias(body), F.col("lang").alias(lang), F.col("source").alias(source), _size(docs).alias(size))
-    quoted = {c: "`" + c.replace("`", "``") + "`" for c in carry}
-    return map_rows(slim, ", ".join(f"{quoted[c]} {fields[c]}" for c in carry) + f", {score} double, {kept} boolean", make, chunk=256)
+    slim = docs.select(*(own[c].alias(n) for c, n in place.items()), utf8("text").alias("text"), "lang", "source", _size(docs).alias("size"))
+    schema = ", ".join([*(f"{n} {fields[c]}" for c, n in place.items()), "score double", "kept boolean"])
+    return map_rows(slim, schema, make, chunk=256).toDF(*carry, score, kept)
 
 
 def quality_classifier(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -149,6 +149,100 @@ def test_quality_classifier_sees_every_unlabelled_document(spark, monkeypatch):
     assert Q._cut(np.array([5, 1]), np.array([4, 2]), 1, 1) == (1, 5) and Q._cut(np.array([5]), np.array([4]), 1, 1) == (5, 6)
 
 
+def brute_co_training(seed, rows, good, Q):
+    """Co-training on dense arrays: who is handed over is read off a sorted list of all documents."""
+    n = len(rows)
+    dense = {"content": np.zeros((n, Q.CONTENT_DIM)), "meta": np.zeros((n, Q.METADATA_DIM))}
+    for i, r in enumerate(rows):
+        counts = np.frombuffer(r.counts, "<u4")
+        dense["content"][i, np.frombuffer(r.buckets, "<u2")] = counts / max(1, counts.sum())
+        dense["content"][i, Q.WORD_DIM + np.frombuffer(r.layout, "<u2").astype(int)] = 1 / 20
+        dense["meta"][i, np.frombuffer(r.meta, "<u2")] = 1
+    tie, group = np.array([r.tie for r in rows]), np.array([zlib.crc32(r.meta) % Q.GROUPS for r in rows])
+    held = np.arange(len(seed["label"])) % 4 == 3
+    scale = {"content": 20.0, "meta": 1.0}
+    train = {v: [(x, y, 1.0) for x, y in zip(seed[v][~held], seed["label"][~held])] for v in dense}
+    free, views, moved = np.ones(n, bool), {}, 0
+    unit = min(1.0, (~held).sum() / n)
+    for turn in range(Q.ROUNDS + 1):
+        for v in dense:
+            x, y, t = (np.array(z, np.float32) for z in zip(*train[v]))
+            views[v] = Q.Logistic().fit(x, y, Q.STEPS if v in views else Q.FIRST_STEPS, times=t.astype(float), start=views.get(v))
+        if turn == Q.ROUNDS:
+            break
+        wanted = max(1, int(Q.HANDOVER * n))
+        n_bad, n_good = max(1, round(wanted * (1 - good))), max(1, round(wanted * good))
+        picked = {}
+        for v in dense:
+            score = dense[v] @ (views[v].w.astype(float) * scale[v]) + views[v].b
+            step = np.floor(np.clip(score, -100, 100) * Q.SCORE_PARTS).astype(int) * Q.TIES + tie
+            ranks = sorted(Counter(step[free].tolist()).items())
+            low = high = None
+            total = 0
+            for value, k in ranks:
+                total += k
+                if low is None or total <= n_bad:
+                    low = value
+            total = 0
+            for value, k in reversed(ranks):
+                total += k
+                if high is None or total <= n_good:
+                    high = value
+            picked[v] = np.where(step <= low, 0, np.where(step >= high, 1, -1))
+        for teacher, pupil in (("meta", "content"), ("content", "meta")):
+            for label in (0, 1):
+                for g in range(Q.GROUPS):
+                    who = free & (picked[teacher] == label) & (group == g)
+                    if who.any():
+                        moved += who.sum()
+                        train[pupil].append((dense[pupil][who].mean(0) * scale[pupil], label, unit * who.sum()))
+        free &= (picked["content"] < 0) & (picked["meta"] < 0)
+    return views, moved
+
+
+def test_co_training_against_dense_arrays(spark, labels):
+    from folioscope.llm import quality_classifier as Q
+
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
+    columns = (F.coalesce("label", F.lit(-1)).alias("label"), F.pmod(F.xxhash64("doc_id"), F.lit(Q.TIES)).cast("int").alias("tie"), F.col("text").cast("binary").alias("text"), "lang", "source", Q._size(table).alias("size"))
+    rows = table.join(marks, "doc_id", "left").orderBy("doc_id").select(*columns)
+    seed = Q._sample_features(rows.where("label >= 0"))
+    pool = Q._features(rows.where("label < 0")).cache()
+    seen, own = [], Q.Logistic.fit
+
+    def fit(self, *args, **named):
+        seen.append(self)
+        return own(self, *args, **named)
+
+    Q.Logistic.fit = fit
+    try:
+        model = Q.co_train(seed, pool, 0.8)
+    finally:
+        Q.Logistic.fit = own
+    views, moved = brute_co_training(seed, pool.collect(), 0.8, Q)
+    assert moved > 4 * Q.HANDOVER * pool.count()
+    for got, want in zip(seen[-3:-1], (views["content"], views["meta"])):  # the last fit combines them
+        assert np.corrcoef(got.w, want.w)[0, 1] > 0.999 and abs(got.b - want.b) < 0.02 * (1 + abs(want.b))
+    assert set(model) == {"words", "layout", "meta", "bias", "threshold"}
+
+
+def test_quality_classifier_edges(spark, labels):
+    from folioscope.llm import quality_classifier as Q
+
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    long = "word " * 200_000
+    odd = [(None, None, None, None, None), (90001, None, "en", "s", 3), (90002, "", None, "s", 0), (90003, " \n ", "en", None, None), (90004, long, "en", "s", len(long)), (90005, "same text", "en", "s", 9), (90005, "same text", "en", "s", 9)]
+    rows = table.union(spark.createDataFrame(odd, table.schema)).withColumn("score", F.lit(1)).withColumn("kept", F.lit("x")).withColumn("_text", F.lit(2)).withColumn("a.b", F.lit(3))
+    got = Q.quality_classifier(rows, labels).collect()
+    assert Counter(r.doc_id for r in got) == Counter(r.doc_id for r in rows.select("doc_id").collect())
+    assert all(math.isfinite(r.score) for r in got) and len({r.score for r in got if r.doc_id == 90005}) == 1
+    carried = Q.classify(rows, Q.fit(rows, labels), tuple(rows.columns))
+    assert carried.columns == [*rows.columns, "_score", "_kept"]
+    assert {(r.score, r.kept, r._text, r["a.b"]) for r in carried.collect()} == {(1, "x", 2, 3)}
+    assert {r.kept for r in Q.classify(rows, None).collect()} == {True}
+
+
 def brute_tree(urls, prior, chance):
     """The tree of ``{(host, path): bad}`` by recursion: a function from host and path to template and share."""
     base = sum(urls.values()) / len(urls) if urls else 0.0
