@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
@@ -564,8 +564,7 @@ def conversation_units(spark, sf_dir):
     select doc_id, line_no::int as line_no, (lead(line_no) over (partition by doc_id order by line_no))::int as next_boundary from l"""
 )
 def page_next_boundary(spark, sf_dir):
-    short = lines.explode_lines(_t(spark, sf_dir, "documents"), "doc_id").where(F.length("line") < 40)
-    return short.select("doc_id", "line_no", F.lead("line_no").over(Window.partitionBy("doc_id").orderBy("line_no")).alias("next_boundary"))
+    return lines.short_lines(_t(spark, sf_dir, "documents"), 40)
 
 
 @query(

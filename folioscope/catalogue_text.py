@@ -387,3 +387,36 @@ def keep_first(spark, sf_dir):
 def next_document(spark, sf_dir):
     docs = _docs(spark, sf_dir).select("doc_id", "lang")
     return docs.select("doc_id", F.col("lang").alias("lang_a")).join(docs.select((F.col("doc_id") - 1).alias("doc_id"), F.col("lang").alias("lang_b")), "doc_id")
+
+
+@query(
+    """select doc_id, case when doc_id % 2 = 0 then 'Head Two' end as head, md5(text || chr(10) || chr(10) || '**sub**' || chr(10) || chr(10) || 'end') as digest,
+    '|  |  |  |' || chr(10) || '|---|---|---|' || chr(10) || '| ' || lang || ' | ' || source || ' | x |' || chr(10) || '| y |  |  |' as names from documents where not contains(text, '*') and not regexp_matches(text, '^\\s')"""
+)
+def printed_heads(spark, sf_dir):
+    label = F.lit("\n Label \n\nTitle\n")
+    bold = F.when(F.col("doc_id") % 2 == 0, "**Head**\n\n**Two.**\n").otherwise("")
+    page = F.concat(label, bold, F.col("text"), F.lit("\n **sub** \nend"))
+    head, rest = X.printed_head(X.drop_labels(page, ["Title", "Label"], repeat=True), 2)
+    docs = _docs(spark, sf_dir).where(~F.col("text").contains("*") & ~F.col("text").rlike(r"^\s"))
+    return docs.select("doc_id", head.alias("head"), F.md5(X.isolate_bold(rest).cast("binary")).alias("digest"), X.list_table(F.array("lang", "source", F.lit("x"), F.lit("y"))).alias("names"))
+
+
+@query("select doc_id, md5('pre' || chr(10) || chr(10) || '## II.' || chr(10) || chr(10) || text || chr(10) || chr(10) || '### 3.' || chr(10) || chr(10) || 'end') as digest from documents where regexp_matches(text, '^\\S') and regexp_matches(text, '\\S$')")
+def outlines(spark, sf_dir):
+    page = F.concat(F.lit("pre ARTICLE II. "), F.col("text"), F.lit(" SECTION 3. end"))
+    marks = [(r"ARTICLE ([IVX]+)\.", "## "), (r"SECTION ([0-9]+)\.", "### ")]
+    return _digest(_docs(spark, sf_dir).where(F.col("text").rlike(r"^\S") & F.col("text").rlike(r"\S\z")), "doc_id", X.outline(page, marks))
+
+
+@query("select doc_id, md5('T' || chr(10) || chr(10) || lang || ' ' || source || chr(10) || chr(10) || translate(text, '|{}', '')) as digest from documents")
+def table_verses(spark, sf_dir):
+    page = F.concat(F.lit("{| class='x'\n|+ T\n! head\n|-\n|align=\"right\"| "), "lang", F.lit(" || "), "source", F.lit("\n|}\n"), F.translate("text", "|{}", ""))
+    return _digest(_docs(spark, sf_dir), "doc_id", X.wiki_tables(page))
+
+
+@query("select doc_id, md5(array_to_string([trim(x) for x in string_split(translate(text, '=<>{}[]|', ''), chr(10)) if trim(x) <> ''], chr(10))) as digest from documents")
+def chosen_readings(spark, sf_dir):
+    plain = F.translate("text", "=<>{}[]|", "")
+    page = F.concat(F.lit("{{header}}<onlyinclude>===one===\n<poem>no</poem>\n===mine===<poem>\n"), plain, F.lit("<ref>x</ref>\n</poem>\n===two===</onlyinclude>"))
+    return _digest(_docs(spark, sf_dir), "doc_id", X.choose_reading("mine")(page))

@@ -13,16 +13,19 @@ def explode_lines(docs: DataFrame, *keep: str, text: str = "text") -> DataFrame:
     )
 
 
-def runs(lines: DataFrame, flag: Column, key: str = "doc_id") -> DataFrame:
-    """Maximal runs of consecutive flagged lines: ``key, first_line, n_lines``."""
-    order = Window.partitionBy(key).orderBy("line_no")
-    marked = lines.withColumn("_f", flag).withColumn("_g", F.sum(F.when(F.col("_f"), 0).otherwise(1)).over(order))
-    return marked.where("_f").groupBy(key, "_g").agg(F.min("line_no").alias("first_line"), F.count("*").alias("n_lines")).drop("_g")
+def split_lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
-def soft_wrapped(max_line: int = 65) -> Column:
+def runs(flags: Column) -> Column:
+    """Maximal runs of true values in an array: ``array<struct<first, last>>``, places from 0."""
+    at = F.sequence(F.lit(0), F.size(flags) - 1)
+    edge = lambda step: F.filter(at, lambda i: F.get(flags, i) & ~F.coalesce(F.get(flags, i + step), F.lit(False)))
+    return F.arrays_zip(edge(-1).alias("first"), edge(1).alias("last"))
+
+
+def soft_wrapped(line: Column, max_line: int = 65) -> Column:
     """A short line that is no heading and has no hard break."""
-    line = F.col("line")
     return (
         (F.trim(line) != "")
         & ~line.startswith("#")
@@ -34,32 +37,39 @@ def soft_wrapped(max_line: int = 65) -> Column:
 
 def verse_runs(docs: DataFrame, max_line: int = 65, min_run: int = 4, min_runs: int = 3) -> DataFrame:
     """Runs of soft-wrapped verse lines of each document: ``doc_id, n_runs, max_run, flagged``."""
-    found = runs(explode_lines(docs, "doc_id"), soft_wrapped(max_line)).where(F.col("n_lines") >= min_run)
-    return found.groupBy("doc_id").agg(F.count("*").alias("n_runs"), F.max("n_lines").alias("max_run")).withColumn(
-        "flagged", F.col("n_runs") >= min_runs
-    )
+    flags = docs.select("doc_id", F.transform(split_lines(F.col("text")), lambda x: soft_wrapped(x, max_line)).alias("flags"))
+    sizes = F.transform(runs(F.col("flags")), lambda r: (r["last"] - r["first"] + 1).cast("long"))
+    found = flags.select("doc_id", F.filter(sizes, lambda n: n >= min_run).alias("sizes")).where(F.size("sizes") > 0)
+    return found.select("doc_id", F.size("sizes").cast("long").alias("n_runs"), F.array_max("sizes").alias("max_run"), (F.size("sizes") >= min_runs).alias("flagged"))
 
 
 def block_classes(docs: DataFrame, prose: int = 58, paragraph: int = 90, min_verse: int = 2) -> DataFrame:
     """Blocks of non-blank lines with their class: ``doc_id, first_line, n_lines, class``."""
-    lines = explode_lines(docs, "doc_id").withColumn("filled", F.trim("line") != "")
-    order = Window.partitionBy("doc_id").orderBy("line_no")
-    block = lines.withColumn("_g", F.sum(F.when(F.col("filled"), 0).otherwise(1)).over(order)).where("filled")
-    last = Window.partitionBy("doc_id", "_g")
-    sized = block.withColumn("_last", F.max("line_no").over(last)).groupBy("doc_id", "_g").agg(
-        F.min("line_no").alias("first_line"),
-        F.count("*").alias("n_lines"),
-        F.max(F.length("line")).alias("longest"),
-        F.avg(F.when(F.col("line_no") < F.col("_last"), F.length("line"))).alias("mean"),
+    lines = docs.select("doc_id", split_lines(F.col("text")).alias("lines")).select(
+        "doc_id", F.transform("lines", F.length).alias("sizes"), F.transform("lines", lambda x: F.trim(x) != "").alias("filled")
     )
+    blocks = F.transform(
+        runs(F.col("filled")),
+        lambda r: F.struct(r["first"].alias("first"), F.slice(F.col("sizes"), r["first"] + 1, r["last"] - r["first"] + 1).alias("sizes")),
+    )
+    sized = lines.select("doc_id", F.inline(blocks)).withColumn("n_lines", F.size("sizes").cast("long"))
+    before = F.slice("sizes", F.lit(1), F.col("n_lines").cast("int") - 1)
+    mean = F.aggregate(before, F.lit(0.0), lambda a, x: a + x) / F.nullif(F.col("n_lines") - 1, F.lit(0))
     kind = (
         F.when(F.col("n_lines") < 2, "single")
-        .when(F.col("longest") > paragraph, "para")
-        .when(F.col("mean") >= prose, "prose")
+        .when(F.array_max("sizes") > paragraph, "para")
+        .when(mean >= prose, "prose")
         .when(F.col("n_lines") < min_verse, "prose")
         .otherwise("verse")
     )
-    return sized.select("doc_id", "first_line", "n_lines", kind.alias("class"))
+    return sized.select("doc_id", (F.col("first") + 1).alias("first_line"), "n_lines", kind.alias("class"))
+
+
+def short_lines(docs: DataFrame, limit: int) -> DataFrame:
+    """Lines under a length with the next such line: ``doc_id, line_no, next_boundary``."""
+    places = F.filter(F.transform(split_lines(F.col("text")), lambda x, i: F.when(F.length(x) < limit, i + 1)), lambda i: i.isNotNull())
+    found = docs.select("doc_id", places.alias("at"))
+    return found.select("doc_id", F.inline(F.transform("at", lambda x, i: F.struct(x.alias("line_no"), F.get("at", i + 1).alias("next_boundary")))))
 
 
 def split_table_rows(docs: DataFrame) -> DataFrame:
@@ -95,7 +105,8 @@ def drop_adjacent_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
 
 def heading_jumps(docs: DataFrame) -> DataFrame:
     """First heading of each document that is more than one level below the heading before it."""
-    level = F.length(F.regexp_extract("line", "^(#{1,6})[ \t]+[^ \t]", 1))
-    heads = explode_lines(docs, "doc_id").withColumn("level", level).where("level > 0")
-    jump = heads.withColumn("before", F.lag("level").over(Window.partitionBy("doc_id").orderBy("line_no")))
-    return jump.where("level > before + 1").groupBy("doc_id").agg(F.min("line_no").alias("line_no"))
+    level = lambda x: F.length(F.regexp_extract(x, "^(#{1,6})[ \t]+[^ \t]", 1))
+    heads = F.filter(F.transform(split_lines(F.col("text")), lambda x, i: F.struct((i + 1).alias("line_no"), level(x).alias("level"))), lambda h: h["level"] > 0)
+    found = docs.select("doc_id", heads.alias("h"))
+    jumps = F.filter("h", lambda h, i: (i > 0) & (h["level"] > F.get("h", i - 1)["level"] + 1))
+    return found.select("doc_id", F.get(jumps, F.lit(0))["line_no"].alias("line_no")).where("line_no is not null")

@@ -110,3 +110,23 @@ def test_coverage_and_counts(spark):
     assert got == {(1, "locales", 66, 65), (1, "books", 9, 2)}
     books = spark.createDataFrame([("en-GB",), ("en-US",), ("ang",), ("fr",)], "locale string")
     assert {tuple(r) for r in publish.derived_counts(books).collect()} == {("books", 4), ("locales", 4), ("languages", 3), ("beyond_english", 1)}
+
+
+def test_variants(spark):
+    cases = {
+        "{{header|title=靜夜思}}\n<onlyinclude>\n===李太白全集===\n<poem>\n牀前看月光，\n疑是地上霜。\n</poem>\n===唐詩三百首===\n<poem>\n牀前明月光，\n疑是地上霜。\n舉頭望明月，\n低頭思故鄉。\n</poem>\n</onlyinclude>": "牀前明月光，\n疑是地上霜。\n舉頭望明月，\n低頭思故鄉。",
+        '<templatestyles src="x.css" />\n<center><div class="Kaiti">\n<onlyinclude><poem>\n白日依山盡，黃河入海流。<small><small><ref>note</ref></small></small>\n欲窮千里目，更上一{{另|層|重}}樓。\n</poem></onlyinclude>\n</div></center>': "白日依山盡，黃河入海流。\n欲窮千里目，更上一層樓。",
+        "{{header}}{{唐詩三百首}}\n<onlyinclude>\n<poem>\n月落烏啼霜滿天，江楓漁火對愁眠。\n姑蘇城外寒山寺，夜半鐘聲到客船。\n</poem>\n</onlyinclude>": "月落烏啼霜滿天，江楓漁火對愁眠。\n姑蘇城外寒山寺，夜半鐘聲到客船。",
+    }
+    assert apply(spark, X.choose_reading("唐詩三百首")("t"), [*cases, None]) == [*cases.values(), None]
+
+
+def test_heads_tables_and_emphasis(spark):
+    t = F.col("t")
+    head, rest = X.printed_head(t, 2)
+    assert apply(spark, head, ["**A**\n\n **B.** \nx", "**A**\nx"]) == ["A B", None]
+    assert apply(spark, rest, ["**A**\n\n **B.** \n\nx"]) == ["x"]
+    assert apply(spark, X.drop_labels(t, ["L"]), ["\nL\n\nL\nx", "x\nL"]) == ["L\nx", "x\nL"]
+    assert apply(spark, X.split_emphasis("t"), ["<b>a<br>c</b><i>x</i> <b> </b>", None]) == ["<b>a</b><br><b>c</b><i>x</i>  ", None]
+    assert apply(spark, X.wiki_tables("t"), ['{|\n|+ c\n|-\n| a || b\n! h\n|align="right"|x\n|}\nend']) == ["c\n\na b\n\nx\n\nend"]
+    assert apply(spark, X.list_table(F.split(t, ",")), ["a,b,c,d"]) == ["|  |  |  |\n|---|---|---|\n| a | b | c |\n| d |  |  |"]
