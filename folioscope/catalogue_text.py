@@ -360,10 +360,10 @@ def longest_by_lang(spark, sf_dir):
     return _docs(spark, sf_dir).select("lang", "doc_id", "n_chars").withColumn("r", rank).where("r <= 5").drop("r")
 
 
-@query("select source, lang from (select source, lang from documents where doc_id % 2 = 0 intersect select source, lang from documents where doc_id % 2 = 1) union all select source, 'none' from (select source from documents except select source from documents where lang = 'fr')")
+@query("select source, lang from (select source, lang from documents where n_chars % 2 = 0 intersect select source, lang from documents where n_chars % 2 = 1) union all select source, 'none' from (select source from documents except select source from documents where lang = 'fr')")
 def shared_sources(spark, sf_dir):
-    docs = _docs(spark, sf_dir).select("doc_id", "source", "lang")
-    even, odd = (docs.where(F.col("doc_id") % 2 == k).select("source", "lang") for k in (0, 1))
+    docs = _docs(spark, sf_dir).select("n_chars", "source", "lang")
+    even, odd = (docs.where(F.col("n_chars") % 2 == k).select("source", "lang") for k in (0, 1))
     none = docs.select("source").subtract(docs.where("lang = 'fr'").select("source"))
     return even.intersect(odd).union(none.select("source", F.lit("none")))
 
