@@ -78,6 +78,24 @@ def op10_substring_dedup(spark, sf_dir):
     return repeated_units(_table(spark, sf_dir, "documents")).drop("text_hash", "cut_start", "cut_stop")
 
 
+def op11_suffix_array_dedup(spark, sf_dir):
+    from .suffix_dedup import suffix_array_dedup
+
+    return suffix_array_dedup(_table(spark, sf_dir, "documents"))
+
+
+def op12_source_audit(spark, sf_dir):
+    from .source_audit import source_divergence
+
+    return source_divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_embedding_whitening(spark, sf_dir):
+    from .whitening import whiten
+
+    return whiten(_table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("long"))
+
+
 def queries():
     return {k: v for k, v in globals().items() if k.startswith("op") and callable(v)}
 
@@ -137,9 +155,61 @@ FROM documents d LEFT JOIN n USING (doc_id) LEFT JOIN r USING (doc_id) LEFT JOIN
 """
 
 
+SUFFIX_DEDUP_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(doc_id, 9223372036854775807) AS ord, hex(encode(coalesce(text, ''))) AS h FROM documents
+), f AS (SELECT rid, ord, len(h) // 2 AS n, h, unnest(range((len(h) // 2 + 63) // 64)) AS k FROM d),
+e AS (SELECT rid, ord, n, 64 * k AS base, substr(h, 128 * k + 1, 226) AS piece FROM f),
+u AS (SELECT rid, ord, n, base, piece, unnest(range(64)) AS j FROM e),
+w AS (SELECT rid, ord, base + j AS i, substr(piece, 2 * j + 1, 100) AS s FROM u WHERE base + j + 50 <= n),
+m AS (SELECT s, min(ord) AS low FROM w GROUP BY s HAVING min(ord) < max(ord)),
+p AS (SELECT rid, i, lag(i) OVER (PARTITION BY rid ORDER BY i) AS before FROM w JOIN m USING (s) WHERE low < ord),
+g AS (SELECT rid, i, sum(CASE WHEN before IS NULL OR i > before + 50 THEN 1 ELSE 0 END) OVER (PARTITION BY rid ORDER BY i) AS span FROM p),
+r AS (SELECT rid, min(i) AS a, max(i) + 50 AS b FROM g GROUP BY rid, span),
+k AS (SELECT rid, a, b, coalesce(lag(b) OVER (PARTITION BY rid ORDER BY a), 0) AS since FROM r),
+c AS (
+  SELECT rid, sum(b - a)::BIGINT AS n_removed, count(*) AS n_spans, max(b) AS till,
+    string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a) AS kept FROM k JOIN d USING (rid) GROUP BY rid
+)
+SELECT doc_id, (len(h) // 2)::BIGINT AS n_bytes, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_spans, 0)::BIGINT AS n_spans,
+  sha256(unhex(coalesce(kept || substr(h, 2 * till + 1), h))) AS kept_sha256
+FROM d LEFT JOIN c USING (rid)
+"""
+
+SOURCE_AUDIT_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS words FROM documents
+), i AS (SELECT row_number() OVER () AS rid, * FROM d),
+t AS (SELECT rid, lang, source, unnest(words) AS term FROM i),
+f AS (SELECT lang, term, count(DISTINCT rid) AS df FROM t GROUP BY ALL),
+c AS (SELECT lang, source, term, count(*) AS n FROM t JOIN f USING (lang, term) WHERE df >= 30 GROUP BY ALL),
+k AS (SELECT lang, term, sum(n) AS n FROM c GROUP BY ALL),
+l AS (SELECT lang, count(*) AS v, sum(n) AS total FROM k GROUP BY lang),
+g AS (SELECT DISTINCT lang, source FROM d),
+m AS (SELECT lang, source, sum(n) AS total FROM c GROUP BY ALL),
+p AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+    (1 + (1000000000::HUGEINT * (coalesce(c.n, 0) + 5)) // (coalesce(m.total, 0) + 5 * l.v)::HUGEINT)::BIGINT AS p,
+    (1 + (1000000000::HUGEINT * (k.n + 5)) // (l.total + 5 * l.v)::HUGEINT)::BIGINT AS q
+  FROM g JOIN k ON k.lang = g.lang JOIN l ON l.lang = g.lang LEFT JOIN m ON m.lang = g.lang AND m.source = g.source
+    LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), far AS (
+  SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p)) AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL
+), pairs AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(far.value, 0)::BIGINT AS value FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN far ON far.lang = a.lang AND far.source = a.source AND far.item = b.source
+), u AS (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, p - q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM u)
+SELECT lang, source, part, item, value, rank FROM r WHERE part = 'pair' OR rank <= 50
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op6_ngram_jaccard_join": JACCARD_JOIN_SQL,
         "op8_exact_top_k": EXACT_TOP_K_SQL,
         "op10_substring_dedup": SUBSTRING_DEDUP_SQL,
+        "op11_suffix_array_dedup": SUFFIX_DEDUP_SQL,
+        "op12_source_audit": SOURCE_AUDIT_SQL,
     }

@@ -755,7 +755,7 @@ def test_packing_encoder_equals_the_library():
     assert [x.tolist() for x in np.split(ids, np.cumsum(count)[:-1])] == want
 
 
-@pytest.mark.parametrize("name", ["op6_ngram_jaccard_join", "op8_exact_top_k", "op10_substring_dedup"])
+@pytest.mark.parametrize("name", ["op6_ngram_jaccard_join", "op8_exact_top_k", "op10_substring_dedup", "op11_suffix_array_dedup", "op12_source_audit"])
 def test_query_equals_its_sql(spark, name):
     import duckdb
     from folioscope.llm.queries import oracle_sql, queries
