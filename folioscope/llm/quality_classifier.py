@@ -274,13 +274,22 @@ def _cut(steps: np.ndarray, n: np.ndarray, n_bad: int, n_good: int) -> tuple[int
     return int(steps[low]), max(int(steps[high]), int(steps[low]) + 1)
 
 
+def held_out(label: np.ndarray) -> np.ndarray:
+    """Which rows of a sample calibrate: every fourth of each class, or the last of fewer."""
+    out = np.zeros(len(label), bool)
+    for k in (0, 1):
+        own = np.flatnonzero(label == k)
+        out[own[3::4] if len(own) > 3 else own[-1:]] = True
+    return out
+
+
 def co_train(seed: dict[str, np.ndarray], pool: DataFrame, good: float) -> dict:
     """Weights of both views, their calibration, and the threshold; plain numbers only.
 
     ``pool`` has the features of all unlabelled documents; ``good`` is the
     share of good documents to hand over.
     """
-    held = np.arange(len(seed["label"])) % 4 == 3
+    held = held_out(seed["label"])
     views = {}
     train = {v: (seed[v][~held], seed["label"][~held].astype(np.float32), np.ones((~held).sum())) for v in VIEWS}
     past, size = [], 0
@@ -332,10 +341,11 @@ def _size(docs: DataFrame) -> Column:
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
-    """Fit on a bounded sample of the labelled and all unlabelled ``docs``; ``None`` if the labels lack one of the classes.
+    """Fit on a bounded sample of the labelled and all unlabelled ``docs``; ``None`` if a class has under two labelled documents.
 
     A document is good if every label says so; ties between repeated labels
-    count as bad.  Rows with null ids are neither sampled nor used.
+    count as bad.  Of rows that repeat an id the one with the least text is
+    sampled.  Rows with null ids are neither sampled nor used.
     """
     marks = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("label"))
     here = materialize(marks.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "labels")
@@ -344,9 +354,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     n_bad = min(len(bad), max(MAX_LABELLED // 2, MAX_LABELLED - len(good)))
     chosen = docs.sparkSession.createDataFrame(bad[:n_bad] + good[: MAX_LABELLED - n_bad], here.schema)
     columns = ("label", F.pmod(order, F.lit(TIES)).cast("int").alias("tie"), utf8("text").alias("text"), "lang", "source", _size(docs).alias("size"))
-    picked = docs.join(F.broadcast(chosen), "doc_id")
-    seed = _sample_features(picked.orderBy(order, "text").select(*columns))
-    if len(seed["label"]) < 8 or len(set(seed["label"][np.arange(len(seed["label"])) % 4 != 3])) < 2 or len(set(seed["label"][3::4])) < 2:
+    picked = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", *columns)
+    once = picked.groupBy("doc_id").agg(F.min_by(F.struct(*picked.columns[1:]), F.struct("text", "lang", "source", "size")).alias("row"))
+    seed = _sample_features(once.orderBy(order, "doc_id").select("row.*"))
+    if min((seed["label"] == k).sum() for k in (0, 1)) < 2:
         warnings.warn(f"{len(bad)} bad and {len(good)} good labels are too few to fit on: every document is kept", stacklevel=2)
         discard(here)
         return None

@@ -159,7 +159,7 @@ def brute_co_training(seed, rows, good, Q):
         dense["content"][i, Q.WORD_DIM + np.frombuffer(r.layout, "<u2").astype(int)] = 1 / 20
         dense["meta"][i, np.frombuffer(r.meta, "<u2")] = 1
     tie, group = np.array([r.tie for r in rows]), np.array([zlib.crc32(r.meta) % Q.GROUPS for r in rows])
-    held = np.arange(len(seed["label"])) % 4 == 3
+    held = Q.held_out(seed["label"])
     scale = {"content": 20.0, "meta": 1.0}
     train = {v: [(x, y, 1.0) for x, y in zip(seed[v][~held], seed["label"][~held])] for v in dense}
     free, views, moved = np.ones(n, bool), {}, 0
@@ -241,6 +241,19 @@ def test_quality_classifier_edges(spark, labels):
     assert carried.columns == [*rows.columns, "_score", "_kept"]
     assert {(r.score, r.kept, r._text, r["a.b"]) for r in carried.collect()} == {(1, "x", 2, 3)}
     assert {r.kept for r in Q.classify(rows, None).collect()} == {True}
+    # one row of an id is sampled, however often it is there; two labels a class do
+    some = labels.where("doc_id is not null").dropDuplicates(["doc_id"])
+    few = some.where("quality = 0").orderBy("doc_id").limit(2).union(some.where("quality = 1").orderBy("doc_id").limit(2))
+    often = table.join(few, "doc_id", "left_semi").crossJoin(spark.range(50)).drop("id")
+    taken = []
+    own, Q._sample_features = Q._sample_features, lambda docs: taken.append(own(docs)) or taken[-1]
+    try:
+        assert Q.fit(table.union(often), few) and len(taken[0]["label"]) == 4
+    finally:
+        Q._sample_features = own
+    assert Q.held_out(np.array([0, 1, 1, 1, 1, 1, 1, 1, 1, 0])).tolist() == [False] * 4 + [True] + [False] * 3 + [True, True]
+    with pytest.warns(UserWarning):
+        assert Q.fit(table, few.limit(1)) is None
 
 
 def brute_tree(urls, prior, chance):
