@@ -1,7 +1,7 @@
 """Source divergence audit: how far the sources of a language differ in the words they use.
 
-Sort-based streaming.  Each task counts the terms of its documents, a few
-megabytes of text at a time; the counts are sorted by language, term, source and
+Sort-based streaming.  Each task counts the terms of its documents, up to a
+bounded number of counts; these are sorted by language, term, source and
 document across all tasks, so that one scan of run lengths gives the document
 frequency and the count of every term and source.  Ranges may end inside a
 term: the runs at their borders are partial, and are added up afterwards.  A
@@ -11,11 +11,12 @@ sources inside a task and emits one partial distance a pair.
 
 from __future__ import annotations
 
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,8 +26,8 @@ from .common import broadcast_if_small, discard, materialize, releasing, slices,
 MIN_DOCS, ADDED, UNIT = 30, 5, 1_000_000_000
 #: Terms that are reported for each source.
 TOP = 50
-#: Bytes of text whose terms are counted before counts are handed on.
-SLICE_BYTES = 8 << 20
+#: Bytes of text that are read at a time, and terms of groups after which a task hands on its counts.
+SLICE_BYTES, HELD = 1 << 20, 1 << 20
 #: Cells of the table of terms and sources that a task holds at once, and sources compared at once.
 CELLS, TILE = 1 << 20, 512
 #: Parts of each language's list of sources, if it is too large to broadcast.
@@ -42,29 +43,37 @@ def terms(text: bytes) -> list[bytes]:
 
 
 def _counted(docs: DataFrame) -> DataFrame:
-    """``lang, term, source, doc, df, n``: documents with a term and its occurrences, for each slice of the texts; ``doc`` is the least of the documents."""
+    """``lang, term, source, doc, df, n``: documents with a term and its occurrences, for each task or ``HELD`` terms; ``doc`` is the least of the documents."""
     schema = pa.schema([("lang", pa.string()), ("term", pa.string()), ("source", pa.string()), ("doc", pa.int64()), ("df", pa.int64()), ("n", pa.int64())])
 
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict = {}
+        held = 0
+
+        def given():
+            for (lang, source), (first, df, n) in groups.items():
+                names = pa.array(list(n), pa.binary()).cast(pa.string())
+                fixed = [pa.repeat(pa.scalar(v, k), len(n)) for v, k in ((lang, pa.string()), (source, pa.string()), (first, pa.int64()))]
+                counts = [pa.array([c[t] for t in n], pa.int64()) for c in (df, n)]
+                yield pa.RecordBatch.from_arrays([fixed[0], names, fixed[1], fixed[2], *counts], schema=schema)
+            groups.clear()
+
         for batch in batches:
             for part in slices(batch, "text", SLICE_BYTES):
                 rows = part.to_pydict()
-                groups: dict = defaultdict(list)
                 for lang, source, doc, text in zip(rows["lang"], rows["source"], rows["doc"], rows["text"]):
-                    groups[lang, source].append((doc, text))
-                for (lang, source), texts in groups.items():
-                    df, n = Counter(), Counter()
-                    for _, text in texts:
-                        own = terms(text)
-                        n.update(own)
-                        df.update(set(own))
-                    if n:
-                        first = min((d for d, _ in texts if d is not None), default=None)
-                        names = pa.array(list(n), pa.binary()).cast(pa.string())
-                        fixed = [pa.repeat(pa.scalar(v, k), len(n)) for v, k in ((lang, pa.string()), (source, pa.string()), (first, pa.int64()))]
-                        counts = [pa.array([c[t] for t in n], pa.int64()) for c in (df, n)]
-                        yield pa.RecordBatch.from_arrays([fixed[0], names, fixed[1], fixed[2], *counts], schema=schema)
+                    if own := terms(text):
+                        group = groups.setdefault((lang, source), [doc, Counter(), Counter()])
+                        held -= len(group[2])
+                        group[0] = doc if group[0] is None else group[0] if doc is None else min(doc, group[0])
+                        group[1].update(set(own))
+                        group[2].update(own)
+                        held += len(group[2])
+                if held > HELD:
+                    yield from given()
+                    held = 0
+        yield from given()
 
     slim = docs.select(_group("lang"), _group("source"), F.col("doc_id").cast("long").alias("doc"), utf8("text").alias("text"))
     return slim.mapInArrow(run, "lang string, term string, source string, doc long, df long, n long")
@@ -80,34 +89,47 @@ def _scanned(counted: DataFrame) -> DataFrame:
 
     @releasing
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        border = True  # the first term of a range may have begun before it
-        held: list = []  # runs of the term being read
-        key: tuple | None = None
+        names = ["lang", "term", "source", "df", "n"]
+        held, first = None, True  # the runs of the term being read; the first term of a range may have begun before it
+
+        def changes(rows, columns):
+            """Where one of the columns, which are sorted, changes; the first row counts."""
+            new = np.zeros(rows.num_rows, bool)
+            new[0] = True
+            for c in columns:
+                own = rows.column(c)
+                new[1:] |= pc.not_equal(own[1:], own[:-1]).to_numpy(zero_copy_only=False)
+            return np.flatnonzero(new)
+
+        def summed(rows):
+            at = changes(rows, names[:3])
+            text = [rows.column(c).take(pa.array(at)) for c in names[:3]]
+            return pa.RecordBatch.from_arrays([*text, *(pa.array(np.add.reduceat(rows.column(c).to_numpy(), at)) for c in names[3:])], names=names)
 
         def closed(runs, whole):
-            df = sum(r[3] for r in runs)
-            if not whole:
-                return [(*r, False) for r in runs]
-            return [(*r[:3], df, r[4], True) for r in runs] if df >= MIN_DOCS else []
+            """The finished terms of some runs, those in too few documents left out."""
+            at = changes(runs, names[:2])
+            size = np.diff(np.append(at, runs.num_rows))
+            df = np.repeat(np.add.reduceat(runs.column("df").to_numpy(), at), size)
+            ends = np.repeat(np.arange(len(at)) > 0, size) if first else np.ones(len(df), bool)
+            ends &= whole
+            take = pa.array(np.flatnonzero(~ends | (df >= MIN_DOCS)))
+            df = pa.array(np.where(ends, df, runs.column("df").to_numpy()))
+            return pa.RecordBatch.from_arrays([c.take(take) for c in (*runs.columns[:3], df, runs.column("n"), pa.array(ends))], schema=schema)
 
-        out: list = []
         for batch in batches:
-            for lang, term, source, df, n in zip(*(batch.column(c).to_pylist() for c in ("lang", "term", "source", "df", "n"))):
-                if key != (lang, term):
-                    if key is not None:
-                        out += closed(held, not border)
-                        border = False
-                    key, held = (lang, term), []
-                if held and held[-1][2] == source:
-                    held[-1][3] += df
-                    held[-1][4] += n
-                else:
-                    held.append([lang, term, source, df, n])
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*out), schema)], schema=schema)
-                out = []
-        if held:  # the last term may go on in the next range
-            yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*closed(held, False)), schema)], schema=schema)
+            if not batch.num_rows:
+                continue
+            rows = summed(batch)
+            if held is not None:
+                rows = summed(pa.Table.from_batches([held, rows]).combine_chunks().to_batches()[0])
+            last = int(changes(rows, names[:2])[-1])
+            if last:
+                yield closed(rows.slice(0, last), True)
+                first = False
+            held = rows.slice(last)
+        if held is not None:  # the last term may go on in the next range
+            yield closed(held, False)
 
     order = ["lang", "term", "source", "doc"]
     ranges = counted.repartitionByRange(*order).sortWithinPartitions(*order)

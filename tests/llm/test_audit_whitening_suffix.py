@@ -129,12 +129,15 @@ def test_source_divergence(spark, monkeypatch):
     rows += [(1, None, None, "Äpfel ÄPFEL apfel x1y2  \U0001d54f"), (None, None, "s", None), (None, "", "", "apfel Z"), (3, "en", "only", ""), (3, "en", "only", ""), (4, "zz", "a", "1 2"), (5, "zz", "b", None)]
     rows += [(6, "yy", f"s{i:04}", "one " * (i % 7) + "two three") for i in range(60)] + [rows[0]] * 3 + [(7, "en", "only", "the word " * 40_000)]
     docs = spark.createDataFrame(rows, "doc_id long, lang string, source string, text string").withColumn("term", F.lit(1)).withColumn("n", F.lit(2)).withColumn("place", F.lit(0))
-    for min_docs, cells, tile, slice_bytes in ((30, 1 << 20, 512, 8 << 20), (3, 200, 7, 20_000)):
+    for min_docs, cells, tile, slice_bytes, held in ((30, 1 << 20, 512, 1 << 20, 1 << 20), (3, 200, 7, 20_000, 500)):
         monkeypatch.setattr(A, "MIN_DOCS", min_docs)
         monkeypatch.setattr(A, "CELLS", cells)
         monkeypatch.setattr(A, "TILE", tile)
         monkeypatch.setattr(A, "SLICE_BYTES", slice_bytes)
+        monkeypatch.setattr(A, "HELD", held)
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10000" if min_docs == 30 else "70")
         got = Counter(map(tuple, A.source_divergence(docs.repartition(5)).collect()))
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
         assert got == _divergence([r[1:] for r in rows], min_docs, 50)
     monkeypatch.setattr("folioscope.llm.common.BROADCAST_BYTES", 0)  # the way of tables too large to broadcast
     assert Counter(map(tuple, A.source_divergence(docs).collect())) == got
