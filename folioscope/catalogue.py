@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import lines, markup, relations, rules
+from .operators import elements, lines, markup, relations, rules
 from .plans import reports
 from .sources import corpus
 
@@ -334,7 +334,62 @@ _HEADED_SQL = f"""array_to_string([case when regexp_matches(x, '(?is)^<h[1-6][^>
 
 @query(f"select page_id, md5({_steps_sql(_entities_sql(_steps_sql('t', markup.INLINE_STEPS + markup.BLOCK_STEPS)), markup.TIDY_STEPS)}) as digest from (select page_id, {_HEADED_SQL} as t from pages)")
 def html_to_markdown(spark, sf_dir):
-    return _t(spark, sf_dir, "pages").select("page_id", F.md5(markup.html_to_markdown(F.col("html")).cast("binary")).alias("digest"))
+    return elements.pages_to_markdown(_t(spark, sf_dir, "pages")).select("page_id", F.md5(F.col("markdown").cast("binary")).alias("digest"))
+
+
+#: Tokens of the articles of pages, cut into parts at blocks.
+_EVENTS_SQL = f"""with t as (
+    select page_id, unnest(l) as tok, unnest(range(len(l))) as pos from (select page_id, regexp_extract_all(html, {_q(elements.TOKEN)}) as l from pages)
+), k as (
+    select *, lower(regexp_extract(tok, '^</?([A-Za-z][A-Za-z0-9:-]*)', 1)) as tag, tok like '</%' as closes from t where not regexp_matches(tok, '(?is)^<(?:[!?]|script\\b|style\\b)')
+), c as (
+    select *, sum(case when tag <> 'article' then 0 when closes then -1 else 1 end) over (partition by page_id order by pos) as d from k
+), e as (
+    select *, sum((tag in ('p', 'li', 'ul', 'ol', 'table', 'h1', 'h2', 'h3', 'h4', 'h5', 'h6'))::int) over w as part,
+        coalesce(last_value(case when tag in ('li', 'ul', 'ol') then tag = 'li' and not closes end ignore nulls) over w, false) as item,
+        coalesce(last_value(case when regexp_matches(tag, '^h[1-6]$') then case when closes then 0 else tag[2]::int end end ignore nulls) over w, 0) as head,
+        case when tag = '' then {_entities_sql('tok')} when tag in ('i', 'em') then '*' when tag in ('b', 'strong') then '**' when tag = 'br' then chr(10) end as piece
+    from c where d > 0 window w as (partition by page_id order by pos)
+), g as (
+    select page_id, part, min(pos) as pos, string_agg(piece, '' order by pos) as joined, arg_min(item, pos) filter (piece is not null) as item, arg_min(head, pos) filter (piece is not null) as head
+    from e group by page_id, part having count(piece) > 0
+), s as (
+    select page_id, pos, item, head, regexp_replace(regexp_replace(joined, '[ \\t\\x{{A0}}]+', ' ', 'g'), '^[ \\t\\n\\f\\r\\v]+|[ \\t\\n\\f\\r\\v]+$', '', 'g') as payload from g
+), n as (
+    select page_id, row_number() over (partition by page_id order by pos)::int as n, case when head > 0 then 'heading' when item then 'item' else 'prose' end as kind,
+        case when head > 0 then repeat('#', head) || ' ' || regexp_replace(payload, '\\s+', ' ', 'g') else payload end as payload from s where payload <> ''
+)"""
+
+
+def _article_events(spark, sf_dir):
+    return elements.events(_t(spark, sf_dir, "pages"), content=lambda tag, token: tag == "article")
+
+
+@query(f"{_EVENTS_SQL} select page_id, n, kind, md5(payload) as digest from n")
+def page_events(spark, sf_dir):
+    return _article_events(spark, sf_dir).select("page_id", "n", "kind", F.md5(F.col("payload").cast("binary")).alias("digest"))
+
+
+@query(f"{_EVENTS_SQL} select page_id, kind, count(*) as n_events from n group by all")
+def event_counts(spark, sf_dir):
+    return _article_events(spark, sf_dir).groupBy("page_id", "kind").agg(F.count("*").alias("n_events"))
+
+
+@query(
+    f"""{_EVENTS_SQL}, b as (select page_id, n, kind, case when kind = 'item' then '- ' || payload else payload end as text from n)
+    select page_id, row_number() over (partition by page_id order by n)::int as n, kind, md5(text) as digest from b where text = '* * *' or not regexp_matches(text, '^[*\\s]+$')"""
+)
+def event_blocks(spark, sf_dir):
+    return elements.event_blocks(_article_events(spark, sf_dir)).select("page_id", "n", "kind", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query(
+    """select page_id, (unnest(range(len(l))) + 1)::int as n, md5(unnest(l)) as digest from (
+        select page_id, regexp_extract_all(html, '(?is)<li(?:[^>"]|"[^"]*")*>(.*?)</li>', 1) as l from pages)"""
+)
+def page_items(spark, sf_dir):
+    items = elements.extract_elements(_t(spark, sf_dir, "pages"), lambda tag, token: tag == "li", inner=True)
+    return items.select("page_id", "n", F.md5(F.col("html").cast("binary")).alias("digest"))
 
 
 WIKI = [
