@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import elements, lines, markup, relations, rules
+from .operators import elements, lines, markup, relations, renames, rules
 from .plans import reports
-from .sources import corpus
+from .sources import corpus, ordered
 
 _QUERIES: dict = {}
 _SQL: dict[str, str] = {}
@@ -427,6 +427,85 @@ def snapshot_diff(spark, sf_dir):
     return relations.snapshot_diff(old, docs.where("doc_id % 11 <> 5"))
 
 
+#: Snapshots with new ids for a third of the texts, half of those reworked by a line at their end.
+_OLD_SQL = "select doc_id, text from documents where doc_id % 10 <> 3"
+_NEW_SQL = """select case when doc_id % 3 = 0 then doc_id + 1000000 else doc_id end as doc_id,
+    case when doc_id % 6 = 0 then text || chr(10) || 'a line of its own' else text end as text from documents where doc_id % 11 <> 5"""
+
+
+def _moved_snapshots(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents").select("doc_id", "text")
+    came = docs.where("doc_id % 11 <> 5").select(
+        F.when(F.col("doc_id") % 3 == 0, F.col("doc_id") + 1000000).otherwise(F.col("doc_id")).alias("doc_id"),
+        F.when(F.col("doc_id") % 6 == 0, F.concat("text", F.lit("\na line of its own"))).otherwise(F.col("text")).alias("text"),
+    )
+    return docs.where("doc_id % 10 <> 3"), came
+
+
+@query(
+    f"""with o as ({_OLD_SQL}), n as ({_NEW_SQL}),
+    a as (select doc_id, unnest(string_split(text, chr(10))) as line from o where doc_id not in (select doc_id from n)),
+    b as (select doc_id, unnest(string_split(text, chr(10))) as line from n where doc_id not in (select doc_id from o)),
+    x as (select doc_id, line, count(*) * (strlen(line) + 1) as w from a group by all), y as (select doc_id, line, count(*) * (strlen(line) + 1) as w from b group by all),
+    sx as (select doc_id, sum(w) as s from x group by all), sy as (select doc_id, sum(w) as s from y group by all),
+    p as (select x.doc_id as old, y.doc_id as new, sum(least(x.w, y.w)) as common from x join y using (line) group by all)
+    select old, new, (60000 * common // greatest(sx.s, sy.s))::bigint as score from p join sx on sx.doc_id = old join sy on sy.doc_id = new where 2 * common >= greatest(sx.s, sy.s)"""
+)
+def rename_scores(spark, sf_dir):
+    old, new = _moved_snapshots(spark, sf_dir)
+    return renames.rename_scores(old.join(new, "doc_id", "left_anti"), new.join(old, "doc_id", "left_anti"))
+
+
+@query()
+def snapshot_changes(spark, sf_dir):
+    return renames.snapshot_changes(*_moved_snapshots(spark, sf_dir))
+
+
+def _as_books(spark, sf_dir):
+    header = F.create_map(F.lit("title"), F.substring("text", 1, 20), F.lit("author"), F.col("source"), F.lit("language"), F.col("lang"), F.lit("year"), (F.col("doc_id") % 2100).cast("string"), F.lit("note"), F.lit('a "note"'))
+    path = F.concat(F.lit("books/"), "lang", F.lit("/"), "source", F.lit("/"), F.col("doc_id").cast("string"), F.lit(".md"))
+    return _t(spark, sf_dir, "documents").select(path.alias("path"), F.col("lang").alias("locale"), header.alias("header"), F.octet_length("text").alias("size_bytes"), "text")
+
+
+_PAIR = "'      \"{0}\": ' || to_json({1})"
+
+
+@query(
+    """with b as (
+        select 'books/' || lang || '/' || source || '/' || doc_id || '.md' as path, lang, source, text, doc_id from documents
+    ), f as (select count(*) as n, list_sort(list_distinct(list(lang))) as locales, max(path) as last from b)
+    select 1 as rank, path, md5('    {' || chr(10) || array_to_string(["""
+    + ", ".join(
+        _PAIR.format(k, v)
+        for k, v in {"path": "path", "locale": "lang", "title": "substr(text, 1, 20)", "author": "source", "language": "lang", "year": "(doc_id % 2100)::varchar", "note": "'a \"note\"'"}.items()
+    )
+    + """,
+        '      "yearNumeric": ' || doc_id % 2100, '      "sizeBytes": ' || strlen(text),
+        '      "wordCount": ' || len(list_filter(regexp_split_to_array(text, '[\\x09-\\x0D\\x1C-\\x20\\x{85}\\x{A0}\\x{1680}\\x{2000}-\\x{200A}\\x{2028}\\x{2029}\\x{202F}\\x{205F}\\x{3000}]+'), lambda x: x <> ''))
+        ], ',' || chr(10)) || chr(10) || '    }' || case when path < last then ',' else '' end) as digest from b, f
+    union all select 0, '', md5('{' || chr(10) || '  "corpus": "documents",' || chr(10) || '  "bookCount": ' || n || ',' || chr(10) || '  "localeCount": ' || len(locales) || ',' || chr(10) || '  "locales": [' || chr(10)
+        || array_to_string(['    ' || to_json(x) for x in locales], ',' || chr(10)) || chr(10) || '  ],' || chr(10) || '  "books": [') from f
+    union all select 2, '', md5('  ]' || chr(10) || '}')"""
+)
+def manifest_rows(spark, sf_dir):
+    rows = ordered.manifest_rows(_as_books(spark, sf_dir), {"corpus": "documents"})
+    return rows.select("rank", "path", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
+@query(
+    """with i as (select *, case when n_chars < 60 then 'short' when contains(text, '###') then 'marked' end as reason from documents),
+    k as (select *, row_number() over (order by lang, source, doc_id) as n, row_number() over (partition by lang order by source, doc_id) as m from i where reason is null)
+    select 1 as rank, lang, source, doc_id, md5(case when n = 1 then '' else chr(10) end || case when m = 1 then '# ' || lang || chr(10) || chr(10) else '' end || '## Text ' || doc_id
+        || case when source <> '' then chr(10) || chr(10) || '*' || source || '*' else '' end || case when text <> '' then chr(10) || chr(10) || text else '' end) as digest from k
+    union all select 0, null, null, null, md5(count(*) filter (reason is null) || ' of ' || count(*) || ', ' || count(*) filter (reason = 'short') || ' short, ' || count(*) filter (reason = 'marked') || ' marked') from i"""
+)
+def anthology_rows(spark, sf_dir):
+    items = _t(spark, sf_dir, "documents").select("lang", "source", "doc_id", "n_chars", F.concat(F.lit("Text "), F.col("doc_id").cast("string")).alias("title"), F.col("source").alias("cite"), "text")
+    exclude = {"short": F.col("n_chars") < 60, "marked": F.col("text").contains("###")}
+    rows = ordered.anthology_rows(items, ["lang", "source", "doc_id"], exclude, "{kept} of {total}, {short} short, {marked} marked", section="lang")
+    return rows.select("rank", "lang", "source", "doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+
+
 @query(
     """select doc_id, m as mark, length(text) - length(replace(text, m, '')) as n_source, (length(c) - length(replace(c, m, '')))::bigint as n_copy,
     m = '«' or length(c) - length(replace(c, m, '')) >= length(text) - length(replace(text, m, '')) as ok

@@ -213,7 +213,7 @@ def events(pages: DataFrame, key: str = "page_id", html: str = "html", content:
     filled = F.col("piece").isNotNull()
     first = lambda c: F.min_by(c, F.when(filled, F.col("pos")))
     joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.when(filled, F.struct("pos", "piece")))), lambda x: x["piece"]), "")
-    squeezed = F.regexp_replace(F.regexp_replace(joined, r"[ \t ]+", " "), r"^\s+|\s+$", "")
+    squeezed = F.regexp_replace(F.regexp_replace(joined, r"[ \t\x{A0}]+", " "), r"^\s+|\s+$", "")
     parts = t.groupBy(key, "part").agg(
         F.min("pos").alias("pos"), squeezed.alias("payload"), *(F.coalesce(first(F.col(c)), F.lit(False)).alias(c) for c in ("poem", "centre", "list", "item")), F.bool_or("table").alias("table"),
         F.coalesce(first(F.col("head")), F.lit(0)).alias("head"), F.coalesce(F.bool_or("img"), F.lit(False)).alias("img"), F.max("ref_id").alias("ref_id"),

@@ -23,8 +23,8 @@ PHRASES = [
 ]
 
 
-def record_json(path: Column, locale: Column, header: Column, size: Column, body: Column) -> Column:
-    """A book's record: fixed fields, then the header's other keys in order, then year, size and words; missing ones are left out."""
+def record_fields(path: Column, locale: Column, header: Column, size: Column, body: Column) -> Column:
+    """A book's fields as JSON pairs: fixed fields, then the header's other keys in order, then year, size and words; missing ones are left out."""
     known = F.array(*map(F.lit, FIELDS))
     have = F.map_keys(header)
     keys = F.concat(F.filter(known, lambda k: F.array_contains(have, k)), F.array_sort(F.array_except(have, known)))
@@ -39,7 +39,12 @@ def record_json(path: Column, locale: Column, header: Column, size: Column, body
         )
     )
     first = F.array(F.concat(F.lit('"path": '), text(path)), F.concat(F.lit('"locale": '), text(locale)))
-    return F.concat(F.lit("{"), F.array_join(F.concat(first, pairs, numbers), ", "), F.lit("}"))
+    return F.concat(first, pairs, numbers)
+
+
+def record_json(path: Column, locale: Column, header: Column, size: Column, body: Column) -> Column:
+    """A book's record as one line of JSON."""
+    return F.concat(F.lit("{"), F.array_join(record_fields(path, locale, header, size, body), ", "), F.lit("}"))
 
 
 def derived_counts(books: DataFrame) -> DataFrame:

@@ -10,10 +10,15 @@ from pyspark.sql.types import StringType
 from ..functions.text import token_count, year_number, yaml_scalar
 
 
+def file_path() -> Column:
+    """The path of a row's file, as it is: Spark gives it as a URL."""
+    return F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+
+
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
     """Every Markdown file below ``path``: ``path, size_bytes, raw``; scaffold files are left out."""
     files = spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.md").select(
-        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_size").alias("size_bytes"), F.col("value").alias("raw")
+        file_path().alias("path"), F.col("_metadata.file_size").alias("size_bytes"), F.col("value").alias("raw")
     )
     name = F.element_at(F.split("path", "/"), -1)
     return files.where(~F.upper(name).isin("README.MD", "CONTRIBUTING.MD", "CHANGELOG.MD", "LICENSE.MD") & ~F.col("path").contains("/.github/"))
@@ -21,7 +26,7 @@ def read_corpus(spark: SparkSession, path: str) -> DataFrame:
 
 def read_pages(spark: SparkSession, path: str) -> DataFrame:
     """Page directories ``<engine>/<page>.txt`` as ``engine, page_id, text``; names from ``_`` on are left out."""
-    parts = F.split(F.col("_metadata.file_path"), "/")
+    parts = F.split(file_path(), "/")
     return spark.read.text(path, wholetext=True, recursiveFileLookup=True, pathGlobFilter="*.txt").select(
         F.element_at(parts, -2).alias("engine"), F.regexp_replace(F.element_at(parts, -1), r"\.txt$", "").alias("page_id"), F.col("value").alias("text")
     ).where(~F.col("page_id").startswith("_"))
@@ -35,7 +40,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
 
 def read_documents(spark: SparkSession, path: str, leave: str = "/books/") -> DataFrame:
     """Texts that describe the corpus, without the corpus itself: ``path, text``."""
-    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    files = spark.read.text(path, wholetext=True, recursiveFileLookup=True).select(file_path().alias("path"), F.col("value").alias("text"))
     return files.where(~F.col("path").contains(leave))
 
 
@@ -99,14 +104,15 @@ def body(raw: Column) -> Column:
 
 
 def header_map(raw: Column) -> Column:
-    """Header keys and values, double quotes stripped; of equal keys the last wins."""
+    """Header keys and values, without the double quotes around a value; of equal keys the last wins."""
     lines = F.filter(F.split(header_block(raw), "\n"), lambda x: x.rlike("^[A-Za-z_][A-Za-z0-9_-]*:"))
-    entry = lambda x: F.struct(
-        F.substring_index(x, ":", 1), F.regexp_replace(F.trim(F.regexp_replace(x, "^[^:]*:", "")), '^"|"$', "")
-    )
-    keys = F.transform(lines, lambda x: F.substring_index(x, ":", 1))
-    latest = F.filter(lines, lambda x, i: ~F.array_contains(F.slice(keys, i + 2, F.size(keys)), F.substring_index(x, ":", 1)))
-    return F.map_from_entries(F.transform(latest, entry))
+    value = lambda x: F.regexp_replace(F.trim(F.regexp_replace(x, "^[^:]*:", "")), r'(?s)^"(.*)"$', "$1")
+    return F.aggregate(lines, F.create_map().cast("map<string,string>"), lambda m, x: _put(m, F.substring_index(x, ":", 1), value(x)))
+
+
+def _put(m: Column, key: Column, value: Column) -> Column:
+    """A map with one more entry, in place of one of the same key."""
+    return F.map_concat(F.map_filter(m, lambda k, _: k != key), F.create_map(key, value))
 
 
 def _below(part: str) -> Column:
