@@ -17,11 +17,27 @@ def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def before(items: Column) -> Column:
+    """An array moved on by one place: what stands before each item, null before the first; one longer."""
+    return F.concat(F.transform(F.slice(items, 1, 1), lambda x: F.nullif(x, x)), items)
+
+
+def after(items: Column) -> Column:
+    """An array moved back by one place: what stands behind each item; one shorter."""
+    return F.slice(items, 2, F.greatest(F.size(items), F.lit(1)))
+
+
+def places(flags: Column) -> Column:
+    """The places, from 0, of the true values of an array."""
+    return F.filter(F.transform(flags, lambda x, i: F.when(x, i)), lambda i: i.isNotNull())
+
+
 def runs(flags: Column) -> Column:
-    """Maximal runs of true values in an array: ``array<struct<first, last>>``, places from 0."""
-    at = F.sequence(F.lit(0), F.size(flags) - 1)
-    edge = lambda step: F.filter(at, lambda i: F.get(flags, i) & ~F.coalesce(F.get(flags, i + step), F.lit(False)))
-    return F.arrays_zip(edge(-1).alias("first"), edge(1).alias("last"))
+    """Maximal runs of true values in an array without nulls: ``array<struct<first, last>>``, places from 0."""
+    no = lambda x: ~F.coalesce(x, F.lit(False))
+    first = places(F.zip_with(flags, before(flags), lambda x, y: x & no(y)))
+    last = places(F.zip_with(flags, after(flags), lambda x, y: x & no(y)))
+    return F.arrays_zip(first.alias("first"), last.alias("last"))
 
 
 def soft_wrapped(line: Column, max_line: int = 65) -> Column:
@@ -36,11 +52,19 @@ def soft_wrapped(line: Column, max_line: int = 65) -> Column:
 
 
 def verse_runs(docs: DataFrame, max_line: int = 65, min_run: int = 4, min_runs: int = 3) -> DataFrame:
-    """Runs of soft-wrapped verse lines of each document: ``doc_id, n_runs, max_run, flagged``."""
-    flags = docs.select("doc_id", F.transform(split_lines(F.col("text")), lambda x: soft_wrapped(x, max_line)).alias("flags"))
-    sizes = F.transform(runs(F.col("flags")), lambda r: (r["last"] - r["first"] + 1).cast("long"))
-    found = flags.select("doc_id", F.filter(sizes, lambda n: n >= min_run).alias("sizes")).where(F.size("sizes") > 0)
-    return found.select("doc_id", F.size("sizes").cast("long").alias("n_runs"), F.array_max("sizes").alias("max_run"), (F.size("sizes") >= min_runs).alias("flagged"))
+    """Runs of soft-wrapped verse lines of each document: ``doc_id, n_runs, max_run, flagged``; one fold over the lines."""
+    state = lambda run, n, most: F.struct(run.alias("run"), n.alias("n"), most.alias("most"))
+    zero = F.lit(0).cast("long")
+
+    def close(s):
+        long = s["run"] >= min_run
+        return state(zero, s["n"] + F.when(long, 1).otherwise(0), F.when(long, F.greatest(s["most"], s["run"])).otherwise(s["most"]))
+
+    step = lambda s, x: F.when(soft_wrapped(x, max_line), state(s["run"] + 1, s["n"], s["most"])).otherwise(close(s))
+    found = F.aggregate(split_lines(F.col("text")), state(zero, zero, zero), step, close)
+    # a generator, below which no filter is moved that would run the fold again
+    rows = docs.select("doc_id", F.inline(F.array(F.struct(found.alias("f"))))).select("doc_id", "f.n", "f.most").where("n > 0")
+    return rows.select("doc_id", F.col("n").alias("n_runs"), F.col("most").alias("max_run"), (F.col("n") >= min_runs).alias("flagged"))
 
 
 def block_classes(docs: DataFrame, prose: int = 58, paragraph: int = 90, min_verse: int = 2) -> DataFrame:
@@ -67,9 +91,9 @@ def block_classes(docs: DataFrame, prose: int = 58, paragraph: int = 90, min_ver
 
 def short_lines(docs: DataFrame, limit: int) -> DataFrame:
     """Lines under a length with the next such line: ``doc_id, line_no, next_boundary``."""
-    places = F.filter(F.transform(split_lines(F.col("text")), lambda x, i: F.when(F.length(x) < limit, i + 1)), lambda i: i.isNotNull())
-    found = docs.select("doc_id", places.alias("at"))
-    return found.select("doc_id", F.inline(F.transform("at", lambda x, i: F.struct(x.alias("line_no"), F.get("at", i + 1).alias("next_boundary")))))
+    at = F.filter(F.transform(split_lines(F.col("text")), lambda x, i: F.when(F.length(x) < limit, i + 1)), lambda i: i.isNotNull())
+    pairs = F.zip_with(at, after(at), lambda x, y: F.struct(x.alias("line_no"), y.alias("next_boundary")))
+    return docs.select("doc_id", F.inline(pairs))
 
 
 def split_table_rows(docs: DataFrame) -> DataFrame:
@@ -96,17 +120,14 @@ def versify(text: Column) -> Column:
 def drop_adjacent_repeats(docs: DataFrame, text: str = "text") -> DataFrame:
     """``doc_id, text`` without lines equal to the line before, blank ones apart."""
     parts = F.split(F.col(text), "\n")
-    kept = F.filter(
-        parts,
-        lambda x, i: ~((F.trim(x) != "") & (i > 0) & F.coalesce(F.trim(F.get(parts, i - 1)) == F.trim(x), F.lit(False))),
-    )
-    return docs.select("doc_id", F.array_join(kept, "\n").alias("text"))
+    pairs = F.zip_with(parts, before(parts), lambda x, y: F.struct(x.alias("line"), ((F.trim(x) == "") | ~F.coalesce(F.trim(y) == F.trim(x), F.lit(False))).alias("kept")))
+    kept = F.filter(pairs, lambda p: p["line"].isNotNull() & p["kept"])
+    return docs.select("doc_id", F.array_join(F.transform(kept, lambda p: p["line"]), "\n").alias("text"))
 
 
 def heading_jumps(docs: DataFrame) -> DataFrame:
     """First heading of each document that is more than one level below the heading before it."""
     level = lambda x: F.length(F.regexp_extract(x, "^(#{1,6})[ \t]+[^ \t]", 1))
     heads = F.filter(F.transform(split_lines(F.col("text")), lambda x, i: F.struct((i + 1).alias("line_no"), level(x).alias("level"))), lambda h: h["level"] > 0)
-    found = docs.select("doc_id", heads.alias("h"))
-    jumps = F.filter("h", lambda h, i: (i > 0) & (h["level"] > F.get("h", i - 1)["level"] + 1))
-    return found.select("doc_id", F.get(jumps, F.lit(0))["line_no"].alias("line_no")).where("line_no is not null")
+    jumps = F.filter(F.zip_with(heads, after(heads), lambda a, b: F.when(b["level"] > a["level"] + 1, b["line_no"])), lambda n: n.isNotNull())
+    return docs.select("doc_id", F.explode(F.slice(jumps, 1, 1)).alias("line_no"))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from ..functions.text import LOCALE_BLOCKS, count_matches, script_count
+from .lines import after, before
 
 # Licence remains, footer headings, tag names, coerced scalars, header keys, admission routes.
 DEBRIS = [
@@ -81,7 +82,7 @@ def _hit(line, n, detail=None) -> Column:
 
 def _whole(n: Column, detail=None) -> Column:
     """One hit of the whole document if ``n`` is positive."""
-    return F.when(n > 0, F.array(_hit(0, n, detail))).otherwise(_nothing())
+    return F.filter(F.array(_hit(0, n, detail)), lambda h: h["n"] > 0)
 
 
 def _marked_lines(marked: Column, first: Column | int = 0, keep=None) -> Column:
@@ -121,16 +122,31 @@ def balanced(formula: Column) -> Column:
 
 def _first_jump(levels: Column) -> Column:
     """1 if a heading is more than one level below the one before it."""
-    return F.exists(F.sequence(F.lit(1), F.size(levels)), lambda i: F.length(F.get(levels, i)) > F.length(F.get(levels, i - 1)) + 1).cast("int")
+    return F.exists(F.zip_with(levels, after(levels), lambda x, y: F.coalesce(F.length(y) > F.length(x) + 1, F.lit(False))), lambda x: x).cast("int")
 
 
-def _each(items: Column, count) -> Column:
-    """A hit of the whole document for each distinct item that ``count`` counts."""
-    return F.filter(F.transform(F.array_sort(F.array_distinct(items)), lambda x: _hit(0, count(x), x)), lambda h: h["n"] > 0)
+def counted(items: Column) -> Column:
+    """Distinct items of an array in order with their numbers: ``array<struct<item, n>>``; sorted once, then runs."""
+    ordered = F.array_sort(items)
+    new = F.zip_with(ordered, before(ordered), lambda x, y: F.struct(x.alias("item"), (x.isNotNull() & ~x.eqNullSafe(y)).alias("new")))
+    first = F.filter(F.transform(new, lambda x, i: F.struct(x["item"].alias("item"), i.alias("at"), x["new"].alias("new"))), lambda x: x["new"])
+    ends = F.concat(F.transform(after(first), lambda x: x["at"]), F.array(F.size(ordered)))
+    return F.filter(F.zip_with(first, ends, lambda x, e: F.struct(x["item"].alias("item"), (e - x["at"]).alias("n"))), lambda x: x["item"].isNotNull())
 
 
-def _same(items: Column, x: Column) -> Column:
-    return F.size(F.filter(items, lambda y: y == x))
+def _uneven(begins: Column, ends: Column) -> Column:
+    """Names that begin and end unequally often, with the difference."""
+    marked = F.concat(F.transform(begins, lambda x: F.struct(x.alias("name"), F.lit(1).alias("way"))), F.transform(ends, lambda x: F.struct(x.alias("name"), F.lit(2).alias("way"))))
+    sums = counted(marked)
+    name = lambda x: x["item"]["name"]
+    paired = F.zip_with(sums, after(sums), lambda x, y: F.struct(name(x).alias("item"), F.when(name(y) == name(x), F.abs(x["n"] - y["n"])).otherwise(x["n"]).alias("n"), F.lit(True).alias("own")))
+    own = F.zip_with(paired, before(sums), lambda x, y: F.struct(x["item"].alias("item"), F.when(name(y) == x["item"], 0).otherwise(x["n"]).alias("n")))
+    return F.filter(own, lambda x: x["item"].isNotNull() & (x["n"] > 0))
+
+
+def _each(found: Column) -> Column:
+    """A hit of the whole document for each of ``found(item, n)``."""
+    return F.transform(found, lambda x: _hit(0, x["n"], x["item"]))
 
 
 def _script(text: Column, locale: Column, blocks: dict) -> tuple[Column, Column]:
@@ -186,7 +202,7 @@ def checked(docs: DataFrame, *keep: str, locale: str | None = None, blocks: dict
         ("U002", "warn", _whole(count_matches(t, r"[\x{E000}-\x{F8FF}]"))),
         ("H002", "warn", _whole(_first_jump(F.regexp_extract_all(b, F.lit(_unix(HEADING)), 1)))),
         ("C001", "error", _whole(F.size(F.filter(F.split(b, "\n"), lambda x: x.startswith("```"))) % 2)),
-        ("X001", "warn", _each(tags, lambda x: _same(tags, x))),
+        ("X001", "warn", _each(counted(tags))),
         ("X002", "error", hits(b, TAG, keep=unknown)),
         ("L001", "warn", F.when(F.length(b) > 20_000, F.slice(long, 1, 1)).otherwise(_nothing())),
         ("M001", "error", math(_whole(F.abs(count_matches(b, LEFT) - count_matches(b, RIGHT))))),
@@ -194,7 +210,7 @@ def checked(docs: DataFrame, *keep: str, locale: str | None = None, blocks: dict
         ("M003", "warn", math(trailers)),
         ("M005", "error", math(hits(t, FORMULA, keep=unbalanced))),
         ("M006", "error", math(_whole(F.abs(F.size(begins) - F.size(ends))))),
-        ("M007", "error", math(_each(F.concat(begins, ends), lambda x: F.abs(_same(begins, x) - _same(ends, x))))),
+        ("M007", "error", math(_each(_uneven(begins, ends)))),
     ]
     checks = [F.struct(F.lit(c).alias("code"), F.lit(s).alias("severity"), h.alias("hits")) for c, s, h in rules]
     return docs.select(*keep, F.array(*checks).alias("checks"))
