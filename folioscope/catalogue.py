@@ -427,6 +427,54 @@ def snapshot_diff(spark, sf_dir):
     return relations.snapshot_diff(old, docs.where("doc_id % 11 <> 5"))
 
 
+#: Headers of files by turns: whole, never closed, without a field, none; a seventh of the files is cut inside a character.
+FILE_HEADERS = ["title: t\nauthor: a\nyear: 1\nsource: s\nlicense: l\n---\n", "title: t\n", "title: t: u\nauthor: a\nyear: 1\nsource: s\n---\n", ""]
+_RAW_SQL = f"case when doc_id % 4 = 3 then text else '---' || chr(10) || 'language: ' || lang || chr(10) || {_list(FILE_HEADERS)}[doc_id % 4 + 1] || text end"
+_FILES_SQL = f"""(select doc_id, lang, raw, case when doc_id % 4 in (0, 2) then text else raw end as text from (select doc_id, lang, text, {_RAW_SQL} as raw from documents where doc_id % 7 <> 0))"""
+
+
+def _files(spark, sf_dir) -> DataFrame:
+    turn = F.element_at(F.array(*map(F.lit, FILE_HEADERS)), (F.col("doc_id") % 4 + 1).cast("int"))
+    raw = F.when(F.col("doc_id") % 4 == 3, F.col("text")).otherwise(F.concat(F.lit("---\nlanguage: "), "lang", F.lit("\n"), turn, "text"))
+    cut = F.when(F.col("doc_id") % 7 == 0, F.unhex(F.lit("C3"))).otherwise(F.lit(b""))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.concat(raw.cast("binary"), cut).alias("content"))
+
+
+def _file_issues(spark, sf_dir) -> DataFrame:
+    latin = [(0x00C0, 0x024F)]
+    stated = _t(spark, sf_dir, "documents").select("doc_id", F.format_string("%d books", "doc_id").alias("text")).where("doc_id < 50")
+    known = _t(spark, sf_dir, "documents").agg(F.lit("books").alias("quantity"), F.count_if(F.col("doc_id") < 10).alias("n"))
+    return reports.file_issues(_files(spark, sf_dir), blocks={"fr": latin, "de": latin}, stated=stated, derived=known)
+
+
+_SCRIPT_SQL = f"""(select doc_id, case when n < 50 then 'S001' else 'S002' end as code, case when n < 50 then 'error' else 'warn' end as severity, n
+    from (select doc_id, length(text) as size, {_count(_BLOCK)} as n from {_FILES_SQL} where lang in ('fr', 'de') and doc_id % 4 in (0, 2)) where n < 50 or (n < 0.05 * size and n < 500))"""
+_FILE_ISSUES_SQL = f"""(select doc_id, 'lint' as class, code, severity, sum(n)::bigint as n from (
+        select doc_id, code, severity, n from {_rules_sql(_FILES_SQL)} union all select doc_id, code, severity, 1 from {_SCRIPT_SQL}
+        union all select doc_id, 'E001', 'error', 1 from documents where doc_id % 7 = 0 union all select doc_id, 'FM001', 'error', 1 from documents where doc_id % 4 = 3 and doc_id % 7 <> 0
+        union all select doc_id, 'FM002', 'error', 1 from documents where doc_id % 4 = 1 and doc_id % 7 <> 0 union all select doc_id, 'FM003', 'warn', 1 from documents where doc_id % 4 = 2 and doc_id % 7 <> 0
+        union all select doc_id, 'FM005', 'error', 1 from documents where doc_id % 4 = 2 and doc_id % 7 <> 0) group by all
+    union all select doc_id, 'verse', 'D1', 'warn', count(*) from (
+        select doc_id, g, count(*) as k from (select *, sum((not f)::int) over (partition by doc_id order by line_no) as g from (select *, {_SUSPECT} as f from {_lines_sql(_FILES_SQL)})) where f group by all having count(*) >= 4
+    ) group by doc_id having count(*) >= 3
+    union all select doc_id, 'counts', 'D3', 'error', 1 from documents where doc_id < 50 and doc_id <> (select count(*) from documents where doc_id < 10))"""
+
+
+@query(f"select * from {_FILE_ISSUES_SQL}")
+def file_issues(spark, sf_dir):
+    return _file_issues(spark, sf_dir)
+
+
+@query(f"select doc_id, case when bool_or(severity = 'error') then 'blocked' else 'advisory' end as status from {_FILE_ISSUES_SQL} group by doc_id")
+def gate_status(spark, sf_dir):
+    return reports.gate_status(_file_issues(spark, sf_dir))
+
+
+@query(f"select class, severity, count(distinct doc_id) as n_docs, sum(n)::bigint as n from {_FILE_ISSUES_SQL} group by all")
+def gate_summary(spark, sf_dir):
+    return reports.gate_summary(_file_issues(spark, sf_dir))
+
+
 #: Snapshots with new ids for a third of the texts, half of those reworked by a line at their end.
 _OLD_SQL = "select doc_id, text from documents where doc_id % 10 <> 3"
 _NEW_SQL = """select case when doc_id % 3 = 0 then doc_id + 1000000 else doc_id end as doc_id,
