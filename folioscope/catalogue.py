@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import elements, lines, markup, relations, renames, rules
+from .operators import elements, layout, lines, markup, relations, renames, rules
 from .plans import reports
 from .sources import corpus, ordered
 
@@ -475,6 +475,75 @@ def gate_summary(spark, sf_dir):
     return reports.gate_summary(_file_issues(spark, sf_dir))
 
 
+@query(
+    """with w as (select doc_id, list_distinct(regexp_extract_all(text, '([A-Za-z]+)\\. ', 1)) as l from documents)
+    select doc_id as unit, key, 'undefined' as problem from (select doc_id, unnest(l) as key from w) where length(key) < 5"""
+)
+def note_mismatches(spark, sf_dir):
+    words = F.array_distinct(F.regexp_extract_all("text", F.lit(r"([A-Za-z]+)\. "), F.lit(1)))
+    defined = F.array_join(F.transform(F.filter(words, lambda w: F.length(w) > 4), lambda w: F.concat(F.lit("\n[^"), w, F.lit("]: of "), w)), "")
+    docs = _t(spark, sf_dir, "documents")
+    units = docs.select(F.col("doc_id").alias("unit"), F.concat(F.regexp_replace("text", r"([A-Za-z]+)\. ", "$1[^$1]. "), defined).alias("text"))
+    return layout.note_mismatches(units)
+
+
+@query("select doc_id, md5(regexp_replace(text, '([a-z])([a-z]+), ', chr(10) || chr(10) || '```' || chr(10) || '\\1 = \\2' || chr(10) || '```' || chr(10) || chr(10), 'g')) as digest from documents")
+def drawn_formulas(spark, sf_dir):
+    drawn = F.regexp_replace("text", "([a-z])([a-z]+), ", "\n\n    $1 = $2\n\n")
+    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(layout.fence_formulas(drawn).cast("binary")).alias("digest"))
+
+
+@query(
+    """with l as (select doc_id, unnest(string_split(replace(text, '. ', '.' || chr(10) || '　'), chr(10))) as x, unnest(range(len(string_split(replace(text, '. ', '.' || chr(10) || '　'), chr(10))))) as i from documents),
+    b as (select doc_id, i, x, trim(x, '　 ' || chr(9)) as w from l),
+    p as (select doc_id, string_agg(case when w = '' then chr(10) || chr(10) when starts_with(w, '#') then chr(10) || chr(10) || w || chr(10) || chr(10) when starts_with(x, '　') then chr(10) || chr(10) || w else w end, '' order by i) as t from b group by doc_id)
+    select doc_id, md5(regexp_replace(regexp_replace(t, '\\n{3,}', chr(10) || chr(10), 'g'), '^\\n+|\\n+$', '', 'g')) as digest from p"""
+)
+def indented_paragraphs(spark, sf_dir):
+    marked = F.replace("text", F.lit(". "), F.lit(".\n　"))
+    return _t(spark, sf_dir, "documents").select("doc_id", F.md5(layout.indent_paragraphs(marked).cast("binary")).alias("digest"))
+
+
+@query(
+    """with b as (select conv_id as section, turn as place, (turn - (turn % 4 = 3)::int)::int as number from conversations),
+    l as (select *, lag(number) over (partition by section order by place) as before from b)
+    select section, place, number, before, case when number > coalesce(before, -1) + 1 then 'gap' when number = before then 'repeat' when number = 0 and before is not null then 'reset' else 'back' end as problem
+    from l where number <> coalesce(before, -1) + 1"""
+)
+def sequence_breaks(spark, sf_dir):
+    number = (F.col("turn") - (F.col("turn") % 4 == 3).cast("int")).cast("int")
+    rows = _t(spark, sf_dir, "conversations").select(F.col("conv_id").alias("section"), F.col("turn").alias("place"), number.alias("number"))
+    return layout.sequence_breaks(rows, first=0)
+
+
+@query(
+    """with f as (select source as section, count(*) as n from documents where lang <> 'en' or source < 's' group by source), s as (select distinct source from documents)
+    select coalesce(f.section, d.section) as section, n, low, high, case when n is null then 'missing' when n < low then 'short' else 'long' end as problem
+    from f full join (select source as section, 20 as low, 40 as high from s union all select 'none', 1, null) d on f.section = d.section where n is null or n < low or n > high"""
+)
+def count_violations(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents")
+    found = docs.where("lang <> 'en' or source < 's'").groupBy(F.col("source").alias("section")).agg(F.count("*").alias("n"))
+    declared = docs.select(F.col("source").alias("section")).distinct().select("section", F.lit(20).alias("low"), F.lit(40).alias("high"))
+    return layout.count_violations(found, declared.union(spark.range(1).select(F.lit("none"), F.lit(1), F.lit(None))))
+
+
+#: Characters by the accents in their Unicode names.
+_ACCENTS = layout.named_class("CIRCUMFLEX", "CEDILLA"), layout.named_class("ACUTE", "GRAVE")
+
+
+@query(f"select doc_id, {_count(_ACCENTS[0])} as n_first, {_count(_ACCENTS[1])} - {_count('[ẤẦấầẾẾếềỐỒốồḈḉ]')} as n_second from documents")
+def accent_counts(spark, sf_dir):
+    found = layout.accent_counts(F.col("text"), *_ACCENTS)
+    return _t(spark, sf_dir, "documents").select("doc_id", found["polytonic"].alias("n_first"), found["tonos"].alias("n_second"))
+
+
+@query()
+def columnar_tables(spark, sf_dir):
+    head = F.concat(F.lit("\n\n    Word.       Second.     Third.\n    "), F.regexp_replace("text", r"(?s)^(\S+)\s+(\S+)\s+(\S+)\s.*", "$1     $2     $3"), F.lit("\n\n"))
+    return layout.columnar_tables(_t(spark, sf_dir, "documents").select("doc_id", F.concat("text", head).alias("text")))
+
+
 #: Snapshots with new ids for a third of the texts, half of those reworked by a line at their end.
 _OLD_SQL = "select doc_id, text from documents where doc_id % 10 <> 3"
 _NEW_SQL = """select case when doc_id % 3 = 0 then doc_id + 1000000 else doc_id end as doc_id,
