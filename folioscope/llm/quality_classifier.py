@@ -34,7 +34,7 @@ ROUNDS = 4
 FIRST_STEPS, STEPS = 200, 60
 #: Share of the pool that a view hands over in a round.
 HANDOVER = 0.05
-#: Pseudo-labelled documents enter the training as means of so many groups a label and round, by their metadata.
+#: Between two gradients over all pseudo-labelled documents, these are stood for by the means of so many groups a label and round.
 GROUPS = 16
 #: Scores are told apart by this part of a log odd, within a bound; documents of equal scores by a hash of the id.
 SCORE_PARTS, SCORE_BOUND, TIES = 64, 100, 16
@@ -80,13 +80,20 @@ def metadata_features(lang, source, size: int) -> list[int]:
 class Logistic:
     """Class-weighted L2 logistic regression by accelerated gradient steps."""
 
+    @staticmethod
+    def weights(y: np.ndarray, times: np.ndarray) -> np.ndarray:
+        """What each row counts: the classes as much as one another."""
+        share = np.clip(np.average(y, weights=times), 1e-3, 1 - 1e-3)
+        return (np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) * times / times.sum()).astype(np.float32)
+
     def fit(
-        self, x: np.ndarray, y: np.ndarray, steps: int = 200, ridge: float = 1e-4, times: np.ndarray | None = None, start: Logistic | None = None
-    ) -> Logistic:
-        """Weights for rows ``x`` that count ``times``, from those of ``start`` on, if given."""
+        self, x: np.ndarray, y: np.ndarray, steps: int = 200, ridge: float = 1e-4, times: np.ndarray | None = None, start: Logistic | None = None,
+        shift: tuple[np.ndarray, float] | None = None,
+    ) -> Logistic:
+        """Weights for rows ``x`` that count ``times``, from those of ``start`` on, if given; ``shift`` is added to all gradients."""
         times = np.ones(len(y)) if times is None else times
-        share = np.clip(np.average(y, weights=times), 1e-3, 1 - 1e-3)
-        weight = (np.where(y == 1, 0.5 / share, 0.5 / (1 - share)) * times / times.sum()).astype(np.float32)
+        weight = self.weights(y, times)
+        more, more_b = shift or (np.float32(0), 0.0)
         self.w, self.b = (start.w, start.b) if start else (np.zeros(x.shape[1], np.float32), 0.0)
         # the greatest curvature of the loss, by power iteration
         v, top = np.ones(x.shape[1] + 1, np.float32), 1.0
@@ -100,12 +107,17 @@ class Logistic:
         for _ in range(steps):
             error = weight * (1 / (1 + np.exp(-np.clip(x @ self.w + np.float32(self.b), -30, 30))) - y)
             error = error.astype(np.float32)
-            vw = (0.9 * vw - rate * (x.T @ error + ridge * self.w)).astype(np.float32)
-            vb = 0.9 * vb - rate * float(error.sum())
+            vw = (0.9 * vw - rate * (x.T @ error + more + ridge * self.w)).astype(np.float32)
+            vb = 0.9 * vb - rate * (float(error.sum()) + more_b)
             self.w = self.w + vw
             self.b += vb
         return self
 
+    def gap(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray, wanted: tuple[np.ndarray, float]) -> tuple[np.ndarray, float]:
+        """How far ``wanted`` is from the gradient of rows ``x`` at these weights."""
+        error = weight * (1 / (1 + np.exp(-np.clip(self.logit(x), -30, 30))) - y)
+        return (wanted[0] - x.T @ error).astype(np.float32), float(wanted[1] - error.sum())
+
     def logit(self, x: np.ndarray) -> np.ndarray:
         return x @ self.w + self.b
 
@@ -209,10 +221,11 @@ def _steps(entries, weights: dict, ties: np.ndarray) -> dict[str, np.ndarray]:
 
 
 def _over_pool(pool: DataFrame, past: list, work):
-    """``work(rows, entries, steps, free)`` over the whole pool; its counts ``key -> n`` are summed by task, then by key.
+    """``work(rows, entries, steps, label, free, last)`` over the whole pool; its counts ``key -> n`` are summed by task, then by key.
 
     ``past`` holds each round's weights and, but for the last, its cuts;
-    documents within the cuts of an earlier round are not free.
+    documents within the cuts of an earlier round are not free, and ``label``
+    has what they were handed over as to either view (-1: not to it).
     """
     shared = pool.sparkSession.sparkContext.broadcast(past)
 
@@ -226,12 +239,12 @@ def _over_pool(pool: DataFrame, past: list, work):
                 rows = batch.slice(start, 512).to_pydict()
                 entries, ties = _sparse(rows), np.array(rows["tie"])
                 free, steps = np.ones(len(ties), bool), None
+                label = {v: np.full(len(ties), -1) for v in VIEWS}
                 for i, (weights, cuts) in enumerate(shared.value):
                     steps = _steps(entries, weights, ties)
                     if i + 1 < len(shared.value):
-                        for v, (low, high) in cuts.items():
-                            free &= (steps[v] > low) & (steps[v] < high)
-                keys, n = work(rows, entries, steps, free, shared.value[-1][1])
+                        free = _hand_over(steps, cuts, label, free)
+                keys, n = work(rows, entries, steps, label, free, shared.value[-1])
                 for k, x in zip(keys.tolist(), n.tolist()):
                     totals[k] += x
         if totals:
@@ -240,27 +253,47 @@ def _over_pool(pool: DataFrame, past: list, work):
     return pool.mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n")).toArrow()
 
 
-def _count_steps(rows, entries, steps, free, cuts):
+#: Who hands over to whom.
+PUPILS = (("meta", "content"), ("content", "meta"))
+
+
+def _hand_over(steps: dict, cuts: dict, label: dict, free: np.ndarray) -> np.ndarray:
+    """Labels the free documents within the cuts for their pupils; those that are still free."""
+    for teacher, pupil in PUPILS:
+        low, high = cuts[teacher]
+        label[pupil][free & (steps[teacher] <= low)] = 0
+        label[pupil][free & (steps[teacher] >= high)] = 1
+    for v, (low, high) in cuts.items():
+        free = free & (steps[v] > low) & (steps[v] < high)
+    return free
+
+
+def _count_steps(rows, entries, steps, label, free, last):
     """How many free documents have a score, by view: the key is twice the score, plus 1 for the metadata view."""
     return np.unique(np.concatenate([2 * steps[v][free] + i for i, v in enumerate(VIEWS)]), return_counts=True)
 
 
-def _sum_handed(rows, entries, steps, free, cuts):
-    """Sums of the pupils' features over the documents handed over, by pupil, label and group.
+def _sum_handed(rows, entries, steps, label, free, last):
+    """Sums over documents handed over, by pupil, label and group: the pupil's features of those of this round, and, as the
+    last group, the gradients of all documents so far at the pupil's weights.
 
-    The key is ``((pupil * 2 + label) * GROUPS + group) * (CONTENT_DIM + 1) + bucket``; the last bucket counts documents.
+    The key is ``((pupil * 2 + label) * (GROUPS + 1) + group) * (CONTENT_DIM + 1) + bucket``; the last bucket counts documents, or has the gradient of the bias.
     """
+    weights, cuts = last
+    was = {v: x.copy() for v, x in label.items()}
+    _hand_over(steps, cuts, label, free)
     group = np.array([zlib.crc32(m) % GROUPS for m in rows["meta"]])
     keys, values = [], []
-    for i, (teacher, pupil) in enumerate((("meta", "content"), ("content", "meta"))):
-        low, high = cuts[teacher]
-        label = np.where(steps[teacher] <= low, 0, np.where(steps[teacher] >= high, 1, -1))
-        label[~free] = -1
-        base = ((i * 2 + label) * GROUPS + group) * (CONTENT_DIM + 1)
+    for i, (_, pupil) in enumerate(PUPILS):
         at, bucket, value = entries[pupil]
-        taken = label[at] >= 0
-        keys += [base[at][taken] + bucket[taken], base[label >= 0] + CONTENT_DIM]
-        values += [np.rint(value[taken] * UNIT), np.ones((label >= 0).sum())]
+        own, fresh = label[pupil], (label[pupil] >= 0) & (was[pupil] < 0)
+        w, b = weights[pupil]
+        error = 1 / (1 + np.exp(-np.clip(np.bincount(at, w[bucket] * value, len(own)) + b, -30, 30))) - own
+        for which, place, amount, count in ((fresh, group, value, 1.0), (own >= 0, GROUPS, value * error[at], error)):
+            base = ((i * 2 + own) * (GROUPS + 1) + place) * (CONTENT_DIM + 1)
+            taken = which[at]
+            keys += [base[at][taken] + bucket[taken], base[which] + CONTENT_DIM]
+            values += [np.rint(amount[taken] * UNIT), np.rint(np.broadcast_to(count, len(own))[which] * UNIT)]
     keys, where = np.unique(np.concatenate(keys), return_inverse=True)
     return keys, np.bincount(where, np.concatenate(values), len(keys)).astype(np.int64)
 
@@ -292,9 +325,9 @@ def co_train(seed: dict[str, np.ndarray], pool: DataFrame, good: float) -> dict:
     held = held_out(seed["label"])
     views = {}
     train = {v: (seed[v][~held], seed["label"][~held].astype(np.float32), np.ones((~held).sum())) for v in VIEWS}
-    past, size = [], 0
+    past, size, shift = [], 0, {}
     for turn in range(ROUNDS + 1):
-        views = {v: Logistic().fit(x, y, STEPS if views else FIRST_STEPS, times=times, start=views.get(v)) for v, (x, y, times) in train.items()}
+        views = {v: Logistic().fit(x, y, STEPS if views else FIRST_STEPS, times=times, start=views.get(v), shift=shift.get(v)) for v, (x, y, times) in train.items()}
         if turn == ROUNDS:
             break
         past.append(({v: (m.w.astype(float) * (CONTENT_SCALE if v == "content" else 1), m.b) for v, m in views.items()}, None))
@@ -309,16 +342,25 @@ def co_train(seed: dict[str, np.ndarray], pool: DataFrame, good: float) -> dict:
         past[-1] = past[-1][0], cuts
         found = _over_pool(pool, past, _sum_handed)
         key, n = found["key"].to_numpy(), found["n"].to_numpy()
-        sums = np.zeros((4 * GROUPS, CONTENT_DIM + 1))
-        sums[key // (CONTENT_DIM + 1), key % (CONTENT_DIM + 1)] = n
+        sums = np.zeros((4 * (GROUPS + 1), CONTENT_DIM + 1))
+        sums[key // (CONTENT_DIM + 1), key % (CONTENT_DIM + 1)] = n / UNIT
         # the whole pool weighs at most as much as the seed
         unit = min(1.0, len(train["content"][1]) / size) if turn == 0 else unit
+        n_seed = int((~held).sum())
         for i, (v, dim) in enumerate(VIEWS.items()):
-            part = sums[i * 2 * GROUPS : (i + 1) * 2 * GROUPS]
-            some = part[:, -1] > 0
-            mean = part[some, :dim] / part[some, -1:] / UNIT * (CONTENT_SCALE if v == "content" else 1)
+            scale = CONTENT_SCALE if v == "content" else np.float32(1)
+            part = sums.reshape(2, 2, GROUPS + 1, -1)[i]
+            means, gradient = part[:, :GROUPS].reshape(2 * GROUPS, -1), part[:, GROUPS]
+            some = means[:, -1] > 0
+            mean = means[some, :dim] / means[some, -1:] * scale
             x, y, times = train[v]
-            train[v] = (np.r_[x, mean.astype(np.float32)], np.r_[y, (np.arange(2 * GROUPS) // GROUPS)[some]].astype(np.float32), np.r_[times, unit * part[some, -1]])
+            x, y, times = np.r_[x, mean.astype(np.float32)], np.r_[y, (np.arange(2 * GROUPS) // GROUPS)[some]].astype(np.float32), np.r_[times, unit * means[some, -1]]
+            train[v] = x, y, times
+            # groups stand for their documents so that the first gradient is that of all documents, each by itself
+            weight = Logistic.weights(y, times)
+            each = [unit * weight[n_seed:][y[n_seed:] == k][0] / times[n_seed:][y[n_seed:] == k][0] if (y[n_seed:] == k).any() else 0.0 for k in (0, 1)]
+            wanted = sum(e * g[:dim] for e, g in zip(each, gradient)) * scale, float(sum(e * g[-1] for e, g in zip(each, gradient)))
+            shift[v] = views[v].gap(x[n_seed:], y[n_seed:], weight[n_seed:], wanted)
     scores = np.stack([views[v].logit(seed[v][held]) for v in ("content", "meta")], 1)
     centre, spread = scores.mean(0), np.maximum(scores.std(0), 1e-6)
     combined = Logistic().fit(((scores - centre) / spread).astype(np.float32), seed["label"][held].astype(np.float32), 400, 1e-3)

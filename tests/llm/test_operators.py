@@ -162,12 +162,13 @@ def brute_co_training(seed, rows, good, Q):
     held = Q.held_out(seed["label"])
     scale = {"content": 20.0, "meta": 1.0}
     train = {v: [(x, y, 1.0) for x, y in zip(seed[v][~held], seed["label"][~held])] for v in dense}
-    free, views, moved = np.ones(n, bool), {}, 0
+    free, views, moved, shift = np.ones(n, bool), {}, 0, {}
+    handed = {v: np.full(n, -1) for v in dense}
     unit = min(1.0, (~held).sum() / n)
     for turn in range(Q.ROUNDS + 1):
         for v in dense:
             x, y, t = (np.array(z, np.float32) for z in zip(*train[v]))
-            views[v] = Q.Logistic().fit(x, y, Q.STEPS if v in views else Q.FIRST_STEPS, times=t.astype(float), start=views.get(v))
+            views[v] = Q.Logistic().fit(x, y, Q.STEPS if v in views else Q.FIRST_STEPS, times=t.astype(float), start=views.get(v), shift=shift.get(v))
         if turn == Q.ROUNDS:
             break
         wanted = max(1, int(Q.HANDOVER * n))
@@ -196,6 +197,17 @@ def brute_co_training(seed, rows, good, Q):
                     if who.any():
                         moved += who.sum()
                         train[pupil].append((dense[pupil][who].mean(0) * scale[pupil], label, unit * who.sum()))
+                handed[pupil][free & (picked[teacher] == label)] = label
+            # the gradient of each document handed over so far, and what their groups' means give in its place
+            x, y, t = (np.array(z) for z in zip(*train[pupil]))
+            share = np.average(y, weights=t)
+            class_weight = np.array([0.5 / (1 - share), 0.5 / share]) / t.sum()
+            w, b = views[pupil].w.astype(float), views[pupil].b
+            slope = lambda x, y, t: (class_weight[y.astype(int)] * t) * (1 / (1 + np.exp(-(x @ w + b))) - y)
+            who = handed[pupil] >= 0
+            own, seeds = dense[pupil][who] * scale[pupil], int((~held).sum())
+            each, means = slope(own, handed[pupil][who], unit), slope(x[seeds:], y[seeds:], t[seeds:])
+            shift[pupil] = (each @ own - means @ x[seeds:]).astype(np.float32), float(each.sum() - means.sum())
         free &= (picked["content"] < 0) & (picked["meta"] < 0)
     return views, moved
 
