@@ -740,6 +740,84 @@ def test_pipeline(spark, tmp_path):
     assert len(corpus_pipeline.STAGES) == 5 and sum(r.length for r in rows) > 100_000
 
 
+@pytest.fixture(scope="module")
+def odd_dir(spark, tmp_path_factory):
+    """A folder of tables whose documents have null and repeated ids, null and empty texts, repeated rows and columns with clashing names."""
+    folder = tmp_path_factory.mktemp("odd")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    first = docs.orderBy(F.desc("n_chars")).first()
+    other = docs.where("n_chars > 900").orderBy("doc_id").first()
+    rows = [(None, None, None, None, None), (None, first.text, "en", "s", 1), (None, first.text, "en", "s", 1), (9001, None, "en", None, None), (9002, "", None, "s", 0), (9003, " \n ", "en", "s", None)]
+    rows += [(9004, first.text + " and more", "en", "s", 7), (9004, other.text, "de", "s", 8), (9004, other.text, "de", "s", 8), (9005, "word " * 100_000, "en", "s", 9), (None, "short one", "en", "s", 2)]
+    table = docs.union(spark.createDataFrame(rows, docs.schema))
+    table = table.withColumn("kept", F.lit("k")).withColumn("score", F.lit(1)).withColumn("_whole", F.lit(2)).withColumn("text_hash", F.lit(3)).withColumn("a.b", F.lit(4)).withColumn("_cuts", F.lit(5))
+    table.write.parquet(f"{folder}/documents.parquet")
+    spark.read.parquet("/root/testdata/sf0.001/labels.parquet").union(spark.createDataFrame([(None, 1, 0), (9004, 0, None)], "doc_id long, quality int, toxic int")).write.parquet(f"{folder}/labels.parquet")
+    return str(folder)
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd_dir):
+    import corpus_pipeline as P
+    from folioscope.llm.jaccard_join import jaccard_components
+    from folioscope.llm.quality_classifier import classify, fit
+    from folioscope.llm.quality_rules import quality_rules
+
+    docs, labels = (spark.read.parquet(f"{odd_dir}/{t}.parquet") for t in ("documents", "labels"))
+    bag = lambda df: Counter(tuple(r) for r in df.collect())
+    rows = bag(docs)
+    # rules: rows go exactly if the operator rejects them, null ids and texts too
+    judged = defaultdict(set)
+    for r in quality_rules(docs, labels).select("doc_id", "kept").collect():
+        judged[r.doc_id].add(r.kept)
+    out = P.quality_rules(spark, docs, odd_dir)
+    got = bag(out)
+    assert out.columns == docs.columns and not got - rows
+    assert got[next(k for k in rows if k[0] is None and k[1] == "short one")] == 0
+    single = {k: n for k, n in rows.items() if k[0] is not None and len(judged[k[0]]) == 1}
+    assert {k: n for k, n in got.items() if k in single} == {k: n for k, n in single.items() if judged[k[0]] == {True}}
+    # classifier: the columns stay, whatever their names; fitted on the documents as they came in
+    part = docs.where("doc_id is null or doc_id % 2 = 0")
+    out = P.quality_classifier(spark, part, odd_dir)
+    scored = classify(part, fit(docs, labels), ("doc_id", "text"))
+    assert out.columns == docs.columns and Counter(r[0] for r in out.collect()) == Counter(r[0] for r in scored.where(F.col(scored.columns[-1])).collect())
+    # near duplicates: no two kept documents link, what goes has a smaller one, ids stand for one document, rows without id stay
+    out = P.near_duplicates(spark, docs, odd_dir)
+    kept = out.collect()
+    assert out.columns == docs.columns and not bag(out) - rows
+    assert sum(r.doc_id is None for r in kept) == sum(n for k, n in rows.items() if k[0] is None)
+    ids = [r.doc_id for r in kept if r.doc_id is not None]
+    component = {r.doc_id: r.component_id for r in jaccard_components(docs, k=5, percent=80).collect() if r.doc_id is not None}
+    assert sorted(ids) == sorted({d for d, c in component.items() if d == c})
+    if 9004 in ids:
+        assert next(r.text for r in kept if r.doc_id == 9004) == min(k[1] for k in rows if k[0] == 9004)
+    # repeated passages: no row goes, texts only shrink
+    out = P.substring_dedup(spark, docs, odd_dir)
+    assert out.columns == docs.columns and Counter(r[0] for r in out.collect()) == Counter(k[0] for k in rows.elements())
+    # packing: every token of every row, in sequences of at most 2048
+    packed = P.packing(spark, docs, odd_dir).collect()
+    assert Counter(r.doc_id for r in packed if r.start == 0) == Counter(k[0] for k in rows.elements())
+    length = Counter()
+    for r in packed:
+        length[r.sequence_id] += r.length
+    assert max(length.values()) <= 2048
+    none = docs.limit(0)
+    for _, stage in P.STAGES:
+        assert stage(spark, none, odd_dir).collect() == []
+
+
+def test_pipeline_on_odd_rows(spark, odd_dir):
+    import corpus_pipeline as P
+
+    docs = spark.read.parquet(f"{odd_dir}/documents.parquet")
+    for _, stage in P.STAGES[:-1]:
+        docs = stage(spark, docs, odd_dir)
+        docs = spark.createDataFrame(docs.collect(), docs.schema)
+    want = Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in P.packing(spark, docs, odd_dir).collect())
+    got = Counter((r.doc_id, r.start, r.length, r.ids_crc32) for r in P.run(spark, odd_dir).collect())
+    assert sum(n * k[2] for k, n in got.items()) == sum(n * k[2] for k, n in want.items()) > 10_000
+    assert {k[0] for k in got} == {k[0] for k in want}
+
+
 EDGES = ["", None, " ", "it's we'll L'été 'S", "<|endoftext|> x", "é Ǆ İstanbul ẞß", "a\u2003b\u00a0c\x1cd", "日本語 テスト", "ÀÉÎ×÷œ", "1234 12a3", "x" * 3000, "ab" * 70, "tab\tnl\nvt\x0bcr\r\n\n", "\x00 a\x00b", "A\u0308 ô", "%%% ### a%b"]
 
 
