@@ -182,6 +182,39 @@ def sequence_breaks(numbers: DataFrame, key: str = "section", place: str = "plac
     return rows.withColumn("problem", problem).where("problem is not null")
 
 
+def numbered_stanzas(docs: DataFrame, pattern: str, n_lines: int | None = None, key: str = "doc_id", text: str = "text", rejoin: bool = False) -> DataFrame:
+    """``key, stanza, number, stated, text, problems``: stanzas that end with a line that has their number.
+
+    ``pattern`` has two groups, a closing line without its number and the
+    number.  Numbers rise by one; one that is out of step while its neighbours
+    agree is misread, and the right one stands in ``number``; where the count
+    goes on from it, it is a ``jump``, from which on it holds.  Other problems:
+    ``lines`` if there are not ``n_lines``, ``unclosed`` of lines behind the
+    last number.  Lines get hard breaks; with ``rejoin`` all but the last are
+    one line that was wrapped.  Blank lines do not count.
+    """
+    line_order = Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, -1)
+    rows = docs.select(key, F.posexplode(F.split(F.col(text), "\n")).alias("i", "line")).where(F.trim("line") != "")
+    number = F.when(F.col("line").rlike(pattern), F.regexp_extract("line", pattern, 2).cast("int"))
+    words = F.trim(F.when(F.col("line").rlike(pattern), F.regexp_extract("line", pattern, 1)).otherwise(F.col("line")))
+    rows = rows.select(key, "i", words.alias("line"), number.alias("number"))
+    rows = rows.withColumn("stanza", F.coalesce(F.sum(F.col("number").isNotNull().cast("int")).over(line_order), F.lit(0)).cast("int") + 1)
+    lines = F.transform(F.sort_array(F.collect_list(F.struct("i", "line"))), lambda x: x["line"])
+    made = rows.groupBy(key, "stanza").agg(lines.alias("lines"), F.max("number").alias("stated"))
+    order = Window.partitionBy(key).orderBy("stanza")
+    off = F.col("stated") - F.col("stanza")
+    made = made.withColumn("lag", F.lag(off).over(order)).withColumn("lead", F.lead(off).over(order))
+    misread = F.coalesce((off != F.col("lag")) & (F.col("lag") == F.col("lead")), F.lit(False))
+    made = made.withColumn("misread", misread).withColumn("number", F.when(F.col("misread"), F.col("stanza") + F.col("lag")).otherwise(F.col("stated")))
+    step = F.col("number") - F.lag("number").over(order)
+    jump = F.coalesce(step != 1, (F.col("stanza") == 1) & (F.col("number") != 1))
+    problems = [("misread", F.col("misread")), ("jump", jump), ("unclosed", F.col("stated").isNull()), ("lines", F.lit(False) if n_lines is None else F.col("stated").isNotNull() & (F.size("lines") != n_lines))]
+    named = F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in problems)))
+    first = F.slice("lines", F.lit(1), F.greatest(F.size("lines") - 1, F.lit(1)))
+    shown = F.when(F.size("lines") > 1, F.concat(F.array_join(first, " "), F.lit("  \n"), F.element_at("lines", -1))).otherwise(F.get("lines", F.lit(0))) if rejoin else F.array_join("lines", "  \n")
+    return made.select(key, "stanza", "number", "stated", F.concat(shown, F.when(F.col("number").isNotNull(), F.format_string(" (%d)", "number")).otherwise("")).alias("text"), named.alias("problems"))
+
+
 def named_class(*marks: str) -> str:
     """A character class of all characters whose Unicode name has one of the marks, as ranges."""
     points = [p for p in range(0x110000) if any(m in unicodedata.name(chr(p), "") for m in marks)]

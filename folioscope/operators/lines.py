@@ -17,6 +17,11 @@ def split_lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n")
 
 
+def bound(value: Column, use) -> Column:
+    """``use`` of a value that is worked out once, however often it stands in it, in lambdas too."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def before(items: Column) -> Column:
     """An array moved on by one place: what stands before each item, null before the first; one longer."""
     return F.concat(F.transform(F.slice(items, 1, 1), lambda x: F.nullif(x, x)), items)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import token_count, year_number
@@ -47,8 +49,12 @@ def record_json(path: Column, locale: Column, header: Column, size: Column, body
     return F.concat(F.lit("{"), F.array_join(record_fields(path, locale, header, size, body), ", "), F.lit("}"))
 
 
-def derived_counts(books: DataFrame) -> DataFrame:
-    """``quantity, n`` of ``books(locale)``: books, locales, languages (their first subtag), locales beyond modern English."""
+def derived_counts(books: DataFrame, coverage: DataFrame | None = None) -> DataFrame:
+    """``quantity, n`` of ``books(locale)``: books, locales, languages (their first subtag), locales beyond modern English.
+
+    With the rows of a ``coverage`` table, also the families in it, named up to
+    a comma; -1 if it has no rows.
+    """
     language = F.substring_index("locale", "-", 1)
     english = (language == "en") | F.col("locale").isin("ang", "enm")
     one = books.agg(
@@ -58,7 +64,32 @@ def derived_counts(books: DataFrame) -> DataFrame:
         F.countDistinct(F.when(~english, F.col("locale"))).alias("beyond_english"),
     )
     quantities = ("books", "locales", "languages", "beyond_english")
-    return one.select(F.inline(F.array(*[F.struct(F.lit(q).alias("quantity"), F.col(q).alias("n")) for q in quantities])))
+    counts = one.select(F.inline(F.array(*[F.struct(F.lit(q).alias("quantity"), F.col(q).alias("n")) for q in quantities])))
+    if coverage is None:
+        return counts
+    n = F.countDistinct(F.trim(F.substring_index("family", ",", 1)))
+    return counts.unionByName(coverage.agg(F.lit("families").alias("quantity"), F.when(n > 0, n).otherwise(-1).alias("n")))
+
+
+def locale_counts(books: DataFrame, coverage: DataFrame) -> DataFrame:
+    """``family, locale, problem``: what is wrong with the rows ``coverage(family, locales, n)`` of ``books(locale)``.
+
+    ``count`` if a row's number is not that of the books in its known locales,
+    ``unknown`` for a locale without books, ``twice`` for one that an earlier
+    row (by name) has, ``missing`` for one of the corpus that is in no row.
+    """
+    held = books.groupBy("locale").agg(F.count("*").alias("books"))
+    rows = coverage.select("family", "n", F.explode_outer("locales").alias("locale")).join(held, "locale", "left")
+    order = F.row_number().over(Window.partitionBy("locale").orderBy("family"))
+    rows = rows.withColumn("again", F.col("books").isNotNull() & (order > 1))
+    totals = rows.groupBy("family", "n").agg(F.coalesce(F.sum("books"), F.lit(0)).alias("held")).where("n <> held")
+    parts = [
+        totals.select("family", F.lit(None).cast("string").alias("locale"), F.lit("count").alias("problem")),
+        rows.where("locale is not null and books is null").select("family", "locale", F.lit("unknown").alias("problem")),
+        rows.where("again").select("family", "locale", F.lit("twice").alias("problem")),
+        held.join(rows.select("locale").distinct(), "locale", "left_anti").select(F.lit(None).cast("string").alias("family"), "locale", F.lit("missing").alias("problem")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def stated_counts(docs: DataFrame, derived: DataFrame, key: str = "doc_id") -> DataFrame:

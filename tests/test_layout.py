@@ -132,3 +132,25 @@ def test_accents(spark):
         names = [unicodedata.name(c, "") for c in t]
         p = [any(m in n for m in marks) for n in names]
         assert (r.a.polytonic, r.a.tonos) == (sum(p), sum("TONOS" in n and not x for n, x in zip(names, p)))
+
+
+def test_numbered_stanzas(spark):
+    text = "a\nb 1\n\nc\nd\ne 2\nf 8\ng\nh 4\ni\nj 7\nk\nl 8\nm\nn 9\nrest\n"
+    docs = spark.createDataFrame([(1, text), (2, "x\ny"), (3, None), (4, "p 3\nq 4")], "doc_id int, text string")
+    got = [tuple(r) for r in L.numbered_stanzas(docs, r"^(.*?)\s+([0-9]+)$", n_lines=2).orderBy("doc_id", "stanza").collect()]
+    assert got == [
+        (1, 1, 1, 1, "a  \nb (1)", []), (1, 2, 2, 2, "c  \nd  \ne (2)", ["lines"]), (1, 3, 3, 8, "f (3)", ["misread", "lines"]), (1, 4, 4, 4, "g  \nh (4)", []), (1, 5, 7, 7, "i  \nj (7)", ["jump"]),
+        (1, 6, 8, 8, "k  \nl (8)", []), (1, 7, 9, 9, "m  \nn (9)", []), (1, 8, None, None, "rest", ["unclosed"]), (2, 1, None, None, "x  \ny", ["unclosed"]),
+        (4, 1, 3, 3, "p (3)", ["jump", "lines"]), (4, 2, 4, 4, "q (4)", ["lines"]),
+    ]
+    assert L.numbered_stanzas(docs.where("doc_id = 1"), r"^(.*?)\s+([0-9]+)$", rejoin=True).where("stanza = 2").first().text == "c d  \ne (2)"
+
+
+def test_families_and_locales(spark):
+    from folioscope.operators import publish as P
+
+    books = spark.createDataFrame([(x,) for x in ["en", "en-US", "de", "de", "ang", "ko", "ja"]], "locale string")
+    coverage = spark.createDataFrame([("Germanic, West", ["en", "en-US", "de"], 4), ("Germanic, Old", ["ang", "de"], 1), ("Koreanic", ["ko", "xx"], 1)], "family string, locales array<string>, n long")
+    assert {tuple(r) for r in P.derived_counts(books, coverage).collect()} == {("books", 7), ("locales", 6), ("languages", 5), ("beyond_english", 3), ("families", 2)}
+    assert {tuple(r) for r in P.locale_counts(books, coverage).collect()} == {("Germanic, Old", None, "count"), ("Koreanic", "xx", "unknown"), ("Germanic, West", "de", "twice"), (None, "ja", "missing")}
+    assert {r.n for r in P.derived_counts(books, coverage.limit(0)).where("quantity = 'families'").collect()} == {-1}
