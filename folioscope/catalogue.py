@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .functions import text as T
-from .operators import elements, layout, lines, markup, relations, renames, rules
+from .operators import elements, layout, lines, markup, publish, relations, renames, rules
 from .plans import reports
 from .sources import corpus, ordered
 
@@ -544,6 +544,34 @@ def columnar_tables(spark, sf_dir):
     return layout.columnar_tables(_t(spark, sf_dir, "documents").select("doc_id", F.concat("text", head).alias("text")))
 
 
+@query(
+    """with p as (select doc_id, string_split(replace(text, chr(10), ' '), '. ') as l from documents),
+    i as (select doc_id, unnest(l) as x, unnest(range(len(l))) as i, len(l) as k from p),
+    n as (select *, (i + 1)::int as stanza, (i + 1 + 5 * (i % 10 = 4)::int)::int as stated, i % 10 = 4 and i + 1 < k as misread from i),
+    v as (select *, case when misread then stanza else stated end as number from n)
+    select doc_id, stanza, number, stated, md5(trim(regexp_replace(x, '\\s+$', '')) || ' (' || number || ')') as digest,
+        array_to_string(list_filter([case when misread then 'misread' end, case when number <> stanza then 'jump' end], lambda x: x is not null), ',') as problems from v"""
+)
+def numbered_stanzas(spark, sf_dir):
+    number = lambda i: i + 1 + F.when(i % 10 == 4, 5).otherwise(0)
+    parts = F.split(F.replace("text", F.lit("\n"), F.lit(" ")), r"\. ")
+    lined = F.array_join(F.transform(parts, lambda x, i: F.concat(x, F.lit(" "), number(i).cast("string"))), "\n")
+    found = layout.numbered_stanzas(_t(spark, sf_dir, "documents").select("doc_id", lined.alias("text")), r"^(.*?)\s+([0-9]+)$", n_lines=1)
+    return found.select("doc_id", "stanza", "number", "stated", F.md5(F.col("text").cast("binary")).alias("digest"), F.array_join("problems", ",").alias("problems"))
+
+
+@query(
+    """with h as (select lang, count(*) as books from documents group by lang), c as (select source as family, list_sort(list_distinct(list(lang))) as locales, max(doc_id) as n from documents where doc_id < 40 group by source),
+    r as (select family, n, unnest(list_concat(locales, [family])) as locale from c), j as (select *, row_number() over (partition by locale order by family) as i from r left join h on lang = locale)
+    select family, null as locale, 'count' as problem from j group by family, n having n <> coalesce(sum(books), 0) union all select family, locale, 'unknown' from j where books is null
+    union all select family, locale, 'twice' from j where books is not null and i > 1 union all select null, lang, 'missing' from h where lang not in (select locale from r)"""
+)
+def locale_counts(spark, sf_dir):
+    docs = _t(spark, sf_dir, "documents")
+    rows = docs.where("doc_id < 40").groupBy(F.col("source").alias("family")).agg(F.concat(F.array_sort(F.collect_set("lang")), F.array(F.first("source"))).alias("locales"), F.max("doc_id").alias("n"))
+    return publish.locale_counts(docs.select(F.col("lang").alias("locale")), rows)
+
+
 #: Snapshots with new ids for a third of the texts, half of those reworked by a line at their end.
 _OLD_SQL = "select doc_id, text from documents where doc_id % 10 <> 3"
 _NEW_SQL = """select case when doc_id % 3 = 0 then doc_id + 1000000 else doc_id end as doc_id,
