@@ -459,6 +459,42 @@ def test_jaccard_of_a_large_component_without_a_main_cluster(spark, monkeypatch)
     assert len(groups) > 40 and max(groups) < 8 * 32  # no group holds a whole component
 
 
+def test_sharding_against_a_walk_round_the_ring(spark, docs):
+    """Row by row: each takes its home shard if that has room, the rest go on clockwise, in the same order."""
+    from folioscope.llm import sharding as S
+
+    many = docs.select("doc_id", "text").union(spark.createDataFrame([(None, None)] * 40 + [(7, "again")] * 25, "doc_id long, text string"))
+    for n_shards in (3, 8):
+        rows = []
+        for r in many.collect():
+            blob = (r.text or "").encode()
+            cell = int(hashlib.md5(("" if r.doc_id is None else str(r.doc_id)).encode()).hexdigest()[:3], 16)
+            rows.append((cell, zlib.crc32(blob) % S.CELL_PARTS, (r.doc_id is not None, r.doc_id or 0), len(blob) + 1, zlib.crc32(blob), r.doc_id))
+        rows.sort(key=lambda r: r[:5])
+        nodes = sorted((int.from_bytes(hashlib.md5(f"shard-{s}-node-{v}".encode()).digest()[:8], "big") * S.RING_CELLS >> 64, s) for s in range(n_shards) for v in range(S.VIRTUAL_NODES))
+        room = [len(rows) // n_shards + (s < len(rows) % n_shards) for s in range(n_shards)]
+        held, late = [0] * n_shards, []
+        want = Counter()
+
+        def put(r, shard):
+            want[r[5], r[3], r[4], shard, held[shard]] += 1
+            held[shard] += 1
+
+        for r in rows:
+            home = next((i for i, (p, _) in enumerate(nodes) if p >= r[0]), 0)
+            if held[nodes[home][1]] < room[nodes[home][1]]:
+                put(r, nodes[home][1])
+            else:
+                late.append((r, home))
+        for r, home in late:
+            step = home
+            while held[nodes[step][1]] >= room[nodes[step][1]]:
+                step = (step + 1) % len(nodes)
+            put(r, nodes[step][1])
+        got = Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in S.shard_rows(many, n_shards).collect())
+        assert late and got == want
+
+
 def test_sharding(spark, docs):
     from folioscope.llm.sharding import place, ring, shard_rows
 
