@@ -48,7 +48,7 @@ def usable(vectors: DataFrame) -> DataFrame:
         x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
     )
     length = 256 * F.sqrt(F.aggregate("x", F.lit(0.0), lambda a, c: a + c * c)) + F.sqrt(F.size("x"))
-    return vectors.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & good).select(
+    return vectors.where(F.col("embedding").isNotNull() & good).select(
         F.col("vec_id").cast("long"), x.alias("x")
     ).withColumn("length", length)
 
@@ -281,8 +281,8 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
 
     ``vectors(vec_id, embedding)``; components become floor(256 x), x as
     double.  Rows whose id or vector is null, and those with a null or
-    non-finite component, take no part; empty vectors neither.  Shorter vectors
-    are padded with zeros.  Ties go to the smaller ``vec_id``.  Rows that repeat
+    non-finite component, take no part.  Shorter vectors, empty ones too, are
+    padded with zeros.  Ties go to the smaller ``vec_id``.  Rows that repeat
     an id are rows like any other: each is a candidate for the others, and each
     that is a query has a list of its own.  Scores beyond 64 bits are clipped to
     their range before they are ranked.  Fewer than k candidates give fewer
@@ -298,6 +298,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5) -> DataFrame:
     dim, n, n_queries = rows.agg(F.max(F.size("x")), F.count("*"), F.count_if("query")).first()
     if not n_queries:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
+    dim = max(dim, 1)
     turn = rotation(rows, dim)
     seeds = rows.orderBy(F.desc("length"), "row").limit(max(k + 1, min(SEED_ROWS, BLOCK_NUMBERS // dim))).select("row", "vec_id", "x").toArrow()
     shared = spark.sparkContext.broadcast(

@@ -521,7 +521,7 @@ def best_of(rows, k=5):
     """``(query_id, rank, vec_id, score)`` by comparing every query row with every other row."""
     whole = {}
     for n, (i, v) in enumerate(rows):
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v):
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
             whole[n] = i, [math.floor(Fraction(x) * 256) for x in v]
     out = Counter()
     for n, (i, v) in whole.items():
@@ -542,7 +542,7 @@ def test_top_k(spark, piece, block, monkeypatch):
     monkeypatch.setattr(T, "SEED_ROWS", 20)
     rng = np.random.default_rng(1)
     rows = [(i, (rng.normal(size=8) * rng.choice([0.1, 1, 3])).tolist()) for i in range(400)]
-    rows += [(900, None), (901, [None] * 8), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (904, []), (None, [1.0] * 8), (950, [2.0, 1.0])]
+    rows += [(900, None), (901, [None] * 8), (902, [float("nan")] * 8), (903, [float("inf")] * 8), (904, []), (1000, []), (None, [1.0] * 8), (950, [2.0, 1.0])]
     rows += [(7, rows[7][1]), (50, rows[50][1]), (50, rows[51][1]), (100, rows[100][1]), (100, rows[100][1])]  # repeated ids, queries included
     rows += [(500 + i, rows[20][1]) for i in range(30)]  # ties
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("row", F.lit(1)).withColumn("x", F.lit("x"))
@@ -551,6 +551,8 @@ def test_top_k(spark, piece, block, monkeypatch):
     assert T.top_k(df.limit(0), F.col("vec_id") % 50 == 0).collect() == []
     one = spark.createDataFrame([(50, [1.0])], "vec_id long, embedding array<double>")
     assert T.top_k(one, F.col("vec_id") % 50 == 0).collect() == []
+    empty = spark.createDataFrame([(50, []), (51, []), (100, [])], "vec_id long, embedding array<double>")
+    assert sorted(map(tuple, T.top_k(empty, F.col("vec_id") % 50 == 0).collect())) == [(50, 1, 51, 0), (50, 2, 100, 0), (100, 1, 50, 0), (100, 2, 51, 0)]
 
 
 def test_top_k_of_large_components(spark):
