@@ -792,11 +792,10 @@ def index_counts(spark, sf_dir):
 
 @query("select source as name, 'MS-11' as rule from documents group by source having count(*) > count(distinct lang) or bool_or(doc_id % 100 = 1)")
 def index_header_rules(spark, sf_dir):
-    docs = _t(spark, sf_dir, "documents").groupBy("source").agg(
-        F.array_sort(F.collect_list("lang")).alias("locales"), F.when(F.bool_or(F.col("doc_id") % 100 == 1), -1).otherwise(F.count("*")).alias("book_count"),
-        F.countDistinct("lang").alias("locale_count"),
-    )
-    return relations.header_violations(docs.withColumnRenamed("source", "name"))
+    docs = _t(spark, sf_dir, "documents")
+    headers = relations.index_headers(docs.select(F.col("source").alias("name"), F.col("lang").alias("locale")))
+    odd = docs.where("doc_id % 100 = 1").select(F.col("source").alias("name"), F.lit(-1).cast("long").alias("_wrong")).distinct()
+    return relations.header_violations(headers.join(odd, "name", "left").withColumn("book_count", F.coalesce("_wrong", "book_count")))
 
 
 @query("select doc_id, source from (select doc_id, source, row_number() over (partition by source order by doc_id) as rn from documents) where rn > 1")

@@ -142,6 +142,64 @@ def changelog(old: DataFrame, new: DataFrame) -> DataFrame:
     return out.groupBy("section", "locale").agg(F.count("*").alias("n"))
 
 
+def described(header: Column) -> Column:
+    """Author, title and, if the title does not hold it, the English title of a book."""
+    field = lambda k: F.trim(F.coalesce(F.try_element_at(header, F.lit(k)), F.lit("")))
+    title, author, english = field("title"), field("author"), field("title_en")
+    label = F.concat(F.when(author != "", F.concat(author, F.lit(", "))).otherwise(""), F.lit("*"), title, F.lit("*"))
+    return F.concat(label, F.when((english != "") & ~F.contains(title, english), F.concat(F.lit(" ("), english, F.lit(")"))).otherwise(""))
+
+
+def changelog_rows(old: DataFrame, new: DataFrame, heading: str, least: float = 0.5) -> DataFrame:
+    """``rank, key, text``: a changelog section between snapshots ``(path, locale, header, text)``, its lines in order by rank and key.
+
+    New locales with their books, new books of other locales, books that moved
+    (the same or most of the text under a new path), removed ones, locales that
+    are gone, and how many books of each locale were revised; only what there
+    is.  Paths are unique.
+    """
+    from .renames import snapshot_changes
+
+    changes = snapshot_changes(old, new, least, key="path")
+    of = lambda df, side: df.select(F.col("path").alias(side), F.col("locale").alias(f"{side}_locale"), described(F.col("header")).alias(f"{side}_label"))
+    changes = changes.join(of(old, "old"), "old", "left").join(of(new, "new"), "new", "left")
+    before, after = old.select("locale").distinct(), new.select("locale").distinct()
+    fresh, lost = after.join(before, "locale", "left_anti"), before.join(after, "locale", "left_anti")
+    added = changes.where("change = 'added'").withColumnRenamed("new_locale", "locale")
+    removed, moved, edited = (changes.where(F.col("change") == c) for c in ("removed", "renamed", "edited"))
+    entry = F.concat(F.lit("- **"), "locale", F.lit("**: "), "new_label")
+    joined = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("new", "new_label"))), lambda x: x["new_label"]), "; ")
+    per_locale = added.groupBy("locale").agg(joined.alias("entries"))
+    revised = edited.groupBy("new_locale").agg(F.count("*").alias("n"))
+    told = F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("new_locale", "n"))), lambda x: F.format_string("%s (%d)", x["new_locale"], x["n"])), ", ")
+    row = lambda df, rank, key, text: df.select(F.lit(rank).alias("rank"), key.alias("key"), text.alias("text"))
+    none = F.lit("")
+    size = lambda df, name: df.agg(F.count("*").alias(f"{name}_books"), F.countDistinct("locale").alias(f"{name}_locales"))
+
+    def titled(rank, entries, title):
+        """The entries of a part below its heading, and a blank line behind them."""
+        return entries.unionByName(
+            entries.agg(F.count("*").alias("n")).where("n > 0").select(
+                F.explode(F.array(F.struct(F.lit(rank).alias("rank"), F.format_string(f"### {title}\n", "n").alias("text")), F.struct(F.lit(rank + 2).alias("rank"), F.lit("").alias("text")))).alias("r")
+            ).select("r.rank", F.lit("").alias("key"), "r.text")
+        )
+
+    top = size(old, "a").crossJoin(size(new, "b"))
+    counts = F.format_string("%d books in %d locales, to %d books in %d.\n", "a_books", "a_locales", "b_books", "b_locales")
+    parts = [
+        row(top, 0, none, F.concat(F.lit(f"## {heading}\n\n"), counts)),
+        titled(10, row(fresh.join(per_locale, "locale", "left"), 11, F.col("locale"), F.concat(F.lit("- **"), "locale", F.lit("**: "), F.coalesce("entries", F.lit("")))), "New locales (%d)"),
+        titled(20, row(added.join(fresh, "locale", "left_anti"), 21, F.col("new"), entry), "New books in existing locales (%d)"),
+        titled(30, row(moved, 31, F.col("old"), F.concat(F.lit("- `"), "old", F.lit("` is now `"), "new", F.lit("`"))), "Moved or re-attributed (%d)"),
+        titled(40, row(removed, 41, F.col("old"), F.concat(F.lit("- **"), "old_locale", F.lit("**: "), "old_label")), "Removed (%d)"),
+        row(lost.agg(F.array_join(F.array_sort(F.collect_set("locale")), ", ").alias("l")).where("l <> ''"), 50, none, F.concat(F.lit("Locales no longer present: "), "l", F.lit("\n"))),
+        row(edited.agg(F.count("*").alias("n")).where("n > 0"), 60, none, F.concat(F.format_string("### Revised text (%d ", "n"), F.when(F.col("n") == 1, "book)\n").otherwise("books)\n"))),
+        row(revised.agg(F.count("*").alias("n"), told.alias("t")).where("n > 0"), 61, none, F.concat("t", F.lit("\n"))),
+        row(changes.agg(F.count("*").alias("n")).where("n = 0"), 70, none, F.lit("No change to the corpus itself in this range.\n")),
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def stale(published: DataFrame, built: DataFrame) -> DataFrame:
     """Paths of records that differ between ``(path, record)`` tables, or stand in one of them only."""
     a, b = published.select("path", F.col("record").alias("a")), built.select("path", F.col("record").alias("b"))

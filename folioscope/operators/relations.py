@@ -155,6 +155,17 @@ def index_header(records: DataFrame) -> DataFrame:
     return records.agg(F.count("*").alias("book_count"), locales.alias("locales")).select("book_count", F.size("locales").alias("locale_count"), "locales")
 
 
+def index_headers(records: DataFrame) -> DataFrame:
+    """``name, locales, book_count, locale_count`` of several indexes with ``records(name, locale)``.
+
+    Records are counted by locale first; one with several stands twice in
+    ``locales``, which is enough to see that it is repeated.
+    """
+    counts = records.groupBy("name", "locale").agg(F.count("*").alias("n"))
+    locales = F.array_sort(F.flatten(F.collect_list(F.array_repeat("locale", F.least("n", F.lit(2)).cast("int")))))
+    return counts.groupBy("name").agg(locales.alias("locales"), F.sum("n").alias("book_count"), F.count("locale").alias("locale_count"))
+
+
 def header_violations(headers: DataFrame) -> DataFrame:
     """MS-11 over ``name, locales array, book_count, locale_count``: repeated or malformed locales, negative or missing counts."""
     twice = F.size(F.array_distinct("locales")) != F.size("locales")

@@ -73,3 +73,22 @@ def test_snapshot_changes(spark):
     assert R.snapshot_changes(frame(old), frame(old), key="path").collect() == []
     none = frame({"x": "y"}).limit(0)
     assert {r.change for r in R.snapshot_changes(none, frame(new), key="path").collect()} == {"added"}
+
+
+def test_changelog_section(spark, tmp_path):
+    from folioscope.operators import publish
+    from folioscope.sources import ordered
+
+    book = lambda path, title, author="", english="", text="t": (path, path.split("/")[1], {"title": title, "author": author, "title_en": english}, text)
+    long = "\n".join(f"line {i}" for i in range(20))
+    old = [book("books/de/a/x.md", "X", "A"), book("books/de/b/y.md", "Y", "B", text=long), book("books/fr/c/z.md", "Z", "C", text="gone text"), book("books/de/d/e.md", "E", text="old\nway")]
+    new = [book("books/de/a/x.md", "X", "A"), book("books/de/bb/y.md", "Y", "B", text=long + "\nmore"), book("books/ko/k/m.md", "M", "K", "Em", text="ko"), book("books/ko/k/l.md", "L (El)", "", "El", text="ko too"), book("books/de/n/n.md", "N", "N", text="new text"), book("books/de/d/e.md", "E", text="new\nway")]
+    frame = lambda rows: spark.createDataFrame(rows, "path string, locale string, header map<string,string>, text string")
+    out = tmp_path / "section.md"
+    ordered.write_one_file(publish.changelog_rows(frame(old), frame(new), "v2"), str(out), ["rank", "key"])
+    assert out.read_text() == (
+        "## v2\n\n4 books in 2 locales, to 6 books in 2.\n\n### New locales (1)\n\n- **ko**: *L (El)*; K, *M* (Em)\n\n### New books in existing locales (1)\n\n- **de**: N, *N*\n\n"
+        "### Moved or re-attributed (1)\n\n- `books/de/b/y.md` is now `books/de/bb/y.md`\n\n### Removed (1)\n\n- **fr**: C, *Z*\n\nLocales no longer present: fr\n\n### Revised text (1 book)\n\nde (1)\n\n"
+    )
+    ordered.write_one_file(publish.changelog_rows(frame(old), frame(old), "v2"), str(out), ["rank", "key"])
+    assert out.read_text() == "## v2\n\n4 books in 2 locales, to 4 books in 2.\n\nNo change to the corpus itself in this range.\n\n"
