@@ -591,8 +591,8 @@ def _moved_snapshots(spark, sf_dir):
     f"""with o as ({_OLD_SQL}), n as ({_NEW_SQL}),
     a as (select doc_id, unnest(string_split(text, chr(10))) as line from o where doc_id not in (select doc_id from n)),
     b as (select doc_id, unnest(string_split(text, chr(10))) as line from n where doc_id not in (select doc_id from o)),
-    x as (select doc_id, line, count(*) * (strlen(line) + 1) as w from a group by all), y as (select doc_id, line, count(*) * (strlen(line) + 1) as w from b group by all),
-    sx as (select doc_id, sum(w) as s from x group by all), sy as (select doc_id, sum(w) as s from y group by all),
+    x as (select doc_id, line, sum(strlen(line) + 1) as w from a group by doc_id, line), y as (select doc_id, line, sum(strlen(line) + 1) as w from b group by doc_id, line),
+    sx as (select doc_id, sum(w) as s from x group by doc_id), sy as (select doc_id, sum(w) as s from y group by doc_id),
     p as (select x.doc_id as old, y.doc_id as new, sum(least(x.w, y.w)) as common from x join y using (line) group by all)
     select old, new, (60000 * common // greatest(sx.s, sy.s))::bigint as score from p join sx on sx.doc_id = old join sy on sy.doc_id = new where 2 * common >= greatest(sx.s, sy.s)"""
 )
