@@ -843,6 +843,18 @@ def test_pipeline_stages_on_odd_rows(spark, odd_dir):
         assert stage(spark, none, odd_dir).collect() == []
 
 
+def test_classifier_stage_needs_no_documents_table(spark, labels, tmp_path):
+    """The stage fits on what it is given; the folder has only the other tables by then."""
+    import corpus_pipeline as P
+    from folioscope.llm.quality_classifier import classify, fit
+
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id % 3 > 0")
+    out = P.quality_classifier(spark, docs, str(tmp_path))
+    kept = classify(docs, fit(docs, labels), ("doc_id",)).where("kept")
+    assert out.columns == docs.columns and sorted(r.doc_id for r in out.collect()) == sorted(r.doc_id for r in kept.collect())
+
+
 def test_pipeline_on_odd_rows(spark, odd_dir):
     import corpus_pipeline as P
 
