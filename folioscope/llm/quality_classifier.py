@@ -151,23 +151,17 @@ def _features(docs: DataFrame) -> DataFrame:
 
 
 def _sample_features(docs: DataFrame) -> dict[str, np.ndarray]:
-    """Dense features of a bounded sample of rows, fetched as index and count arrays."""
-    labels, content, meta = [], [], []
-    for r in _features(docs).toLocalIterator():
-        row = np.zeros(CONTENT_DIM, np.float32)
+    """Dense features of a bounded sample of rows, fetched as index and count arrays and made dense once."""
+    rows = list(_features(docs).toLocalIterator())
+    content = np.zeros((len(rows), CONTENT_DIM), np.float32)
+    meta = np.zeros((len(rows), METADATA_DIM), np.float32)
+    for r, own, view in zip(rows, content, meta):
         counts = np.frombuffer(r["counts"], "<u4")
-        row[np.frombuffer(r["buckets"], "<u2")] = counts / max(1, counts.sum())
-        row[WORD_DIM + np.frombuffer(r["layout"], "<u2").astype(int)] = 1 / CONTENT_SCALE
-        view = np.zeros(METADATA_DIM, np.float32)
+        own[np.frombuffer(r["buckets"], "<u2")] = counts / max(1, counts.sum())
+        own[WORD_DIM + np.frombuffer(r["layout"], "<u2").astype(int)] = 1 / CONTENT_SCALE
         view[np.frombuffer(r["meta"], "<u2")] = 1
-        labels.append(r["label"])
-        content.append(row)
-        meta.append(view)
-    return {
-        "label": np.array(labels, dtype=int),
-        "content": np.array(content, dtype=np.float32).reshape(len(labels), CONTENT_DIM) * CONTENT_SCALE,
-        "meta": np.array(meta, dtype=np.float32).reshape(len(labels), METADATA_DIM),
-    }
+    content *= CONTENT_SCALE
+    return {"label": np.array([r["label"] for r in rows], dtype=int), "content": content, "meta": meta}
 
 
 #: Word shares are small; this brings them to the order of one.
@@ -324,7 +318,12 @@ def co_train(seed: dict[str, np.ndarray], pool: DataFrame, good: float) -> dict:
     """
     held = held_out(seed["label"])
     views = {}
-    train = {v: (seed[v][~held], seed["label"][~held].astype(np.float32), np.ones((~held).sum())) for v in VIEWS}
+    n_seed = int((~held).sum())
+    # room for the means of all rounds, so that no round copies the seed
+    room = {v: np.empty((n_seed + 2 * GROUPS * ROUNDS, dim), np.float32) for v, dim in VIEWS.items()}
+    for v in VIEWS:
+        np.compress(~held, seed[v], axis=0, out=room[v][:n_seed])
+    train = {v: (room[v][:n_seed], seed["label"][~held].astype(np.float32), np.ones(n_seed)) for v in VIEWS}
     past, size, shift = [], 0, {}
     for turn in range(ROUNDS + 1):
         views = {v: Logistic().fit(x, y, STEPS if views else FIRST_STEPS, times=times, start=views.get(v), shift=shift.get(v)) for v, (x, y, times) in train.items()}
@@ -346,7 +345,6 @@ def co_train(seed: dict[str, np.ndarray], pool: DataFrame, good: float) -> dict:
         sums[key // (CONTENT_DIM + 1), key % (CONTENT_DIM + 1)] = n / UNIT
         # the whole pool weighs at most as much as the seed
         unit = min(1.0, len(train["content"][1]) / size) if turn == 0 else unit
-        n_seed = int((~held).sum())
         for i, (v, dim) in enumerate(VIEWS.items()):
             scale = CONTENT_SCALE if v == "content" else np.float32(1)
             part = sums.reshape(2, 2, GROUPS + 1, -1)[i]
@@ -354,7 +352,8 @@ def co_train(seed: dict[str, np.ndarray], pool: DataFrame, good: float) -> dict:
             some = means[:, -1] > 0
             mean = means[some, :dim] / means[some, -1:] * scale
             x, y, times = train[v]
-            x, y, times = np.r_[x, mean.astype(np.float32)], np.r_[y, (np.arange(2 * GROUPS) // GROUPS)[some]].astype(np.float32), np.r_[times, unit * means[some, -1]]
+            room[v][len(x) : len(x) + len(mean)] = mean
+            x, y, times = room[v][: len(x) + len(mean)], np.r_[y, (np.arange(2 * GROUPS) // GROUPS)[some]].astype(np.float32), np.r_[times, unit * means[some, -1]]
             train[v] = x, y, times
             # groups stand for their documents so that the first gradient is that of all documents, each by itself
             weight = Logistic.weights(y, times)

@@ -75,12 +75,12 @@ def bucket_ratios(docs: DataFrame, trusted_ids: DataFrame, buckets: int = BUCKET
         .where("bucket is not null")
         .groupBy("bucket")
         .agg(F.count("*").alias("n_raw"), F.sum("trusted").alias("n_target"))
-        .collect()
+        .toArrow()
     )
     raw, target = [SMOOTHING] * buckets, [SMOOTHING] * buckets
-    for row in counted:
-        raw[row["bucket"]] += row["n_raw"]
-        target[row["bucket"]] += row["n_target"]
+    for bucket, n_raw, n_target in zip(*(counted[c].to_pylist() for c in ("bucket", "n_raw", "n_target"))):
+        raw[bucket] += n_raw
+        target[bucket] += n_target
     shift = math.log(sum(raw)) - math.log(sum(target))
     return [round(SCALE * (math.log(t) - math.log(r) + shift)) for t, r in zip(target, raw)]
 
