@@ -1,6 +1,6 @@
 """HTML as a table of tokens: elements by depth, balanced blocks out or in, events and Markdown blocks.
 
-Pages are cut into tokens once, spread by page, and everything after that is a
+Pages are spread, cut into tokens once, and everything after that is a
 window over the tokens of a page: running depth says which closing tag belongs
 to which opening one, a running maximum of their places says what lies inside
 a chosen element.  No Python runs on the executors.
@@ -27,6 +27,9 @@ HEADINGS = ["h1", "h2", "h3", "h4", "h5", "h6"]
 #: Lines that Markdown would take for the start of a block.
 UNSAFE_START = r"^(?:#|>|[-+*] |[0-9]+[.)] |=|```)"
 
+#: Bytes of pages whose tokens one task holds.
+TASK_BYTES = 4 << 20
+
 Chosen = Callable[[Column, Column], Column]
 
 
@@ -42,8 +45,14 @@ def has_class(token: Column, name: str) -> Column:
 
 
 def tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
-    """``key, pos, token, kind, tag``: kind is text, open, close, void or raw (comments, scripts, styles, declarations)."""
-    cut = pages.select(F.col(key), F.posexplode(F.regexp_extract_all(F.col(html), F.lit(TOKEN), F.lit(0))).alias("pos", "token"))
+    """``key, pos, token, kind, tag``: kind is text, open, close, void or raw (comments, scripts, styles, declarations).
+
+    Pages are spread before they are cut, so many to a task as make up
+    ``TASK_BYTES``: every window over the tokens sorts what its task holds.
+    """
+    size = pages.agg(F.sum(F.octet_length(html))).first()[0] or 0
+    spread = pages.select(key, html).repartition(-(-size // TASK_BYTES) or 1, key)
+    cut = spread.select(F.col(key), F.posexplode(F.regexp_extract_all(F.col(html), F.lit(TOKEN), F.lit(0))).alias("pos", "token"))
     tag = F.lower(F.regexp_extract("token", r"^</?([A-Za-z][A-Za-z0-9:-]*)", 1))
     raw = F.col("token").rlike(r"(?is)^<(?:[!?]|script\b|style\b)")
     kind = (
@@ -53,7 +62,7 @@ def tokens(pages: DataFrame, key: str = "page_id", html: str = "html") -> DataFr
         .when(tag.isin(VOID) | F.col("token").endswith("/>"), "void")
         .otherwise("open")
     )
-    return cut.repartition(key).select(key, "pos", "token", kind.alias("kind"), F.when(~raw & (tag != ""), tag).alias("tag"))
+    return cut.select(key, "pos", "token", kind.alias("kind"), F.when(~raw & (tag != ""), tag).alias("tag"))
 
 
 def elements(cut: DataFrame, key: str = "page_id") -> DataFrame:

@@ -145,3 +145,14 @@ def test_chrome(spark):
     own = spark.createDataFrame([("&#60;b&#62; &#x1F600; &#0; &#1114112; &#x110000; & &#65",), (None,), ("plain",)], "t string")
     assert [r[0] for r in own.select(numeric_entities(F.col("t"))).collect()] == ["<b> 😀 &#0; &#1114112; &#x110000; & &#65", None, "plain"]
     assert [r[0] for r in own.select(html_to_markdown(F.col("t"))).collect()][0].startswith("<b> 😀")
+
+
+def test_pages_are_spread_by_their_bytes(spark, monkeypatch):
+    """No task holds the tokens of more pages than make up its share."""
+    from folioscope.operators import elements as E
+
+    monkeypatch.setattr(E, "TASK_BYTES", 1000)
+    pages = spark.createDataFrame([(i, f"<article><p>{i} {'x' * 90}</p></article>") for i in range(100)], "page_id long, html string")
+    found = E.events(pages, content=lambda tag, token: tag == "article")
+    assert found.rdd.getNumPartitions() >= 11
+    assert [(r.page_id, r.n, r.payload.split()[0]) for r in found.orderBy("page_id").collect()] == [(i, 1, str(i)) for i in range(100)]
