@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import unicodedata
 
 from pyspark.sql import Column, DataFrame, Window
@@ -227,7 +228,38 @@ def named_class(*marks: str) -> str:
     return "[" + "".join(f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out) + "]"
 
 
+def _ranges(pattern: str) -> list[tuple[int, int]] | None:
+    """The ranges of a class as :func:`named_class` writes it; none of other patterns."""
+    if re.fullmatch(r"\[(?:\\x\{[0-9A-F]+\}-\\x\{[0-9A-F]+\})+\]", pattern):
+        return [(int(a, 16), int(b, 16)) for a, b in re.findall(r"\\x\{(\w+)\}-\\x\{(\w+)\}", pattern)]
+    return None
+
+
+def _outside(ranges: list[tuple[int, int]], others: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What of sorted ranges is not in the others."""
+    for lo, hi in others:
+        ranges = [r for a, b in ranges for r in ((a, min(b, lo - 1)), (max(a, hi + 1), b)) if r[0] <= r[1]]
+    return ranges
+
+
+def halved_class(ranges: list[tuple[int, int]], low: int = 0, high: int = 0x10FFFF) -> str:
+    """A class of sorted ranges that Java looks up by halves; a plain one is tried range by range at every character."""
+    one = lambda a, b: f"\\x{{{a:X}}}-\\x{{{b:X}}}"
+    if len(ranges) <= 2:
+        return "[" + "".join(one(*r) for r in ranges) + "]"
+    # characters of ASCII are told apart at once
+    k = sum(b < 0x80 for _, b in ranges) if low == 0 else 0
+    k = k or len(ranges) // 2
+    cut = max(ranges[k][0], 0x80) if low == 0 and ranges[k - 1][1] < 0x80 else ranges[k][0]
+    return f"[[{one(low, cut - 1)}&&{halved_class(ranges[:k], low, cut - 1)}][{one(cut, high)}&&{halved_class(ranges[k:], cut, high)}]]"
+
+
 def accent_counts(text: Column, polytonic: str, tonos: str) -> Column:
     """``polytonic`` and ``tonos``: characters of the one class, and of the other that are not in the one."""
-    both = F.regexp_count(text, F.lit(f"(?:(?!{polytonic}){tonos})"))
-    return F.struct(F.regexp_count(text, F.lit(polytonic)).cast("long").alias("polytonic"), both.cast("long").alias("tonos"))
+    first, second = _ranges(polytonic), _ranges(tonos)
+    rest = f"(?:(?!{polytonic}){tonos})"
+    if first and second:
+        left = _outside(second, first)
+        polytonic, rest = halved_class(first), halved_class(left) if left else r"(?!)"
+    count = lambda pattern: F.regexp_count(text, F.lit(pattern)).cast("long")
+    return F.struct(count(polytonic).alias("polytonic"), count(rest).alias("tonos"))

@@ -154,3 +154,17 @@ def test_families_and_locales(spark):
     assert {tuple(r) for r in P.derived_counts(books, coverage).collect()} == {("books", 7), ("locales", 6), ("languages", 5), ("beyond_english", 3), ("families", 2)}
     assert {tuple(r) for r in P.locale_counts(books, coverage).collect()} == {("Germanic, Old", None, "count"), ("Koreanic", "xx", "unknown"), ("Germanic, West", "de", "twice"), (None, "ja", "missing")}
     assert {r.n for r in P.derived_counts(books, coverage.limit(0)).where("quantity = 'families'").collect()} == {-1}
+
+
+def test_accents_by_halved_classes(spark):
+    """Both classes are looked up by halves and count what the plain ones count."""
+    marks = ("CIRCUMFLEX", "CEDILLA"), ("ACUTE", "GRAVE")
+    classes = [L.named_class(*m) for m in marks]
+    points = [chr(p) for p in range(0x20000) if not 0xD800 <= p < 0xE000]
+    named = [{c for c in points if any(m in unicodedata.name(c, "") for m in own)} for own in marks]
+    found = L.accent_counts(F.col("t"), *classes)
+    assert "&&" in found._jc.toString()
+    got = spark.createDataFrame([(c,) for c in points], "t string").select("t", found.alias("f")).where("f.polytonic + f.tonos > 0").collect()
+    assert {r.t for r in got if r.f.polytonic} == named[0] and {r.t for r in got if r.f.tonos} == named[1] - named[0]
+    plain = spark.createDataFrame([("a^b^",)], "t string").select(L.accent_counts(F.col("t"), "[a^]", r"\^|b").alias("f")).first().f
+    assert (plain.polytonic, plain.tonos) == (3, 1)
