@@ -2,8 +2,37 @@
 
 from __future__ import annotations
 
+import ctypes
+from collections.abc import Callable
+from contextlib import suppress
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
+
+#: So many texts at a time are Python objects in a worker.
+TEXTS = 128
+
+
+def text_udf(one: Callable):
+    """A UDF of ``one``, from a value to a text, null to null; a worker gives its free memory back after each batch."""
+
+    @F.arrow_udf(StringType())
+    def run(values: pa.Array) -> pa.Array:
+        parts = [pa.array([], pa.string())]
+        for start in range(0, len(values), TEXTS):
+            few = values.slice(start, TEXTS).to_pylist()
+            parts.append(pa.array([None if x is None else one(x) for x in few], pa.string()))
+        out = pa.concat_arrays(parts)
+        del parts
+        pa.default_memory_pool().release_unused()
+        with suppress(OSError, AttributeError):  # not every C library can
+            ctypes.CDLL(None).malloc_trim(0)
+        return out
+
+    return run
+
 
 #: White space as Unicode-aware splitting sees it.
 SPACE_CLASS = r"[\t-\r\x{1c}-\x{1f} \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"

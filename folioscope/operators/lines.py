@@ -22,6 +22,11 @@ def bound(value: Column, use) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def once(value: Column) -> Column:
+    """``value`` by a generator, below which the optimizer moves no filter that would work it out again."""
+    return F.explode_outer(F.array(value))
+
+
 def before(items: Column) -> Column:
     """An array moved on by one place: what stands before each item, null before the first; one longer."""
     return F.concat(F.transform(F.slice(items, 1, 1), lambda x: F.nullif(x, x)), items)

@@ -10,13 +10,11 @@ from __future__ import annotations
 
 from functools import reduce
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
 
-from ..functions.text import LOCALE_BLOCKS, count_matches, script_count
-from .lines import after, before
+from ..functions.text import LOCALE_BLOCKS, count_matches, script_count, text_udf
+from .lines import after, before, once
 
 # Licence remains, footer headings, tag names, coerced scalars, header keys, admission routes.
 DEBRIS = [
@@ -157,8 +155,8 @@ def _script(text: Column, locale: Column, blocks: dict) -> tuple[Column, Column]
     return n, F.when(n < 50, "S001").when((n < 0.05 * F.greatest(F.length(text), F.lit(1))) & (n < 500), "S002")
 
 
-def checked(docs: DataFrame, *keep: str, locale: str | None = None, blocks: dict = LOCALE_BLOCKS) -> DataFrame:
-    """The columns to keep and ``checks``: all rules on the text, with or without hits.
+def checked(docs: DataFrame, *keep: str, locale: str | None = None, blocks: dict = LOCALE_BLOCKS, codes: tuple[str, ...] | None = None) -> DataFrame:
+    """The columns to keep and ``checks``: all rules on the text, or those of ``codes``, with or without hits.
 
     ``docs`` has ``text`` with or without a header; a null text is empty.
     Rules on formulas need a ``$`` in the body or ``$$`` anywhere; those on
@@ -195,7 +193,7 @@ def checked(docs: DataFrame, *keep: str, locale: str | None = None, blocks: dict
         ("M004", "error", hits(t, MATH_TAG)),
         ("H001", "warn", hits(t, EMPTY_CENTER)),
         ("B001", "error", _whole((trimmed < 100).cast("int"), trimmed)),
-        ("W003", "warn", hits(t, r"(?s)(?<![$][$].{0,8})" + TEMPLATE)),
+        ("W003", "warn", hits(t, r"(?s)(?=\{\{)(?<![$][$].{0,8})" + TEMPLATE)),
         ("S001", "error", _whole((code == "S001").cast("int"), n)),
         ("S002", "warn", _whole((code == "S002").cast("int"), n)),
         ("U001", "error", _whole(count_matches(t, r"\x{FFFD}"))),
@@ -212,8 +210,8 @@ def checked(docs: DataFrame, *keep: str, locale: str | None = None, blocks: dict
         ("M006", "error", math(_whole(F.abs(F.size(begins) - F.size(ends))))),
         ("M007", "error", math(_each(_uneven(begins, ends)))),
     ]
-    checks = [F.struct(F.lit(c).alias("code"), F.lit(s).alias("severity"), h.alias("hits")) for c, s, h in rules]
-    return docs.select(*keep, F.array(*checks).alias("checks"))
+    checks = [F.struct(F.lit(c).alias("code"), F.lit(s).alias("severity"), h.alias("hits")) for c, s, h in rules if codes is None or c in codes]
+    return docs.select(*keep, once(F.array(*checks)).alias("checks"))
 
 
 def issues(docs: DataFrame, *keep: str, **options) -> DataFrame:
@@ -295,7 +293,7 @@ def header_rules(docs: DataFrame) -> DataFrame:
         ("FM006", "error", inside(lined(lambda x: plain(x) & F.lower(value(x)).isin(COERCED)))),
     ]
     checks = F.array(*[F.struct(F.lit(c).alias("code"), F.lit(s).alias("severity"), f.alias("hits")) for c, s, f in codes])
-    return h.select("doc_id", F.inline(checks)).select("doc_id", "code", "severity", F.inline("hits")).drop("detail")
+    return h.select("doc_id", once(checks).alias("checks")).select("doc_id", F.inline("checks")).select("doc_id", "code", "severity", F.inline("hits")).drop("detail")
 
 
 _CODE, _CITED = r"\bISO 15924 ([A-Z][a-z]{3})\b", r"\bsources/([A-Za-z0-9._-]+\.md)\b"
@@ -348,8 +346,7 @@ def sole_witness_rule(docs: DataFrame) -> DataFrame:
     return claims.join(first, "script").where("path <> first_path").select("path", "script", "first_path")
 
 
-@F.pandas_udf(StringType())
-def fix_text(texts: pd.Series) -> pd.Series:
+def _fix_text():
     """The four mechanical fixes: footer sections with licence remains and what follows them go, a lost brace comes
     back between delimiters, punctuation behind display formulas and empty centered blocks go."""
     import re
@@ -372,4 +369,7 @@ def fix_text(texts: pd.Series) -> pd.Series:
         text = re.sub(r"^(\$\$ .* \$\$)[.,;:!?]+\s*$", r"\1", text, flags=re.M)
         return re.sub(EMPTY_CENTER, "", text)
 
-    return texts.map(one)
+    return text_udf(one)
+
+
+fix_text = _fix_text()

@@ -121,3 +121,14 @@ def test_coverage_of_marks(spark):
     b = spark.createDataFrame([(1, "a b; c"), (3, ";")], "doc_id int, text string")
     got = {(r.mark, r.n_source, r.n_copy, r.ok) for r in relations.mark_drops(a, b, ";«»", rendered={"»"}).collect()}
     assert got == {(";", 2, 1, False), ("«", 1, 0, False), ("»", 1, 0, True)}
+
+
+def test_rules_are_worked_out_once(spark):
+    """No filter below the checks repeats them, and codes that are not asked for are left out."""
+    from folioscope.plans import reports
+
+    docs = spark.createDataFrame([(1, "en", "<center> </center> {{a}}")], "doc_id long, lang string, text string")
+    for df in (rules.issues(docs, "doc_id"), reports.gate(docs), reports.summary_by_lang(docs), rules.header_rules(docs.withColumnRenamed("text", "raw"))):
+        plan = df._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("<center[^>]*>") in (0, 2) and plan.count("FM002") in (0, 1)
+    assert {r.code for r in rules.issues(docs, "doc_id", codes=("H001",)).collect()} == {"H001"}
