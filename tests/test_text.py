@@ -130,3 +130,16 @@ def test_heads_tables_and_emphasis(spark):
     assert apply(spark, X.split_emphasis("t"), ["<b>a<br>c</b><i>x</i> <b> </b>", None]) == ["<b>a</b><br><b>c</b><i>x</i>  ", None]
     assert apply(spark, X.wiki_tables("t"), ['{|\n|+ c\n|-\n| a || b\n! h\n|align="right"|x\n|}\nend']) == ["c\n\na b\n\nx\n\nend"]
     assert apply(spark, X.list_table(F.split(t, ",")), ["a,b,c,d"]) == ["|  |  |  |\n|---|---|---|\n| a | b | c |\n| d |  |  |"]
+
+
+def test_text_udfs_hold_few_texts(spark):
+    """UDFs of texts work on Arrow arrays, a few texts at a time, and keep nulls."""
+    from pyspark.util import PythonEvalType
+
+    from folioscope.operators import markup, rules, transforms
+
+    for udf in (transforms.unwrap_divs, transforms.strip_top_templates, transforms.wiki_tables, transforms.split_emphasis, markup.convert_templates, rules.fix_text):
+        assert udf.evalType == PythonEvalType.SQL_SCALAR_ARROW_UDF
+    rows = spark.createDataFrame([(i, None if i % 7 == 0 else f"<div>{i}</div>") for i in range(1000)], "i long, t string").coalesce(1)
+    got = {r.i: r.u for r in rows.select("i", transforms.unwrap_divs("t").alias("u")).collect()}
+    assert got == {i: None if i % 7 == 0 else f"\n\n{i}\n\n" for i in range(1000)}
