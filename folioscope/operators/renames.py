@@ -40,7 +40,7 @@ def rename_scores(old: DataFrame, new: DataFrame, least: float = 0.5, key: str =
     are the rare ones, texts are brought together, so that a line of thousands
     of texts makes no pairs unless it makes up the texts.
     """
-    a, b = _weights(old, key), _weights(new, key)
+    a, b = cut_lineage(_weights(old, key)), cut_lineage(_weights(new, key))
     often = a.select("line").unionAll(b.select("line")).groupBy("line").agg(F.count("*").alias("often"))
 
     def rare(side):
@@ -73,11 +73,15 @@ def best_pairs(scores: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, taken) if taken else scores.limit(0)
 
 
+def _digests(texts: DataFrame, key: str) -> DataFrame:
+    """``key, digest`` of texts, null as empty."""
+    return texts.select(key, F.sha2(F.coalesce("text", F.lit("")), 256).alias("digest"))
+
+
 def exact_pairs(old: DataFrame, new: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``old, new`` with equal texts, the first by id with the first, and so on."""
+    """``old, new`` with equal ``digest``, the first by id with the first, and so on."""
     def ranked(side, name):
-        digest = F.sha2(F.coalesce("text", F.lit("")), 256)
-        slim = side.select(F.col(key).alias(name), digest.alias("digest"))
+        slim = side.select(F.col(key).alias(name), "digest")
         return slim.withColumn("n", F.row_number().over(Window.partitionBy("digest").orderBy(name)))
 
     return ranked(old, "old").join(ranked(new, "new"), ["digest", "n"]).select("old", "new")
@@ -92,16 +96,20 @@ def snapshot_changes(old: DataFrame, new: DataFrame, least: float = 0.5, key: st
     empty; empty texts are only ever equal to one another.  No row for texts
     that stayed the same.
     """
-    gone = cut_lineage(old.join(new.select(key), key, "left_anti").select(key, "text"))
-    come = cut_lineage(new.join(old.select(key), key, "left_anti").select(key, "text"))
-    same = exact_pairs(gone, come, key)
-    filled = F.coalesce("text", F.lit("")) != ""
-    rest_a = gone.where(filled).join(same.select(F.col("old").alias(key)), key, "left_anti")
-    rest_b = come.where(filled).join(same.select(F.col("new").alias(key)), key, "left_anti")
-    moved = same.select("old", "new", F.lit(FULL).cast("long").alias("score")).unionByName(best_pairs(rename_scores(rest_a, rest_b, least, key)))
-    moved = cut_lineage(moved)
-    text = lambda c: F.coalesce(c, F.lit(""))
-    edited = old.select(key, F.col("text").alias("a")).join(new.select(key, F.col("text").alias("b")), key).where(text(F.col("a")) != text(F.col("b")))
+    # texts are told apart by their digests; only those are moved that have to be matched by lines
+    before, after = _digests(old, key), _digests(new, key)
+    gone = cut_lineage(before.join(after, key, "left_anti"))
+    come = cut_lineage(after.join(before, key, "left_anti"))
+    same = cut_lineage(exact_pairs(gone, come, key))
+    filled = F.col("digest") != F.sha2(F.lit(""), 256)
+
+    def rest(texts, side, name):
+        left = side.where(filled).join(same.select(F.col(name).alias(key)), key, "left_anti").select(F.col(key).alias("_key"))
+        return texts.join(left, texts[key].eqNullSafe(left["_key"]), "left_semi").select(key, "text")
+
+    scores = rename_scores(rest(old, gone, "old"), rest(new, come, "new"), least, key)
+    moved = cut_lineage(same.select("old", "new", F.lit(FULL).cast("long").alias("score")).unionByName(best_pairs(scores)))
+    edited = before.withColumnRenamed("digest", "a").join(after.withColumnRenamed("digest", "b"), key).where("a <> b")
     none = F.lit(None)
     kind = old.schema[key].dataType
 

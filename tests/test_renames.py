@@ -92,3 +92,16 @@ def test_changelog_section(spark, tmp_path):
     )
     ordered.write_one_file(publish.changelog_rows(frame(old), frame(old), "v2"), str(out), ["rank", "key"])
     assert out.read_text() == "## v2\n\n4 books in 2 locales, to 4 books in 2.\n\nNo change to the corpus itself in this range.\n\n"
+
+
+def test_snapshots_keep_no_texts(spark, monkeypatch):
+    """What is written between the steps are digests and weights, no texts."""
+    from folioscope.operators import renames
+
+    seen, own = [], renames.cut_lineage
+    monkeypatch.setattr(renames, "cut_lineage", lambda df: seen.append(df.columns) or own(df))
+    old = spark.createDataFrame([(1, "a\nb"), (2, "c"), (3, None), (4, "x\ny\nz"), (5, "same")], "doc_id long, text string")
+    new = spark.createDataFrame([(1, "a\nB"), (12, "c"), (3, ""), (14, "x\ny\nw"), (5, "same"), (16, "")], "doc_id long, text string")
+    got = {(r.change, r.old, r.new) for r in renames.snapshot_changes(old, new).collect()}
+    assert got == {("edited", 1, 1), ("renamed", 2, 12), ("renamed", 4, 14), ("added", None, 16)}
+    assert seen and not any("text" in c for c in seen)
