@@ -97,3 +97,20 @@ def test_anthology(spark, tmp_path, way):
     assert out.read_text() == by_hand(True)
     ordered.write_anthology(items.limit(0), str(out), order, exclude, header)
     assert out.read_text() == "---\nnote: 0 of 0, 0 late, 0 with markup\n---\n\n"
+
+
+def test_sections_do_not_meet_in_one_task(spark, monkeypatch):
+    """Items are not dealt by their section, be there few or many sections."""
+    items = spark.createDataFrame([(s, i, f"T{i}", None, "text") for s in "ab" for i in range(5)] + [(None, 9, "none", None, "t")], "s string, i long, title string, cite string, text string")
+    own, found = spark.conf.get("spark.sql.autoBroadcastJoinThreshold"), []
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for most in (10, 1):
+            monkeypatch.setattr(ordered, "MAX_SECTIONS", most)
+            rows = ordered.anthology_rows(items, ["s", "i"], {}, "{kept}", section="s")
+            assert "SortMergeJoin [s#" not in rows._jdf.queryExecution().executedPlan().toString()
+            found.append(sorted(map(tuple, rows.collect()), key=repr))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
+    assert found[0] == found[1] and len(found[0]) == 11
+    assert sum("# a\n\n" in r[-1] for r in found[0]) == 1
