@@ -39,6 +39,22 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return out
 
 
+def materialize_bucketed(df: DataFrame, label: str, key: str) -> DataFrame:
+    """:func:`materialize` in buckets by ``key``, as many as shuffles have partitions: joins on ``key`` leave the rows where they are.
+
+    Spark writes buckets for tables of its catalogue only, so there is one for a
+    moment; its files stay in the shared folder.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    path, table = f"{scratch_root(spark)}/{name}", f"spark_catalog.default.{name}"
+    df.write.format("parquet").bucketBy(int(spark.conf.get("spark.sql.shuffle.partitions")), key).option("path", path).saveAsTable(table)
+    out = spark.table(table)
+    spark.sql(f"DROP TABLE {table}")  # the files are not the catalogue's and stay
+    out._scratch_path = path
+    return out
+
+
 def discard(df: DataFrame) -> None:
     """Delete a table made by :func:`materialize` that no later plan reads."""
     path = getattr(df, "_scratch_path", None)

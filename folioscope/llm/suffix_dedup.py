@@ -16,7 +16,9 @@ few megabytes of text:
 4. The windows found go back to their blocks, where they are put together.
 
 Seeds only choose what is compared; windows are compared as bytes.  A passage
-that many documents share is sent once a block, not once a document.
+that many documents share is sent once a block, not once a document.  Blocks
+are stored in buckets, and what is found of a block goes to where it lies: of
+whole texts nothing is shuffled.
 """
 
 from __future__ import annotations
@@ -30,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, materialize, releasing, slices, utf8
+from .common import discard, materialize, materialize_bucketed, releasing, slices, utf8
 
 #: Bytes of a string that must repeat to be removed, and of the seeds in it.
 WIDTH, SEED = 50, 20
@@ -393,7 +395,7 @@ def repeated_bytes(docs: DataFrame) -> DataFrame:
     empty table gives no rows.  Other columns are not read.
     """
     spark = docs.sparkSession
-    blocks = materialize(_blocks(docs), "blocks")
+    blocks = materialize_bucketed(_blocks(docs), "blocks", "block")
     total = blocks.agg(F.sum("n_bytes")).first()[0] or 0
     least = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     seed_buckets, buckets = max(least, total // SEED_BUCKET), max(least, total // RUN_BUCKET)

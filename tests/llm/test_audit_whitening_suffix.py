@@ -58,6 +58,37 @@ def test_suffix_dedup(spark, monkeypatch):
     assert D.suffix_array_dedup(docs.limit(0)).collect() == []
 
 
+def _shuffled(plan):
+    """The columns of each exchange of a physical plan."""
+    below = [plan.children().apply(i) for i in range(plan.children().size())]
+    own = [[plan.output().apply(i).name() for i in range(plan.output().size())]] if plan.nodeName() == "Exchange" else []
+    return own + [x for p in below for x in _shuffled(p)]
+
+
+def test_suffix_dedup_shuffles_no_whole_text(spark, monkeypatch):
+    from folioscope.llm import suffix_dedup as D
+
+    rows, plans, written = _odd_texts(spark), [], D.materialize
+
+    def watched(df, label):
+        plans.append(df)
+        return written(df, label)
+
+    monkeypatch.setattr(D, "materialize", watched)
+    monkeypatch.setattr(D, "BLOCK_BYTES", 5000)
+    held = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+        plans.append(D.suffix_array_dedup(docs))
+        assert Counter(map(tuple, plans[-1].collect())) == _removed(rows)
+        shuffled = [x for df in plans for x in _shuffled(df._jdf.queryExecution().executedPlan().initialPlan())]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", held)
+    assert len(shuffled) >= 4 and not [x for x in shuffled if "n_bytes" in x]  # a block's own column, beside its text
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("blocks")]
+
+
 def test_anchored_runs_hold_every_window_once(monkeypatch):
     from folioscope.llm import suffix_dedup as D
 
