@@ -29,11 +29,24 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+@contextlib.contextmanager
+def shuffles_freed(spark: SparkSession) -> Iterator[None]:
+    """What is written meanwhile leaves no shuffle files; else they stay until the driver happens to collect its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    own = spark.conf.get(name, None)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, own) if own is not None else spark.conf.unset(name)
+
+
 def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage is cut, executors may be lost."""
     spark = df.sparkSession
     path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with shuffles_freed(spark):
+        df.write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
@@ -68,12 +81,17 @@ def discard(df: DataFrame) -> None:
 BROADCAST_BYTES = 4 << 20
 
 
-def broadcast_if_small(df: DataFrame) -> DataFrame:
-    """``df``, a table made by :func:`materialize`, marked for broadcast if its files are small."""
+def is_small(df: DataFrame) -> bool:
+    """Whether the files of a table made by :func:`materialize` are small enough for a broadcast."""
     spark = df.sparkSession
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(df._scratch_path)
     size = p.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).getContentSummary(p).getLength()
-    return F.broadcast(df) if size <= BROADCAST_BYTES else df
+    return size <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, a table made by :func:`materialize`, marked for broadcast if its files are small."""
+    return F.broadcast(df) if is_small(df) else df
 
 
 def unused(df: DataFrame, *names: str) -> list[str]:

@@ -12,7 +12,8 @@
 4. Large components are cut into chunks of sets of like size: each chunk is
    joined on its own, chunk leaders are joined next, and only members outside a
    component's largest cluster are compared against the other chunks that hold
-   sizes they can link with, a block of them at a time.
+   sizes they can link with, a block of them at a time, tiles of several chunks
+   at once.
 """
 
 from __future__ import annotations
@@ -24,10 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import broadcast_if_small, connected_components, discard, join_hot, map_rows, materialize, releasing, utf8
+from .common import broadcast_if_small, connected_components, is_small, join_hot, map_rows, materialize, releasing, utf8
 
 #: Sets of one coarse component that one task joins at once.
 CHUNK = 512
+#: Chunks that are compared with others together, and the bytes of sets they may have: each set is sent once for each tile.
+TILE_CHUNKS = 3
+TILE_BYTES = 16 << 20
 #: Bits of a signature.
 BITS = 2048
 LEAF, FANOUT = 8, 8
@@ -37,6 +41,12 @@ SAMPLE_DOCS = 10_000
 FREQUENT = 3
 FREQUENT_KEPT = 400_000
 
+#: Block keys that a task holds at once, the parts that their range is cut into, and the low bytes of a key that go on:
+#: within a part they tell keys apart (sets that meet by chance are compared, no more).
+HELD_KEYS = 1 << 20
+PARTS = 4096
+KEY_BYTES = 5
+
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
@@ -167,9 +177,34 @@ def _digests(docs: DataFrame, k: int) -> DataFrame:
     return map_rows(docs.select("doc_id", utf8("text").alias("text")), "doc_id long, n long, d1 long, d2 long", make)
 
 
+def _by_key(key: np.ndarray, d1: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct keys in order, the least set of each, and the edges (``d1, m``) from its other sets to that one."""
+    order = np.argsort(key)
+    key, d1 = key[order], d1[order]
+    first = np.flatnonzero(np.r_[True, key[1:] != key[:-1]])
+    least = np.minimum.reduceat(d1, first)
+    to = np.repeat(least, np.diff(np.r_[first, len(key)]))
+    other = d1 != to
+    return key[first], least, np.unique(np.stack([d1[other], to[other]], axis=1), axis=0)
+
+
+def _packed(rows: list[tuple[int, bool, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Rows of ``part, linked, a, b``, a few hundred a batch."""
+    for at in range(0, len(rows), 512):
+        part, linked, a, b = zip(*rows[at : at + 512])
+        yield pa.record_batch(
+            [pa.array(part, pa.int32()), pa.array(linked, pa.bool_()), pa.array([x.tobytes() for x in a], pa.binary()), pa.array([x.tobytes() for x in b], pa.binary())],
+            names=["part", "linked", "a", "b"],
+        )
+
+
 def _block_keys(docs: DataFrame, k: int, percent: int) -> DataFrame:
-    """``key, d1``, one row for each key of each set; sets seen just before in the same task are skipped."""
+    """``part, linked, a, b``: block keys and their sets ``d1``, packed by parts of the keys' range, or edges (``linked``).
 
+    Sets seen just before in the same task are skipped.  Of ``HELD_KEYS`` keys
+    at a time, sets that share one are linked in place and only the least goes
+    on, so a key that all sets share goes on once for so many keys.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(frequent_shingles(docs, k))
 
     @releasing
@@ -177,9 +212,20 @@ def _block_keys(docs: DataFrame, k: int, percent: int) -> DataFrame:
         import xxhash
 
         blocking, seen = Blocking(percent, shared.value), set()
+        keys, ids, held = [], [], 0
+
+        def flush():
+            key, least, edges = _by_key(np.concatenate(keys), np.concatenate(ids))
+            part = ((key >> np.uint64(32)) * np.uint64(PARTS) >> np.uint64(32)).astype(np.int64)
+            low = np.ascontiguousarray(key.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES])
+            cut = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
+            rows = [(int(part[i]), False, low[i:j], least[i:j]) for i, j in zip(cut, [*cut[1:], len(part)])]
+            # edges go anywhere, a few thousand together
+            rows += [((int(edges[0, 0]) + n) % PARTS, True, edges[i : i + 4096, 0], edges[i : i + 4096, 1]) for n, i in enumerate(range(0, len(edges), 4096))]
+            return _packed(rows)
+
         for batch in batches:
             for start in range(0, batch.num_rows, 256):
-                keys, ids = [], []
                 for blob in batch.column(0).slice(start, 256).to_pylist():
                     s = shingle_set(blob, k)
                     if not len(s):
@@ -193,13 +239,51 @@ def _block_keys(docs: DataFrame, k: int, percent: int) -> DataFrame:
                     own = blocking.keys(s)
                     keys.append(own)
                     ids.append(np.full(len(own), d1, np.int64))
-                if keys:
-                    yield pa.record_batch(
-                        [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(ids))],
-                        names=["key", "d1"],
-                    )
+                    held += len(own)
+                if held >= HELD_KEYS:
+                    yield from flush()
+                    keys, ids, held = [], [], 0
+        if held:
+            yield from flush()
+
+    return docs.select(utf8("text").alias("text")).mapInArrow(run, "part int, linked boolean, a binary, b binary")
+
+
+def _block_edges(docs: DataFrame, k: int, percent: int) -> DataFrame:
+    """``d1, m``: edges that connect all sets with a common block key.  Keys are shuffled once, packed, and stored nowhere."""
+
+    @releasing
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, ids, part = [], [], None
+
+        def flush():
+            raw = np.concatenate(keys)
+            wide = np.zeros((len(raw), 8), np.uint8)
+            wide[:, :KEY_BYTES] = raw
+            return _by_key(wide.view("<u8").ravel(), np.concatenate(ids))[2]
 
-    return docs.select(utf8("text").alias("text")).mapInArrow(run, "key long, d1 long")
+        def made(edges):
+            return pa.record_batch([pa.array(edges[:, 0]), pa.array(edges[:, 1])], names=["d1", "m"])
+
+        for batch in batches:
+            for start in range(0, batch.num_rows, 256):
+                rows = batch.slice(start, 256)
+                for own, linked, a, b in zip(*(rows.column(c).to_pylist() for c in range(4))):
+                    b = np.frombuffer(b, np.int64)
+                    if linked:
+                        yield made(np.stack([np.frombuffer(a, np.int64), b], axis=1))
+                        continue
+                    if own != part and keys:
+                        yield made(flush())
+                        keys, ids = [], []
+                    part = own
+                    keys.append(np.frombuffer(a, np.uint8).reshape(-1, KEY_BYTES))
+                    ids.append(b)
+        if keys:
+            yield made(flush())
+
+    dealt = _block_keys(docs, k, percent).repartition("part").sortWithinPartitions("part")
+    return dealt.mapInArrow(run, "d1 long, m long").distinct()
 
 
 class SignatureTree:
@@ -311,7 +395,7 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
     """``comp, chunk, rep, root``: the least representative each set reaches within its (comp, chunk, block) group.
 
     ``sets(comp, chunk, block, rep, cluster, probe, s)``; a group is streamed
-    from its sorted partition and holds about ``CHUNK`` sets, and as many probes.
+    from its sorted partition and holds about ``CHUNK`` sets, or a tile of them and as many probes.
     """
 
     @releasing
@@ -319,9 +403,9 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
         held, group = {}, None
 
         def flush():
-            reps = list(held)
-            order = sorted(range(len(reps)), key=lambda i: reps[i])
-            values = [held[reps[i]] for i in order]
+            order = sorted(held)
+            reps = [rep for rep, _ in order]
+            values = [held[x] for x in order]
             probes = [v[1] for v in values]
             root = link(
                 [np.frombuffer(v[2], np.uint64) for v in values],
@@ -334,8 +418,8 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
                 [
                     pa.array([group[0]] * n, pa.int64()),
                     pa.array([group[1]] * n, pa.int64()),
-                    pa.array([reps[i] for i in order], pa.int64()),
-                    pa.array([reps[order[r]] for r in root], pa.int64()),
+                    pa.array(reps, pa.int64()),
+                    pa.array([reps[r] for r in root], pa.int64()),
                 ],
                 names=["comp", "chunk", "rep", "root"],
             )
@@ -348,7 +432,7 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
                         if held:
                             yield flush()
                         held, group = {}, (comp, chunk, block)
-                    held.setdefault(rep, (cluster, probe, s))
+                    held.setdefault((rep, probe), (cluster, probe, s))
         if held:
             yield flush()
 
@@ -358,12 +442,32 @@ def _joined(sets: DataFrame, percent: int) -> DataFrame:
     )
 
 
+#: Bits for each row that a map of ids has, and for all at most.
+MAP_BITS, MOST_BITS = 16, 1 << 26
+
+
+def _likely(docs: DataFrame, side: DataFrame) -> DataFrame:
+    """``docs`` without most of those whose ``doc_id`` is not in ``side``: a map of hashed ids goes to the texts."""
+    spark = docs.sparkSession
+    size = min(MOST_BITS, 1 << max(10, (MAP_BITS * side.count()).bit_length()))
+    at = F.pmod(F.xxhash64("doc_id"), F.lit(size))
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), at.bitwiseAND(F.lit(63)).cast("int"))
+    found = side.select(F.shiftright(at, 6).alias("word"), bit.alias("bit")).groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    words = np.zeros(size // 64, np.int64)
+    words[found.column(0).to_numpy()] = found.column(1).to_numpy()
+    bits = spark.createDataFrame(pa.table({"bits": pa.array([words], pa.list_(pa.int64()))}))
+    return docs.join(F.broadcast(bits), F.get("bits", F.shiftright(at, 6).cast("int")).bitwiseAND(bit) != 0, "left_semi")
+
+
 def _fetch(docs: DataFrame, members: DataFrame, k: int) -> DataFrame:
     """``members`` with their shingle sets ``s``, from the texts of their representatives."""
     side = materialize(members.withColumnRenamed("rep", "doc_id"), "asked")
     columns = [c for c in side.columns if c not in ("doc_id", "s")]
     kinds = dict(side.dtypes)
-    picked = docs.select("doc_id", utf8("text").alias("text")).join(broadcast_if_small(side), "doc_id")
+    texts = docs.select("doc_id", utf8("text").alias("text"))
+    if not is_small(side):
+        texts = _likely(texts, side)
+    picked = texts.join(broadcast_if_small(side), "doc_id")
 
     def make():
         import xxhash
@@ -408,12 +512,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     """
     docs = docs.select("doc_id", "text")
     base = materialize(_digests(docs, k), "sets")
-    keys = materialize(_block_keys(docs.where("doc_id is not null"), k, percent), "keys")
-    found = keys.groupBy("key").agg(F.min("d1").alias("m"), F.max("d1").alias("last"), F.count("*").alias("times"))
-    blocks = materialize(found.where("m <> last").drop("last"), "blocks")
-    edges = materialize(join_hot(keys, blocks, ["key"], "times", keys.count()).where("d1 <> m").select("d1", "m").distinct(), "edges")
-    discard(keys)
-    discard(blocks)
+    edges = materialize(_block_edges(docs.where("doc_id is not null"), k, percent), "edges")
     coarse = connected_components(edges, "d1", "m").select(F.col("node").alias("d1"), F.col("component").alias("comp"))
     classes = base.where("d1 is not null and doc_id is not null").groupBy("d1", "d2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"))
     blocking = Blocking(percent)
@@ -426,7 +525,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     local = materialize(_joined(_fetch(docs, chunked, k), percent), "links")
     labels = local.select("rep", F.col("root").alias("component"))
     if not chunked.where("chunks > 1").isEmpty():
-        labels = _across_chunks(docs, chunked, local, k, percent)
+        labels = _across_chunks(docs, chunked, local, k, percent, blocking.lows)
     named = classes.drop("n").join(labels, "rep", "left").select("d1", "d2", F.coalesce("component", "rep").alias("component"))
     return base.join(named, ["d1", "d2"], "left").select(
         "doc_id",
@@ -435,7 +534,7 @@ def jaccard_components(docs: DataFrame, k: int = 4, percent: int = 85) -> DataFr
     )
 
 
-def _across_chunks(docs: DataFrame, chunked: DataFrame, local: DataFrame, k: int, percent: int) -> DataFrame:
+def _across_chunks(docs: DataFrame, chunked: DataFrame, local: DataFrame, k: int, percent: int, lows: list[int]) -> DataFrame:
     """``rep, component`` once chunks of the same coarse component are joined too."""
     large = chunked.where("chunks > 1").drop("cluster")
     clustered = large.join(local.select("rep", F.col("root").alias("cluster")), "rep")
@@ -457,16 +556,21 @@ def _across_chunks(docs: DataFrame, chunked: DataFrame, local: DataFrame, k: int
     split = materialize(largest.where("clusters > 1").drop("clusters"), "split")
     if not split.isEmpty():
         open_rows = materialize(join_hot(clustered, split, ["comp"], "size", clustered.count()), "open")
+        # chunks are put together to tiles
+        wides = F.array(*[F.lit(max(1, min(TILE_CHUNKS, TILE_BYTES // (8 * CHUNK * x)))) for x in [*lows[1:], lows[-1]]])
+        wide = lambda at: F.get(wides, at)
+        number = F.col("chunk").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1))
+        open_rows = open_rows.withColumn("chunk", F.shiftleft(F.col("band").cast("long"), CHUNK_BITS) + F.floor(number / wide(F.col("band"))).cast("long"))
         asking = F.count_if(F.col("cluster") != F.col("main"))
-        each = open_rows.groupBy("comp", "band").agg(F.max(F.col("chunk").bitwiseAND(F.lit((1 << CHUNK_BITS) - 1)) + 1).alias("cut"), asking.alias("asking"), F.count("*").alias("n"))
+        each = open_rows.groupBy("comp", "band").agg(F.max(number + 1).alias("cut"), asking.alias("asking"), F.count("*").alias("n"))
         near = lambda a, b: F.abs(a - b) <= 1
         bands = each.groupBy("comp").agg(F.sort_array(F.collect_list(F.struct("band", "cut", "asking"))).alias("bands"), F.sum("n").alias("size"))
         placed = join_hot(open_rows, materialize(bands, "bands"), ["comp"], "size", open_rows.count())
-        # blocks of a band's chunks: as many as hold the sets that ask them
+        # blocks of a band's tiles: as many as hold the sets that ask them
         total = lambda at: F.aggregate(
             F.filter("bands", lambda x: near(x["band"], at)), F.lit(0).cast("long"), lambda a, x: a + x["asking"]
         )
-        blocks = lambda at: F.greatest(F.ceil(total(at) / CHUNK), F.lit(1)).cast("int")
+        blocks = lambda at: F.greatest(F.ceil(total(at) / (CHUNK * wide(at))), F.lit(1)).cast("int")
         asked = F.filter("bands", lambda x: near(x["band"], F.col("band")))
         chunks = F.flatten(
             F.transform(
@@ -476,14 +580,15 @@ def _across_chunks(docs: DataFrame, chunked: DataFrame, local: DataFrame, k: int
                     lambda i: F.struct(
                         (F.shiftleft(x["band"].cast("long"), CHUNK_BITS) + i).alias("to"),
                         F.pmod(F.xxhash64(F.col("rep"), F.lit(2)), blocks(x["band"])).cast("int").alias("block"),
+                        wide(x["band"]).alias("wide"),
                     ),
                 ),
             )
         )
         slim = placed.drop("block", "probe", "main")
         probes = (
-            placed.where("cluster <> main").drop("block", "probe", "main").select("*", F.inline(chunks)).where("to <> chunk")
-            .drop("chunk", "bands").withColumnRenamed("to", "chunk").withColumn("probe", F.lit(True))
+            placed.where("cluster <> main").drop("block", "probe", "main").select("*", F.inline(chunks)).where("to <> chunk or wide > 1")
+            .drop("chunk", "bands", "wide").withColumnRenamed("to", "chunk").withColumn("probe", F.lit(True))
         )
         own = F.explode(F.sequence(F.lit(0), blocks(F.col("band")) - 1)).alias("block")
         sets = slim.select("*", own).drop("bands").withColumn("probe", F.lit(False))

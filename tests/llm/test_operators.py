@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+import time
 import zlib
 from collections import Counter, defaultdict
 from fractions import Fraction
@@ -459,6 +460,73 @@ def test_jaccard_of_a_large_component_without_a_main_cluster(spark, monkeypatch)
     assert len(groups) > 40 and max(groups) < 8 * 32  # no group holds a whole component
 
 
+def test_jaccard_shuffles_leave_no_files(spark):
+    """What a written step has shuffled goes at once; it would stay until the driver collects its garbage."""
+    from pathlib import Path
+
+    from folioscope.llm.common import materialize
+
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirsString()
+    files = lambda: {p for d in folders for p in Path(d).rglob("shuffle_*")}
+    before = files()
+    out = materialize(spark.range(1000).repartition(3, "id"), "freed")
+    for _ in range(50):
+        left = files() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and out.count() == 1000 and spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+@pytest.mark.parametrize("held", [1 << 20, 50])
+def test_jaccard_blocks_are_joined_by_one_packed_shuffle(spark, held, monkeypatch):
+    from folioscope.llm import jaccard_join as J
+
+    monkeypatch.setattr(J, "HELD_KEYS", held)
+    draw = random.Random(4)
+    texts = [" ".join(f"v{draw.randrange(60)}" for _ in range(draw.randrange(5, 40))) for _ in range(120)]
+    texts += [t + " end" for t in texts[:40]] + ["the same words in all of them " + t for t in texts[40:80]] + ["", None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    import xxhash
+
+    blocking = J.Blocking(80, J.frequent_shingles(docs, 5))
+    sets = {xxhash.xxh3_128_intdigest(s.tobytes()) & (1 << 63) - 1: s for t in texts if len(s := J.shingle_set((t or "").encode(), 5))}
+    holders = defaultdict(set)
+    for d, s in sets.items():
+        for x in blocking.keys(s).tolist():
+            holders[x].add(d)
+
+    def groups(edges):
+        comp = {d: d for d in sets}
+        for a, b in edges:
+            lo, hi = sorted((comp[a], comp[b]))
+            comp = {k: lo if v == hi else v for k, v in comp.items()}
+        return comp
+
+    edges = J._block_edges(docs, 5, 80)
+    want = groups((a, min(x)) for x in holders.values() for a in x)
+    assert groups(map(tuple, edges.collect())) == want and len(set(want.values())) < len(want) - 30
+    # a key and its set take 13 bytes in the rows that are shuffled, and a key that many sets share goes on once
+    packed = J._block_keys(docs.coalesce(1), 5, 80).where("not linked").collect()
+    keys = sum(len(r.a) // J.KEY_BYTES for r in packed)
+    assert sum(len(r.b) for r in packed) == 8 * keys and (held == 50 or keys == len(holders))
+
+
+def test_jaccard_texts_that_nobody_asks_for_are_not_shuffled(spark, monkeypatch):
+    from folioscope.llm import common
+    from folioscope.llm import jaccard_join as J
+
+    docs = spark.createDataFrame([(i, f"text {i}") for i in range(3000)] + [(None, "none"), (7, "again 7")], "doc_id long, text string")
+    side = common.materialize(docs.where("doc_id % 100 = 7").select("doc_id").distinct(), "asked")
+    got = [r.doc_id for r in J._likely(docs, side).collect()]
+    assert {*range(7, 3000, 100)} <= set(got) and got.count(7) == 2 and len(got) < 600
+    digest = lambda t: __import__("xxhash").xxh3_128_intdigest(J.shingle_set(t.encode(), 4).tobytes()) & (1 << 63) - 1
+    members = spark.createDataFrame([(i, digest(f"text {i}")) for i in range(0, 3000, 50)], "rep long, d1 long")
+    whole = sorted((r.rep, bytes(r.s)) for r in J._fetch(docs, members, 4).collect())
+    monkeypatch.setattr(common, "BROADCAST_BYTES", 0)
+    assert sorted((r.rep, bytes(r.s)) for r in J._fetch(docs, members, 4).collect()) == whole and len(whole) == 60
+
+
 def test_sharding_against_a_walk_round_the_ring(spark, docs):
     """Row by row: each takes its home shard if that has room, the rest go on clockwise, in the same order."""
     from folioscope.llm import sharding as S
