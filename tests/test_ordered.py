@@ -114,3 +114,26 @@ def test_sections_do_not_meet_in_one_task(spark, monkeypatch):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", own)
     assert found[0] == found[1] and len(found[0]) == 11
     assert sum("# a\n\n" in r[-1] for r in found[0]) == 1
+
+
+def test_items_without_a_section_stay(spark, tmp_path, way):
+    """Kept items are all there, as the header counts them; those without a section come last."""
+    rows = [("b", 1, "B1", None, "x"), (None, 3, "N3", "c", "y"), ("a", 2, "A2", None, "z"), ("a", None, "A", None, "n"), (None, 2, "N2", None, None), ("a", 9, "out", None, "<b>")]
+    items = spark.createDataFrame(rows, "s string, i long, title string, cite string, text string").repartition(3)
+    out = tmp_path / "all.md"
+    ordered.write_anthology(items, str(out), ["s", "i"], {"markup": F.col("text").contains("<")}, "{kept} of {total}", section="s")
+    assert out.read_text() == "5 of 6\n# a\n\n## A2\n\nz\n\n## A\n\nn\n\n# b\n\n## B1\n\nx\n\n# \n\n## N2\n\n## N3\n\n*c*\n\ny\n"
+
+
+def test_anthology_query_equals_its_sql_with_nulls(spark, tmp_path):
+    import duckdb
+    from folioscope import catalogue
+
+    text = "word " * 20
+    rows = [(1, text, "en", "s", 100), (2, text, None, "s", 100), (3, text, None, None, 100), (4, None, "de", "s", None), (5, text, "de", None, 100), (6, "x", None, "s", 1), (7, text, "fr", None, 99), (8, "# a " + text, None, "s", 100), (9, text, "en", "", 100)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    with duckdb.connect() as db:
+        db.sql(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+        want = db.sql(catalogue.oracle_sql()["anthology_rows"]).fetchall()
+    got = [tuple(r) for r in catalogue.queries()["anthology_rows"](spark, str(tmp_path)).collect()]
+    assert sorted(got, key=repr) == sorted(want, key=repr) and len(got) == 9
