@@ -32,6 +32,8 @@ CHUNK = 512
 #: Chunks that are compared with others together, and the bytes of sets they may have: each set is sent once for each tile.
 TILE_CHUNKS = 3
 TILE_BYTES = 16 << 20
+#: Across chunks about so many bytes of sets are sent at most at a time; what one round has shuffled goes before the next.
+ROUND_BYTES = 2 << 30
 #: Bits of a signature.
 BITS = 2048
 LEAF, FANOUT = 8, 8
@@ -592,8 +594,13 @@ def _across_chunks(docs: DataFrame, chunked: DataFrame, local: DataFrame, k: int
         )
         own = F.explode(F.sequence(F.lit(0), blocks(F.col("band")) - 1)).alias("block")
         sets = slim.select("*", own).drop("bands").withColumn("probe", F.lit(False))
-        more = _joined(_fetch(docs, sets, k).unionByName(_fetch(docs, probes, k)), percent).select("rep", "root")
-        edges = edges.union(more.where("rep <> root"))
+        tops = F.array(*[F.lit(x).cast("long") for x in [*lows[1:], lows[-1]]])
+        sent = sets.select("band").unionByName(probes.select("band")).agg(F.sum(8 * F.get(tops, F.col("band")))).first()[0] or 0
+        rounds = -(-sent // ROUND_BYTES)
+        for i in range(rounds):  # tiles are compared in one round
+            mine = F.pmod(F.xxhash64("comp", "chunk", "block"), F.lit(rounds)) == i
+            more = _joined(_fetch(docs, sets.where(mine), k).unionByName(_fetch(docs, probes.where(mine), k)), percent).select("rep", "root")
+            edges = edges.union(materialize(more.where("rep <> root"), "edges"))
         merged = connected_components(edges, "rep", "root")
     return local.select("rep").join(merged, F.col("rep") == F.col("node"), "left").select(
         "rep", F.coalesce("component", "rep").alias("component")

@@ -527,6 +527,27 @@ def test_jaccard_texts_that_nobody_asks_for_are_not_shuffled(spark, monkeypatch)
     assert sorted((r.rep, bytes(r.s)) for r in J._fetch(docs, members, 4).collect()) == whole and len(whole) == 60
 
 
+def test_jaccard_across_chunks_in_rounds(spark, monkeypatch):
+    """Sets are sent in rounds, all of them, so that what is on disk at once is bounded."""
+    from folioscope.llm import jaccard_join as J
+
+    monkeypatch.setattr(J, "CHUNK", 8)
+    draw, texts = random.Random(5), []
+    for _ in range(60):
+        w = [f"h{draw.randrange(3)}w{j}" if j else "h" for j in range(2)] + ["a b c d e f g h i j k l"] + [f"o{draw.randrange(10**6)}" for _ in range(5)]
+        texts += [" ".join(w), " ".join([*w, "end"])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    own, calls, found = J._joined, [], []
+    monkeypatch.setattr(J, "_joined", lambda sets, percent: calls.append(1) or own(sets, percent))
+    for most in (1 << 40, 16 << 10):
+        monkeypatch.setattr(J, "ROUND_BYTES", most)
+        calls.clear()
+        rows = {r.doc_id: r.component_id for r in J.jaccard_components(docs, 4, 85).collect()}
+        found.append((rows, len(calls)))
+    assert found[0][0] == found[1][0] == {i: i - i % 2 for i in range(120)}
+    assert found[0][1] == 3 and 3 < found[1][1] < 12
+
+
 def test_sharding_against_a_walk_round_the_ring(spark, docs):
     """Row by row: each takes its home shard if that has room, the rest go on clockwise, in the same order."""
     from folioscope.llm import sharding as S
